@@ -30,8 +30,8 @@ NA_TOKENS = (
     "null",
 )
 
-_WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
-_DECIMAL_NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+# the cast to double also reads type suffixes, hexadecimal and words; numbers need none
+_NOT_IN_A_NUMBER = r"[^0-9eE+.\-\s]"
 
 # Smallest and largest value of each whole-number type.
 INTEGER_LIMITS = {
@@ -82,7 +82,7 @@ def text_to_number(column: Column, type_name: str) -> Column:
     never passes through a double, so large integers stay exact.
     """
     trimmed = F.trim(column)
-    as_double = F.when(column.rlike(_DECIMAL_NUMBER), trimmed.try_cast("double"))
+    as_double = F.when(~column.rlike(_NOT_IN_A_NUMBER), trimmed.try_cast("double"))
     if type_name == "double":
         return as_double
     low, high = INTEGER_LIMITS[type_name]
@@ -93,7 +93,8 @@ def text_to_number(column: Column, type_name: str) -> Column:
         & (as_double < F.lit(float(2**63))),
         as_double.try_cast("bigint"),
     )
-    whole = F.when(column.rlike(_WHOLE_NUMBER), trimmed.try_cast("bigint")).otherwise(whole_double)
+    # plain digits, the usual case, are settled by the first cast
+    whole = F.coalesce(trimmed.try_cast("bigint"), whole_double)
     return F.when(whole.between(F.lit(low), F.lit(high)), whole).try_cast(type_name)
 
 

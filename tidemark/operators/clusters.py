@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.lookup import lookup_join
+from tidemark.operators.lookup import is_small, lookup_join
 from tidemark.session import materialize
 
 
@@ -29,9 +29,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         ),
         "labels",
     )
+    small = is_small(labels)  # no round adds a row
     for _ in range(max_rounds):
         seen = lookup_join(
-            neighbours.withColumnRenamed("b", "value"), labels, ["column", "value"]
+            neighbours.withColumnRenamed("b", "value"), labels, ["column", "value"], small=small
         )
         offered = seen.groupBy("column", F.col("a").alias("value")).agg(F.min("label").alias("offer"))
         better = labels.join(offered, ["column", "value"]).select(
@@ -39,7 +40,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         )
         # labels of labels: ``label <= value`` always holds, so this only ever goes down
         targets = labels.select("column", F.col("value").alias("hop"), F.col("label").alias("jump"))
-        stepped = lookup_join(better, targets, ["column", "hop"]).select(
+        stepped = lookup_join(better, targets, ["column", "hop"], small=small).select(
             "column", "value", F.least("hop", F.coalesce("jump", "hop")).alias("label"), "old"
         )
         stepped = materialize(

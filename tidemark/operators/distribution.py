@@ -14,11 +14,9 @@ from tidemark.functions.columns import number_text, percent, quoted, stack_rows
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, value, count`` for several columns in one scan.  Values are counted on
     the map side before the shuffle, so a value holding most rows costs one row per task."""
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("value")) for c in columns]
-    )
     return (
-        df.select(F.inline(pairs))
+        df.select(*[quoted(c).cast("string").alias(c) for c in columns])
+        .unpivot([], [quoted(c) for c in columns], "column", "value")
         .filter(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("count"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import is_true, percent, quoted, stack_rows
-from tidemark.operators.distribution import value_sets
+from tidemark.operators.distribution import pseudo_key_check, value_sets
 from tidemark.operators.impute import FLAG_SUFFIX
 from tidemark.operators.missing import df_of_names, raw_vs_cleaned
 from tidemark.operators.rules import consistency_flag
@@ -191,8 +191,6 @@ def problem_inventory(df: DataFrame, spec: DatasetSpec) -> DataFrame:
         )
     found = df.agg(*measures).select(stack_rows(rows))
     if spec.pseudo_keys:
-        from tidemark.operators.distribution import pseudo_key_check
-
         pseudo = pseudo_key_check(df, list(spec.pseudo_keys)).select(
             F.col("column").alias("variable"),
             F.concat(

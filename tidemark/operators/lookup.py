@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import blank_to_null, changed, is_true, quoted, stack_rows, zero_pad
+from tidemark.operators.distribution import value_counts
 from tidemark.spec import ClassifyRule
 
 # A lookup with at most this many rows is sent to every executor; checked by counting.
@@ -21,15 +22,20 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 
 
 def lookup_join(
-    df: DataFrame, lookup: DataFrame, on: Sequence[str], broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    broadcast_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Left join on columns that are unique in ``lookup``.
 
     A small lookup is broadcast.  A larger one is joined by shuffle on the key and a salt:
     the salt comes from a hash of the whole row, so it is the same on every retry, and the
-    rows of one hot key (NULL included) spread over many tasks.
+    rows of one hot key (NULL included) spread over many tasks.  ``small`` states the result
+    of the size check if the caller has made it.
     """
-    if is_small(lookup, broadcast_rows):
+    if is_small(lookup, broadcast_rows) if small is None else small:
         return df.join(F.broadcast(lookup), list(on), "left")
     salt = "__salt"
     salted = df.withColumn(salt, F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(_SALTS)))
@@ -69,8 +75,6 @@ def apply_value_map(
 def mapping_effect(df: DataFrame, mapping: DataFrame, columns: Sequence[str], trim: bool = False) -> DataFrame:
     """``column, n_rows_affected``: rows whose value is listed as a ``from_value``.  Values
     are counted before the join, so it moves distinct values instead of rows."""
-    from tidemark.operators.distribution import value_counts
-
     counts = value_counts(df, columns)
     if trim:
         counts = counts.withColumn("value", F.trim("value"))

@@ -18,6 +18,7 @@ from tidemark.functions.signatures import (
     blocking_keys,
 )
 from tidemark.functions.similarity import jaro_winkler
+from tidemark.operators.distribution import value_counts
 from tidemark.session import materialize, ship_package
 
 LEAST_THRESHOLD = 0.85
@@ -25,25 +26,15 @@ LEAST_THRESHOLD = 0.85
 _ROUNDING = 1e-9
 # a blocking key with more values than this is split into blocks of this size
 BLOCK_ROWS = 4096
-_VALUES_PER_TASK = 20_000
+_VALUES_PER_TASK = 2_000
 
 PAIR_COLUMNS = ["column", "value_a", "count_a", "value_b", "count_b", "similarity"]
 
 
 def text_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, value, count`` of the trimmed, non-blank texts."""
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.trim(quoted(c).cast("string")).alias("value"))
-            for c in columns
-        ]
-    )
-    return (
-        df.select(F.inline(pairs))
-        .filter(F.col("value") != "")
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
+    trimmed = df.select(*[F.trim(quoted(c).cast("string")).alias(c) for c in columns])
+    return value_counts(trimmed, columns).filter(F.col("value") != "")
 
 
 def _difference_bound(threshold: float) -> Column:
@@ -98,11 +89,11 @@ def candidate_pairs(
 ) -> DataFrame:
     """Distinct candidate pairs: every qualifying pair is among them."""
     n_values = values.count()
-    spark = values.sparkSession
-    parts = max(spark.sparkContext.defaultParallelism, -(-n_values // _VALUES_PER_TASK))
-    spread = values.repartition(parts, "value")
+    spread = values.repartition(max(2, -(-n_values // _VALUES_PER_TASK)), "value")
     keys = spread.mapInArrow(blocking_keys(threshold, key_budget), KEY_SCHEMA)
-    on = ["column", "key"]
+    # prefix and cross follow from the key; naming them keeps both sides of the self-join
+    # alike, so the keys are made and shuffled once
+    on = ["column", "key", "prefix", "cross"]
     condition = _candidate_condition(threshold)
     # a key group can only exceed the block size if there are that many values at all
     if n_values > block_rows:
@@ -113,9 +104,10 @@ def candidate_pairs(
         )
     for name in on:
         condition = condition & (F.col(f"a.{name}") == F.col(f"b.{name}"))
+    # the planner cannot see how many keys a value has, so it must not guess a broadcast
     return (
         keys.alias("a")
-        .join(keys.alias("b"), condition)
+        .join(keys.alias("b").hint("merge"), condition)
         .select(
             F.col("a.column").alias("column"),
             F.col("a.value").alias("value_a"),
@@ -133,6 +125,10 @@ def _similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.S
         yield pd.Series(jaro_winkler(left.tolist(), right.tolist(), PREFIX_WEIGHT))
 
 
+# scored once, after the pairs are distinct: not again below the aggregate
+_similarity = _similarity.asNondeterministic()
+
+
 def near_duplicates(
     df: DataFrame,
     columns: Sequence[str],

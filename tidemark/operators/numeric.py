@@ -45,17 +45,25 @@ def column_extent(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int,
 
 
 def _rows_inside(df: DataFrame, intervals: Sequence[_Interval], cells: int | None) -> DataFrame:
-    """One row per (interval, value inside it); with ``cells`` also its histogram cell."""
-    entries = []
-    for i, box in enumerate(intervals):
+    """One row per (interval, value inside it); with ``cells`` also its histogram cell.  One
+    scan for all intervals; values are laid out by an unpivot, which stays in generated code."""
+    names = [str(i) for i in range(len(intervals))]
+    inside = []
+    for name, box in zip(names, intervals):
         value = _usable(box.column)
-        fields = [F.lit(i).alias("interval"), value.alias("value")]
-        if cells:
-            spread = F.lit(box.high) - F.lit(box.low)
-            cell = F.floor((value - F.lit(box.low)) * F.lit(float(cells)) / spread)
-            fields.append(F.least(cell, F.lit(cells - 1)).alias("cell"))
-        entries.append(F.when(value.between(F.lit(box.low), F.lit(box.high)), F.struct(*fields)))
-    return df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+        inside.append(F.when(value.between(F.lit(box.low), F.lit(box.high)), value).alias(name))
+    long = (
+        df.select(*inside)
+        .unpivot([], [quoted(n) for n in names], "interval", "value")
+        .filter(F.col("value").isNotNull())
+        .withColumn("interval", F.col("interval").cast("int"))
+    )
+    if not cells:
+        return long
+    low = F.array(*[F.lit(box.low) for box in intervals])[F.col("interval")]
+    spread = F.array(*[F.lit(box.high - box.low) for box in intervals])[F.col("interval")]
+    cell = F.floor((F.col("value") - low) * F.lit(float(cells)) / spread)
+    return long.withColumn("cell", F.least(cell, F.lit(cells - 1)))
 
 
 def order_statistics(

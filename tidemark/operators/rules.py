@@ -44,6 +44,13 @@ def out_of_range(rule: RangeRule) -> Column:
     return is_true(tests[0] if len(tests) == 1 else tests[0] | tests[1])
 
 
+def _any(conditions: Sequence[Column]) -> Column:
+    result = conditions[0]
+    for condition in conditions[1:]:
+        result = result | condition
+    return result
+
+
 def range_violations(df: DataFrame, keys: Sequence[str], rules: Sequence[RangeRule]) -> DataFrame:
     """One row per value outside its bounds: keys, ``column, value``.  One scan for all rules."""
     hits = [
@@ -53,9 +60,11 @@ def range_violations(df: DataFrame, keys: Sequence[str], rules: Sequence[RangeRu
         )
         for rule in rules
     ]
-    return df.select(
-        *[quoted(k) for k in keys], F.explode(F.array_compact(F.array(*hits))).alias("hit")
-    ).select(*[quoted(k) for k in keys], "hit.column", "hit.value")
+    return (
+        df.filter(_any([out_of_range(rule) for rule in rules]))
+        .select(*[quoted(k) for k in keys], F.explode(F.array_compact(F.array(*hits))).alias("hit"))
+        .select(*[quoted(k) for k in keys], "hit.column", "hit.value")
+    )
 
 
 def range_summary(df: DataFrame, rules: Sequence[RangeRule]) -> DataFrame:
@@ -212,10 +221,7 @@ def consistency_flag(rule: ConsistencyRule) -> FlagRule:
 def skip_flag(rule: SkipRule) -> FlagRule:
     """The target is filled although no evidence condition holds; an unanswered evidence
     column is no evidence."""
-    evidence = [is_true(F.expr(e)) for e in rule.evidence]
-    any_evidence = evidence[0]
-    for one in evidence[1:]:
-        any_evidence = any_evidence | one
+    any_evidence = _any([is_true(F.expr(e)) for e in rule.evidence])
     return FlagRule(
         rule.name,
         ~any_evidence & quoted(rule.target).isNotNull(),
@@ -277,9 +283,7 @@ def flag_rows(df: DataFrame, keys: Sequence[str], rules: Sequence[FlagRule]) ->
         empty = df.select(*key_columns).schema.simpleString()[len("struct<") : -1]
         names = ", ".join(filter(None, [empty.replace(":", " "), FLAG_COLUMNS]))
         return df.sparkSession.createDataFrame([], names)
-    flagged = rules[0].condition
-    for rule in rules[1:]:
-        flagged = flagged | rule.condition
+    flagged = _any([rule.condition for rule in rules])
     entries = [
         F.when(
             rule.condition,
