@@ -122,6 +122,16 @@ def test_components_do_not_cross_columns(spark):
     assert got == [("p", "a", "a"), ("p", "b", "a"), ("q", "b", "b"), ("q", "c", "b")]
 
 
+def test_components_by_shuffle_with_a_hub_cut_into_pieces(spark, monkeypatch):
+    monkeypatch.setattr(clusters, "is_small", lambda df: False)
+    keys = clusters.heavy_keys
+    monkeypatch.setattr(clusters, "heavy_keys", lambda counts, on, n: keys(counts, on, n, at_least=5))
+    star = [("s000", f"s{i:03d}") for i in range(1, 60)]
+    got = components(spark, star + [("x", "y"), ("y", "z")])
+    assert {got[f"s{i:03d}"] for i in range(60)} == {"s000"}
+    assert got["x"] == got["y"] == got["z"] == "x"
+
+
 def test_unsettled_components_fail_loudly(spark):
     chain = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(60)]
     with pytest.raises(RuntimeError):
@@ -153,13 +163,15 @@ def test_the_most_frequent_then_greatest_value_is_kept(spark):
 # ----------------------------------------------------------------------- value mapping
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_value_map_by_broadcast_and_by_salted_shuffle(spark, broadcast_rows):
+@pytest.mark.parametrize(
+    "limits", [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "heavy_rows": 40}]
+)
+def test_value_map_by_broadcast_and_by_shuffle_with_heavy_keys_cut(spark, limits):
     """The hot value holds most rows; NULL and untrimmed text stay as they are."""
     values = ["hot"] * 500 + ["b", " b", None, "c"] * 5
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v string")
     mapping = lookup.mapping_table(df, [("v", "hot", "HOT"), ("v", "b", "B"), ("other", "c", "C")])
-    got = lookup.apply_value_map(df, mapping, ["v"], broadcast_rows=broadcast_rows)
+    got = lookup.apply_value_map(df, mapping, ["v"], **limits)
     counted = {r["v"]: r["count"] for r in got.groupBy("v").count().collect()}
     assert counted == {"HOT": 500, "B": 5, " b": 5, None: 5, "c": 5}
     assert rows(lookup.mapping_effect(df, mapping, ["v"])) == [("v", 505)]

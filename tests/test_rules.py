@@ -107,6 +107,23 @@ def test_null_keys_are_equal_keys(spark):
     assert rows(dedup.duplicate_count(df, ["k", "m"])) == [(3, 2, 1)]
 
 
+@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "heavy_rows": 20}])
+def test_repeated_keys_by_broadcast_and_by_shuffle(spark, limits):
+    data = [(None, "hot", i) for i in range(200)] + [(i, None, i) for i in range(50)] + [(7, None, 99)]
+    df = spark.createDataFrame(data, "k int, m string, v int")
+    expected = [r for r in data if r[:2] in ((None, "hot"), (7, None))]
+    assert sorted(map(str, rows(dedup.duplicate_rows(df, ["k", "m"], **limits)))) == sorted(map(str, expected))
+    limits = {k: v for k, v in limits.items() if k == "broadcast_rows"}
+    kept = dedup.keep_first(df, ["k", "m"], ["v"], **limits)
+    assert kept.count() == 51 and kept.filter("m = 'hot'").first()["v"] == 0
+    assert kept.filter("k = 7").first()["v"] == 7
+
+
+def test_a_table_without_repeated_keys_is_left_alone(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert dedup.keep_first(df, ["k"]) is df
+
+
 def test_first_follows_the_named_order_then_the_other_columns(spark):
     df = spark.createDataFrame(
         [(1, 5, "x"), (1, 4, "z"), (1, 4, "y"), (2, None, "n"), (2, 1, "o")], "k int, o int, v string"

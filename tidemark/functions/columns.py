@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The texts a data CSV uses for "no value".
@@ -33,18 +34,21 @@ NA_TOKENS = (
 # the cast to double also reads type suffixes, hexadecimal and words; numbers need none
 _NOT_IN_A_NUMBER = r"[^0-9eE+.\-\s]"
 
-# Smallest and largest value of each whole-number type.
-INTEGER_LIMITS = {
-    "tinyint": (-(2**7), 2**7 - 1),
-    "smallint": (-(2**15), 2**15 - 1),
-    "int": (-(2**31), 2**31 - 1),
-    "bigint": (-(2**63), 2**63 - 1),
-}
+INTEGER_TYPES = ("tinyint", "smallint", "int", "bigint")
 
 
 def quoted(name: str) -> Column:
     """Column by its exact name, dots and spaces included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(sql_name(name))
+
+
+def sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(text: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def na_to_null(column: Column, tokens: Sequence[str] = NA_TOKENS) -> Column:
@@ -74,28 +78,25 @@ def zero_pad(column: Column, width: int) -> Column:
     return F.when(F.length(column) < width, F.lpad(column, width, "0")).otherwise(column)
 
 
-def text_to_number(column: Column, type_name: str) -> Column:
-    """Parse text as ``type_name`` (tinyint, smallint, int, bigint or double).
+def number_sql(column: str, type_name: str) -> str:
+    """SQL that parses the text column ``column`` as ``type_name`` (tinyint, smallint, int,
+    bigint or double).
 
     Text that is no number, a fraction where a whole number is wanted, and a value out of
-    range all become NULL, so that a coercion report can count them.  Whole-number text
-    never passes through a double, so large integers stay exact.
+    range all become NULL, so that a coercion report can count them.  Plain digits, the
+    usual case, are settled by the first cast and never pass through a double, so large
+    integers stay exact.
     """
-    trimmed = F.trim(column)
-    as_double = F.when(~column.rlike(_NOT_IN_A_NUMBER), trimmed.try_cast("double"))
+    text = sql_name(column)
+    as_double = f"CASE WHEN NOT {text} RLIKE {sql_text(_NOT_IN_A_NUMBER)} THEN try_cast(trim({text}) AS DOUBLE) END"
     if type_name == "double":
         return as_double
-    low, high = INTEGER_LIMITS[type_name]
-    # every double in [-2^63, 2^63) casts to bigint without overflow
-    whole_double = F.when(
-        (as_double == F.floor(as_double))
-        & (as_double >= F.lit(float(-(2**63))))
-        & (as_double < F.lit(float(2**63))),
-        as_double.try_cast("bigint"),
+    # the cast itself refuses values out of range, except for 2^63, which it would round down
+    fits = f" AND ({as_double}) < 9223372036854775808D" if type_name == "bigint" else ""
+    whole_double = (
+        f"CASE WHEN ({as_double}) = floor({as_double}){fits} THEN try_cast({as_double} AS {type_name}) END"
     )
-    # plain digits, the usual case, are settled by the first cast
-    whole = F.coalesce(trimmed.try_cast("bigint"), whole_double)
-    return F.when(whole.between(F.lit(low), F.lit(high)), whole).try_cast(type_name)
+    return f"coalesce(try_cast(trim({text}) AS {type_name}), {whole_double})"
 
 
 def number_text(column: Column) -> Column:
@@ -105,11 +106,45 @@ def number_text(column: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(exact, "0+$", ""), r"\.$", ".0")
 
 
+def plain_number_sql(number: str) -> str:
+    """SQL for a number as text, without an exponent where one would appear."""
+    text = f"CAST({number} AS STRING)"
+    exact = f"CAST(try_cast(CAST({number} AS DOUBLE) AS DECIMAL(38,6)) AS STRING)"
+    trimmed = f"regexp_replace(regexp_replace({exact}, '0+$', ''), '[.]$', '.0')"
+    return f"CASE WHEN contains({text}, 'E') THEN {trimmed} ELSE {text} END"
+
+
 def whole_number_text(column: Column) -> Column:
     """A number rounded half-even to a whole, as text."""
     return F.bround(column.cast("double").try_cast("decimal(38,6)"), 0).cast("decimal(38,0)").cast("string")
 
 
+def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A short declared list as a DataFrame.  It is one JSON literal, folded while planning,
+    so neither the driver nor the generated code grows with the number of rows."""
+    names = [field.split()[0] for field in schema.split(",")]
+    text = json.dumps([dict(zip(names, row)) for row in rows])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{schema}>>")))
+
+
+def lay_out(
+    df: DataFrame, schema: str, labels: Sequence[Sequence], measures: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """Turn one row of aggregates into one row per label.
+
+    ``labels`` are declared rows of ``schema``; each entry of ``measures`` gives one SQL
+    expression per label.  Measures travel as arrays and labels as one literal, so a profile
+    of hundreds of columns still plans quickly and fits into generated code.
+    """
+    names = [field.split()[0] for field in schema.split(",")]
+    text = json.dumps([dict(zip(names, row)) for row in labels])
+    arrays = [f"array({', '.join(expressions)}) AS {sql_name(m)}" for m, expressions in measures.items()]
+    zipped = ", ".join(sql_name(m) for m in measures)
+    one = df.selectExpr(*arrays).selectExpr(f"posexplode(arrays_zip({zipped})) AS (at, measure)")
+    label = F.from_json(F.lit(text), f"array<struct<{schema}>>")[F.col("at")]
+    return one.select(label.alias("label"), "measure").select("label.*", "measure.*")
+
+
 def stack_rows(rows: Sequence[Sequence[tuple[str, Column]]]) -> Column:
     """Turn a fixed list of rows built from one input row into a table-valued column:
     ``df.select(stack_rows([...]))``.  Used after a one-row aggregate to lay many measures

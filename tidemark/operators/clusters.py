@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.lookup import is_small, lookup_join
+from tidemark.operators.lookup import heavy_keys, is_small, lookup_join
 from tidemark.session import materialize
 
 
@@ -15,9 +15,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Each round every value takes the smallest label among itself and its neighbours, then
     the label of that label, which shortens long chains by half or more.  Neighbour labels
-    are reduced by ``min`` on the map side, and joins to the label table are broadcast only
-    under a checked size and salted above it, so a value with very many neighbours is
-    spread.  Every round is written out, which cuts the lineage.
+    are reduced by ``min`` on the map side; the label table is broadcast only under a checked
+    size, and above it values with very many neighbours, and labels that very many values
+    share, are cut into pieces.  Every round is written out, which cuts the lineage.
     """
     both = edges.select("column", "a", "b").unionByName(
         edges.select("column", F.col("b").alias("a"), F.col("a").alias("b"))
@@ -29,10 +29,21 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         ),
         "labels",
     )
-    small = is_small(labels)  # no round adds a row
+    # the rows of both tables stay the same in every round, and so do their heavy keys
+    small = is_small(labels)
+    heavy = None
+    if not small:
+        degrees = neighbours.groupBy("column", F.col("a").alias("value")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        heavy = materialize(heavy_keys(degrees, ["column", "value"], neighbours.count()), "hubs")
     for _ in range(max_rounds):
         seen = lookup_join(
-            neighbours.withColumnRenamed("b", "value"), labels, ["column", "value"], small=small
+            neighbours.withColumnRenamed("b", "value"),
+            labels,
+            ["column", "value"],
+            small=small,
+            heavy=heavy,
         )
         offered = seen.groupBy("column", F.col("a").alias("value")).agg(F.min("label").alias("offer"))
         better = labels.join(offered, ["column", "value"]).select(

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import quoted
+from tidemark.operators.lookup import BROADCAST_ROWS, HEAVY_ROWS, heavy_keys, is_small, lookup_join
+from tidemark.session import materialize
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -19,40 +21,72 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def duplicate_rows(df: DataFrame, keys: Sequence[str], ordered: bool = False) -> DataFrame:
+def _repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The repeated keys as one struct column ``__key``, written out: NULLs inside a struct
+    compare as equal, so a join on it pairs NULL keys as grouping does."""
+    found = duplicate_keys(df, keys).select(
+        F.struct(*[quoted(k) for k in keys]).alias("__key"), F.col("n_copies").alias("n")
+    )
+    return materialize(found, "repeated-keys")
+
+
+def duplicate_rows(df: DataFrame, keys: Sequence[str], ordered: bool = False, **limits: int) -> DataFrame:
     """Every row whose key occurs more than once.
 
-    Keys are counted on the map side and joined back, so a key that holds a large share of
-    the rows is never gathered by a window; as a semi join its probe side can be split.
-    ``ordered`` sorts by key for a report, with the other columns behind it so that the
-    copies of one hot key spread over many ranges.
+    Only keys are counted and shuffled to find the repeated ones; the rows then look their
+    key up, by broadcast if the repeated keys are few and else by a shuffle that cuts heavy
+    keys into pieces.  No window gathers the copies of a key.  ``ordered`` sorts by key for
+    a report, with the other columns behind it so that the copies of one key can spread
+    over several ranges.
     """
-    repeated = duplicate_keys(df, keys).drop("n_copies")
-    left, right = df.alias("l"), repeated.alias("r")
-    tests = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys]
-    condition = tests[0]
-    for test in tests[1:]:
-        condition = condition & test
-    result = left.join(right, condition, "left_semi")
+    repeated = _repeated(df, keys)
+    small = is_small(repeated, limits.get("broadcast_rows", BROADCAST_ROWS))
+    heavy = None
+    if not small:
+        n_rows = repeated.agg(F.sum("n")).first()[0]
+        heavy = heavy_keys(repeated, ["__key"], n_rows, limits.get("heavy_rows", HEAVY_ROWS))
+    keyed = df.withColumn("__key", F.struct(*[quoted(k) for k in keys]))
+    result = (
+        lookup_join(keyed, repeated.select("__key", F.lit(True).alias("__hit")), ["__key"], small=small, heavy=heavy)
+        .filter("__hit")
+        .select(*[quoted(c) for c in df.columns])
+    )
     if ordered:
         rest = [c for c in df.columns if c not in keys]
         result = result.orderBy(*[quoted(c) for c in [*keys, *rest]])
     return result
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+def keep_first(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """One row per key: the first in ``order_by``, then in the order of the other columns,
     NULLs first.  Rows have no position in a distributed table, so "first" always means
     first under a total order.
 
-    A ``min`` over a struct combines on the map side: each task sends one row per key, and
-    a key that holds a third of the table is no larger than any other after that.
+    The keys are counted alone.  If none repeats, the table is returned as it is; if few
+    do, only their rows are compared and all others pass without a shuffle.
     """
     lead = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in lead]
     if not lead and not rest:
         return df.distinct()
-    first = F.min(F.struct(*[quoted(c) for c in [*lead, *rest]])).alias("first_row")
+    repeated = _repeated(df, keys)
+    if repeated.isEmpty():
+        return df
+    if not is_small(repeated, broadcast_rows):
+        return _first_rows(df, keys, [*lead, *rest])
+    keyed = df.withColumn("__key", F.struct(*[quoted(k) for k in keys]))
+    probe = F.broadcast(repeated.select("__key"))
+    once = keyed.join(probe, "__key", "left_anti").drop("__key")
+    copies = keyed.join(probe, "__key", "left_semi").drop("__key")
+    return once.unionByName(_first_rows(copies, keys, [*lead, *rest]))
+
+
+def _first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """A ``min`` over a struct combines on the map side: each task sends one row per key, and
+    a key that holds a third of the table is no larger than any other after that."""
+    first = F.min(F.struct(*[quoted(c) for c in order])).alias("first_row")
     kept = df.groupBy(*[quoted(k) for k in keys]).agg(first)
     return kept.select(
         *[

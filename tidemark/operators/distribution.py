@@ -8,15 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import number_text, percent, quoted, stack_rows
+from tidemark.functions.columns import (
+    lay_out,
+    literal_table,
+    percent,
+    plain_number_sql,
+    quoted,
+    sql_name,
+    stack_rows,
+)
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, value, count`` for several columns in one scan.  Values are counted on
     the map side before the shuffle, so a value holding most rows costs one row per task."""
     return (
-        df.select(*[quoted(c).cast("string").alias(c) for c in columns])
-        .unpivot([], [quoted(c) for c in columns], "column", "value")
+        df.selectExpr(*[f"CAST({sql_name(c)} AS STRING) AS {sql_name(c)}" for c in columns])
+        .unpivot([], [sql_name(c) for c in columns], "column", "value")
         .filter(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("count"))
@@ -152,18 +160,12 @@ def casing_consistency(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("spellings")
     )
     found = folded.groupBy("column").agg((F.max("spellings") == 1).alias("consistent"))
-    names = df.sparkSession.range(1).select(stack_rows([[("column", F.lit(c))] for c in columns]))
+    names = literal_table(df.sparkSession, [(c,) for c in columns], "column string")
     return names.join(found, "column", "left").select(
         "column", F.coalesce("consistent", F.lit(True)).alias("casing_consistent")
     )
 
 
-def _plain(number: Column) -> Column:
-    """A number as text, without an exponent where one would appear."""
-    text = number.cast("string")
-    return F.when(F.contains(text, F.lit("E")), number_text(number)).otherwise(text)
-
-
 def value_sets(df: DataFrame, columns: Sequence[str] | None = None, max_values: int = 8) -> DataFrame:
     """``column, value_set_or_range``: few values are listed, many are counted, numbers
     show their range.  Which of these applies follows from the column's type and, for
@@ -176,53 +178,28 @@ def value_sets(df: DataFrame, columns: Sequence[str] | None = None, max_values:
         c: ("" if fields[c].metadata.get("kind") == "category" else "free text (") for c in listed
     }
     parts = []
-    if numeric:
-        ranged = df.agg(
-            *[F.min(quoted(c)).alias(f"lo{i}") for i, c in enumerate(numeric)],
-            *[F.max(quoted(c)).alias(f"hi{i}") for i, c in enumerate(numeric)],
-        )
-        parts.append(
-            ranged.select(
-                stack_rows(
-                    [
-                        [
-                            ("column", F.lit(c)),
-                            (
-                                "value_set_or_range",
-                                F.coalesce(
-                                    F.concat(_plain(F.col(f"lo{i}")), F.lit("–"), _plain(F.col(f"hi{i}"))),
-                                    F.lit(""),
-                                ),
-                            ),
-                        ]
-                        for i, c in enumerate(numeric)
-                    ]
-                )
-            )
-        )
     plain_bool = [c for c in listed if isinstance(fields[c].dataType, T.BooleanType)]
     texts = [c for c in listed if c not in plain_bool]
-    if plain_bool:
-        ranged = df.agg(
-            *[F.min(quoted(c)).alias(f"lo{i}") for i, c in enumerate(plain_bool)],
-            *[F.max(quoted(c)).alias(f"hi{i}") for i, c in enumerate(plain_bool)],
+    ranged_columns = [*numeric, *plain_bool]
+    if ranged_columns:
+        ranged = df.selectExpr(
+            *[f"min({sql_name(c)}) AS lo{i}" for i, c in enumerate(ranged_columns)],
+            *[f"max({sql_name(c)}) AS hi{i}" for i, c in enumerate(ranged_columns)],
+        )
+        bounds = lay_out(
+            ranged,
+            "column string",
+            [(c,) for c in ranged_columns],
+            {
+                side: [
+                    f"initcap(CAST({side}{i} AS STRING))" if c in plain_bool else plain_number_sql(f"{side}{i}")
+                    for i, c in enumerate(ranged_columns)
+                ]
+                for side in ("lo", "hi")
+            },
         )
-        shown = lambda name: F.initcap(F.col(name).cast("string"))
         parts.append(
-            ranged.select(
-                stack_rows(
-                    [
-                        [
-                            ("column", F.lit(c)),
-                            (
-                                "value_set_or_range",
-                                F.coalesce(F.concat(shown(f"lo{i}"), F.lit("–"), shown(f"hi{i}")), F.lit("")),
-                            ),
-                        ]
-                        for i, c in enumerate(plain_bool)
-                    ]
-                )
-            )
+            bounds.selectExpr("column", "coalesce(concat(lo, '–', hi), '') AS value_set_or_range")
         )
     if texts:
         distinct = value_counts(df, texts)
@@ -233,9 +210,10 @@ def value_sets(df: DataFrame, columns: Sequence[str] | None = None, max_values:
             .groupBy("column")
             .agg(F.array_join(F.array_sort(F.collect_list("value")), "; ").alias("shown"))
         )
-        prefix = F.create_map(*[F.lit(x) for c in texts for x in (c, many_prefix[c])])
-        all_names = df.sparkSession.range(1).select(stack_rows([[("column", F.lit(c))] for c in texts]))
-        opening = prefix[F.col("column")]
+        all_names = literal_table(
+            df.sparkSession, [(c, many_prefix[c]) for c in texts], "column string, opening string"
+        )
+        opening = F.col("opening")
         many = F.concat(
             opening,
             F.col("n_values").cast("string"),
@@ -262,7 +240,7 @@ def pseudo_key_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct values of columns that look like IDs, against the number of rows."""
     sizes = value_counts(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
     n_rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    names = df.sparkSession.range(1).select(stack_rows([[("column", F.lit(c))] for c in columns]))
+    names = literal_table(df.sparkSession, [(c,) for c in columns], "column string")
     return names.join(sizes, "column", "left").select(
         "column",
         F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),

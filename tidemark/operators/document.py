@@ -7,10 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import is_true, percent, quoted, stack_rows
+from tidemark.functions.columns import is_true, literal_table, percent, quoted, stack_rows
 from tidemark.operators.distribution import pseudo_key_check, value_sets
 from tidemark.operators.impute import FLAG_SUFFIX
-from tidemark.operators.missing import df_of_names, raw_vs_cleaned
+from tidemark.operators.missing import raw_vs_cleaned
 from tidemark.operators.rules import consistency_flag
 from tidemark.spec import DatasetSpec
 
@@ -55,10 +55,6 @@ def column_notes(spec: DatasetSpec, columns: Sequence[str]) -> dict[str, str]:
     return notes
 
 
-def _text_map(entries: Mapping[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
-
-
 def data_dictionary(
     spec: DatasetSpec,
     raw: DataFrame,
@@ -71,13 +67,19 @@ def data_dictionary(
     columns = final.columns
     types = dict(final.dtypes)
     kinds = {f.name: f.metadata.get("kind") for f in final.schema.fields}
-    labels = _text_map(column_labels(columns, descriptions, spec.derived_labels))
-    notes = _text_map(column_notes(spec, columns))
-    shown_type = _text_map({c: "category" if kinds[c] == "category" else types[c] for c in columns})
+    labels = column_labels(columns, descriptions, spec.derived_labels)
+    notes = column_notes(spec, columns)
     missing = raw_vs_cleaned(raw, cleaned, columns)
     sets = value_sets(final)
     flagged = [c for c in columns if c + FLAG_SUFFIX in columns]
-    names = df_of_names(final, columns)
+    names = literal_table(
+        final.sparkSession,
+        [
+            (i, c, "category" if kinds[c] == "category" else types[c], labels[c], notes[c])
+            for i, c in enumerate(columns)
+        ],
+        "position int, column string, type string, label string, notes string",
+    )
     if flagged:
         counted = final.agg(
             *[F.count_if(quoted(c + FLAG_SUFFIX)).alias(f"n{i}") for i, c in enumerate(flagged)]
@@ -111,13 +113,13 @@ def data_dictionary(
         .orderBy("position")
         .select(
             column.alias("variable"),
-            shown_type[column].alias("type"),
-            labels[column].alias("label"),
+            "type",
+            "label",
             F.coalesce("value_set_or_range", F.lit("")).alias("value_set_or_range"),
             "pct_missing_raw",
             "pct_missing_cleaned",
             treatment.alias("imputation_treatment"),
-            notes[column].alias("notes"),
+            "notes",
         )
     )
 

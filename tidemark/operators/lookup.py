@@ -7,13 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import blank_to_null, changed, is_true, quoted, stack_rows, zero_pad
+from tidemark.functions.columns import (
+    blank_to_null,
+    changed,
+    is_true,
+    literal_table,
+    quoted,
+    stack_rows,
+    zero_pad,
+)
 from tidemark.operators.distribution import value_counts
+from tidemark.session import materialize
 from tidemark.spec import ClassifyRule
 
 # A lookup with at most this many rows is sent to every executor; checked by counting.
 BROADCAST_ROWS = 200_000
-_SALTS = 32
+# A key counts as heavy from this many rows on, and only if it holds more than this share of
+# all rows: so there are never more heavy keys than the inverse of the share.
+HEAVY_ROWS = 100_000
+_HEAVY_SHARE = 1 / 10_000
+# Rows without a key match nothing; this many buckets keep them from meeting in one task.
+_NULL_BUCKETS = 1024
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
@@ -21,32 +35,59 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def heavy_keys(counts: DataFrame, on: Sequence[str], n_rows: int, at_least: int = HEAVY_ROWS) -> DataFrame:
+    """From key counts (``on``, ``n``): the keys that would overload a task, with the number
+    of ``pieces`` to cut them into.  At most 10,000 keys can hold so large a share."""
+    limit = max(at_least, int(n_rows * _HEAVY_SHARE))
+    return counts.filter(F.col("n") > limit).select(
+        *[quoted(c) for c in on], F.ceil(F.col("n") / limit).cast("int").alias("__pieces")
+    )
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
     on: Sequence[str],
     broadcast_rows: int = BROADCAST_ROWS,
     small: bool | None = None,
+    heavy: DataFrame | None = None,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Left join on columns that are unique in ``lookup``.
 
-    A small lookup is broadcast.  A larger one is joined by shuffle on the key and a salt:
-    the salt comes from a hash of the whole row, so it is the same on every retry, and the
-    rows of one hot key (NULL included) spread over many tasks.  ``small`` states the result
-    of the size check if the caller has made it.
+    A small lookup is broadcast (``small`` states the result of that check if the caller has
+    made it).  A larger one is joined by shuffle, with heavy keys cut into pieces: rows take
+    a piece by a hash of their content, the same on every retry, and only the lookup rows of
+    heavy keys are repeated, once per piece.  ``heavy`` names these keys if they are known;
+    otherwise the keys of ``df`` are counted, on the map side first.
     """
     if is_small(lookup, broadcast_rows) if small is None else small:
         return df.join(F.broadcast(lookup), list(on), "left")
-    salt = "__salt"
-    salted = df.withColumn(salt, F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(_SALTS)))
-    copies = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_SALTS - 1).cast("bigint"))))
-    return salted.join(copies, [*on, salt], "left").drop(salt)
+    if heavy is None:
+        counts = df.groupBy(*[quoted(c) for c in on]).agg(F.count(F.lit(1)).alias("n"))
+        heavy = materialize(heavy_keys(counts, on, df.count(), heavy_rows), "heavy-keys")
+    pieces = F.coalesce("__pieces", F.lit(1))
+    no_key = F.lit(False)
+    for c in on:
+        no_key = no_key | quoted(c).isNull()
+    spread = F.when(no_key, F.lit(_NULL_BUCKETS)).otherwise(pieces)
+    cut = df.join(F.broadcast(heavy), list(on), "left").withColumn(
+        "__piece", F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), spread).cast("int")
+    )
+    copies = lookup.join(F.broadcast(heavy), list(on), "left").withColumn(
+        "__piece", F.explode(F.sequence(F.lit(0), pieces - 1))
+    )
+    return (
+        cut.drop("__pieces")
+        .join(copies.drop("__pieces").hint("merge"), [*on, "__piece"], "left")
+        .drop("__piece")
+    )
 
 
 def mapping_table(df: DataFrame, entries: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Declared ``(column, from_value, to_value)`` entries as a DataFrame."""
-    return df.sparkSession.createDataFrame(
-        list(entries), "column string, from_value string, to_value string"
+    return literal_table(
+        df.sparkSession, entries, "column string, from_value string, to_value string"
     )
 
 
@@ -55,7 +96,7 @@ def apply_value_map(
     mapping: DataFrame,
     columns: Sequence[str],
     trim: bool = False,
-    broadcast_rows: int = BROADCAST_ROWS,
+    **limits: int,
 ) -> DataFrame:
     """Replace values listed for a column in ``mapping (column, from_value, to_value)``.
     The raw text has to match exactly unless ``trim`` is set; NULL never matches."""
@@ -66,7 +107,7 @@ def apply_value_map(
             F.col("from_value").alias(key), F.col("to_value").alias(target)
         )
         probe = F.trim(quoted(column)) if trim else quoted(column)
-        joined = lookup_join(df.withColumn(key, probe), entries, [key], broadcast_rows)
+        joined = lookup_join(df.withColumn(key, probe), entries, [key], **limits)
         new_value = F.coalesce(F.col(target), quoted(column)).alias(column, metadata=df.schema[column].metadata)
         df = joined.select(*[new_value if c == column else quoted(c) for c in order])
     return df
@@ -81,7 +122,7 @@ def mapping_effect(df: DataFrame, mapping: DataFrame, columns: Sequence[str], tr
     matched = counts.join(
         mapping.select("column", F.col("from_value").alias("value")), ["column", "value"], "left_semi"
     )
-    names = df.sparkSession.range(1).select(stack_rows([[("column", F.lit(c))] for c in columns]))
+    names = literal_table(df.sparkSession, [(c,) for c in columns], "column string")
     return (
         names.join(matched, "column", "left")
         .groupBy("column")

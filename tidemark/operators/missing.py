@@ -8,28 +8,27 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import is_true, percent, quoted, stack_rows
+from tidemark.functions.columns import (
+    is_true,
+    lay_out,
+    literal_table,
+    percent,
+    quoted,
+    sql_name,
+    stack_rows,
+)
 from tidemark.spec import GateRule
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``position, column, n_rows, n_missing`` for every column."""
     names = list(columns or df.columns)
-    counted = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count(quoted(c)).alias(f"c{i}") for i, c in enumerate(names)]
-    )
-    return counted.select(
-        stack_rows(
-            [
-                [
-                    ("position", F.lit(i)),
-                    ("column", F.lit(c)),
-                    ("n_rows", F.col("n")),
-                    ("n_missing", F.col("n") - F.col(f"c{i}")),
-                ]
-                for i, c in enumerate(names)
-            ]
-        )
+    counted = df.selectExpr("count(1) AS n", *[f"count({sql_name(c)}) AS c{i}" for i, c in enumerate(names)])
+    return lay_out(
+        counted,
+        "position int, column string",
+        list(enumerate(names)),
+        {"n_rows": ["n"] * len(names), "n_missing": [f"n - c{i}" for i in range(len(names))]},
     )
 
 
@@ -81,8 +80,7 @@ def raw_vs_cleaned(raw: DataFrame, cleaned: DataFrame, columns: Sequence[str]) -
 
 def df_of_names(like: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The column names of a table as rows ``position, column``."""
-    rows = [[("position", F.lit(i)), ("column", F.lit(c))] for i, c in enumerate(columns)]
-    return like.sparkSession.range(1).select(stack_rows(rows))
+    return literal_table(like.sparkSession, list(enumerate(columns)), "position int, column string")
 
 
 def heavy_missing(profile: DataFrame, above: float = 90.0) -> DataFrame:

@@ -19,6 +19,7 @@ from tidemark.functions.signatures import (
 )
 from tidemark.functions.similarity import jaro_winkler
 from tidemark.operators.distribution import value_counts
+from tidemark.operators.lookup import heavy_keys, lookup_join
 from tidemark.session import materialize, ship_package
 
 LEAST_THRESHOLD = 0.85
@@ -70,11 +71,14 @@ def _split_hot_keys(keys: DataFrame, block_rows: int) -> DataFrame:
     """Add the block-pair columns ``p, q``.  A key with at most ``block_rows`` values is one
     block pair; a larger one is cut into blocks, and each value is sent to the pairs its
     block takes part in, so no task ever meets a whole hot key."""
-    sizes = keys.groupBy("column", "key").agg(F.count(F.lit(1)).alias("n_values"))
-    hot = sizes.filter(F.col("n_values") > block_rows).select(
-        "column", "key", F.ceil(F.col("n_values") / block_rows).cast("int").alias("n_blocks")
-    )
-    placed = keys.join(hot, ["column", "key"], "left").withColumn(
+    sizes = keys.groupBy("column", "key").agg(F.count(F.lit(1)).alias("n"))
+    hot = materialize(sizes.filter(F.col("n") > block_rows), "hot-keys")
+    if hot.isEmpty():
+        return keys.withColumns({name: F.lit(0) for name in ("block", "p", "q")})
+    n_hot = hot.agg(F.sum("n")).first()[0]
+    blocks = hot.select("column", "key", F.ceil(F.col("n") / block_rows).cast("int").alias("n_blocks"))
+    heavy = heavy_keys(hot, ["column", "key"], n_hot)
+    placed = lookup_join(keys, blocks, ["column", "key"], heavy=heavy).withColumn(
         "n_blocks", F.coalesce("n_blocks", F.lit(1))
     )
     placed = placed.withColumn("block", F.pmod(F.xxhash64("value"), F.col("n_blocks")).cast("int"))

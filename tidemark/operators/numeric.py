@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import quoted
+from tidemark.functions.columns import quoted, sql_name
 
 # Histogram cells per pass over all open intervals together; bounds what one pass returns.
 _CELLS_PER_PASS = 65_536
@@ -26,19 +26,21 @@ class _Interval:
     rows: int
 
 
+def _usable_sql(column: str) -> str:
+    """The column as a double, NaN read as missing."""
+    return f"nanvl(CAST({sql_name(column)} AS DOUBLE), NULL)"
+
+
 def _usable(column: str) -> Column:
-    value = quoted(column).cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.expr(_usable_sql(column))
 
 
 def column_extent(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float | None, float | None]]:
     """``(n, min, max)`` of each numeric column, from one scan."""
-    row = df.agg(
+    row = df.selectExpr(
         *[
-            F.struct(
-                F.count(_usable(c)).alias("n"), F.min(_usable(c)).alias("lo"), F.max(_usable(c)).alias("hi")
-            ).alias(f"x{i}")
-            for i, c in enumerate(columns)
+            f"named_struct('n', count({v}), 'lo', min({v}), 'hi', max({v})) AS x{i}"
+            for i, v in enumerate(_usable_sql(c) for c in columns)
         ]
     ).first()
     return {c: (row[i]["n"], row[i]["lo"], row[i]["hi"]) for i, c in enumerate(columns)}

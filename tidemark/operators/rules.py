@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import (
-    INTEGER_LIMITS,
+    INTEGER_TYPES,
     changed,
     is_true,
     number_text,
@@ -150,7 +150,7 @@ def derived_totals(df: DataFrame, rules: Sequence[DerivedTotal]) -> dict[str, Co
     types = dict(df.dtypes)
     current: dict[str, Column] = {}
     for rule in rules:
-        whole = all(types[p] in INTEGER_LIMITS for p in rule.parts)
+        whole = all(types[p] in INTEGER_TYPES for p in rule.parts)
         wide = "bigint" if whole else "double"
         parts = [current.get(p, quoted(p)).cast(wide) for p in rule.parts]
         total = sum(parts[1:], parts[0])

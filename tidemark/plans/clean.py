@@ -104,8 +104,10 @@ def clean(
     without them they are computed here, from the corrected text columns."""
     hierarchies = hierarchies or {}
     kept = materialize(dedup.keep_first(df, spec.keys, spec.order_by), "deduplicated")
-    dropped = dedup.duplicate_count(df, spec.keys)
-    metrics = _metric(dropped, "dedup", F.lit("rows dropped"), F.col("n_surplus"))
+    n_kept = kept.agg(F.count(F.lit(1)).alias("n")).scalar()
+    metrics = _metric(
+        df.agg(F.count(F.lit(1)).alias("n")), "dedup", F.lit("rows dropped"), F.col("n") - n_kept
+    )
     metrics = metrics.unionByName(correction_metrics(kept, spec))
 
     corrected = row_rules(kept, spec)

@@ -18,8 +18,6 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # one-scan profiles over wide tables stay inside whole-stage codegen
-    "spark.sql.codegen.maxFields": "400",
 }
 
 _local_scratch: dict[str, str] = {}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import NA_TOKENS, na_to_null, quoted
+from tidemark.functions.columns import NA_TOKENS, quoted, sql_name, sql_text
 
 FLAG_LABELS = {"0": "Not imputed", "1": "Imputed"}
 
@@ -47,12 +47,15 @@ def read_text_csv(
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         reader = reader.schema(schema).option("enforceSchema", False)
     df = reader.csv(path)
-    return df.select(*[na_to_null(quoted(c), na_tokens).alias(c) for c in df.columns])
+    missing = ", ".join(sql_text(token) for token in na_tokens)
+    return df.selectExpr(
+        *[f"CASE WHEN {n} NOT IN ({missing}) THEN {n} END AS {n}" for n in map(sql_name, df.columns)]
+    )
 
 
 def as_text(df: DataFrame) -> DataFrame:
     """Every column cast to text, as a CSV holds it."""
-    return df.select(*[quoted(c).cast("string").alias(c) for c in df.columns])
+    return df.selectExpr(*[f"CAST({n} AS STRING) AS {n}" for n in map(sql_name, df.columns)])
 
 
 def write_layer(df: DataFrame, path: str) -> DataFrame:
