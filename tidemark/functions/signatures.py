@@ -131,8 +131,23 @@ KEY_SCHEMA = (
 )
 
 
-def blocking_keys(threshold: float, key_budget: int):
+def _deal_order(chars: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Number by which characters are dealt: their rank among the frequent ones (most
+    frequent first), so that no group is left with rare characters only, whose counts agree
+    between most texts.  Other characters are dealt by hash.  Any dealing keeps the keys
+    lossless; a balanced one keeps them selective."""
+    hashed = _mix(chars.astype(np.uint64) + np.uint64(0x5851F42D4C957F2D)) >> np.uint64(33)
+    if not len(frequent):
+        return hashed
+    by_code = np.argsort(frequent)
+    at = np.searchsorted(frequent[by_code], chars).clip(max=len(frequent) - 1)
+    listed = frequent[by_code][at] == chars
+    return np.where(listed, by_code[at].astype(np.uint64), hashed)
+
+
+def blocking_keys(threshold: float, key_budget: int, frequent_chars: str = ""):
     """A ``mapInArrow`` function: (column, value, count) -> one row per blocking key."""
+    frequent = np.array([ord(c) for c in frequent_chars], dtype=np.uint32)
 
     def one_bucket(batch: pa.RecordBatch, texts: list[str], rows: np.ndarray, bucket: int):
         lengths = np.array([len(t) for t in texts])
@@ -140,7 +155,7 @@ def blocking_keys(threshold: float, key_budget: int):
         inside = np.arange(chars.shape[1])[None, :] < lengths[:, None]
         signature = bit_signatures(chars, inside).view(np.int64)
         char_hash = np.where(inside, _mix(chars.astype(np.uint64) + np.uint64(1)), np.uint64(0))
-        deal = _mix(chars.astype(np.uint64) + np.uint64(0x5851F42D4C957F2D)) >> np.uint64(33)
+        deal = _deal_order(chars, frequent)
         prefix_hash = [np.full(len(texts), _seed(0), dtype=np.uint64)]
         for i in range(min(PREFIX_CAP, chars.shape[1])):
             prefix_hash.append(_mix(prefix_hash[-1] * np.uint64(31) + chars[:, i].astype(np.uint64)))

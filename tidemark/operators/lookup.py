@@ -166,8 +166,13 @@ def major_group_labels(
     structure: DataFrame, level: str = "Level", code: str = "Code", title: str = "Title"
 ) -> DataFrame:
     """``group_code, group_label`` from the level-1 rows of an occupation structure."""
-    return structure.filter(quoted(level) == 1).select(
-        quoted(code).cast("string").alias("group_code"), quoted(title).cast("string").alias("group_label")
+    return (
+        structure.filter(quoted(level) == 1)
+        .select(
+            quoted(code).cast("string").alias("group_code"),
+            quoted(title).cast("string").alias("group_label"),
+        )
+        .distinct()
     )
 
 

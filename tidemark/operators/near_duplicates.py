@@ -28,6 +28,7 @@ _ROUNDING = 1e-9
 # a blocking key with more values than this is split into blocks of this size
 BLOCK_ROWS = 4096
 _VALUES_PER_TASK = 2_000
+_FREQUENT_CHARACTERS = 128
 
 PAIR_COLUMNS = ["column", "value_a", "count_a", "value_b", "count_b", "similarity"]
 
@@ -38,6 +39,21 @@ def text_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return value_counts(trimmed, columns).filter(F.col("value") != "")
 
 
+def frequent_characters(values: DataFrame) -> str:
+    """The most frequent characters of the values, most frequent first.  They only balance
+    the blocking keys; a fixed number of them suffices."""
+    rows = (
+        values.select(F.explode(F.split("value", "")).alias("c"))
+        .filter(F.length("c") == 1)
+        .groupBy("c")
+        .count()
+        .orderBy(F.desc("count"), "c")
+        .limit(_FREQUENT_CHARACTERS)
+        .collect()
+    )
+    return "".join(r["c"] for r in rows)
+
+
 def _difference_bound(threshold: float) -> Column:
     """How many characters the two texts of a candidate may differ in, from their lengths
     and their common prefix."""
@@ -89,12 +105,13 @@ def _split_hot_keys(keys: DataFrame, block_rows: int) -> DataFrame:
 
 
 def candidate_pairs(
-    values: DataFrame, threshold: float, key_budget: int = 64, block_rows: int = BLOCK_ROWS
+    values: DataFrame, threshold: float, key_budget: int = 16, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Distinct candidate pairs: every qualifying pair is among them."""
     n_values = values.count()
     spread = values.repartition(max(2, -(-n_values // _VALUES_PER_TASK)), "value")
-    keys = spread.mapInArrow(blocking_keys(threshold, key_budget), KEY_SCHEMA)
+    make_keys = blocking_keys(threshold, key_budget, frequent_characters(values))
+    keys = spread.mapInArrow(make_keys, KEY_SCHEMA)
     # prefix and cross follow from the key; naming them keeps both sides of the self-join
     # alike, so the keys are made and shuffled once
     on = ["column", "key", "prefix", "cross"]
@@ -137,7 +154,7 @@ def near_duplicates(
     df: DataFrame,
     columns: Sequence[str],
     threshold: float = 0.95,
-    key_budget: int = 64,
+    key_budget: int = 16,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Unordered pairs of distinct values with Jaro-Winkler similarity at or above the

@@ -262,18 +262,24 @@ def version_diff(spark, sf_dir):
 
 
 def _structure(spark, sf_dir) -> DataFrame:
-    """A two-level code structure made of the regions (level 1) and nations (level 2)."""
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    """A two-level code structure drawn from the customers: the regions they live in are
+    level 1, their nations level 2.  Every customer lists both."""
+    region = table(spark, sf_dir, "region")
+    nation = table(spark, sf_dir, "nation")
+    customer = table(spark, sf_dir, "customer").select("c_nationkey")
+    lived_in = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
+    )
     section = F.concat(
         F.substring(F.lit("ABCDE"), F.col("r_regionkey") + 1, F.lit(1)), F.lit(" "), F.col("r_name")
     )
-    divisions = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+    divisions = lived_in.select(
         F.lit(2).alias("Level"),
         F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("Code"),
         section.alias("Section"),
         F.col("n_name").alias("Title"),
     )
-    groups = region.select(
+    groups = lived_in.select(
         F.lit(1).alias("Level"),
         F.col("r_regionkey").cast("string").alias("Code"),
         section.alias("Section"),
@@ -282,8 +288,9 @@ def _structure(spark, sf_dir) -> DataFrame:
     return divisions.unionByName(groups)
 
 
-_STRUCTURE = """sections AS (SELECT n_nationkey AS division, substr('ABCDE', r_regionkey + 1, 1) AS letter,
-    r_name AS title FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+_STRUCTURE = """sections AS (SELECT DISTINCT n_nationkey AS division, substr('ABCDE', r_regionkey + 1, 1) AS letter,
+    r_name AS title, CAST(r_regionkey AS VARCHAR) AS major FROM customer JOIN nation ON c_nationkey = n_nationkey
+    JOIN region ON n_regionkey = r_regionkey), majors AS (SELECT DISTINCT major, title FROM sections)"""
 
 
 def hierarchies(spark, sf_dir) -> dict[str, Hierarchy]:
@@ -315,7 +322,7 @@ def section_labels(spark, sf_dir):
 
 @query(
     "major_group_labels",
-    "SELECT CAST(r_regionkey AS VARCHAR) AS group_code, r_name AS group_label FROM region",
+    f"WITH {_STRUCTURE} SELECT major AS group_code, title AS group_label FROM majors",
 )
 def major_group_labels(spark, sf_dir):
     return lookup.major_group_labels(_structure(spark, sf_dir))
@@ -356,8 +363,8 @@ def classify_sections(spark, sf_dir):
 
 @query(
     "classify_groups",
-    f"""WITH {_CODES} SELECT p_partkey, code, CAST(r_regionkey AS VARCHAR) AS major_group, r_name AS major_group_label
-    FROM padded LEFT JOIN region ON trim(code) <> '' AND substr(full_code, 1, 1) = CAST(r_regionkey AS VARCHAR)""",
+    f"""WITH {_STRUCTURE}, {_CODES} SELECT p_partkey, code, major AS major_group, title AS major_group_label
+    FROM padded LEFT JOIN majors ON trim(code) <> '' AND substr(full_code, 1, 1) = major""",
 )
 def classify_groups(spark, sf_dir):
     occupation = hierarchies(spark, sf_dir)["occupation"]

@@ -54,9 +54,18 @@ def near_dups_parts_loose(spark, sf_dir):
     return near_duplicates.near_duplicates(table(spark, sf_dir, "part"), ["p_name"], 0.85)
 
 
-@query("near_dups_nations", f"WITH {near_duplicates_sql('nation', 'n_name', 0.95)} {_PAIRS}")
+def _customer_nations(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return table(spark, sf_dir, "customer").select("c_nationkey").join(nation, "c_nationkey")
+
+
+_NATIONS = "nations AS (SELECT n_name FROM customer JOIN nation ON c_nationkey = n_nationkey)"
+
+
+@query("near_dups_nations", f"WITH {_NATIONS}, {near_duplicates_sql('nations', 'n_name', 0.95)} {_PAIRS}")
 def near_dups_nations(spark, sf_dir):
-    return near_duplicates.near_duplicates(table(spark, sf_dir, "nation"), ["n_name"], 0.95)
+    """The nation each customer wrote down."""
+    return near_duplicates.near_duplicates(_customer_nations(spark, sf_dir), ["n_name"], 0.95)
 
 
 @query("near_dups_titles", f"WITH {TITLES}, {near_duplicates_sql('titles', 'title', 0.9)} {_PAIRS}")
@@ -117,7 +126,7 @@ def consolidation_map(spark, sf_dir):
 
 @query(
     "consolidation_nations",
-    f"""WITH RECURSIVE {near_duplicates_sql('nation', 'n_name', 0.95)}, {consolidation_sql(0.955)}
+    f"""WITH RECURSIVE {_NATIONS}, {near_duplicates_sql('nations', 'n_name', 0.95)}, {consolidation_sql(0.955)}
     SELECT 'n_name' AS "column", from_value, to_value FROM mapping""",
 )
 def consolidation_nations(spark, sf_dir):
