@@ -142,7 +142,8 @@ def division_sections(structure: DataFrame, code: str = "Code", section: str = "
             quoted(code).try_cast("int").alias("group_key"),
             F.substring(F.trim(quoted(section)), 1, 1).alias("group_code"),
         )
-        .dropDuplicates(["group_key"])
+        .groupBy("group_key")
+        .agg(F.min("group_code").alias("group_code"))
     )
 
 

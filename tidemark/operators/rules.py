@@ -41,7 +41,8 @@ def out_of_range(rule: RangeRule) -> Column:
         tests.append(value > F.lit(rule.high))
     if not tests:
         return F.lit(False)
-    return is_true(tests[0] if len(tests) == 1 else tests[0] | tests[1])
+    # left as it is for NULL: a filter drops it, and a plain comparison reaches the scan
+    return _any(tests)
 
 
 def _any(conditions: Sequence[Column]) -> Column:
@@ -210,7 +211,7 @@ def consistency_flag(rule: ConsistencyRule) -> FlagRule:
     )
     return FlagRule(
         rule.name,
-        is_true(F.abs(expected - total) > F.lit(rule.tolerance)),
+        F.abs(expected - total) > F.lit(rule.tolerance),
         total,
         expected - F.lit(rule.tolerance),
         expected + F.lit(rule.tolerance),
@@ -262,7 +263,7 @@ def outlier_flags(df: DataFrame, rule: OutlierRule) -> list[FlagRule]:
         flags.append(
             FlagRule(
                 f"{rule.prefix}{column}",
-                is_true((value < F.lit(low)) | (value > F.lit(high))),
+                (value < F.lit(low)) | (value > F.lit(high)),
                 value,
                 F.lit(low),
                 F.lit(high),
