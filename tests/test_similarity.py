@@ -73,21 +73,21 @@ def test_degenerate_pairs():
     assert scores.tolist()[:4] == [1.0, 0.0, 1.0, 0.0]
 
 
-def _keys(values, threshold, budget=64):
+def _keys(values, threshold, budget, shorter_side):
     n = len(values)
     batch = pa.RecordBatch.from_arrays(
         [pa.array(["c"] * n), pa.array(values), pa.array([1] * n)], names=["column", "value", "count"]
     )
-    found = [set() for _ in values]
-    at = {v: i for i, v in enumerate(values)}
-    for part in signatures.blocking_keys(threshold, budget)(iter([batch])):
+    found = {v: set() for v in values}
+    frequent = "e tabcd"
+    for part in signatures.blocking_keys(threshold, budget, frequent, shorter_side)(iter([batch])):
         for value, key in zip(part.column("value").to_pylist(), part.column("key").to_pylist()):
-            found[at[value]].add(key)
+            found[value].add(key)
     return found
 
 
 @pytest.mark.parametrize("threshold", [0.85, 0.95, 0.98])
-@pytest.mark.parametrize("budget", [1, 64])
+@pytest.mark.parametrize("budget", [1, 16, 64])
 def test_no_qualifying_pair_without_a_common_key(threshold, budget):
     pairs = variants(2, 4000) + variants(3, 300, "abcdefghijklmnopqrstuvwxyz ", 90)
     pairs += [(a, b) for a, b, _ in GOLDEN]
@@ -95,8 +95,8 @@ def test_no_qualifying_pair_without_a_common_key(threshold, budget):
     close = [p for p, s in zip(pairs, scores) if s >= threshold and p[0] != p[1]]
     assert len(close) > 50
     values = sorted({v for p in close for v in p})
-    keys = dict(zip(values, _keys(values, threshold, budget)))
-    assert all(keys[a] & keys[b] for a, b in close)
+    shorter, longer = (_keys(values, threshold, budget, side) for side in (True, False))
+    assert all(shorter[a] & longer[b] or shorter[b] & longer[a] for a, b in close)
 
 
 @settings(max_examples=150, deadline=None)

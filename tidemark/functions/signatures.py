@@ -41,19 +41,26 @@ def most_differences(threshold: float, prefix: int, shorter: int, longer: int) -
     return None if needed > shorter else shorter + longer - 2 * needed
 
 
+# Texts shorter than this have a bucket for each length; above, buckets widen with length.
+# Narrow buckets bound the differences of a class more tightly, at the cost of more classes.
+_EXACT_LENGTHS = 16
+
+
 def length_bucket(length: int) -> int:
     """Texts of like length share a bucket: width 1 up to 16, then 2, 4, 8, ..."""
-    if length < 16:
+    if length < _EXACT_LENGTHS:
         return length
-    step = length.bit_length() - 4
-    return 16 + 8 * (step - 1) + ((length >> step) - 8)
+    half = _EXACT_LENGTHS // 2
+    step = length.bit_length() - half.bit_length()
+    return _EXACT_LENGTHS + half * (step - 1) + ((length >> step) - half)
 
 
 def bucket_range(bucket: int) -> tuple[int, int]:
-    if bucket < 16:
+    if bucket < _EXACT_LENGTHS:
         return bucket, bucket
-    step, offset = divmod(bucket - 16, 8)
-    low = (8 + offset) << (step + 1)
+    half = _EXACT_LENGTHS // 2
+    step, offset = divmod(bucket - _EXACT_LENGTHS, half)
+    low = (half + offset) << (step + 1)
     return low, low + (1 << (step + 1)) - 1
 
 
@@ -126,8 +133,8 @@ def bit_signatures(chars: np.ndarray, inside: np.ndarray) -> np.ndarray:
 
 
 KEY_SCHEMA = (
-    "column string, value string, count bigint, key bigint, prefix int, bucket int, "
-    "cross boolean, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
+    "column string, value string, count bigint, key bigint, prefix int, cross boolean, "
+    "s0 bigint, s1 bigint, s2 bigint, s3 bigint"
 )
 
 
@@ -145,8 +152,14 @@ def _deal_order(chars: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.where(listed, by_code[at].astype(np.uint64), hashed)
 
 
-def blocking_keys(threshold: float, key_budget: int, frequent_chars: str = ""):
-    """A ``mapInArrow`` function: (column, value, count) -> one row per blocking key."""
+def blocking_keys(threshold: float, key_budget: int, frequent_chars: str, shorter_side: bool):
+    """A ``mapInArrow`` function: (column, value, count) -> one row per blocking key.
+
+    In a class of two length buckets the texts of the lower bucket belong to the shorter
+    side and those of the upper one to the longer side; in a class of one bucket they belong
+    to both.  Joining one side with the other never compares texts that only share a class
+    with a third length.
+    """
     frequent = np.array([ord(c) for c in frequent_chars], dtype=np.uint32)
 
     def one_bucket(batch: pa.RecordBatch, texts: list[str], rows: np.ndarray, bucket: int):
@@ -161,6 +174,8 @@ def blocking_keys(threshold: float, key_budget: int, frequent_chars: str = ""):
             prefix_hash.append(_mix(prefix_hash[-1] * np.uint64(31) + chars[:, i].astype(np.uint64)))
         group_hash: dict[int, np.ndarray] = {}
         for prefix, partner, differences, groups in bucket_plan(threshold, bucket, key_budget):
+            if partner != bucket and (bucket < partner) != shorter_side:
+                continue
             long_enough = np.flatnonzero(lengths >= prefix)
             if prefix >= len(prefix_hash) or not len(long_enough):
                 continue
@@ -189,11 +204,10 @@ def blocking_keys(threshold: float, key_budget: int, frequent_chars: str = ""):
                     batch.column("count").take(taken),
                     pa.array(keys.reshape(-1).view(np.int64)),
                     pa.array(np.full(count, prefix, dtype=np.int32)),
-                    pa.array(np.full(count, bucket, dtype=np.int32)),
                     pa.array(np.full(count, one != other)),
                     *[pa.array(signature[source, w]) for w in range(SIGNATURE_WORDS)],
                 ],
-                names=["column", "value", "count", "key", "prefix", "bucket", "cross", "s0", "s1", "s2", "s3"],
+                names=["column", "value", "count", "key", "prefix", "cross", "s0", "s1", "s2", "s3"],
             )
 
     def generate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

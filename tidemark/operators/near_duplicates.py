@@ -66,10 +66,8 @@ def _difference_bound(threshold: float) -> Column:
 
 def _candidate_condition(threshold: float) -> Column:
     """Exact tests a pair has to pass before it leaves the join, all on fixed-size columns."""
-    ordered = (F.col("a.count") > F.col("b.count")) | (
-        (F.col("a.count") == F.col("b.count")) & (F.col("a.value") < F.col("b.value"))
-    )
-    right_buckets = F.col("a.cross") == (F.col("a.bucket") != F.col("b.bucket"))
+    # within one length bucket both sides hold every value: each pair is taken once
+    once = F.col("a.cross") | (F.col("a.value") < F.col("b.value"))
     # below the cap, the pair belongs to the class of its exact common prefix only
     next_char = F.col("a.prefix") + 1
     exact_prefix = (F.col("a.prefix") == PREFIX_CAP) | (
@@ -80,28 +78,43 @@ def _candidate_condition(threshold: float) -> Column:
         (F.bit_count(F.col(f"a.s{w}").bitwiseXOR(F.col(f"b.s{w}"))) for w in range(1, SIGNATURE_WORDS)),
         F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0"))),
     )
-    return ordered & right_buckets & exact_prefix & (differing_bits <= _difference_bound(threshold))
-
-
-def _split_hot_keys(keys: DataFrame, block_rows: int) -> DataFrame:
-    """Add the block-pair columns ``p, q``.  A key with at most ``block_rows`` values is one
-    block pair; a larger one is cut into blocks, and each value is sent to the pairs its
-    block takes part in, so no task ever meets a whole hot key."""
-    sizes = keys.groupBy("column", "key").agg(F.count(F.lit(1)).alias("n"))
-    hot = materialize(sizes.filter(F.col("n") > block_rows), "hot-keys")
-    if hot.isEmpty():
-        return keys.withColumns({name: F.lit(0) for name in ("block", "p", "q")})
-    n_hot = hot.agg(F.sum("n")).first()[0]
-    blocks = hot.select("column", "key", F.ceil(F.col("n") / block_rows).cast("int").alias("n_blocks"))
-    heavy = heavy_keys(hot, ["column", "key"], n_hot)
-    placed = lookup_join(keys, blocks, ["column", "key"], heavy=heavy).withColumn(
-        "n_blocks", F.coalesce("n_blocks", F.lit(1))
+    return once & exact_prefix & (differing_bits <= _difference_bound(threshold))
+
+
+def _hot_blocks(shorter: DataFrame, longer: DataFrame, block_rows: int) -> DataFrame:
+    """Keys with more than ``block_rows`` values on a side, with the number of blocks to cut
+    each side into; written out."""
+    one, none = F.lit(1), F.lit(0)
+    sides = shorter.select("column", "key", one.alias("a"), none.alias("b")).unionByName(
+        longer.select("column", "key", none.alias("a"), one.alias("b"))
+    )
+    sizes = sides.groupBy("column", "key").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    blocks = [F.greatest(F.ceil(F.col(c) / block_rows), F.lit(1)).cast("int") for c in ("a", "b")]
+    return materialize(
+        sizes.filter((F.col("a") > block_rows) | (F.col("b") > block_rows)).select(
+            "column",
+            "key",
+            (F.col("a") + F.col("b")).alias("n"),
+            blocks[0].alias("a_blocks"),
+            blocks[1].alias("b_blocks"),
+        ),
+        "hot-keys",
+    )
+
+
+def _place(keys: DataFrame, hot: DataFrame, heavy: DataFrame, own: str, other: str) -> DataFrame:
+    """Add the block pair (``a_block, b_block``) in which a value is compared: its own block
+    by a hash, repeated for every block of the other side.  Keys that are not hot have one
+    block pair, so no task ever meets a whole hot key."""
+    blocks = hot.select("column", "key", "a_blocks", "b_blocks")
+    placed = lookup_join(keys, blocks, ["column", "key"], heavy=heavy)
+    own_blocks = F.coalesce(f"{own}_blocks", F.lit(1))
+    other_blocks = F.coalesce(f"{other}_blocks", F.lit(1))
+    return (
+        placed.withColumn(f"{own}_block", F.pmod(F.xxhash64("value"), own_blocks).cast("int"))
+        .withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0), other_blocks - 1)))
+        .drop("a_blocks", "b_blocks")
     )
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("value"), F.col("n_blocks")).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    return placed.withColumns(
-        {"p": F.least("block", "other"), "q": F.greatest("block", "other")}
-    ).drop("other", "n_blocks")
 
 
 def candidate_pairs(
@@ -110,31 +123,41 @@ def candidate_pairs(
     """Distinct candidate pairs: every qualifying pair is among them."""
     n_values = values.count()
     spread = values.repartition(max(2, -(-n_values // _VALUES_PER_TASK)), "value")
-    make_keys = blocking_keys(threshold, key_budget, frequent_characters(values))
-    keys = spread.mapInArrow(make_keys, KEY_SCHEMA)
-    # prefix and cross follow from the key; naming them keeps both sides of the self-join
-    # alike, so the keys are made and shuffled once
+    frequent = frequent_characters(values)
+    shorter, longer = (
+        spread.mapInArrow(blocking_keys(threshold, key_budget, frequent, side), KEY_SCHEMA)
+        for side in (True, False)
+    )
     on = ["column", "key", "prefix", "cross"]
-    condition = _candidate_condition(threshold)
-    # a key group can only exceed the block size if there are that many values at all
+    # a key can only exceed the block size if there are that many values at all
     if n_values > block_rows:
-        keys = _split_hot_keys(keys, block_rows)
-        on = [*on, "p", "q"]
-        condition = condition & (
-            (F.col("a.p") == F.col("a.q")) | (F.col("a.block") != F.col("b.block"))
-        )
+        hot = _hot_blocks(shorter, longer, block_rows)
+        if not hot.isEmpty():
+            heavy = heavy_keys(hot, ["column", "key"], hot.agg(F.sum("n")).first()[0])
+            shorter = _place(shorter, hot, heavy, "a", "b")
+            longer = _place(longer, hot, heavy, "b", "a")
+            on = [*on, "a_block", "b_block"]
+    condition = _candidate_condition(threshold)
     for name in on:
         condition = condition & (F.col(f"a.{name}") == F.col(f"b.{name}"))
+    a_first = (F.col("a.count") > F.col("b.count")) | (
+        (F.col("a.count") == F.col("b.count")) & (F.col("a.value") < F.col("b.value"))
+    )
+
+    def pick(name: str, first: bool) -> Column:
+        left, right = (F.col(f"a.{name}"), F.col(f"b.{name}"))
+        return F.when(a_first == F.lit(first), left).otherwise(right)
+
     # the planner cannot see how many keys a value has, so it must not guess a broadcast
     return (
-        keys.alias("a")
-        .join(keys.alias("b").hint("merge"), condition)
+        shorter.alias("a")
+        .join(longer.alias("b").hint("merge"), condition)
         .select(
             F.col("a.column").alias("column"),
-            F.col("a.value").alias("value_a"),
-            F.col("a.count").alias("count_a"),
-            F.col("b.value").alias("value_b"),
-            F.col("b.count").alias("count_b"),
+            pick("value", True).alias("value_a"),
+            pick("count", True).alias("count_a"),
+            pick("value", False).alias("value_b"),
+            pick("count", False).alias("count_b"),
         )
         .distinct()
     )
