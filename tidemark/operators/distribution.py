@@ -31,23 +31,18 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _label(code: Column, labels: Mapping[str, str] | None) -> Column:
-    if not labels:
-        return code
-    lookup = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
-    return F.coalesce(lookup[code], code)
-
-
 def frequency_table(df: DataFrame, column: str, labels: Mapping[str, str] | None = None) -> DataFrame:
     """``code, label, count, pct_of_valid``, most frequent first.  A code without a label
     shows itself.  A column without values gives an empty table."""
     counts = value_counts(df, [column])
     # one-row total as a scalar subquery: no window over the whole table
     total = counts.agg(F.sum("count").alias("n_valid")).scalar()
+    named = literal_table(df.sparkSession, list((labels or {}).items()), "value string, label string")
     return (
-        counts.select(
+        counts.join(F.broadcast(named), "value", "left")
+        .select(
             F.col("value").alias("code"),
-            _label(F.col("value"), labels).alias("label"),
+            F.coalesce("label", "value").alias("label"),
             "count",
             percent(F.col("count"), total).alias("pct_of_valid"),
         )

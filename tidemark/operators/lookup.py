@@ -20,8 +20,9 @@ from tidemark.operators.distribution import value_counts
 from tidemark.session import materialize
 from tidemark.spec import ClassifyRule
 
-# A lookup with at most this many rows is sent to every executor; checked by counting.
+# A lookup within both limits is sent to every executor; checked by counting and measuring.
 BROADCAST_ROWS = 200_000
+_BROADCAST_CHARACTERS = 100_000_000
 # A key counts as heavy from this many rows on, and only if it holds more than this share of
 # all rows: so there are never more heavy keys than the inverse of the share.
 HEAVY_ROWS = 100_000
@@ -31,8 +32,11 @@ _NULL_BUCKETS = 1024
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True if the table has at most ``rows`` rows; reads no more than it needs to tell."""
-    return df.limit(rows + 1).count() <= rows
+    """True if the table has at most ``rows`` rows and their text is not too long either;
+    reads no more rows than it needs to tell."""
+    width = F.length(F.to_json(F.struct(*[quoted(c) for c in df.columns])))
+    found = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")).first()
+    return found["n"] <= rows and (found["size"] or 0) <= _BROADCAST_CHARACTERS
 
 
 def heavy_keys(counts: DataFrame, on: Sequence[str], n_rows: int, at_least: int = HEAVY_ROWS) -> DataFrame:
@@ -240,8 +244,14 @@ def version_diff(
         repeated = side.groupBy(*[quoted(k) for k in keys]).count().filter(F.col("count") > 1)
         if not repeated.isEmpty():
             raise ValueError(f"key {list(keys)} is not unique")
-    old = before.select(*[quoted(k).alias(f"k{i}") for i, k in enumerate(keys)], *[quoted(c).alias(f"b{i}") for i, c in enumerate(columns)])
-    new = after.select(*[quoted(k).alias(f"j{i}") for i, k in enumerate(keys)], *[quoted(c).alias(f"a{i}") for i, c in enumerate(columns)])
+    old = before.select(
+        *[quoted(k).alias(f"k{i}") for i, k in enumerate(keys)],
+        *[quoted(c).alias(f"b{i}") for i, c in enumerate(columns)],
+    )
+    new = after.select(
+        *[quoted(k).alias(f"j{i}") for i, k in enumerate(keys)],
+        *[quoted(c).alias(f"a{i}") for i, c in enumerate(columns)],
+    )
     condition = F.col("k0").eqNullSafe(F.col("j0"))
     for i in range(1, len(keys)):
         condition = condition & F.col(f"k{i}").eqNullSafe(F.col(f"j{i}"))

@@ -103,7 +103,9 @@ def clean(
     """Run the plan.  ``pairs`` are near-duplicate pairs found earlier (by the diagnosis);
     without them they are computed here, from the corrected text columns."""
     hierarchies = hierarchies or {}
-    kept = materialize(dedup.keep_first(df, spec.keys, spec.order_by), "deduplicated")
+    kept = dedup.keep_first(df, spec.keys, spec.order_by)
+    if kept is not df:  # without repeated keys there is nothing to write
+        kept = materialize(kept, "deduplicated")
     n_kept = kept.agg(F.count(F.lit(1)).alias("n")).scalar()
     metrics = _metric(
         df.agg(F.count(F.lit(1)).alias("n")), "dedup", F.lit("rows dropped"), F.col("n") - n_kept
