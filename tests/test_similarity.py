@@ -90,6 +90,7 @@ def _keys(values, threshold, budget, shorter_side):
 @pytest.mark.parametrize("budget", [1, 16, 64])
 def test_no_qualifying_pair_without_a_common_key(threshold, budget):
     pairs = variants(2, 4000) + variants(3, 300, "abcdefghijklmnopqrstuvwxyz ", 90)
+    pairs += variants(4, 12, "abcdefghijklmnopqrstuvwxyz ", 500)
     pairs += [(a, b) for a, b, _ in GOLDEN]
     scores = jaro_winkler([a for a, _ in pairs], [b for _, b in pairs])
     close = [p for p, s in zip(pairs, scores) if s >= threshold and p[0] != p[1]]
@@ -117,6 +118,16 @@ def test_length_buckets_cover_every_length_once(length):
     assert low <= length <= high
 
 
+def test_long_texts_are_planned_from_few_lengths():
+    assert signatures.bucket_plan(0.95, signatures.length_bucket(20_000), 16)
+    for n, m in ((150, 150), (150, 163), (300, 340), (999, 1000)):
+        buckets = sorted((signatures.length_bucket(n), signatures.length_bucket(m)))
+        for prefix in range(5):
+            exact = signatures.most_differences(0.95, prefix, n, m)
+            if exact is not None:
+                assert signatures._bucket_pair(0.95, prefix, *buckets) >= exact
+
+
 @pytest.mark.parametrize("threshold", [0.85, 0.9, 0.95, 0.98])
 def test_the_plan_reaches_every_admissible_partner_length(threshold):
     for n in range(1, 70):

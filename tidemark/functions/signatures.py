@@ -66,13 +66,23 @@ def bucket_range(bucket: int) -> tuple[int, int]:
 
 @lru_cache(maxsize=None)
 def _bucket_pair(threshold: float, prefix: int, one: int, other: int) -> int | None:
-    found = [
-        most_differences(threshold, prefix, min(n, m), max(n, m))
-        for n in range(bucket_range(one)[0], bucket_range(one)[1] + 1)
-        for m in range(bucket_range(other)[0], bucket_range(other)[1] + 1)
-        if n and m and min(n, m) >= prefix
-    ]
-    return max((d for d in found if d is not None), default=None)
+    """Largest difference of any two lengths of two buckets (``one`` <= ``other``)."""
+    (low, high), (other_low, other_high) = bucket_range(one), bucket_range(other)
+    if (high - low) * (other_high - other_low) <= 64:
+        found = [
+            most_differences(threshold, prefix, min(n, m), max(n, m))
+            for n in range(max(low, prefix, 1), high + 1)
+            for m in range(max(other_low, prefix, 1), other_high + 1)
+        ]
+        return max((d for d in found if d is not None), default=None)
+    # wide buckets: the nearest lengths decide whether any pair qualifies, and the bound
+    # before rounding is convex in each length, so a corner holds its maximum
+    nearest = (high, high) if one == other else (high, other_low)
+    if most_differences(threshold, prefix, *nearest) is None:
+        return None
+    share = 3 * least_jaro(threshold, prefix) - 1
+    corners = [(n, m) for n in (low, high) for m in (other_low, other_high)]
+    return int(max(n + m - 2 * share * n * m / (n + m) for n, m in corners) + _ROUNDING)
 
 
 @lru_cache(maxsize=None)
@@ -92,7 +102,7 @@ def bucket_plan(threshold: float, bucket: int, key_budget: int) -> list[tuple[in
     for prefix in range(PREFIX_CAP + 1):
         ratio = max(3 * least_jaro(threshold, prefix) - 2, 0.05)
         for partner in range(length_bucket(max(1, int(longest * ratio) - 8)), length_bucket(int(longest / ratio) + 8) + 1):
-            differences = _bucket_pair(threshold, prefix, bucket, partner)
+            differences = _bucket_pair(threshold, prefix, min(bucket, partner), max(bucket, partner))
             if differences is not None:
                 plan.append((prefix, partner, differences, _groups(differences, key_budget)))
     return plan
@@ -180,14 +190,12 @@ def blocking_keys(threshold: float, key_budget: int, frequent_chars: str, shorte
             if prefix >= len(prefix_hash) or not len(long_enough):
                 continue
             if groups not in group_hash:
-                dealt = deal % np.uint64(groups)
-                sums = [
-                    np.where(dealt == np.uint64(j), char_hash, np.uint64(0)).sum(axis=1, dtype=np.uint64)
-                    for j in range(groups)
-                ]
-                group_hash[groups] = np.stack(
-                    [_mix(s + _seed(groups, j)) for j, s in enumerate(sums)], axis=1
-                )
+                # sums wrap around, which keeps them independent of the order of characters
+                sums = np.zeros((len(texts), groups), dtype=np.uint64)
+                dealt = (deal % np.uint64(groups)).astype(np.int64)
+                np.add.at(sums, (np.arange(len(texts))[:, None], dealt), char_hash)
+                seeds = np.array([_seed(groups, j) for j in range(groups)], dtype=np.uint64)
+                group_hash[groups] = _mix(sums + seeds[None, :])
             chosen = np.array(list(combinations(range(groups), groups - differences)))
             per_choice = group_hash[groups][long_enough][:, chosen].sum(axis=2, dtype=np.uint64)
             one, other = min(bucket, partner), max(bucket, partner)
