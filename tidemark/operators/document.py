@@ -14,11 +14,13 @@ from tidemark.operators.missing import raw_vs_cleaned
 from tidemark.operators.rules import consistency_flag
 from tidemark.spec import DatasetSpec
 
+# How the data dictionary words the treatment of a column.
 TREATED = "Median imputation"
 IS_FLAG = "N/A -- this column is itself an imputation flag"
 LEFT_MISSING = "Left missing (confirmed structural -- see notes)"
 NOTHING_MISSING = "N/A (no missing values)"
 OUT_OF_SCOPE = "Not imputed -- outside assigned cleaning/imputation scope"
+PSEUDO_KEY_SEVERITY = "None (not currently used as a key) / High if ever used as one"
 
 
 def column_labels(
@@ -206,8 +208,7 @@ def problem_inventory(df: DataFrame, spec: DatasetSpec) -> DataFrame:
             F.when(F.col("is_key") | (F.col("n_rows") == 0), F.lit(0.0))
             .otherwise(F.lit(100.0))
             .alias("pct"),
-            F.when(F.col("is_key"), F.lit("None"))
-            .otherwise(F.lit("None (not currently used as a key) / High if ever used as one"))
+            F.when(F.col("is_key"), F.lit("None")).otherwise(F.lit(PSEUDO_KEY_SEVERITY))
             .alias("severity"),
             F.lit("not used as a join key").alias("addressed_by"),
         )

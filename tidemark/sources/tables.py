@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import NA_TOKENS, quoted, sql_name, sql_text
 
+# The labels of imputation flags.
 FLAG_LABELS = {"0": "Not imputed", "1": "Imputed"}
 
 
