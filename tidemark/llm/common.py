@@ -20,6 +20,14 @@ def id_crc(column: Column | str) -> Column:
     return F.crc32(F.col(column).cast("string") if isinstance(column, str) else column.cast("string"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened until no column of ``df`` has them."""
+    taken = {c.lower() for c in df.columns}
+    while any(n.lower() in taken for n in names):
+        names = tuple(f"{n}_" for n in names)
+    return list(names)
+
+
 def pieces_for(rows: int, per_piece: int, least: int = 1) -> int:
     return max(least, -(-rows // per_piece))
 

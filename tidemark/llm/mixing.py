@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, running_start
+from tidemark.llm.common import WORD, running_start, unused
 from tidemark.session import materialize
 
 SEED = 20_26
@@ -137,11 +137,12 @@ def mixed_documents(
         .groupBy("s")
         .agg(F.max("epochs").alias("epochs"), F.max(F.when(inside & (F.col("left") > 0), place)).alias("cut"))
     )
-    cuts = materialize(cuts.toDF("__s", "__epochs", "__cut"), "mix-cuts")
+    of, epochs, cut, time = unused(docs, "of", "epochs", "cut", "time")
+    cuts = materialize(cuts.toDF(of, epochs, cut), "mix-cuts")
     here = _key(id_col, text_col).bitwiseXOR(F.lit(-(1 << 63)))
-    times = (F.col("__epochs") + F.coalesce((here <= F.col("__cut")).cast("long"), F.lit(0))).cast("int")
+    times = (F.col(epochs) + F.coalesce((here <= F.col(cut)).cast("long"), F.lit(0))).cast("int")
     return (
-        docs.join(cuts, F.col(source_col).eqNullSafe(F.col("__s")))
-        .select(*docs.columns, F.explode(F.array_repeat(F.lit(1), times)).alias("__time"))
-        .drop("__time")
+        docs.join(cuts, F.col(source_col).eqNullSafe(F.col(of)))
+        .select(*docs.columns, F.explode(F.array_repeat(F.lit(1), times)).alias(time))
+        .drop(time)
     )

@@ -6,8 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, mixing, quality, sharding, simhash
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from tidemark.llm import (
+    decontamination,
+    language,
+    mixing,
+    multiprobe,
+    ngram_lm,
+    quality,
+    secret_scan,
+    sharding,
+    simhash,
+    token_files,
+)
 from tidemark.llm.common import table
+from tidemark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,11 +31,23 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    docs = table(spark, sf_dir, "documents")
+    token_files.write_token_files(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_documents(spark, path)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -29,13 +56,39 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return decontamination.decontaminate(docs, decontamination.prepare(docs, table(spark, sf_dir, "benchmark")))
 
 
+def op9_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiprobe.nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
+
+
+def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = ngram_lm.backoff_scores(table(spark, sf_dir, "documents"))
+    # the order of summation shows in the last digits
+    return scores.withColumns({"log_score": F.round("log_score", 6), "mean_score": F.round("mean_score", 9)})
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_sharding, op3_quality, op5_mixing, op6_simhash, op8_decontamination)
+    f.__name__: f
+    for f in (
+        op1_sharding,
+        op2_language,
+        op3_quality,
+        op4_token_files,
+        op5_mixing,
+        op6_simhash,
+        op7_secret_scan,
+        op8_decontamination,
+        op9_multiprobe,
+        op10_ngram_lm,
+    )
 }
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -62,4 +115,30 @@ SELECT d.doc_id, CAST(coalesce(len(d.w), 0) AS BIGINT) AS n_words, coalesce(c.n_
 FROM dw d LEFT JOIN covered c USING (doc_id) LEFT JOIN held h USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_decontamination": OP8_SQL}
+OP10_SQL = rf"""
+WITH t AS (SELECT doc_id, regexp_extract_all({LOWER.format("text")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+u AS (SELECT doc_id, unnest(w) AS b, generate_subscripts(w, 1) AS p FROM t),
+pos AS (SELECT doc_id, p, b, lag(b) OVER (PARTITION BY doc_id ORDER BY p) AS a FROM u),
+size AS (SELECT doc_id, count(*) AS n FROM pos GROUP BY doc_id),
+one AS (SELECT b, count(*) AS n FROM pos GROUP BY b),
+one_d AS (SELECT doc_id, b, count(*) AS n FROM pos GROUP BY doc_id, b),
+two AS (SELECT a, b, count(*) AS n FROM pos WHERE a IS NOT NULL GROUP BY a, b),
+two_d AS (SELECT doc_id, a, b, count(*) AS n FROM pos WHERE a IS NOT NULL GROUP BY doc_id, a, b),
+c AS (SELECT pos.doc_id, pos.a, one.n - one_d.n AS cb, coalesce(two.n - two_d.n, 0) AS cab, oa.n - oad.n AS ca,
+             (SELECT count(*) FROM pos) - size.n AS rest
+      FROM pos JOIN size ON size.doc_id = pos.doc_id
+      JOIN one ON one.b = pos.b JOIN one_d ON one_d.doc_id = pos.doc_id AND one_d.b = pos.b
+      LEFT JOIN two ON two.a = pos.a AND two.b = pos.b
+      LEFT JOIN two_d ON two_d.doc_id = pos.doc_id AND two_d.a = pos.a AND two_d.b = pos.b
+      LEFT JOIN one oa ON oa.b = pos.a LEFT JOIN one_d oad ON oad.doc_id = pos.doc_id AND oad.b = pos.a),
+s AS (SELECT doc_id, cab, cb, CASE WHEN cab > 0 THEN ln(CAST(cab AS DOUBLE) / ca) ELSE
+             (CASE WHEN a IS NULL THEN 0 ELSE ln(0.4) END)
+             + (CASE WHEN cb > 0 THEN ln(CAST(cb AS DOUBLE) / rest) ELSE ln(0.4 / (rest + 1.0)) END) END AS cost FROM c),
+total AS (SELECT doc_id, count(*) AS n, count(*) FILTER (cab > 0) AS n_pairs, count(*) FILTER (cb > 0) AS n_single,
+                 sum(cost) AS log_score FROM s GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n, 0) AS n_words, coalesce(n_pairs, 0) AS n_pairs_seen, coalesce(n_single, 0) AS n_words_seen,
+       round(coalesce(log_score, 0.0), 6) AS log_score, round(log_score / n, 9) AS mean_score
+FROM t LEFT JOIN total USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op8_decontamination": OP8_SQL, "op10_ngram_lm": OP10_SQL}

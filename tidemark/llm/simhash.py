@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.graph import star_components
+from tidemark.llm.common import unused
 from tidemark.llm.gray_index import Forest, forest_between, forest_within
 from tidemark.session import materialize, ship_package
 
@@ -278,8 +279,10 @@ def near_duplicates(
     linked = labels.withColumnRenamed("node", "value").join(classes, "value")
     components = linked.groupBy("component").agg(F.min("least").alias("component_id"))
     of_value = linked.select("value", "component").join(components, "component").select("value", "component_id")
-    named_by = classes.join(of_value, "value", "left").select(
-        "value", F.coalesce("component_id", "least").alias("component_id")
+    # written out, so that the join below deals both sides itself and can split a frequent value
+    named_by = materialize(
+        classes.join(of_value, "value", "left").select("value", F.coalesce("component_id", "least").alias("component_id")),
+        "simhash-names",
     )
     return rows.join(named_by, "value", "left").select(
         "doc_id",
@@ -297,15 +300,16 @@ def representatives(
     only those rows are compared, on the id alone.
     """
     groups = near_duplicates(docs, limit, width, seed, id_col, text_col)
+    named, times = unused(docs, "id", "times")
     first = materialize(
         groups.filter(F.col("doc_id") == F.col("component_id"))
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.count(F.lit(1)).alias("__n")),
+        .groupBy(F.col("doc_id").alias(named))
+        .agg(F.count(F.lit(1)).alias(times)),
         "representatives",
     )
-    single = docs.join(first.filter("__n = 1"), F.col(id_col) == F.col("__id"), "left_semi")
-    kept = single.unionByName(docs.filter(F.col(id_col).isNull()))
-    repeated = first.filter("__n > 1")
+    same = F.col(id_col) == F.col(named)
+    kept = docs.join(first.filter(F.col(times) == 1), same, "left_semi").unionByName(docs.filter(F.col(id_col).isNull()))
+    repeated = first.filter(F.col(times) > 1)
     if repeated.isEmpty():
         return kept
-    return kept.unionByName(docs.join(repeated, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col]))
+    return kept.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates([id_col]))
