@@ -5,8 +5,10 @@ indexed vectors (``M``: the largest norm) and 0 for the queries, the nearest vec
 are those with the largest inner products, whatever their norms.  A table hashes a vector to the
 cell ``floor((a . x + b) / w)`` of ``K`` Gaussian projections.  A query visits its own cell and
 those cells one step away, in the order of their estimated success: the squared distances from
-the query's projections to the borders that have to be crossed, smallest sum first.  The
-candidates of all tables are merged and ranked by their exact inner products.
+the query's projections to the borders that have to be crossed, smallest sum first.  How
+many cells are visited is fitted on a bounded sample of the vectors, whose neighbours are farther
+apart than those among all vectors.  The candidates of all tables are merged and ranked by their
+exact inner products.
 """
 
 from __future__ import annotations
@@ -21,7 +23,9 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialize, ship_package
 
-TABLES, PROJECTIONS, WIDTH, PROBES = 3, 6, 2.5, 32
+TABLES, PROJECTIONS, WIDTH = 3, 6, 2.5
+RECALL = 0.95  # share of the neighbours within a sample that the number of probes has to reach
+SAMPLE, SAMPLE_QUERIES = 4_096, 256  # vectors and queries of the sample, expected and at most
 CELLS = 1 << 16  # cells are folded into so many for each table, which bounds their statistics
 VECTORS, QUERIES = 4_096, 1_024  # rows of a block of candidates and of queries, expected
 HELD = 1 << 18  # candidates that a task holds before it keeps the best of each query
@@ -41,14 +45,14 @@ def _matrix(column) -> np.ndarray:
 class Hashes:
     """The hash functions for vectors of ``size`` components; equal in every task."""
 
-    def __init__(self, size: int, norm: float, tables: int, projections: int, width: float, probes: int):
+    def __init__(self, size: int, norm: float, tables: int, projections: int, width: float, probes: int | None = None):
         rng = np.random.default_rng([SEED, size])
         self.a = rng.normal(size=(tables, projections, size + 1))
         self.b = rng.random(size=(tables, projections))
         self.norm, self.width, self.size = norm, width * norm, size
         self.mix = rng.integers(1, 1 << 62, size=projections, dtype=np.int64) | 1
         self.steps = _steps(projections)
-        self.probes = min(probes, len(self.steps))
+        self.probes = min(probes or len(self.steps), len(self.steps))
 
     def _fold(self, cell: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -78,7 +82,30 @@ class Hashes:
         return out
 
 
-def _placing(norms: dict[int, float], settings: tuple):
+def fit_probes(x: np.ndarray, hashes: Hashes, k: int, recall: float) -> int:
+    """The number of probes that reaches ``recall`` among the vectors ``x`` alone, or all."""
+    q = x[:SAMPLE_QUERIES]
+    k = min(k, len(x) - 1)
+    if k < 1:
+        return hashes.probes
+    near = q @ x.T
+    np.fill_diagonal(near, -np.inf)
+    best = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    cells = hashes.cells(x)
+    needed = np.full(best.shape, len(hashes.steps))
+    for s in range(0, len(q), 64):
+        part = slice(s, s + 64)
+        order = hashes.probed(q[part])
+        for t in range(order.shape[1]):
+            for i, row in enumerate(order[:, t], start=s):
+                first = {c: n for n, c in reversed(list(enumerate(row.tolist())))}
+                at = [first.get(c, len(hashes.steps)) for c in cells[best[i], t].tolist()]
+                needed[i] = np.minimum(needed[i], at)
+    ranked = np.sort(needed.ravel())
+    return min(len(hashes.steps), int(ranked[int(np.ceil(recall * len(ranked))) - 1]) + 1)
+
+
+def _placing(norms: dict[int, float], visited: dict[int, int], settings: tuple):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, Hashes] = {}
         for batch in batches:
@@ -86,7 +113,7 @@ def _placing(norms: dict[int, float], settings: tuple):
             for size in np.unique(sizes).tolist():
                 part = batch.take(pa.array(np.nonzero(sizes == size)[0]))
                 if size not in known:
-                    known[size] = Hashes(size, norms[size], *settings)
+                    known[size] = Hashes(size, norms[size], *settings, visited[size])
                 x, asks = _matrix(part.column("vector")), part.column("asks").to_numpy(zero_copy_only=False)
                 cells = known[size].cells(x)
                 probes: list = [None] * len(x)
@@ -207,14 +234,16 @@ def nearest(
     tables: int = TABLES,
     projections: int = PROJECTIONS,
     width: float = WIDTH,
-    probes: int = PROBES,
+    probes: int | None = None,
+    recall: float = RECALL,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for every row that ``asks``, the ``k`` nearest found of
     all other rows, by inner product in double precision, ties to the smaller id.
 
-    Every row is indexed.  Cells that hold many vectors or get many queries are cut into blocks
+    ``probes`` cells are visited in each table; if not given, as many as reach ``recall`` on a
+    sample of about ``SAMPLE`` vectors.  Every row is indexed.  Cells that hold many vectors or get many queries are cut into blocks
     by a hash of the ids, so a task meets blocks of bounded size, and a cell's statistics, of
     which there are ``tables * CELLS`` at most, are all that is broadcast.
 
@@ -232,12 +261,24 @@ def nearest(
     ).filter(F.col("vec_id").isNotNull() & (F.size("vector") > 0) & ~F.exists("vector", odd))
     square = F.aggregate("vector", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
     rows = rows.withColumns({"size": F.size("vector"), "square": square}).filter("square > 0")
+    rows = materialize(rows, "vectors")
     # one row for each length of vectors
-    norms = {r["size"]: float(np.sqrt(r["most"])) for r in rows.groupBy("size").agg(F.max("square").alias("most")).collect()}
+    sizes = rows.groupBy("size").agg(F.max("square").alias("most"), F.count(F.lit(1)).alias("n")).collect()
+    norms, visited = {}, {}
+    place = F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    for r in sizes:
+        norms[r["size"]] = float(np.sqrt(r["most"]))
+        visited[r["size"]] = probes
+        if probes is None:
+            sample = rows.filter((F.col("size") == r["size"]) & (place < F.lit(SAMPLE / r["n"]))).select("vec_id", "vector")
+            held = sorted((x["vec_id"], x["vector"]) for x in sample.collect())
+            hashes = Hashes(r["size"], norms[r["size"]], tables, projections, width)
+            x = np.array([v for _, v in held], dtype=np.float64).reshape(len(held), r["size"])
+            visited[r["size"]] = fit_probes(np.random.default_rng(SEED).permutation(x), hashes, k, recall)
     kind = vectors.schema[vector_col].dataType.simpleString()
     placed = materialize(
         rows.select("vec_id", "size", "vector", F.coalesce("asks", F.lit(False)).alias("asks")).mapInArrow(
-            _placing(norms, (tables, projections, width, probes)),
+            _placing(norms, visited, (tables, projections, width)),
             f"vec_id long, size int, vector {kind}, cells array<long>, probes array<array<long>>",
         ),
         "cells",

@@ -146,7 +146,7 @@ def _score(backoff: float, n_corpus: int):
         seen = pair > 0
         cost[second] = np.where(seen, both, np.log(backoff) + single[second])
         size = len(grams.sizes)
-        add = lambda w, d: np.bincount(d, weights=w, minlength=size)
+        add = lambda w, d: np.bincount(d, weights=w, minlength=size).astype(np.float64)
         return pa.table(
             {
                 "doc_id": docs.column("doc_id"),

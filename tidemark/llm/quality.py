@@ -134,6 +134,8 @@ class QualityModel:
 
 def fit(x: np.ndarray, label: np.ndarray, seed: int = 7) -> QualityModel:
     """Newton steps on the mean logistic loss of feature differences, with a small ridge."""
+    if not len(x):
+        return QualityModel(np.zeros(x.shape[1]), np.ones(x.shape[1]), np.zeros(x.shape[1]), -1.0)
     mean, scale = x.mean(axis=0), x.std(axis=0)
     scale = np.where(scale > 1e-9, scale, 1.0)
     z = (x - mean) / scale

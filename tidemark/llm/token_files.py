@@ -365,9 +365,9 @@ def read_documents(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS) -
     begins = sizes.select(F.col("part"), (F.sum("n").over(before) - F.col("n")).alias("begin"))
 
     @F.udf("long")
-    def joined(pieces) -> int:
-        crc = pieces[0]["crc"]
-        for p in pieces[1:]:
+    def joined(found: list) -> int:
+        crc = found[0]["crc"]
+        for p in found[1:]:
             crc = join_crc(crc, p["crc"], 4 * p["n_tokens"])
         return crc
 
