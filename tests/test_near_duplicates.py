@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from test_similarity import GOLDEN, variants
 
+from tidemark.functions import graph
 from tidemark.functions.similarity import jaro_winkler
 from tidemark.operators import clusters, lookup
 from tidemark.operators.near_duplicates import near_duplicates
@@ -122,20 +123,28 @@ def test_components_do_not_cross_columns(spark):
     assert got == [("p", "a", "a"), ("p", "b", "a"), ("q", "b", "b"), ("q", "c", "b")]
 
 
-def test_components_by_shuffle_with_a_hub_cut_into_pieces(spark, monkeypatch):
-    monkeypatch.setattr(clusters, "is_small", lambda df: False)
-    keys = clusters.heavy_keys
-    monkeypatch.setattr(clusters, "heavy_keys", lambda counts, on, n: keys(counts, on, n, at_least=5))
+def test_components_with_a_hub(spark):
     star = [("s000", f"s{i:03d}") for i in range(1, 60)]
     got = components(spark, star + [("x", "y"), ("y", "z")])
     assert {got[f"s{i:03d}"] for i in range(60)} == {"s000"}
     assert got["x"] == got["y"] == got["z"] == "x"
 
 
-def test_unsettled_components_fail_loudly(spark):
-    chain = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(60)]
-    with pytest.raises(RuntimeError):
-        components(spark, chain, max_rounds=1)
+def test_chains_that_rise_and_fall_settle_in_few_rounds(spark, monkeypatch):
+    """60 to a slope: every local minimum has to be replaced by another."""
+    order = [f"n{abs((i % 120) - 60):03d}x{i // 60:02d}" for i in range(480)]
+    assert len(set(order)) == 480
+    rounds = {"n": 0}
+    original = graph._large_star
+
+    def counted(*args):
+        rounds["n"] += 1
+        return original(*args)
+
+    monkeypatch.setattr(graph, "_large_star", counted)
+    got = components(spark, list(zip(order, order[1:])))
+    assert set(got.values()) == {min(order)} and len(got) == 480
+    assert rounds["n"] <= 14
 
 
 def pair_table(spark, pairs):

@@ -25,7 +25,7 @@ def numbers(spark):
     return spark.createDataFrame(data, ", ".join(f"{c} double" for c in names)).repartition(5).cache()
 
 
-@pytest.mark.parametrize("limits", [{}, {"finish_rows": 10}, {"finish_rows": 0, "cells_per_pass": 320}])
+@pytest.mark.parametrize("limits", [{}, {"accuracy": 200}, {"accuracy": 50, "finish_values": 0}])
 def test_quantiles_are_exact(numbers, limits):
     asked = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
     got = numeric.exact_quantiles(numbers, {c: asked for c in COLUMNS}, **limits)
@@ -38,10 +38,46 @@ def test_quantiles_are_exact(numbers, limits):
 @given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=30), st.floats(0, 1))
 def test_any_quantile_of_any_list(spark, values, p):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = numeric.exact_quantiles(df, {"x": [p]}, finish_rows=0)["x"][1][0]
+    got = numeric.exact_quantiles(df, {"x": [p]}, accuracy=20)["x"][1][0]
     assert got == pytest.approx(np.quantile(values, p), rel=1e-9, abs=1e-9)
 
 
+def test_infinity_is_a_value(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(v,) for v in [-inf] * 30 + [1.0, 2.0, 3.0] + [inf] * 40 + [1e308, -1e308]], "x double")
+    got = numeric.exact_quantiles(df, {"x": [0.0, 0.2, 0.42, 0.5, 1.0]}, accuracy=20)["x"]
+    values = sorted([-inf] * 30 + [1.0, 2.0, 3.0] + [inf] * 40 + [1e308, -1e308])
+    assert got[0] == 75 and got[1][0] == -inf and got[1][3] == values[37] and got[1][4] == inf
+    assert not any(np.isnan(v) for v in got[1])
+
+
+def test_large_whole_numbers_keep_every_digit(spark):
+    start = 2**53 + 1
+    values = [start + 2 * i for i in range(5001)] + [-(2**63), 2**63 - 1]
+    df = spark.createDataFrame([(v,) for v in values], "x long").repartition(4)
+    ranked = sorted(values)
+    got = numeric.exact_quantiles(df, {"x": [0.0, 0.5, 1.0]}, accuracy=100)["x"]
+    assert got == (5003, [ranked[0], ranked[2501], ranked[-1]])
+    assert numeric.column_extent(df.filter("x > 0 AND x < 10000000000000000"), ["x"])["x"] == (5001, start, start + 10000)
+
+
+def test_wide_ranges_take_a_fixed_number_of_scans(spark, monkeypatch):
+    values = np.exp(np.linspace(0, 690, 30_000))
+    df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(4)
+    scans = {"n": 0}
+    for name in ("column_extent", "_sketched", "_count_below", "_values_inside"):
+        original = getattr(numeric, name)
+
+        def counted(*args, original=original):
+            scans["n"] += 1
+            return original(*args)
+
+        monkeypatch.setattr(numeric, name, counted)
+    got = numeric.exact_quantiles(df, {"x": [0.1, 0.5, 0.9]}, accuracy=20, finish_values=0)["x"][1]
+    np.testing.assert_allclose(got, np.quantile(values, [0.1, 0.5, 0.9]), rtol=1e-9)
+    assert scans["n"] <= 4
+
+
 def test_column_without_values(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
     assert numeric.exact_quantiles(df, {"x": [0.5]}) == {"x": (0, None)}

@@ -191,8 +191,8 @@ def test_documents(spark, result):
     dictionary = {r["variable"]: r for r in report(spark, result, "data_dictionary").collect()}
     assert dictionary["q1_03"]["type"] == "category"
     assert dictionary["q1_03"]["value_set_or_range"] == "Female; Male"
-    assert dictionary["q1_04"]["imputation_treatment"] == "Median imputation, 1 row(s) filled"
-    assert dictionary["isco_code"]["imputation_treatment"].startswith("Left missing")
+    assert dictionary["q1_04"]["imputation_treatment"] == "Filled with the median, 1 row(s)"
+    assert dictionary["isco_code"]["imputation_treatment"].startswith("Left empty")
     assert dictionary["isic_section"]["pct_missing_raw"] == "N/A (derived column)"
     assert dictionary["q3_04"]["notes"] == "Structurally gated by q3_01 == 'Yes'."
     assert "median imputation" in dictionary["q1_04_imputed"]["label"]

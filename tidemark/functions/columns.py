@@ -69,8 +69,17 @@ def percent(part: Column, whole: Column, places: int = 2) -> Column:
     return F.when(whole > 0, F.round(F.lit(100.0) * part / whole, places)).otherwise(F.lit(0.0))
 
 
+# all white space of Unicode, and the separators that control characters stand for
+_SPACE = r"(?U)[\s\x1c-\x1f]"
+
+
+def strip(column: Column | str) -> Column:
+    """Text without white space around it: blanks, tabs, line breaks and their like."""
+    return F.regexp_replace(column, rf"^{_SPACE}+|{_SPACE}+$", "")
+
+
 def blank_to_null(column: Column) -> Column:
-    return F.when(F.trim(column) != "", column)
+    return F.when(strip(column) != "", column)
 
 
 def zero_pad(column: Column, width: int) -> Column:
@@ -100,23 +109,37 @@ def number_sql(column: str, type_name: str) -> str:
 
 
 def number_text(column: Column) -> Column:
-    """A number as plain decimal text: ``10000.0``, never ``1.0E4``."""
-    value = column.cast("double")
-    exact = value.try_cast("decimal(38,6)").cast("string")
-    return F.regexp_replace(F.regexp_replace(exact, "0+$", ""), r"\.$", ".0")
-
-
-def plain_number_sql(number: str) -> str:
-    """SQL for a number as text, without an exponent where one would appear."""
-    text = f"CAST({number} AS STRING)"
-    exact = f"CAST(try_cast(CAST({number} AS DOUBLE) AS DECIMAL(38,6)) AS STRING)"
-    trimmed = f"regexp_replace(regexp_replace({exact}, '0+$', ''), '[.]$', '.0')"
-    return f"CASE WHEN contains({text}, 'E') THEN {trimmed} ELSE {text} END"
+    """A number as plain decimal text with all its digits: ``10000.0``, never ``1.0E4``."""
+    return without_exponent(column.cast("double").cast("string"))
+
+
+def without_exponent(text: Column) -> Column:
+    """The text of a number, its decimal point moved by the exponent if it has one.  Any other
+    text stays as it is."""
+    mantissa = F.ltrim(F.substring_index(text, "E", 1), F.lit("-"))
+    whole, after = F.substring_index(mantissa, ".", 1), F.substring_index(mantissa, ".", -1)
+    fraction = F.when(after == "0", F.lit("")).otherwise(after)
+    shift = F.substring_index(text, "E", -1).try_cast("int")
+    sign = F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    moved = (
+        F.when(shift < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -shift - 1), whole, fraction))
+        .when(
+            shift >= F.length(fraction),
+            F.concat(whole, fraction, F.repeat(F.lit("0"), shift - F.length(fraction)), F.lit(".0")),
+        )
+        .otherwise(
+            F.concat(whole, F.substr(fraction, F.lit(1), shift), F.lit("."), F.substr(fraction, shift + 1))
+        )
+    )
+    return F.when(~F.contains(text, F.lit("E")), text).otherwise(F.concat(sign, moved))
 
 
 def whole_number_text(column: Column) -> Column:
-    """A number rounded half-even to a whole, as text."""
-    return F.bround(column.cast("double").try_cast("decimal(38,6)"), 0).cast("decimal(38,0)").cast("string")
+    """A number rounded half-even to a whole, as text; numbers of any size."""
+    value = column.cast("double")
+    # from 2**53 on every double is whole
+    whole = F.when(F.abs(value) < float(1 << 53), F.bround(value, 0).try_cast("bigint").cast("string"))
+    return F.coalesce(whole, F.regexp_replace(number_text(value), r"\.0$", ""))
 
 
 def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:

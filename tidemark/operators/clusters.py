@@ -5,63 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.lookup import heavy_keys, is_small, lookup_join
+from tidemark.functions.graph import star_components
+from tidemark.operators.lookup import lookup_join
 from tidemark.session import materialize
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """``column, value, component`` for undirected edges ``column, a, b``; the component is
-    the smallest value it contains.
-
-    Each round every value takes the smallest label among itself and its neighbours, then
-    the label of that label, which shortens long chains by half or more.  Neighbour labels
-    are reduced by ``min`` on the map side; the label table is broadcast only under a checked
-    size, and above it values with very many neighbours, and labels that very many values
-    share, are cut into pieces.  Every round is written out, which cuts the lineage.
-    """
-    both = edges.select("column", "a", "b").unionByName(
-        edges.select("column", F.col("b").alias("a"), F.col("a").alias("b"))
-    )
-    neighbours = materialize(both.filter(F.col("a") != F.col("b")).distinct(), "edges")
-    labels = materialize(
-        neighbours.groupBy("column", F.col("a").alias("value")).agg(
-            F.least(F.min("b"), F.min("a")).alias("label")
-        ),
-        "labels",
-    )
-    # the rows of both tables stay the same in every round, and so do their heavy keys
-    small = is_small(labels)
-    heavy = None
-    if not small:
-        degrees = neighbours.groupBy("column", F.col("a").alias("value")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        heavy = materialize(heavy_keys(degrees, ["column", "value"], neighbours.count()), "hubs")
-    for _ in range(max_rounds):
-        seen = lookup_join(
-            neighbours.withColumnRenamed("b", "value"),
-            labels,
-            ["column", "value"],
-            small=small,
-            heavy=heavy,
-        )
-        offered = seen.groupBy("column", F.col("a").alias("value")).agg(F.min("label").alias("offer"))
-        better = labels.join(offered, ["column", "value"]).select(
-            "column", "value", F.col("label").alias("old"), F.least("label", "offer").alias("hop")
-        )
-        # labels of labels: ``label <= value`` always holds, so this only ever goes down
-        targets = labels.select("column", F.col("value").alias("hop"), F.col("label").alias("jump"))
-        stepped = lookup_join(better, targets, ["column", "hop"], small=small).select(
-            "column", "value", F.least("hop", F.coalesce("jump", "hop")).alias("label"), "old"
-        )
-        stepped = materialize(
-            stepped.select("column", "value", "label", (F.col("label") != F.col("old")).alias("moved")),
-            "labels",
-        )
-        labels = stepped.drop("moved")
-        if stepped.filter("moved").isEmpty():
-            return labels.withColumnRenamed("label", "component")
-    raise RuntimeError(f"components did not settle within {max_rounds} rounds")
+    the smallest value it contains.  Only values with an edge to another value appear."""
+    found = star_components(edges.select("column", "a", "b"), ["column"])
+    return found.withColumnRenamed("node", "value")
 
 
 def close_pairs(pairs: DataFrame, min_similarity: float = 0.98) -> DataFrame:

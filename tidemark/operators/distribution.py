@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,12 +12,15 @@ from tidemark.functions.columns import (
     lay_out,
     literal_table,
     percent,
-    plain_number_sql,
     quoted,
     sql_name,
     stack_rows,
+    strip,
+    without_exponent,
 )
 
+from tidemark.session import materialize
+
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, value, count`` for several columns in one scan.  Values are counted on
@@ -148,10 +151,10 @@ def binned_distribution(
 
 
 def casing_consistency(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """False where values differ only by case or surrounding blanks.  Two grouping steps,
+    """False where values differ only by case or surrounding white space.  Two grouping steps,
     the wide one first, so nothing but the distinct values is shuffled."""
     distinct = value_counts(df, columns)
-    folded = distinct.groupBy("column", F.lower(F.trim("value")).alias("folded")).agg(
+    folded = distinct.groupBy("column", F.lower(strip("value")).alias("folded")).agg(
         F.count(F.lit(1)).alias("spellings")
     )
     found = folded.groupBy("column").agg((F.max("spellings") == 1).alias("consistent"))
@@ -161,6 +164,21 @@ def casing_consistency(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _distinct_sizes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, n_values``: distinct values of each column, none for a column without values.
+    128-bit digests are counted instead of the texts, which may be long."""
+    digests = df.selectExpr(
+        *[f"unhex(md5(encode(CAST({sql_name(c)} AS STRING), 'utf-8'))) AS {sql_name(c)}" for c in columns]
+    )
+    return (
+        digests.unpivot([], [sql_name(c) for c in columns], "column", "digest")
+        .filter(F.col("digest").isNotNull())
+        .distinct()
+        .groupBy("column")
+        .agg(F.count(F.lit(1)).alias("n_values"))
+    )
+
+
 def value_sets(df: DataFrame, columns: Sequence[str] | None = None, max_values: int = 8) -> DataFrame:
     """``column, value_set_or_range``: few values are listed, many are counted, numbers
     show their range.  Which of these applies follows from the column's type and, for
@@ -187,23 +205,35 @@ def value_sets(df: DataFrame, columns: Sequence[str] | None = None, max_values:
             [(c,) for c in ranged_columns],
             {
                 side: [
-                    f"initcap(CAST({side}{i} AS STRING))" if c in plain_bool else plain_number_sql(f"{side}{i}")
+                    f"initcap(CAST({side}{i} AS STRING))" if c in plain_bool else f"CAST({side}{i} AS STRING)"
                     for i, c in enumerate(ranged_columns)
                 ]
                 for side in ("lo", "hi")
             },
         )
         parts.append(
-            bounds.selectExpr("column", "coalesce(concat(lo, '–', hi), '') AS value_set_or_range")
+            bounds.select(
+                "column",
+                F.coalesce(
+                    F.concat(without_exponent(F.col("lo")), F.lit("–"), without_exponent(F.col("hi"))), F.lit("")
+                ).alias("value_set_or_range"),
+            )
         )
     if texts:
-        distinct = value_counts(df, texts)
-        sizes = distinct.groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
-        # only columns with a short value set reach collect_list, so it holds <= max_values
+        sizes = materialize(_distinct_sizes(df, texts), "value-set-sizes")
+        # one row per column; the texts are fetched of those with a short value set alone, so
+        # collect_set holds no more than max_values of them
+        few = [r["column"] for r in sizes.filter(F.col("n_values") <= max_values).select("column").collect()]
+        shown = "array_join(array_sort(collect_set(CAST({c} AS STRING))), '; ')"
         short = (
-            distinct.join(sizes.filter(F.col("n_values") <= max_values), "column", "left_semi")
-            .groupBy("column")
-            .agg(F.array_join(F.array_sort(F.collect_list("value")), "; ").alias("shown"))
+            lay_out(
+                df.selectExpr(*[f"{shown.format(c=sql_name(c))} AS s{i}" for i, c in enumerate(few)]),
+                "column string",
+                [(c,) for c in few],
+                {"shown": [f"s{i}" for i in range(len(few))]},
+            )
+            if few
+            else literal_table(df.sparkSession, [], "column string, shown string")
         )
         all_names = literal_table(
             df.sparkSession, [(c, many_prefix[c]) for c in texts], "column string, opening string"
@@ -244,6 +274,13 @@ def pseudo_key_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def width_condition(column: str, condition: str) -> Column:
+    """A SQL condition on ``width``, the length of a text column.  The condition is evaluated
+    on a value of that name, so no other part of it is touched."""
+    met = f"element_at(transform(array(length({sql_name(column)})), width -> {condition}), 1)"
+    return F.coalesce(F.expr(met), F.lit(False))
+
+
 def code_width_check(df: DataFrame, checks: Sequence[tuple[str, str]]) -> DataFrame:
     """Count codes whose length meets a condition on ``width``, e.g. ``("isic", "width <> 4")``."""
     measures = []
@@ -251,7 +288,7 @@ def code_width_check(df: DataFrame, checks: Sequence[tuple[str, str]]) -> DataFr
         width = F.length(quoted(column))
         measures += [
             F.count(quoted(column)).alias(f"c{i}"),
-            F.count_if(F.expr(condition.replace("width", f"length(`{column}`)"))).alias(f"n{i}"),
+            F.count_if(width_condition(column, condition)).alias(f"n{i}"),
             F.min(width).alias(f"lo{i}"),
             F.max(width).alias(f"hi{i}"),
         ]

@@ -4,57 +4,67 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import is_true, literal_table, percent, quoted, stack_rows
-from tidemark.operators.distribution import pseudo_key_check, value_sets
+from tidemark.functions.columns import literal_table, percent, quoted, stack_rows
+from tidemark.operators.distribution import pseudo_key_check, value_sets, width_condition
 from tidemark.operators.impute import FLAG_SUFFIX
 from tidemark.operators.missing import raw_vs_cleaned
 from tidemark.operators.rules import consistency_flag
 from tidemark.spec import DatasetSpec
 
-# How the data dictionary words the treatment of a column.
-TREATED = "Median imputation"
-IS_FLAG = "N/A -- this column is itself an imputation flag"
-LEFT_MISSING = "Left missing (confirmed structural -- see notes)"
-NOTHING_MISSING = "N/A (no missing values)"
-OUT_OF_SCOPE = "Not imputed -- outside assigned cleaning/imputation scope"
-PSEUDO_KEY_SEVERITY = "None (not currently used as a key) / High if ever used as one"
+# How the data dictionary words the treatment of a column.
+TREATED = "Filled with the median"
+IS_FLAG = "Marks filled values"
+LEFT_MISSING = "Left empty on purpose"
+NOTHING_MISSING = "Complete"
+OUT_OF_SCOPE = "Not filled"
+PSEUDO_KEY_SEVERITY = "High if used as a key"
+
+
+def label_table(
+    spark: SparkSession, columns: Sequence[str], descriptions: Mapping[str, str | None], derived: Mapping[str, str]
+) -> DataFrame:
+    """``column, label``.  Labels are a table of their own: first the columns that the
+    dictionary describes, then derived columns; a flag borrows the label of the column it
+    belongs to; what is left has an empty label."""
+    given = literal_table(
+        spark,
+        [(c, d, 0) for c, d in descriptions.items() if d] + [(c, d, 1) for c, d in derived.items()],
+        "column string, label string, place int",
+    )
+    given = given.groupBy("column").agg(F.min_by("label", "place").alias("label"))
+    names = literal_table(spark, [(c, c.removesuffix(FLAG_SUFFIX)) for c in columns], "column string, base string")
+    owner = given.select(F.col("column").alias("base"), F.col("label").alias("base_label"))
+    flag = F.concat(F.coalesce("base_label", "base"), F.lit(": filled (yes or no)"))
+    return (
+        names.join(given, "column", "left")
+        .join(owner, "base", "left")
+        .select("column", F.coalesce("label", F.when(F.col("column") != F.col("base"), flag), F.lit("")).alias("label"))
+    )
 
 
 def column_labels(
-    columns: Sequence[str], descriptions: Mapping[str, str | None], derived: Mapping[str, str]
+    spark: SparkSession, columns: Sequence[str], descriptions: Mapping[str, str | None], derived: Mapping[str, str]
 ) -> dict[str, str]:
-    """Label of each column: its description, else the label of a derived column, else a
-    generated one for an imputation flag, else empty."""
-    labels = {}
-    for column in columns:
-        label = descriptions.get(column) or derived.get(column)
-        if label is None and column.endswith(FLAG_SUFFIX):
-            base = column.removesuffix(FLAG_SUFFIX)
-            label = f"Flag: True if '{descriptions.get(base) or base}' ({base}) was filled by median imputation"
-        labels[column] = label or ""
-    return labels
-
-
-def column_notes(spec: DatasetSpec, columns: Sequence[str]) -> dict[str, str]:
-    """A curated note wins; otherwise the rules that mention the column tell its story."""
-    notes = {}
-    for column in columns:
-        told = []
-        if column in spec.free_text:
-            told.append(
-                f"Free-text response; near-duplicate values (>={spec.merge_threshold} similarity) "
-                "auto-consolidated to their most frequent form."
-            )
-        if spec.outliers and column in spec.outliers.columns:
-            told.append(f"Checked for outliers via {spec.outliers.multiplier}x IQR (flag-only).")
-        for gate in spec.gates:
-            if gate.dependent == column:
-                told.append(f"Structurally gated by {gate.gate} == '{gate.applies_when}'.")
-        notes[column] = spec.notes.get(column) or " ".join(told)
-    return notes
+    """The label table as a dictionary, to be written into a schema: one entry per column."""
+    return {r["column"]: r["label"] for r in label_table(spark, columns, descriptions, derived).collect()}
+
+
+def note_table(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
+    """``column, notes``: what the rules of a spec say about each column, in the order of the
+    rules.  A note that the spec itself gives replaces them."""
+    said = [(c, 1, f"Free text; spellings at least {spec.merge_threshold} alike are merged.") for c in spec.free_text]
+    if spec.outliers:
+        said += [(c, 2, f"Outliers beyond {spec.outliers.multiplier} IQR are flagged.") for c in spec.outliers.columns]
+    said += [(g.dependent, 3, f"Asked only if {g.gate} is {g.applies_when}.") for g in spec.gates]
+    told = literal_table(spark, said, "column string, place int, note string")
+    told = told.groupBy("column").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "note"))), lambda x: x["note"]), " ").alias("rules")
+    )
+    own = literal_table(spark, list(spec.notes.items()), "column string, own string")
+    return told.join(own, "column", "full").select("column", F.coalesce("own", "rules").alias("notes"))
 
 
 def data_dictionary(
@@ -69,18 +79,19 @@ def data_dictionary(
     columns = final.columns
     types = dict(final.dtypes)
     kinds = {f.name: f.metadata.get("kind") for f in final.schema.fields}
-    labels = column_labels(columns, descriptions, spec.derived_labels)
-    notes = column_notes(spec, columns)
     missing = raw_vs_cleaned(raw, cleaned, columns)
     sets = value_sets(final)
     flagged = [c for c in columns if c + FLAG_SUFFIX in columns]
     names = literal_table(
         final.sparkSession,
         [
-            (i, c, "category" if kinds[c] == "category" else types[c], labels[c], notes[c])
+            (i, c, "category" if kinds[c] == "category" else types[c])
             for i, c in enumerate(columns)
         ],
-        "position int, column string, type string, label string, notes string",
+        "position int, column string, type string",
+    )
+    names = names.join(label_table(final.sparkSession, columns, descriptions, spec.derived_labels), "column").join(
+        note_table(final.sparkSession, spec), "column", "left"
     )
     if flagged:
         counted = final.agg(
@@ -102,7 +113,7 @@ def data_dictionary(
     treatment = (
         F.when(
             F.col("n_imputed").isNotNull(),
-            F.concat(F.lit(TREATED + ", "), F.col("n_imputed").cast("string"), F.lit(" row(s) filled")),
+            F.concat(F.lit(TREATED + ", "), F.col("n_imputed").cast("string"), F.lit(" row(s)")),
         )
         .when(column.endswith(FLAG_SUFFIX), F.lit(IS_FLAG))
         .when(column.isin(*spec.left_missing) if spec.left_missing else F.lit(False), F.lit(LEFT_MISSING))
@@ -121,7 +132,7 @@ def data_dictionary(
             "pct_missing_raw",
             "pct_missing_cleaned",
             treatment.alias("imputation_treatment"),
-            "notes",
+            F.coalesce("notes", F.lit("")).alias("notes"),
         )
     )
 
@@ -185,11 +196,10 @@ def problem_inventory(df: DataFrame, spec: DatasetSpec) -> DataFrame:
             "recompute_totals",
         )
     for rule in spec.code_widths:
-        condition = rule.condition.replace("width", f"length(`{rule.column}`)")
         finding(
             rule.column,
             rule.issue,
-            F.count_if(is_true(F.expr(condition))),
+            F.count_if(width_condition(rule.column, rule.condition)),
             F.lit(rule.severity),
             rule.addressed_by,
         )

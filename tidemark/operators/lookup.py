@@ -14,6 +14,7 @@ from tidemark.functions.columns import (
     literal_table,
     quoted,
     stack_rows,
+    strip,
     zero_pad,
 )
 from tidemark.operators.distribution import value_counts
@@ -32,10 +33,10 @@ _NULL_BUCKETS = 1024
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True if the table has at most ``rows`` rows and their text is not too long either;
-    reads no more rows than it needs to tell."""
+    """True if the table has at most ``rows`` rows and their text is not too long either.
+    Counted and measured by one aggregate; only its row comes back."""
     width = F.length(F.to_json(F.struct(*[quoted(c) for c in df.columns])))
-    found = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")).first()
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")).first()
     return found["n"] <= rows and (found["size"] or 0) <= _BROADCAST_CHARACTERS
 
 
@@ -70,15 +71,18 @@ def lookup_join(
     if heavy is None:
         counts = df.groupBy(*[quoted(c) for c in on]).agg(F.count(F.lit(1)).alias("n"))
         heavy = materialize(heavy_keys(counts, on, df.count(), heavy_rows), "heavy-keys")
+    # keys may be long texts: what is broadcast is a 128-bit digest of each, 10,000 at most
+    digest = F.unhex(F.md5(F.encode(F.to_json(F.struct(*[quoted(c) for c in on])), "utf-8")))
+    heavy = F.broadcast(heavy.select(digest.alias("__digest"), "__pieces"))
     pieces = F.coalesce("__pieces", F.lit(1))
     no_key = F.lit(False)
     for c in on:
         no_key = no_key | quoted(c).isNull()
     spread = F.when(no_key, F.lit(_NULL_BUCKETS)).otherwise(pieces)
-    cut = df.join(F.broadcast(heavy), list(on), "left").withColumn(
+    cut = df.withColumn("__digest", digest).join(heavy, "__digest", "left").drop("__digest").withColumn(
         "__piece", F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), spread).cast("int")
     )
-    copies = lookup.join(F.broadcast(heavy), list(on), "left").withColumn(
+    copies = lookup.withColumn("__digest", digest).join(heavy, "__digest", "left").drop("__digest").withColumn(
         "__piece", F.explode(F.sequence(F.lit(0), pieces - 1))
     )
     return (
@@ -103,14 +107,17 @@ def apply_value_map(
     **limits: int,
 ) -> DataFrame:
     """Replace values listed for a column in ``mapping (column, from_value, to_value)``.
-    The raw text has to match exactly unless ``trim`` is set; NULL never matches."""
+    The raw text has to match exactly unless ``trim`` is set; NULL never matches.  Of several
+    entries for one value the smallest ``to_value`` counts, so no row is ever multiplied."""
     order = df.columns
     for column in columns:
         key, target = "__from", "__to"
-        entries = mapping.filter(F.col("column") == column).select(
-            F.col("from_value").alias(key), F.col("to_value").alias(target)
+        entries = (
+            mapping.filter(F.col("column") == column)
+            .groupBy(F.col("from_value").alias(key))
+            .agg(F.min("to_value").alias(target))
         )
-        probe = F.trim(quoted(column)) if trim else quoted(column)
+        probe = strip(quoted(column)) if trim else quoted(column)
         joined = lookup_join(df.withColumn(key, probe), entries, [key], **limits)
         new_value = F.coalesce(F.col(target), quoted(column)).alias(column, metadata=df.schema[column].metadata)
         df = joined.select(*[new_value if c == column else quoted(c) for c in order])
@@ -122,15 +129,14 @@ def mapping_effect(df: DataFrame, mapping: DataFrame, columns: Sequence[str], tr
     are counted before the join, so it moves distinct values instead of rows."""
     counts = value_counts(df, columns)
     if trim:
-        counts = counts.withColumn("value", F.trim("value"))
+        counts = counts.withColumn("value", strip("value"))
     matched = counts.join(
         mapping.select("column", F.col("from_value").alias("value")), ["column", "value"], "left_semi"
     )
     names = literal_table(df.sparkSession, [(c,) for c in columns], "column string")
     return (
-        names.join(matched, "column", "left")
-        .groupBy("column")
-        .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n_rows_affected"))
+        names.join(matched.groupBy("column").agg(F.sum("count").alias("n")), "column", "left")
+        .select("column", F.coalesce("n", F.lit(0)).alias("n_rows_affected"))
     )
 
 
@@ -144,7 +150,7 @@ def division_sections(structure: DataFrame, code: str = "Code", section: str = "
         structure.filter(F.length(quoted(code)) == 2)
         .select(
             quoted(code).try_cast("int").alias("group_key"),
-            F.substring(F.trim(quoted(section)), 1, 1).alias("group_code"),
+            F.substring(strip(quoted(section)), 1, 1).alias("group_code"),
         )
         .groupBy("group_key")
         .agg(F.min("group_code").alias("group_code"))
@@ -153,7 +159,7 @@ def division_sections(structure: DataFrame, code: str = "Code", section: str = "
 
 def section_labels(structure: DataFrame, code: str = "Code", section: str = "Section") -> DataFrame:
     """``group_code, group_label``: the section text split at its first blank."""
-    text = F.trim(quoted(section))
+    text = strip(quoted(section))
     return (
         structure.filter(F.length(quoted(code)) == 2)
         .select(
@@ -170,21 +176,19 @@ def section_labels(structure: DataFrame, code: str = "Code", section: str = "Sec
 def major_group_labels(
     structure: DataFrame, level: str = "Level", code: str = "Code", title: str = "Title"
 ) -> DataFrame:
-    """``group_code, group_label`` from the level-1 rows of an occupation structure."""
+    """``group_code, group_label`` from the level-1 rows of an occupation structure, one row
+    per code: of several titles the smallest."""
     return (
         structure.filter(quoted(level) == 1)
-        .select(
-            quoted(code).cast("string").alias("group_code"),
-            quoted(title).cast("string").alias("group_label"),
-        )
-        .distinct()
+        .groupBy(strip(quoted(code).cast("string")).alias("group_code"))
+        .agg(F.min(strip(quoted(title).cast("string"))).alias("group_label"))
     )
 
 
 def leading_key(code: Column, rule: ClassifyRule) -> Column:
     """The part of a code that decides its group: trimmed, padded, cut to the leading
     characters.  Codes longer than the width keep their own leading characters."""
-    text = F.trim(code) if rule.blank_is_code else blank_to_null(F.trim(code))
+    text = strip(code) if rule.blank_is_code else blank_to_null(strip(code))
     head = F.substring(zero_pad(text, rule.width), 1, rule.leading)
     if not rule.numeric_key:
         return head
@@ -194,13 +198,16 @@ def leading_key(code: Column, rule: ClassifyRule) -> Column:
 def classify(df: DataFrame, rule: ClassifyRule, groups: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Add group and label columns.  ``groups (group_key, group_code)`` and
     ``labels (group_code, group_label)`` are lookups; unknown codes stay NULL.  Without
-    separate labels, ``groups`` has to carry ``group_label`` itself."""
+    separate labels, ``groups`` has to carry ``group_label`` itself.  A key or code that a
+    lookup repeats counts once, with its smallest group and label."""
     if labels is not None:
-        groups = groups.join(labels, "group_code", "left")
-    groups = groups.select(
-        F.col("group_key").alias("__group_key"),
-        F.col("group_code").alias(rule.group_column),
-        F.col("group_label").alias(rule.label_column),
+        named = labels.groupBy("group_code").agg(F.min("group_label").alias("group_label"))
+        groups = groups.join(named, "group_code", "left")
+    group = F.min(F.struct("group_code", "group_label")).alias("__group")
+    groups = groups.groupBy(F.col("group_key").alias("__group_key")).agg(group).select(
+        "__group_key",
+        F.col("__group.group_code").alias(rule.group_column),
+        F.col("__group.group_label").alias(rule.label_column),
     )
     keyed = df.withColumn("__group_key", leading_key(quoted(rule.column), rule))
     return lookup_join(keyed, groups, ["__group_key"]).drop("__group_key")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import quoted
+from tidemark.functions.columns import quoted, strip
 from tidemark.functions.signatures import (
     KEY_SCHEMA,
     PREFIX_CAP,
@@ -35,7 +35,7 @@ PAIR_COLUMNS = ["column", "value_a", "count_a", "value_b", "count_b", "similarit
 
 def text_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, value, count`` of the trimmed, non-blank texts."""
-    trimmed = df.select(*[F.trim(quoted(c).cast("string")).alias(c) for c in columns])
+    trimmed = df.select(*[strip(quoted(c).cast("string")).alias(c) for c in columns])
     return value_counts(trimmed, columns).filter(F.col("value") != "")
 
 

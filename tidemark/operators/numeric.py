@@ -8,31 +8,44 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.columns import quoted, sql_name
+from tidemark.session import materialize
 
-# Histogram cells per pass over all open intervals together; bounds what one pass returns.
-_CELLS_PER_PASS = 65_536
-# An interval with at most this many rows is finished by fetching its distinct values.
-_FINISH_ROWS = 20_000
+# Relative rank error of the sketches that bracket a rank.
+_ACCURACY = 10_000
+# A bracket with at most this many distinct values is finished by fetching them.
+_FINISH_VALUES = 20_000
+_LEAST_FINISH = 4_096
+# Cells that a larger bracket is cut into.
+_CELLS = 256
 
 
 @dataclass
-class _Interval:
+class _Bracket:
+    """Ranks of a column whose values lie between ``low`` and ``high``, both included."""
+
     column: str
-    low: float
-    high: float
-    rows_below: int
-    rows: int
+    low: float | int
+    high: float | int
+    ranks: list[int]
+    below: int = 0
+
 
+def _is_whole(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
-def _usable_sql(column: str) -> str:
-    """The column as a double, NaN read as missing."""
-    return f"nanvl(CAST({sql_name(column)} AS DOUBLE), NULL)"
 
+def _usable_sql(df: DataFrame, column: str) -> str:
+    """A column of whole numbers as bigint, which keeps every digit; any other as double, NaN
+    read as missing.  Infinity is a value like any other."""
+    name = sql_name(column)
+    return f"CAST({name} AS BIGINT)" if _is_whole(df, column) else f"nanvl(CAST({name} AS DOUBLE), NULL)"
 
-def _usable(column: str) -> Column:
-    return F.expr(_usable_sql(column))
+
+def _usable(df: DataFrame, column: str) -> Column:
+    return F.expr(_usable_sql(df, column))
 
 
 def column_extent(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float | None, float | None]]:
@@ -40,102 +53,184 @@ def column_extent(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int,
     row = df.selectExpr(
         *[
             f"named_struct('n', count({v}), 'lo', min({v}), 'hi', max({v})) AS x{i}"
-            for i, v in enumerate(_usable_sql(c) for c in columns)
+            for i, v in enumerate(_usable_sql(df, c) for c in columns)
         ]
     ).first()
     return {c: (row[i]["n"], row[i]["lo"], row[i]["hi"]) for i, c in enumerate(columns)}
 
 
-def _rows_inside(df: DataFrame, intervals: Sequence[_Interval], cells: int | None) -> DataFrame:
-    """One row per (interval, value inside it); with ``cells`` also its histogram cell.  One
-    scan for all intervals; values are laid out by an unpivot, which stays in generated code."""
-    names = [str(i) for i in range(len(intervals))]
-    inside = []
-    for name, box in zip(names, intervals):
-        value = _usable(box.column)
-        inside.append(F.when(value.between(F.lit(box.low), F.lit(box.high)), value).alias(name))
-    long = (
-        df.select(*inside)
-        .unpivot([], [quoted(n) for n in names], "interval", "value")
-        .filter(F.col("value").isNotNull())
-        .withColumn("interval", F.col("interval").cast("int"))
-    )
-    if not cells:
-        return long
-    low = F.array(*[F.lit(box.low) for box in intervals])[F.col("interval")]
-    spread = F.array(*[F.lit(box.high - box.low) for box in intervals])[F.col("interval")]
-    cell = F.floor((F.col("value") - low) * F.lit(float(cells)) / spread)
-    return long.withColumn("cell", F.least(cell, F.lit(cells - 1)))
+def _sketched(
+    df: DataFrame, ranks: Mapping[str, Sequence[int]], extent: Mapping[str, tuple], accuracy: int
+) -> list[_Bracket]:
+    """Brackets around the ranks, from one scan.  A sketch is off by a share of the ranks; the
+    percentiles asked for lie several such shares to either side."""
+    columns = list(ranks)
+    asked = {}
+    for c in columns:
+        n, margin = extent[c][0], 4 * extent[c][0] / accuracy + 1
+        asked[c] = [min(1.0, max(0.0, (r + 1 + side * margin) / n)) for r in ranks[c] for side in (-1, 1)]
+    row = df.agg(
+        *[F.percentile_approx(_usable(df, c), asked[c], accuracy).alias(f"q{i}") for i, c in enumerate(columns)]
+    ).first()
+    brackets = []
+    for i, c in enumerate(columns):
+        n, least, most = extent[c]
+        bounds = []
+        for k, rank in enumerate(ranks[c]):
+            low, high = row[i][2 * k], row[i][2 * k + 1]
+            # sketches hold doubles: a large whole number may have lost its last digits there
+            if isinstance(low, int):
+                low, high = low - (abs(low) >> 51), high + (abs(high) >> 51)
+            if asked[c][2 * k] == 0.0:
+                low = least
+            if asked[c][2 * k + 1] == 1.0:
+                high = most
+            bounds.append((max(low, least), min(high, most), rank))
+        for low, high, rank in sorted(bounds, key=lambda x: x[2]):
+            last = brackets[-1] if brackets and brackets[-1].column == c else None
+            if last and low <= last.high:
+                last.low, last.high = min(last.low, low), max(last.high, high)
+                last.ranks.append(rank)
+            else:
+                brackets.append(_Bracket(c, low, high, [rank]))
+    return brackets
+
+
+def _count_below(df: DataFrame, brackets: Sequence[_Bracket]) -> list[tuple[int, int]]:
+    """Rows below and inside each bracket, from one scan."""
+    measures = []
+    for i, box in enumerate(brackets):
+        value = _usable(df, box.column)
+        measures += [
+            F.count_if(value < F.lit(box.low)).alias(f"b{i}"),
+            F.count_if(value.between(F.lit(box.low), F.lit(box.high))).alias(f"i{i}"),
+        ]
+    row = df.agg(*measures).first()
+    return [(row[2 * i], row[2 * i + 1]) for i in range(len(brackets))]
+
+
+def _values_inside(df: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
+    """``bracket, whole, real, count``, written out: the distinct values of every bracket, from
+    one scan.  A row makes entries for the brackets that it falls into alone."""
+    entries = []
+    for i, box in enumerate(brackets):
+        value = _usable(df, box.column)
+        whole = _is_whole(df, box.column)
+        entries.append(
+            F.when(
+                value.between(F.lit(box.low), F.lit(box.high)),
+                F.struct(
+                    F.lit(i).alias("bracket"),
+                    (value if whole else F.lit(None)).cast("bigint").alias("whole"),
+                    (F.lit(None) if whole else value).cast("double").alias("real"),
+                ),
+            )
+        )
+    inside = df.select(F.inline(F.array_compact(F.array(*entries))))
+    return materialize(inside.groupBy("bracket", "whole", "real").agg(F.count(F.lit(1)).alias("count")), "bracket-values")
+
+
+def _pick(box: _Bracket, counted: Sequence[tuple], found: dict) -> None:
+    """Values at the ranks of a bracket, from ``(value, count)`` of all its values."""
+    below, pending = box.below, sorted(box.ranks)
+    for value, count in sorted(counted):
+        while pending and pending[0] < below + count:
+            found[(box.column, pending.pop(0))] = value
+        below += count
+
+
+def _narrowed(values: DataFrame, boxes: dict[int, _Bracket], kinds: dict[int, str], found: dict, finish: int) -> None:
+    """Finish the brackets on their written distinct values: few are fetched, many are cut into
+    cells of about equally many values until few are left around each rank."""
+    open_ = list(boxes.items())
+    while open_:
+        tests = F.lit(None).cast("int")
+        for at, (i, box) in enumerate(open_):
+            held = (F.col("bracket") == i) & F.col(kinds[i]).between(F.lit(box.low), F.lit(box.high))
+            # boxes of one bracket do not overlap
+            tests = F.when(held, F.lit(at)).otherwise(tests)
+        here = values.withColumn("box", tests).filter("box IS NOT NULL")
+        sizes = {r["box"]: r["n"] for r in here.groupBy("box").agg(F.count(F.lit(1)).alias("n")).collect()}
+        few = [at for at in range(len(open_)) if sizes.get(at, 0) <= finish]
+        if few:
+            fetched: dict[int, list] = {at: [] for at in few}
+            for r in here.filter(F.col("box").isin(few)).collect():
+                fetched[r["box"]].append((r[kinds[open_[r["box"]][0]]], r["count"]))
+            for at in few:
+                _pick(open_[at][1], fetched[at], found)
+        rest = [at for at in range(len(open_)) if at not in set(few)]
+        if not rest:
+            return
+        value = F.coalesce(F.col("real"), F.col("whole").cast("double"))
+        shares = [k / _CELLS for k in range(1, _CELLS)]
+        cuts = (
+            here.filter(F.col("box").isin(rest)).groupBy("box").agg(F.percentile_approx(value, shares, _ACCURACY).alias("cuts")).collect()
+        )
+        listed = F.lit(None).cast("array<double>")
+        for r in cuts:
+            listed = F.when(F.col("box") == r["box"], F.array(*[F.lit(float(c)) for c in sorted(set(r["cuts"]))])).otherwise(listed)
+        cell = F.size(F.filter(listed, lambda c: c <= value))
+        counted = (
+            here.filter(F.col("box").isin(rest))
+            .withColumn("cell", cell)
+            .groupBy("box", "cell")
+            .agg(
+                F.sum("count").alias("rows"),
+                *[f(k).alias(f"{n}_{k}") for k in ("whole", "real") for f, n in ((F.min, "lo"), (F.max, "hi"))],
+            )
+            .collect()
+        )
+        narrowed = []
+        for at in rest:
+            i, box = open_[at]
+            below = box.below
+            for r in sorted((r for r in counted if r["box"] == at), key=lambda r: r["cell"]):
+                inside = [x for x in box.ranks if below <= x < below + r["rows"]]
+                if inside:
+                    low, high = r[f"lo_{kinds[i]}"], r[f"hi_{kinds[i]}"]
+                    narrowed.append((i, _Bracket(box.column, low, high, inside, below)))
+                below += r["rows"]
+        open_ = narrowed
 
 
 def order_statistics(
     df: DataFrame,
     ranks: Mapping[str, Sequence[int]],
     extent: Mapping[str, tuple[int, float | None, float | None]],
-    finish_rows: int = _FINISH_ROWS,
-    cells_per_pass: int = _CELLS_PER_PASS,
-) -> dict[tuple[str, int], float]:
-    """The value at each 0-based rank of each column, exactly.
-
-    Every pass splits the open intervals into equal cells, counts the rows per cell on the
-    map side, and keeps the cell that holds the rank.  A pass moves only cell counts, so a
-    hot value or a huge column costs no more than a flat one; cells shrink to the smallest
-    and largest value seen in them, so each pass makes progress.
+    accuracy: int = _ACCURACY,
+    finish_values: int = _FINISH_VALUES,
+) -> dict[tuple[str, int], float | int]:
+    """The value at each 0-based rank of each column, exactly and in the column's own type.
+
+    Three scans, whatever the values: a sketch brackets every rank, the rows below and inside
+    the brackets are counted, and the distinct values inside, a small share of the table, are
+    written out with their counts.  The rest works on that.  A sketch that missed its rank
+    would show in the counts; its bracket is then opened to the column's end and counted again.
     """
-    found: dict[tuple[str, int], float] = {}
-    open_: list[tuple[_Interval, list[int]]] = [
-        (_Interval(c, extent[c][1], extent[c][2], 0, extent[c][0]), sorted(set(wanted)))
-        for c, wanted in ranks.items()
-        if extent[c][0] and wanted
-    ]
-    while open_:
-        still = []
-        for box, wanted in open_:
-            if box.low == box.high:
-                found.update({(box.column, r): box.low for r in wanted})
-            else:
-                still.append((box, wanted))
-        open_ = still
-        # small intervals first finish together, bounded by the same budget per pass
-        small, spent = [], 0
-        for entry in open_:
-            if entry[0].rows <= finish_rows and spent + entry[0].rows <= 4 * cells_per_pass:
-                small.append(entry)
-                spent += entry[0].rows
-        if small:
-            counted = _rows_inside(df, [b for b, _ in small], None).groupBy("interval", "value").count()
-            by_interval: dict[int, list[tuple[float, int]]] = {}
-            for row in counted.collect():
-                by_interval.setdefault(row["interval"], []).append((row["value"], row["count"]))
-            for i, (box, wanted) in enumerate(small):
-                below, pending = box.rows_below, list(wanted)
-                for value, count in sorted(by_interval.get(i, [])):
-                    while pending and pending[0] < below + count:
-                        found[(box.column, pending.pop(0))] = value
-                    below += count
-            open_ = [e for e in open_ if e not in small]
-        if not open_:
+    found: dict[tuple[str, int], float | int] = {}
+    wanted: dict[str, list[int]] = {}
+    for c, asked in ranks.items():
+        n, low, high = extent[c]
+        if n and low == high:
+            found.update({(c, r): low for r in asked})
+        elif n and asked:
+            wanted[c] = sorted(set(asked))
+    if not wanted:
+        return found
+    brackets = _sketched(df, wanted, extent, accuracy)
+    while True:
+        missed = False
+        for box, (below, inside) in zip(brackets, _count_below(df, brackets)):
+            box.below = below
+            if box.ranks[0] < below:
+                box.low, missed = extent[box.column][1], True
+            if box.ranks[-1] >= below + inside:
+                box.high, missed = extent[box.column][2], True
+        if not missed:
             break
-        boxes = [b for b, _ in open_]
-        cells = max(64, min(4096, cells_per_pass // len(boxes)))
-        grouped = (
-            _rows_inside(df, boxes, cells)
-            .groupBy("interval", "cell")
-            .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-            .collect()
-        )
-        per_box: dict[int, list] = {}
-        for row in grouped:
-            per_box.setdefault(row["interval"], []).append(row)
-        narrowed: list[tuple[_Interval, list[int]]] = []
-        for i, (box, wanted) in enumerate(open_):
-            below = box.rows_below
-            for row in sorted(per_box[i], key=lambda r: r["cell"]):
-                inside = [r for r in wanted if below <= r < below + row["rows"]]
-                if inside:
-                    narrowed.append((_Interval(box.column, row["lo"], row["hi"], below, row["rows"]), inside))
-                below += row["rows"]
-        open_ = narrowed
+    values = _values_inside(df, brackets)
+    kinds = {i: "whole" if _is_whole(df, box.column) else "real" for i, box in enumerate(brackets)}
+    _narrowed(values, dict(enumerate(brackets)), kinds, found, max(_LEAST_FINISH, finish_values))
     return found
 
 
@@ -163,7 +258,8 @@ def exact_quantiles(
             at = (n - 1) * p
             low = values[(column, math.floor(at))]
             high = values[(column, math.ceil(at))]
-            quantiles.append(low + (high - low) * (at - math.floor(at)))
+            # between equal values, infinite ones among them, there is nothing to interpolate
+            quantiles.append(low if low == high or at == math.floor(at) else low + (high - low) * (at - math.floor(at)))
         result[column] = (n, quantiles)
     return result
 
@@ -174,10 +270,10 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     measured = df.agg(
         *[
             F.struct(
-                F.count(_usable(c)).alias("n"),
-                F.avg(_usable(c)).alias("mean"),
-                F.min(_usable(c)).alias("min"),
-                F.max(_usable(c)).alias("max"),
+                F.count(_usable(df, c)).alias("n"),
+                F.avg(_usable(df, c)).alias("mean"),
+                F.min(_usable(df, c)).cast("double").alias("min"),
+                F.max(_usable(df, c)).cast("double").alias("max"),
             ).alias(f"x{i}")
             for i, c in enumerate(columns)
         ]
@@ -204,6 +300,7 @@ def _edges(extent: tuple[int, float | None, float | None], bins: int) -> tuple[f
         low, high = 0.0, 1.0
     elif low == high:
         low, high = low - 0.5, high + 0.5
+    low, high = float(low), float(high)
     return low, high, (high - low) / bins
 
 
@@ -232,7 +329,7 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """``bin, lower, upper, count`` over equal-width bins, empty ones included."""
     low, high, step = _edges(column_extent(df, [column])[column], bins)
     counts = (
-        df.select(_bin_of(_usable(column), low, high, step, bins).alias("bin"))
+        df.select(_bin_of(_usable(df, column).cast("double"), low, high, step, bins).alias("bin"))
         .filter(F.col("bin").isNotNull())
         .groupBy("bin")
         .count()
@@ -250,7 +347,7 @@ def observed_vs_imputed(df: DataFrame, column: str, flag: str, bins: int = 25) -
     filled = F.coalesce(quoted(flag).cast("boolean"), F.lit(False))
     low, high, step = _edges(column_extent(df.filter(~filled), [column])[column], bins)
     counts = (
-        df.select(_bin_of(_usable(column), low, high, step, bins).alias("bin"), filled.alias("filled"))
+        df.select(_bin_of(_usable(df, column).cast("double"), low, high, step, bins).alias("bin"), filled.alias("filled"))
         .filter(F.col("bin").isNotNull())
         .groupBy("bin")
         .agg(F.count_if(~F.col("filled")).alias("n_observed"), F.count_if("filled").alias("n_imputed"))

@@ -51,10 +51,10 @@ def report_facts(
         coverage = lookup.classification_coverage(cleaned, classified)
         parts.append(facts("cleaning", coverage, "code_column", ["n_coded", "n_unclassified"]))
     if spec.free_text:
-        surplus = dedup.duplicate_keys(typed, spec.keys)
-        if surplus.isEmpty():
-            diff = lookup.version_diff(typed, cleaned, spec.keys, spec.free_text)
-            parts.append(facts("cleaning", diff, "column", ["n_changed"]))
+        # rows that the cleaning dropped have no later version: compare the surviving ones
+        kept = dedup.keep_first(typed, spec.keys, spec.order_by)
+        diff = lookup.version_diff(kept, cleaned, spec.keys, spec.free_text)
+        parts.append(facts("cleaning", diff, "column", ["n_changed"]))
     flag_list = flag_rules(cleaned, spec)
     if flag_list:
         flags = rules.flag_rows(cleaned, spec.keys, flag_list)

@@ -96,7 +96,7 @@ def run_dataset(
     report("report_facts", report_facts(spec, typed, cleaned, imputed, fills))
 
     # export
-    labels = document.column_labels(imputed.columns, descriptions, spec.derived_labels)
+    labels = document.column_labels(spark, imputed.columns, descriptions, spec.derived_labels)
     paths["final"] = f"{base}/final"
     report("round_trip", tables.export_table(imputed, labels, paths["final"]))
     return paths

@@ -59,29 +59,29 @@ def _dictionary_row(column, type_, label, values, treatment, note, derived=False
     {treatment} AS imputation_treatment, '{note}' AS notes"""
 
 
-_NONE_MISSING = "'N/A (no missing values)'"
+_NONE_MISSING = "'Complete'"
 _DICTIONARY = " UNION ALL ".join(
     [
         _dictionary_row("p_partkey", "bigint", "Key", _RANGE, _NONE_MISSING, "Key of the part."),
         _dictionary_row(
             "p_name", "string", "Name", _LISTED, _NONE_MISSING,
-            "Free-text response; near-duplicate values (>=0.98 similarity) auto-consolidated to their most frequent form.",
+            "Free text; spellings at least 0.98 alike are merged.",
         ),
         _dictionary_row("p_brand", "string", "", _LISTED, _NONE_MISSING, ""),
         _dictionary_row(
-            "p_type", "string", "", _LISTED, "'Left missing (confirmed structural -- see notes)'",
-            "Structurally gated by p_brand == ''Brand#1''.",
+            "p_type", "string", "", _LISTED, "'Left empty on purpose'",
+            "Asked only if p_brand is Brand#1.",
         ),
         _dictionary_row(
             "p_size", "int", "Size", _RANGE,
-            "(SELECT 'Median imputation, ' || count(*) || ' row(s) filled' FROM final WHERE p_size_imputed)", "",
+            "(SELECT 'Filled with the median, ' || count(*) || ' row(s)' FROM final WHERE p_size_imputed)", "",
         ),
         _dictionary_row(
-            "p_retailprice", "double", "", _RANGE, _NONE_MISSING, "Checked for outliers via 1.5x IQR (flag-only)."
+            "p_retailprice", "double", "", _RANGE, _NONE_MISSING, "Outliers beyond 1.5 IQR are flagged."
         ),
         _dictionary_row(
-            "p_size_imputed", "boolean", "Flag: True if ''Size'' (p_size) was filled by median imputation",
-            "'False–True'", "'N/A -- this column is itself an imputation flag'", "", derived=True,
+            "p_size_imputed", "boolean", "Size: filled (yes or no)",
+            "'False–True'", "'Marks filled values'", "", derived=True,
         ),
     ]
 )
@@ -102,8 +102,8 @@ def data_dictionary(spark, sf_dir):
 @query(
     "dictionary_summary",
     f"""WITH {_PART_LAYERS}, d AS ({_DICTIONARY}) SELECT count(*) AS n_variables,
-    count(*) FILTER (WHERE imputation_treatment LIKE 'Median imputation%') AS n_imputed_variables,
-    count(*) FILTER (WHERE imputation_treatment LIKE 'Left missing%') AS n_left_missing FROM d""",
+    count(*) FILTER (WHERE imputation_treatment LIKE 'Filled with the median%') AS n_imputed_variables,
+    count(*) FILTER (WHERE imputation_treatment LIKE 'Left empty%') AS n_left_missing FROM d""",
 )
 def dictionary_summary(spark, sf_dir):
     return document.dictionary_summary(data_dictionary(spark, sf_dir))
@@ -141,7 +141,7 @@ _INVENTORY = " UNION ALL ".join(
     "problem_inventory",
     f"""WITH {SALES_SQL} {_INVENTORY}
     UNION ALL SELECT 'l_orderkey', 'named like an ID: ' || count(DISTINCT l_orderkey) || ' distinct values across '
-    || count(*) || ' rows', count(*), 100.0, 'None (not currently used as a key) / High if ever used as one',
+    || count(*) || ' rows', count(*), 100.0, 'High if used as a key',
     'not used as a join key' FROM sales""",
 )
 def problem_inventory(spark, sf_dir):
