@@ -81,7 +81,7 @@ def difference(spark_result, sql_result) -> str | None:
 
 
 def main() -> int:
-    from tidemark import queries as registered
+    import __spark_entry__ as registered
     from tidemark.session import build_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
@@ -89,7 +89,7 @@ def main() -> int:
     wanted = sys.argv[2:]
     spark = build_session(
         "compare",
-        "local[8]",
+        "local[4]",
         8,
         {"spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )

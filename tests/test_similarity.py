@@ -73,17 +73,20 @@ def test_degenerate_pairs():
     assert scores.tolist()[:4] == [1.0, 0.0, 1.0, 0.0]
 
 
-def _keys(values, threshold, budget, shorter_side):
+def _keys(values, threshold, budget):
+    """Keys of every value on the shorter and on the longer side."""
     n = len(values)
     batch = pa.RecordBatch.from_arrays(
-        [pa.array(["c"] * n), pa.array(values), pa.array([1] * n)], names=["column", "value", "count"]
+        [pa.array(np.ones(n, dtype=np.int32)), pa.array(np.arange(n)), pa.array(values)], names=["column", "id", "value"]
     )
-    found = {v: set() for v in values}
-    frequent = "e tabcd"
-    for part in signatures.blocking_keys(threshold, budget, frequent, shorter_side)(iter([batch])):
-        for value, key in zip(part.column("value").to_pylist(), part.column("key").to_pylist()):
-            found[value].add(key)
-    return found
+    shorter, longer = {v: set() for v in values}, {v: set() for v in values}
+    for part in signatures.blocking_keys(threshold, budget, "e tabcd")(iter([batch])):
+        for at, key, side in zip(*(part.column(c).to_pylist() for c in ("id", "key", "side"))):
+            if side != signatures.LONGER:
+                shorter[values[at]].add(key)
+            if side != signatures.SHORTER:
+                longer[values[at]].add(key)
+    return shorter, longer
 
 
 @pytest.mark.parametrize("threshold", [0.85, 0.95, 0.98])
@@ -96,7 +99,7 @@ def test_no_qualifying_pair_without_a_common_key(threshold, budget):
     close = [p for p, s in zip(pairs, scores) if s >= threshold and p[0] != p[1]]
     assert len(close) > 50
     values = sorted({v for p in close for v in p})
-    shorter, longer = (_keys(values, threshold, budget, side) for side in (True, False))
+    shorter, longer = _keys(values, threshold, budget)
     assert all(shorter[a] & longer[b] or shorter[b] & longer[a] for a, b in close)
 
 

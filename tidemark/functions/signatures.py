@@ -142,10 +142,13 @@ def bit_signatures(chars: np.ndarray, inside: np.ndarray) -> np.ndarray:
     return np.stack(words, axis=1)
 
 
+# What travels for each key: never the text, only what the exact tests need.
 KEY_SCHEMA = (
-    "column string, value string, count bigint, key bigint, prefix int, cross boolean, "
+    "key bigint, id bigint, side tinyint, prefix tinyint, length int, next int, "
     "s0 bigint, s1 bigint, s2 bigint, s3 bigint"
 )
+SHORTER, LONGER, BOTH = 0, 1, 2
+_NUMBERS_PER_BLOCK = 1 << 21  # numbers in the largest array that a block of texts needs
 
 
 def _deal_order(chars: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -162,30 +165,29 @@ def _deal_order(chars: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.where(listed, by_code[at].astype(np.uint64), hashed)
 
 
-def blocking_keys(threshold: float, key_budget: int, frequent_chars: str, shorter_side: bool):
-    """A ``mapInArrow`` function: (column, value, count) -> one row per blocking key.
+def blocking_keys(threshold: float, key_budget: int, frequent_chars: str):
+    """A ``mapInArrow`` function: (column, id, value) -> one row per blocking key.
 
     In a class of two length buckets the texts of the lower bucket belong to the shorter
     side and those of the upper one to the longer side; in a class of one bucket they belong
     to both.  Joining one side with the other never compares texts that only share a class
-    with a third length.
+    with a third length.  Blocks of texts are cut by what their arrays hold, so that long
+    texts and many choices take no more memory than short ones.
     """
     frequent = np.array([ord(c) for c in frequent_chars], dtype=np.uint32)
 
-    def one_bucket(batch: pa.RecordBatch, texts: list[str], rows: np.ndarray, bucket: int):
+    def one_block(column: int, ids: np.ndarray, texts: list[str], bucket: int):
         lengths = np.array([len(t) for t in texts])
         chars = code_points(texts, int(lengths.max()))
         inside = np.arange(chars.shape[1])[None, :] < lengths[:, None]
         signature = bit_signatures(chars, inside).view(np.int64)
         char_hash = np.where(inside, _mix(chars.astype(np.uint64) + np.uint64(1)), np.uint64(0))
         deal = _deal_order(chars, frequent)
-        prefix_hash = [np.full(len(texts), _seed(0), dtype=np.uint64)]
+        prefix_hash = [np.full(len(texts), _seed(column), dtype=np.uint64)]
         for i in range(min(PREFIX_CAP, chars.shape[1])):
             prefix_hash.append(_mix(prefix_hash[-1] * np.uint64(31) + chars[:, i].astype(np.uint64)))
         group_hash: dict[int, np.ndarray] = {}
         for prefix, partner, differences, groups in bucket_plan(threshold, bucket, key_budget):
-            if partner != bucket and (bucket < partner) != shorter_side:
-                continue
             long_enough = np.flatnonzero(lengths >= prefix)
             if prefix >= len(prefix_hash) or not len(long_enough):
                 continue
@@ -197,35 +199,40 @@ def blocking_keys(threshold: float, key_budget: int, frequent_chars: str, shorte
                 seeds = np.array([_seed(groups, j) for j in range(groups)], dtype=np.uint64)
                 group_hash[groups] = _mix(sums + seeds[None, :])
             chosen = np.array(list(combinations(range(groups), groups - differences)))
-            per_choice = group_hash[groups][long_enough][:, chosen].sum(axis=2, dtype=np.uint64)
-            one, other = min(bucket, partner), max(bucket, partner)
-            class_seed = _seed(prefix, one, other)
+            class_seed = _seed(prefix, min(bucket, partner), max(bucket, partner))
             choice_seed = _mix(np.arange(len(chosen), dtype=np.uint64) + class_seed)
-            keys = _mix(per_choice + choice_seed[None, :] + prefix_hash[prefix][long_enough][:, None])
-            count = keys.size
-            source = np.repeat(long_enough, len(chosen))
-            taken = pa.array(rows[source])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("column").take(taken),
-                    batch.column("value").take(taken),
-                    batch.column("count").take(taken),
-                    pa.array(keys.reshape(-1).view(np.int64)),
-                    pa.array(np.full(count, prefix, dtype=np.int32)),
-                    pa.array(np.full(count, one != other)),
-                    *[pa.array(signature[source, w]) for w in range(SIGNATURE_WORDS)],
-                ],
-                names=["column", "value", "count", "key", "prefix", "cross", "s0", "s1", "s2", "s3"],
-            )
+            side = BOTH if partner == bucket else SHORTER if bucket < partner else LONGER
+            following = chars[:, prefix] if prefix < chars.shape[1] else np.zeros(len(texts), dtype=np.uint32)
+            step = max(1, _NUMBERS_PER_BLOCK // chosen.size)
+            for at in range(0, len(long_enough), step):
+                some = long_enough[at : at + step]
+                per_choice = group_hash[groups][some][:, chosen].sum(axis=2, dtype=np.uint64)
+                keys = _mix(per_choice + choice_seed[None, :] + prefix_hash[prefix][some][:, None])
+                source = np.repeat(some, len(chosen))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(keys.reshape(-1).view(np.int64)),
+                        pa.array(ids[source]),
+                        pa.array(np.full(len(source), side, dtype=np.int8)),
+                        pa.array(np.full(len(source), prefix, dtype=np.int8)),
+                        pa.array(lengths[source].astype(np.int32)),
+                        pa.array(following[source].astype(np.int32)),
+                        *[pa.array(signature[source, w]) for w in range(SIGNATURE_WORDS)],
+                    ],
+                    names=["key", "id", "side", "prefix", "length", "next", "s0", "s1", "s2", "s3"],
+                )
 
     def generate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("value").to_pylist()
-            buckets = np.array([length_bucket(len(t)) for t in texts])
-            for bucket in np.unique(buckets):
-                rows = np.flatnonzero(buckets == bucket)
-                for at in range(0, len(rows), _ROWS_PER_BLOCK):
-                    block = rows[at : at + _ROWS_PER_BLOCK]
-                    yield from one_bucket(batch, [texts[i] for i in block], block, int(bucket))
+            texts, ids = batch.column("value").to_pylist(), batch.column("id").to_numpy()
+            columns = batch.column("column").to_numpy()
+            lengths = np.array([len(t) for t in texts])
+            buckets = np.array([length_bucket(n) for n in lengths.tolist()])
+            for column, bucket in sorted(set(zip(columns.tolist(), buckets.tolist()))):
+                rows = np.flatnonzero((buckets == bucket) & (columns == column))
+                step = max(1, min(_ROWS_PER_BLOCK, _NUMBERS_PER_BLOCK // int(lengths[rows].max())))
+                for at in range(0, len(rows), step):
+                    block = rows[at : at + step]
+                    yield from one_block(column, ids[block], [texts[i] for i in block], bucket)
 
     return generate

@@ -11,9 +11,12 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import quoted, strip
 from tidemark.functions.signatures import (
+    BOTH,
     KEY_SCHEMA,
+    LONGER,
     PREFIX_CAP,
     PREFIX_WEIGHT,
+    SHORTER,
     SIGNATURE_WORDS,
     blocking_keys,
 )
@@ -59,21 +62,18 @@ def _difference_bound(threshold: float) -> Column:
     and their common prefix."""
     prefix = F.col("a.prefix").cast("double") * PREFIX_WEIGHT
     jaro = (F.lit(threshold) - prefix) / (F.lit(1.0) - prefix)
-    n, m = F.length("a.value").cast("double"), F.length("b.value").cast("double")
+    n, m = F.col("a.length").cast("double"), F.col("b.length").cast("double")
     needed = F.ceil((jaro * 3 - 1) * n * m / (n + m) - _ROUNDING)
     return n + m - needed * 2
 
 
 def _candidate_condition(threshold: float) -> Column:
-    """Exact tests a pair has to pass before it leaves the join, all on fixed-size columns."""
+    """Exact tests a pair has to pass before it leaves the join, all on numbers."""
     # within one length bucket both sides hold every value: each pair is taken once
-    once = F.col("a.cross") | (F.col("a.value") < F.col("b.value"))
-    # below the cap, the pair belongs to the class of its exact common prefix only
-    next_char = F.col("a.prefix") + 1
-    exact_prefix = (F.col("a.prefix") == PREFIX_CAP) | (
-        F.substring(F.col("a.value"), next_char, F.lit(1))
-        != F.substring(F.col("b.value"), next_char, F.lit(1))
-    )
+    once = (F.col("a.side") != BOTH) | (F.col("a.id") < F.col("b.id"))
+    # below the cap, the pair belongs to the class of its exact common prefix only; a text
+    # that ends there has no next character
+    exact_prefix = (F.col("a.prefix") == PREFIX_CAP) | (F.col("a.next") != F.col("b.next"))
     differing_bits = sum(
         (F.bit_count(F.col(f"a.s{w}").bitwiseXOR(F.col(f"b.s{w}"))) for w in range(1, SIGNATURE_WORDS)),
         F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0"))),
@@ -81,22 +81,16 @@ def _candidate_condition(threshold: float) -> Column:
     return once & exact_prefix & (differing_bits <= _difference_bound(threshold))
 
 
-def _hot_blocks(shorter: DataFrame, longer: DataFrame, block_rows: int) -> DataFrame:
+def _hot_blocks(keys: DataFrame, block_rows: int) -> DataFrame:
     """Keys with more than ``block_rows`` values on a side, with the number of blocks to cut
     each side into; written out."""
-    one, none = F.lit(1), F.lit(0)
-    sides = shorter.select("column", "key", one.alias("a"), none.alias("b")).unionByName(
-        longer.select("column", "key", none.alias("a"), one.alias("b"))
+    sizes = keys.groupBy("key").agg(
+        F.count_if(F.col("side") != LONGER).alias("a"), F.count_if(F.col("side") != SHORTER).alias("b")
     )
-    sizes = sides.groupBy("column", "key").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     blocks = [F.greatest(F.ceil(F.col(c) / block_rows), F.lit(1)).cast("int") for c in ("a", "b")]
     return materialize(
         sizes.filter((F.col("a") > block_rows) | (F.col("b") > block_rows)).select(
-            "column",
-            "key",
-            (F.col("a") + F.col("b")).alias("n"),
-            blocks[0].alias("a_blocks"),
-            blocks[1].alias("b_blocks"),
+            "key", (F.col("a") + F.col("b")).alias("n"), blocks[0].alias("a_blocks"), blocks[1].alias("b_blocks")
         ),
         "hot-keys",
     )
@@ -106,12 +100,12 @@ def _place(keys: DataFrame, hot: DataFrame, heavy: DataFrame, own: str, other: s
     """Add the block pair (``a_block, b_block``) in which a value is compared: its own block
     by a hash, repeated for every block of the other side.  Keys that are not hot have one
     block pair, so no task ever meets a whole hot key."""
-    blocks = hot.select("column", "key", "a_blocks", "b_blocks")
-    placed = lookup_join(keys, blocks, ["column", "key"], heavy=heavy)
+    blocks = hot.select("key", "a_blocks", "b_blocks")
+    placed = lookup_join(keys, blocks, ["key"], heavy=heavy)
     own_blocks = F.coalesce(f"{own}_blocks", F.lit(1))
     other_blocks = F.coalesce(f"{other}_blocks", F.lit(1))
     return (
-        placed.withColumn(f"{own}_block", F.pmod(F.xxhash64("value"), own_blocks).cast("int"))
+        placed.withColumn(f"{own}_block", F.pmod(F.xxhash64("id"), own_blocks).cast("int"))
         .withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0), other_blocks - 1)))
         .drop("a_blocks", "b_blocks")
     )
@@ -120,49 +114,59 @@ def _place(keys: DataFrame, hot: DataFrame, heavy: DataFrame, own: str, other: s
 def candidate_pairs(
     values: DataFrame, threshold: float, key_budget: int = 16, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Distinct candidate pairs: every qualifying pair is among them."""
+    """``x, y``: distinct pairs of ids of ``values (column, id, value)``; every qualifying pair
+    is among them.  The keys are made once and written out, and hold numbers alone."""
     n_values = values.count()
-    spread = values.repartition(max(2, -(-n_values // _VALUES_PER_TASK)), "value")
     frequent = frequent_characters(values)
-    shorter, longer = (
-        spread.mapInArrow(blocking_keys(threshold, key_budget, frequent, side), KEY_SCHEMA)
-        for side in (True, False)
+    keys = materialize(
+        values.select("column", "id", "value")
+        .repartition(max(2, -(-n_values // _VALUES_PER_TASK)), "id")
+        .mapInArrow(blocking_keys(threshold, key_budget, frequent), KEY_SCHEMA),
+        "blocking-keys",
     )
-    on = ["column", "key", "prefix", "cross"]
+    shorter, longer = keys.filter(F.col("side") != LONGER), keys.filter(F.col("side") != SHORTER)
+    on = ["key", "prefix"]
     # a key can only exceed the block size if there are that many values at all
     if n_values > block_rows:
-        hot = _hot_blocks(shorter, longer, block_rows)
+        hot = _hot_blocks(keys, block_rows)
         if not hot.isEmpty():
-            heavy = heavy_keys(hot, ["column", "key"], hot.agg(F.sum("n")).first()[0])
+            heavy = heavy_keys(hot, ["key"], hot.agg(F.sum("n")).first()[0])
             shorter = _place(shorter, hot, heavy, "a", "b")
             longer = _place(longer, hot, heavy, "b", "a")
             on = [*on, "a_block", "b_block"]
-    condition = _candidate_condition(threshold)
+    # a class has one bucket or two: sides that are both meet only such
+    condition = _candidate_condition(threshold) & ((F.col("a.side") == BOTH) == (F.col("b.side") == BOTH))
     for name in on:
         condition = condition & (F.col(f"a.{name}") == F.col(f"b.{name}"))
-    a_first = (F.col("a.count") > F.col("b.count")) | (
-        (F.col("a.count") == F.col("b.count")) & (F.col("a.value") < F.col("b.value"))
-    )
-
-    def pick(name: str, first: bool) -> Column:
-        left, right = (F.col(f"a.{name}"), F.col(f"b.{name}"))
-        return F.when(a_first == F.lit(first), left).otherwise(right)
-
     # the planner cannot see how many keys a value has, so it must not guess a broadcast
     return (
         shorter.alias("a")
         .join(longer.alias("b").hint("merge"), condition)
-        .select(
-            F.col("a.column").alias("column"),
-            pick("value", True).alias("value_a"),
-            pick("count", True).alias("count_a"),
-            pick("value", False).alias("value_b"),
-            pick("count", False).alias("count_b"),
-        )
+        .select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
         .distinct()
     )
 
 
+def _with_texts(pairs: DataFrame, values: DataFrame) -> DataFrame:
+    """Texts and counts of the candidates, the more frequent value first."""
+    side = lambda n: values.select(
+        F.col("id").alias(n), F.col("column").alias(f"column_{n}"), F.struct("value", "count").alias(f"of_{n}")
+    )
+    found = pairs.join(side("x"), "x").join(side("y"), "y").filter(F.col("column_x") == F.col("column_y"))
+    x, y = F.col("of_x"), F.col("of_y")
+    x_first = (x["count"] > y["count"]) | ((x["count"] == y["count"]) & (x["value"] < y["value"]))
+    ordered = found.select(
+        F.col("column_x").alias("column"), F.when(x_first, x).otherwise(y).alias("a"), F.when(x_first, y).otherwise(x).alias("b")
+    )
+    return ordered.select(
+        "column",
+        F.col("a.value").alias("value_a"),
+        F.col("a.count").alias("count_a"),
+        F.col("b.value").alias("value_b"),
+        F.col("b.count").alias("count_b"),
+    )
+
+
 @F.pandas_udf(T.DoubleType())
 def _similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for left, right in batches:
@@ -190,12 +194,17 @@ def near_duplicates(
     if threshold < LEAST_THRESHOLD:
         raise ValueError(f"threshold must be at least {LEAST_THRESHOLD}; lower ones block too little")
     ship_package(df.sparkSession)
-    values = materialize(text_values(df, columns), "text-values")
-    scored = candidate_pairs(values, threshold, key_budget, block_rows).withColumn(
-        "score", _similarity("value_a", "value_b")
+    at = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column")).cast("int")
+    # the id is fixed once the table is written
+    values = materialize(
+        text_values(df, columns).select(at.alias("column"), F.monotonically_increasing_id().alias("id"), "value", "count"),
+        "text-values",
     )
+    pairs = _with_texts(candidate_pairs(values, threshold, key_budget, block_rows), values)
+    scored = pairs.withColumn("score", _similarity("value_a", "value_b"))
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("column"))
     return scored.filter(F.col("score") >= threshold - _ROUNDING).select(
-        *PAIR_COLUMNS[:-1], F.round("score", 3).alias("similarity")
+        name.alias("column"), *PAIR_COLUMNS[1:-1], F.round("score", 3).alias("similarity")
     )
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import strip
 from tidemark.operators import lookup, rules
 from tidemark.plans.clean import Cleaned, Hierarchy, clean
 from tidemark.queries.duplicates import KEY
@@ -237,6 +238,25 @@ def value_map(spark, sf_dir):
     return lookup.apply_value_map(events, mapping, ["event_type"])
 
 
+@query(
+    "value_map_repeated",
+    """WITH m(f, t) AS (VALUES ('signup', 'sign-up'), ('purchase', 'sale')) SELECT event_id,
+    coalesce(t, event_type) AS event_type FROM events LEFT JOIN m ON event_type = f""",
+)
+def value_map_repeated(spark, sf_dir):
+    """Several entries for one value, and text with white space around it, multiply no row."""
+    events = table(spark, sf_dir, "events")
+    written = events.select("event_id", F.concat(F.lit("\t"), "event_type", F.lit(" \n")).alias("event_type"))
+    entries = [
+        ("event_type", "signup", "sign-up"),
+        ("event_type", "signup", "signed up"),
+        ("event_type", "purchase", "sale"),
+        ("event_type", "purchase", "sale"),
+    ]
+    mapped = lookup.apply_value_map(written, lookup.mapping_table(events, entries), ["event_type"], trim=True)
+    return mapped.withColumn("event_type", strip("event_type"))
+
+
 @query(
     "value_map_effect",
     f"""WITH {_EVENT_MAP_SQL} SELECT 'event_type' AS "column", count(*) AS n_rows_affected FROM events

@@ -258,7 +258,7 @@ def _mixed_casing(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(
         "c_mktsegment",
         F.when(F.col("c_acctbal") < 0, F.lower(segment))
-        .when(F.col("c_acctbal") > 9000, F.concat(segment, F.lit(" ")))
+        .when(F.col("c_acctbal") > 9000, F.concat(segment, F.lit("\t")))
         .otherwise(segment)
         .alias("written_segment"),
         F.nullif(segment, segment).alias("never_filled"),
@@ -268,11 +268,11 @@ def _mixed_casing(spark, sf_dir):
 @query(
     "casing",
     """WITH c AS (SELECT c_mktsegment, CASE WHEN c_acctbal < 0 THEN lower(c_mktsegment)
-    WHEN c_acctbal > 9000 THEN c_mktsegment || ' ' ELSE c_mktsegment END AS written_segment,
+    WHEN c_acctbal > 9000 THEN c_mktsegment || chr(9) ELSE c_mktsegment END AS written_segment,
     nullif(c_mktsegment, c_mktsegment) AS never_filled FROM customer) """
     + union_all(
         ["c_mktsegment", "written_segment", "never_filled"],
-        "SELECT '{c}' AS \"column\", count(DISTINCT {c}) = count(DISTINCT lower(trim({c}))) AS casing_consistent FROM c",
+        "SELECT '{c}' AS \"column\", count(DISTINCT {c}) = count(DISTINCT lower(trim({c}, ' ' || chr(9)))) AS casing_consistent FROM c",
     ),
 )
 def casing(spark, sf_dir):
@@ -357,3 +357,16 @@ def category_columns(spark, sf_dir):
         "p_name", *[F.col(c).alias(c, metadata={"kind": "category"}) for c in _KINDS]
     )
     return distribution.value_counts(part, distribution.columns_of_kind(part, "category"))
+
+
+@query(
+    "value_sets_extremes",
+    """SELECT 'tiny' AS "column", '0.' || repeat('0', 6) || min(p_size) || '–0.' || repeat('0', 7 - length(CAST(max(p_size)
+    AS VARCHAR))) || rtrim(CAST(max(p_size) AS VARCHAR), '0') AS value_set_or_range FROM part
+    UNION ALL SELECT 'huge', min(p_size) || repeat('0', 33) || '.0–' || max(p_size) || repeat('0', 33) || '.0' FROM part""",
+)
+def value_sets_extremes(spark, sf_dir):
+    """Ranges of very small and very large numbers, with all their digits."""
+    scaled = lambda power: F.concat(F.col("p_size").cast("string"), F.lit(power)).cast("double")
+    part = table(spark, sf_dir, "part").select(scaled("E-7").alias("tiny"), scaled("E33").alias("huge"))
+    return distribution.value_sets(part)

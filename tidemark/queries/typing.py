@@ -53,10 +53,13 @@ def dictionary_csv(spark, sf_dir):
     f"""WITH {_DOCUMENT_DICTIONARY} SELECT "column", description, type, choices,
     CASE WHEN type = 'long' THEN 'bigint' ELSE 'string' END AS recommended_type,
     CASE WHEN type = 'long' THEN 'number' WHEN type = 'byte' THEN 'category'
-    WHEN CAST(substr(type, 4) AS INTEGER) > 20 THEN 'free_text' ELSE 'code' END AS kind FROM dict""",
+    WHEN CAST(substr(type, 4) AS INTEGER) > 20 THEN 'free_text' ELSE 'code' END AS kind,
+    CASE WHEN type = 'long' THEN 'stored as a number' WHEN type = 'byte' THEN 'one of a fixed set of answers'
+    WHEN CAST(substr(type, 4) AS INTEGER) > 20 THEN 'longer text, kept as it is' ELSE 'short text, compared as text' END
+    AS reason FROM dict""",
 )
 def recommend_types(spark, sf_dir):
-    return types.recommend_types(_document_dictionary(spark, sf_dir)).drop("reason")
+    return types.recommend_types(_document_dictionary(spark, sf_dir))
 
 
 @query(
@@ -83,15 +86,16 @@ def count_check(spark, sf_dir):
 
 # --------------------------------------------------------------------------- typing
 
-_TEXT_COLUMNS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
+_PLAIN = ["l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate"]
 
 
 def _text_lines(spark, sf_dir):
     """Line items as a CSV would hold them, with values that are no numbers, fractions in a
     whole-number column, values out of range, and NA tokens."""
-    text = tables.as_text(table(spark, sf_dir, "lineitem").select(*_TEXT_COLUMNS, "l_tax", "l_discount"))
+    text = tables.as_text(table(spark, sf_dir, "lineitem"))
     tax, discount = F.col("l_tax"), F.col("l_discount")
-    return text.select(
+    written = text.select(
+        *[F.col(c) for c in _PLAIN],
         F.when(tax == "0.01", F.concat(F.lit(" "), "l_orderkey")).otherwise(F.col("l_orderkey")).alias("l_orderkey"),
         F.when(tax == "0.02", F.concat("l_linenumber", F.lit(".5")))
         .when(tax == "0.03", F.lit("300"))
@@ -104,9 +108,9 @@ def _text_lines(spark, sf_dir):
         .when(discount == "0.04", F.lit("17d"))
         .otherwise(F.col("l_quantity"))
         .alias("l_quantity"),
-        "l_extendedprice",
         F.when(discount == "0.05", F.lit("")).otherwise(F.col("l_returnflag")).alias("l_returnflag"),
-    ).select(*[na_to_null(F.col(c)).alias(c) for c in _TEXT_COLUMNS])
+    )
+    return written.select(*[na_to_null(F.col(c)).alias(c) for c in written.columns])
 
 
 _TEXT_LINES = """lines AS (SELECT
@@ -115,19 +119,18 @@ _TEXT_LINES = """lines AS (SELECT
     WHEN l_tax = 0.04 THEN l_linenumber || '.0' ELSE CAST(l_linenumber AS VARCHAR) END AS l_linenumber,
     CASE WHEN l_discount = 0.01 THEN NULL WHEN l_discount = 0.02 THEN 'many' WHEN l_discount = 0.03 THEN '1e3'
     WHEN l_discount = 0.04 THEN '17d' ELSE CAST(l_quantity AS VARCHAR) END AS l_quantity,
-    CAST(l_extendedprice AS VARCHAR) AS l_extendedprice,
-    CASE WHEN l_discount = 0.05 THEN NULL ELSE l_returnflag END AS l_returnflag FROM lineitem),
+    CASE WHEN l_discount = 0.05 THEN NULL ELSE l_returnflag END AS l_returnflag,
+    l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax, l_linestatus, CAST(l_shipdate AS VARCHAR) AS l_shipdate
+    FROM lineitem),
     typed AS (SELECT CAST(trim(l_orderkey) AS BIGINT) AS l_orderkey,
     CASE WHEN l_linenumber LIKE '%.5' OR l_linenumber = '300' THEN NULL
     ELSE CAST(CAST(l_linenumber AS DOUBLE) AS TINYINT) END AS l_linenumber,
-    TRY_CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice,
-    l_returnflag FROM lines)"""
+    TRY_CAST(l_quantity AS DOUBLE) AS l_quantity, l_returnflag, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax,
+    l_linestatus, l_shipdate FROM lines)"""
 
 
 def _line_plan(spark, sf_dir):
-    described = types.describe_table(
-        table(spark, sf_dir, "lineitem").select(*_TEXT_COLUMNS), choices=["l_returnflag"]
-    )
+    described = types.describe_table(table(spark, sf_dir, "lineitem"), choices=["l_returnflag"])
     narrow = F.when(F.col("column") == "l_linenumber", F.lit("byte")).otherwise(F.col("type"))
     return types.column_types(described.withColumn("type", narrow))
 
@@ -139,10 +142,16 @@ def typed_table(spark, sf_dir):
 
 _APPLIED = {
     "l_orderkey": "bigint",
+    "l_partkey": "bigint",
+    "l_suppkey": "bigint",
     "l_linenumber": "tinyint",
     "l_quantity": "double",
     "l_extendedprice": "double",
+    "l_discount": "double",
+    "l_tax": "double",
     "l_returnflag": "string",
+    "l_linestatus": "string",
+    "l_shipdate": "string",
 }
 _REPORT = " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", '{t}' AS type_applied, (SELECT count(*) - count({c}) FROM lines) AS n_missing_before,
@@ -168,7 +177,7 @@ def coercion_summary(spark, sf_dir):
 
 # ------------------------------------------------------------------- sources and sinks
 
-_EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
+_EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
 @query(
@@ -176,9 +185,11 @@ _EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
     "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _EVENT_COLUMNS) + " FROM events",
 )
 def csv_round_trip(spark, sf_dir):
+    """The whole table as text through a CSV."""
     path = scratch_path(spark, "events-csv")
-    tables.write_report_csv(table(spark, sf_dir, "events").select(*_EVENT_COLUMNS), path)
-    return tables.read_text_csv(spark, path, _EVENT_COLUMNS)
+    events = table(spark, sf_dir, "events")
+    tables.write_report_csv(tables.as_text(events), path)
+    return tables.read_text_csv(spark, path, events.columns)
 
 
 @query(
