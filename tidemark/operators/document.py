@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import literal_table, percent, quoted, stack_rows
+from tidemark.functions.columns import is_true, literal_table, percent, quoted, stack_rows
 from tidemark.operators.distribution import pseudo_key_check, value_sets, width_condition
 from tidemark.operators.impute import FLAG_SUFFIX
 from tidemark.operators.missing import raw_vs_cleaned
@@ -21,6 +21,7 @@ LEFT_MISSING = "Left empty on purpose"
 NOTHING_MISSING = "Complete"
 OUT_OF_SCOPE = "Not filled"
 PSEUDO_KEY_SEVERITY = "High if used as a key"
+STRUCTURAL_SEVERITY = "None (structural)"
 
 
 def label_table(
@@ -148,7 +149,8 @@ def dictionary_summary(dictionary: DataFrame) -> DataFrame:
 
 def problem_inventory(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Findings on the uncleaned table: ``variable, issue, count, pct, severity,
-    addressed_by``; percentages are of all rows.  Everything but the distinct counts of
+    addressed_by``; percentages are of all rows.  A rule brings its severity; nothing found is
+    "None", and gaps where nothing was asked are structural.  Everything but the distinct counts of
     supposed IDs comes from one aggregate."""
     measures: list[Column] = [F.count(F.lit(1)).alias("n")]
     rows: list[list[tuple[str, Column]]] = []
@@ -168,24 +170,30 @@ def problem_inventory(df: DataFrame, spec: DatasetSpec) -> DataFrame:
             ]
         )
 
-    for column in spec.missing_findings:
-        finding(column, "Missing", F.count_if(quoted(column).isNull()), F.lit("Low"), "flagged only")
+    for gap in spec.missing_findings:
+        missing = quoted(gap.column).isNull()
+        severity = F.lit(gap.severity)
+        if gap.asked:
+            at = len(measures)
+            measures.append(F.count_if(missing & is_true(F.expr(gap.asked))).alias(f"f{at}"))
+            severity = F.when(F.col(f"f{at}") == 0, F.lit(STRUCTURAL_SEVERITY)).otherwise(severity)
+        finding(gap.column, "Missing", F.count_if(missing), severity, gap.addressed_by)
     for rule in spec.sentinels:
         for column in rule.columns:
             finding(
                 column,
                 f"sentinel value {rule.value}",
                 F.count_if(quoted(column) == F.lit(rule.value)),
-                F.lit("Low"),
-                "correct_sentinels",
+                F.lit(rule.severity),
+                rule.addressed_by,
             )
     for rule in spec.raw_consistency:
         finding(
             rule.total,
             f"{'+'.join(rule.parts)} does not match within {rule.tolerance}",
             F.count_if(consistency_flag(rule).condition),
-            F.lit("Low"),
-            "recompute_totals",
+            F.lit(rule.severity),
+            rule.addressed_by,
         )
     for rule in spec.derived:
         finding(

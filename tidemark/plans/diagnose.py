@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import percent
 from tidemark.operators import dedup, distribution, missing, near_duplicates, rules
 from tidemark.session import materialize
 from tidemark.spec import DatasetSpec
@@ -17,6 +18,8 @@ class Diagnosis:
     missingness: DataFrame
     duplicates: DataFrame
     range_summary: DataFrame | None = None
+    range_values: DataFrame | None = None
+    filled: DataFrame | None = None
     gate_split: DataFrame | None = None
     near_duplicates: DataFrame | None = None
     casing: DataFrame | None = None
@@ -28,6 +31,8 @@ class Diagnosis:
             "missingness": self.missingness,
             "duplicates": self.duplicates,
             "range_summary": self.range_summary,
+            "range_values": self.range_values,
+            "filled": self.filled,
             "gate_split": self.gate_split,
             "near_duplicates": self.near_duplicates,
             "casing": self.casing,
@@ -51,7 +56,8 @@ def _check(
 def recommendations(df: DataFrame, spec: DatasetSpec, found: Diagnosis) -> DataFrame:
     """``check, item, passed, n, detail``: the rules a reviewer reads the profiles by."""
     nothing = F.lit(None)
-    duplicated = found.duplicates.agg(F.count(F.lit(1)).alias("n"))
+    n_rows = df.agg(F.count(F.lit(1)).alias("n_rows")).scalar()
+    duplicated = found.duplicates.agg(F.count(F.lit(1)).alias("n")).withColumn("pct", percent(F.col("n"), n_rows))
     parts = [
         _check(
             duplicated,
@@ -59,8 +65,8 @@ def recommendations(df: DataFrame, spec: DatasetSpec, found: Diagnosis) -> DataF
             F.lit("+".join(spec.keys)),
             F.col("n") == 0,
             F.col("n"),
-            F.when(F.col("n") == 0, F.lit("reliable natural key")).otherwise(
-                F.lit("investigate before any dedup")
+            F.when(F.col("n") == 0, F.lit("no key repeats")).otherwise(
+                F.concat(F.col("pct").cast("string"), F.lit(" percent of the rows share a key"))
             ),
         ),
         _check(
@@ -133,6 +139,7 @@ def diagnose(df: DataFrame, spec: DatasetSpec) -> Diagnosis:
     )
     if spec.ranges:
         found.range_summary = rules.range_summary(df, spec.ranges)
+        found.range_values = rules.range_value_counts(df, spec.ranges)
     if spec.gates:
         found.gate_split = missing.gate_split(df, spec.gates)
     if spec.free_text:
@@ -143,6 +150,9 @@ def diagnose(df: DataFrame, spec: DatasetSpec) -> Diagnosis:
     categories = distribution.columns_of_kind(df, "category")
     if categories:
         found.casing = distribution.casing_consistency(df, categories)
+    counted = [wanted.column for wanted in spec.frequencies]
+    if counted:
+        found.filled = distribution.valid_and_missing(df, counted)
     for wanted in spec.frequencies:
         found.distributions[wanted.title] = distribution.frequency_table(df, wanted.column)
     for column, bins in spec.bins:

@@ -26,7 +26,10 @@ from tidemark.spec import (
     ConsistencyRule,
     DatasetSpec,
     DerivedTotal,
+    FrequencySpec,
+    GateRule,
     ImputeRule,
+    MissingRule,
     OutlierRule,
     RangeRule,
     SentinelRule,
@@ -408,7 +411,7 @@ SALES = DatasetSpec(
     keys=("l_orderkey", "l_linenumber"),
     entity="l_orderkey",
     ranges=(RangeRule("l_quantity", 1, 49), RangeRule("l_discount", 0, 0.08)),
-    sentinels=(SentinelRule(("l_quantity",), 50.0), SentinelRule(("l_tax",), 0.08)),
+    sentinels=(SentinelRule(("l_quantity",), 50.0, "Medium"), SentinelRule(("l_tax",), 0.08)),
     derived=(DerivedTotal("l_total", ("l_quantity", "l_linenumber"), gate="returned"),),
     raw_consistency=(ConsistencyRule("total_mismatch", ("l_quantity", "l_linenumber"), "l_total", 1.0),),
     skips=(SkipRule("return_unexplained", "returned", ("l_returnflag = 'A'", "l_tax > 0.05"), "unexplained"),),
@@ -425,7 +428,15 @@ SALES = DatasetSpec(
     impute=(ImputeRule("l_quantity", "returned IS NOT NULL", "Returned lines"),),
     summary_columns=("l_quantity", "l_extendedprice"),
     scope_columns=("l_quantity", "l_tax"),
-    missing_findings=("returned", "l_quantity"),
+    missing_findings=(
+        MissingRule("returned", "l_returnflag <> 'N'", "High", "left empty"),
+        MissingRule("l_quantity"),
+    ),
+    gates=(GateRule("returned", "l_linestatus", "F"),),
+    frequencies=(FrequencySpec("status", "l_linestatus"),),
+    bins=(("l_quantity", (("low", 0, 25), ("high", 25, 60))),),
+    share=("l_linestatus", ("O", "F")),
+    dominant="l_returnflag",
 )
 
 

@@ -112,28 +112,30 @@ def dictionary_summary(spark, sf_dir):
 # ------------------------------------------------- inventory, recommendations, facts
 
 _INVENTORY_ROWS = [
-    ("returned", "Missing", "returned IS NULL", "flagged only"),
-    ("l_quantity", "Missing", "l_quantity IS NULL", "flagged only"),
-    ("l_quantity", "sentinel value 50.0", "l_quantity = 50", "correct_sentinels"),
-    ("l_tax", "sentinel value 0.08", "l_tax = 0.08", "correct_sentinels"),
+    ("returned", "Missing", "returned IS NULL", "left empty", "'None (structural)'"),
+    ("l_quantity", "Missing", "l_quantity IS NULL", "flagged only", "'Low'"),
+    ("l_quantity", "sentinel value 50.0", "l_quantity = 50", "correct_sentinels", "'Medium'"),
+    ("l_tax", "sentinel value 0.08", "l_tax = 0.08", "correct_sentinels", "'Low'"),
     (
         "l_total",
         "l_quantity+l_linenumber does not match within 1.0",
         "abs(l_quantity + l_linenumber - l_total) > 1",
         "recompute_totals",
+        "'Low'",
     ),
     (
         "l_total",
         "computed total: recalculated from its parts, not validated against them",
         "false",
         "recompute_totals",
+        "'None'",
     ),
 ]
 _INVENTORY = " UNION ALL ".join(
     f"""SELECT '{v}' AS variable, '{issue}' AS issue, count(*) FILTER (WHERE {test}) AS "count",
     round(100.0 * count(*) FILTER (WHERE {test}) / count(*), 2) AS pct,
-    CASE WHEN count(*) FILTER (WHERE {test}) = 0 THEN 'None' ELSE 'Low' END AS severity, '{by}' AS addressed_by FROM sales"""
-    for v, issue, test, by in _INVENTORY_ROWS
+    CASE WHEN count(*) FILTER (WHERE {test}) = 0 THEN 'None' ELSE {grade} END AS severity, '{by}' AS addressed_by FROM sales"""
+    for v, issue, test, by, grade in _INVENTORY_ROWS
 )
 
 
@@ -150,45 +152,101 @@ def problem_inventory(spark, sf_dir):
     )
 
 
-_RECOMMEND = f"""WITH {SALES_SQL}, {near_duplicates_sql("sales", "p_name", 0.95)},
-    copies AS (SELECT count(*) AS n FROM (SELECT 1 FROM sales
-    QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1))"""
-
-
-@query(
-    "recommendations",
-    f"""{_RECOMMEND}
-    SELECT 'unique_key' AS "check", 'l_orderkey+l_linenumber' AS item, n = 0 AS passed, n,
-    CASE WHEN n = 0 THEN 'reliable natural key' ELSE 'investigate before any dedup' END AS detail FROM copies
-    UNION ALL SELECT 'heavy_missing', 'columns above 90 percent missing', true, 0, NULL
-    UNION ALL SELECT 'range', 'l_quantity', count(*) = 0, count(*), CASE WHEN count(*) = 0 THEN 'within bounds'
-    WHEN count(DISTINCT l_quantity) = 1 THEN 'one value only: treat as a sentinel' ELSE 'inspect before cleaning' END
-    FROM sales WHERE l_quantity < 1 OR l_quantity > 49
-    UNION ALL SELECT 'range', 'l_discount', count(*) = 0, count(*), CASE WHEN count(*) = 0 THEN 'within bounds'
-    WHEN count(DISTINCT l_discount) = 1 THEN 'one value only: treat as a sentinel' ELSE 'inspect before cleaning' END
-    FROM sales WHERE l_discount < 0 OR l_discount > 0.08
-    UNION ALL SELECT 'near_duplicates', 'value pairs', count(*) = 0, count(*), NULL FROM pairs""",
-)
+# Every table of the diagnosis as one, its cells as text beside their column names.
+_KEY = "l_orderkey, l_linenumber"
+_RANGE_TEST = {"l_quantity": "l_quantity < 1 OR l_quantity > 49", "l_discount": "l_discount < 0 OR l_discount > 0.08"}
+
+
+def _pct(part: str, whole: str) -> str:
+    return f"round(100.0 * {part} / {whole}, 2)"
+
+
+_DIAGNOSIS = f"""WITH {SALES_SQL}, {near_duplicates_sql("sales", "p_name", 0.95)},
+    size AS (SELECT count(*) AS n FROM sales),
+    copies AS (SELECT {_KEY} FROM sales QUALIFY count(*) OVER (PARTITION BY {_KEY}) > 1),
+    missing AS ({" UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) - count({c}) AS n, {_pct(f"(count(*) - count({c}))", "count(*)")} AS pct
+        FROM sales""" for c in (
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "l_shipdate", "p_name", "returned", "l_total", "volume", "part_code"))}),
+    ranges AS ({" UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS n, count(DISTINCT {c}) = 1 AS one, CASE WHEN count(DISTINCT {c}) = 1
+        THEN CAST(min({c}) AS DOUBLE) END AS v FROM sales WHERE {test}""" for c, test in _RANGE_TEST.items())}),
+    out AS ({" UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", CAST({c} AS DOUBLE) AS v, count(*) AS n FROM sales WHERE {test} GROUP BY 2"""
+        for c, test in _RANGE_TEST.items())}),
+    gate AS (SELECT count(*) FILTER (returned IS NULL) AS n,
+        count(*) FILTER (returned IS NULL AND l_linestatus IS DISTINCT FROM 'F') AS s FROM sales),
+    top AS (SELECT l_returnflag AS label, count(*) AS n FROM sales WHERE l_returnflag IS NOT NULL GROUP BY 1
+        ORDER BY n DESC, label LIMIT 1),
+    recs AS (SELECT 'unique_key' AS "check", 'l_orderkey+l_linenumber' AS item, count(*) = 0 AS passed, count(*) AS n,
+        CASE WHEN count(*) = 0 THEN 'no key repeats' ELSE CAST({_pct("count(*)", "(SELECT n FROM size)")} AS VARCHAR)
+        || ' percent of the rows share a key' END AS detail FROM copies
+    UNION ALL SELECT 'heavy_missing', 'columns above 90 percent missing', count(*) FILTER (pct > 90) = 0,
+        count(*) FILTER (pct > 90), NULL FROM missing
+    UNION ALL SELECT 'range', "column", n = 0, n, CASE WHEN n = 0 THEN 'within bounds' WHEN one
+        THEN 'one value only: treat as a sentinel' ELSE 'inspect before cleaning' END FROM ranges
+    UNION ALL SELECT 'gate', 'returned', NOT (n > 0 AND {_pct("s", "n")} < 90), n - s,
+        CASE WHEN n > 0 AND {_pct("s", "n")} < 90 THEN 'real nonresponse' ELSE 'structural' END FROM gate
+    UNION ALL SELECT 'share', c, true, count(*) FILTER (l_linestatus = c), CAST({_pct("count(*) FILTER (l_linestatus = c)",
+        "count(*) FILTER (l_linestatus IN ('O', 'F'))")} AS VARCHAR) FROM sales, (VALUES ('O'), ('F')) t(c) GROUP BY c
+    UNION ALL SELECT 'dominant', label, true, n, CAST({_pct("n", "(SELECT count(l_returnflag) FROM sales)")} AS VARCHAR)
+        FROM top
+    UNION ALL SELECT 'near_duplicates', 'value pairs', count(*) = 0, count(*), NULL FROM pairs)"""
+
+
+@query("recommendations", f"{_DIAGNOSIS} SELECT * FROM recs")
 def recommendations(spark, sf_dir):
     return diagnose(sales(spark, sf_dir), SALES).recommendations
 
 
 @query(
     "diagnosis",
-    f"""{_RECOMMEND}
-    SELECT 'missingness' AS "table", CAST(16 AS BIGINT) AS n_rows
-    UNION ALL SELECT 'duplicates', n FROM copies
-    UNION ALL SELECT 'range_summary', 2
-    UNION ALL SELECT 'near_duplicates', count(*) FROM pairs
-    UNION ALL SELECT 'recommendations', 5""",
+    f"""{_DIAGNOSIS}
+    SELECT 'missingness' AS "table", "column" AS item, CAST(n AS DOUBLE) AS n, pct AS value, NULL AS detail FROM missing
+    UNION ALL SELECT 'duplicates', l_orderkey || '/' || l_linenumber, count(*), NULL, NULL FROM copies GROUP BY {_KEY}
+    UNION ALL SELECT 'range_summary', "column", n, v, CAST(coalesce(one, false) AS VARCHAR) FROM ranges
+    UNION ALL SELECT 'range_values', "column", n, v, NULL FROM out
+    UNION ALL SELECT 'filled', 'l_linestatus', count(l_linestatus), count(*) - count(l_linestatus), NULL FROM sales
+    UNION ALL SELECT 'gate_split', 'returned', n, {_pct("s", "n")}, CAST(s AS VARCHAR) FROM gate
+    UNION ALL SELECT 'near_duplicates', value_a, count_a, similarity, value_b FROM pairs
+    UNION ALL SELECT 'status', l_linestatus, count(*), {_pct("count(*)", "(SELECT count(l_linestatus) FROM sales)")}, l_linestatus
+    FROM sales WHERE l_linestatus IS NOT NULL GROUP BY l_linestatus
+    UNION ALL SELECT 'recommendations', "check" || ' ' || item, n, CAST(passed AS DOUBLE), detail FROM recs""",
 )
 def diagnosis(spark, sf_dir):
-    """Every table of the diagnosis with its number of rows."""
-    counted = [
-        t.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"), "n_rows")
-        for name, t in diagnose(sales(spark, sf_dir), SALES).tables().items()
+    """Every table of the diagnosis with its contents."""
+    found = diagnose(sales(spark, sf_dir), SALES)
+    tables_ = found.tables()
+    text = lambda c: c.cast("string")
+    none = F.lit(None)
+
+    def laid(name, table_, item, n, value, detail):
+        return table_.select(
+            F.lit(name).alias("table"),
+            text(item).alias("item"),
+            n.cast("double").alias("n"),
+            value.cast("double").alias("value"),
+            text(detail).alias("detail"),
+        )
+
+    c = F.col
+    copies = tables_["duplicates"].groupBy(*SALES.keys).agg(F.count(F.lit(1)).alias("n"))
+    parts = [
+        laid("missingness", tables_["missingness"], c("column"), c("n_missing"), c("pct_missing"), none),
+        laid("duplicates", copies, F.concat_ws("/", *SALES.keys), c("n"), none, none),
+        laid("range_summary", tables_["range_summary"], c("column"), c("n_flagged"), c("sentinel_value"), c("is_sentinel")),
+        laid("range_values", tables_["range_values"], c("column"), c("count"), c("value"), none),
+        laid("filled", tables_["filled"], c("column"), c("n_valid"), c("n_missing"), none),
+        laid("gate_split", tables_["gate_split"], c("dependent_col"), c("n_missing"), c("pct_structural"), c("n_structural")),
+        laid("near_duplicates", tables_["near_duplicates"], c("value_a"), c("count_a"), c("similarity"), c("value_b")),
+        laid("status", found.distributions["status"], c("code"), c("count"), c("pct_of_valid"), c("label")),
+        laid(
+            "recommendations", tables_["recommendations"], F.concat_ws(" ", "check", "item"), c("n"),
+            c("passed").cast("int"), c("detail"),
+        ),
     ]
-    return reduce(lambda a, b: a.unionByName(b), counted)
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 _IMPUTED_SALES = """med AS (SELECT round_even(median(l_quantity), 0) AS q FROM cleaned),
@@ -220,22 +278,23 @@ def _pct_missing(relation, column):
     return f"(SELECT round(100.0 * (count(*) - count({column})) / count(*), 2) FROM {relation})"
 
 
-_FACTS = " UNION ALL ".join(
-    [
+def _facts_sql(typed: str) -> str:
+    """The facts for the layer ``typed``, whose keys may repeat."""
+    return " UNION ALL ".join([
         _fact("before", "sales", "n_columns", 16),
-        _fact("before", "sales", "mean_pct_missing", _mean_missing("kept", _TYPED_COLUMNS)),
-        _fact("before", "sales", "n_rows", "(SELECT count(*) FROM kept)"),
+        _fact("before", "sales", "mean_pct_missing", _mean_missing(typed, _TYPED_COLUMNS)),
+        _fact("before", "sales", "n_rows", f"(SELECT count(*) FROM {typed})"),
         _fact("before", "sales", "n_keys", "(SELECT count(*) FROM kept)"),
-        _fact("before", "sales", "n_surplus", 0),
+        _fact("before", "sales", "n_surplus", f"(SELECT count(*) FROM {typed}) - (SELECT count(*) FROM kept)"),
         _fact("after", "sales", "n_columns", 19),
         _fact("after", "sales", "mean_pct_missing", _mean_missing("final", _FINAL_COLUMNS)),
         *[
             _fact("missingness", c, m, _pct_missing(r, c))
             for c in ("l_quantity", "l_tax")
-            for m, r in (("pct_before", "kept"), ("pct_after", "cleaned"))
+            for m, r in (("pct_before", typed), ("pct_after", "cleaned"))
         ],
         *[
-            _fact("cleaning", c, m, v, "FROM kept")
+            _fact("cleaning", c, m, v, f"FROM {typed}")
             for c, t in (("l_quantity", "l_quantity = 50"), ("l_tax", "l_tax = 0.08"))
             for m, v in (
                 ("count", f"count(*) FILTER (WHERE {t})"),
@@ -259,11 +318,10 @@ _FACTS = " UNION ALL ".join(
             for c in ("l_quantity", "l_extendedprice")
             for m, f in (("mean", "avg"), ("median", "median"), ("min", "min"), ("max", "max"))
         ],
-    ]
-)
+    ])
 
 
-@query("report_facts", f"WITH RECURSIVE {CLEANED_SALES_SQL}, {_IMPUTED_SALES} {_FACTS}")
+@query("report_facts", f"WITH RECURSIVE {CLEANED_SALES_SQL}, {_IMPUTED_SALES} {_facts_sql('kept')}")
 def report_facts(spark, sf_dir):
     typed = materialize(dedup.keep_first(sales(spark, sf_dir), SALES.keys), "typed")
     cleaned = materialize(clean(typed, SALES, hierarchies(spark, sf_dir)).table, "cleaned")
@@ -303,6 +361,13 @@ def full_run(spark, sf_dir):
     return spark.read.parquet(_run(spark, sf_dir)["final"])
 
 
+@query("full_run_facts", f"WITH RECURSIVE {_RUN_SQL}, {_IMPUTED_SALES} {_facts_sql('sales')}")
+def full_run_facts(spark, sf_dir):
+    """The facts that the full run writes; keys repeat in its typed layer."""
+    written = tables.read_text_csv(spark, _run(spark, sf_dir)["report_facts"])
+    return written.withColumn("value", F.round(F.col("value").cast("double"), 4))
+
+
 @query(
     "impute_stage",
     f"""WITH RECURSIVE {CLEANED_SALES_SQL}, {_IMPUTED_SALES} SELECT l_orderkey, l_linenumber, l_quantity, l_total,

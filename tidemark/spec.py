@@ -23,6 +23,19 @@ class SentinelRule:
 
     columns: tuple[str, ...]
     value: float | str
+    severity: str = "Low"
+    addressed_by: str = "correct_sentinels"
+
+
+@dataclass(frozen=True)
+class MissingRule:
+    """Missing values of ``column`` are a finding.  Where ``asked`` (a SQL condition) does not
+    hold a value cannot be expected: if all gaps lie there the finding is structural."""
+
+    column: str
+    asked: str | None = None
+    severity: str = "Low"
+    addressed_by: str = "flagged only"
 
 
 @dataclass(frozen=True)
@@ -51,6 +64,8 @@ class ConsistencyRule:
     parts: tuple[str, ...]
     total: str
     tolerance: float = 1.0
+    severity: str = "Low"
+    addressed_by: str = "recompute_totals"
 
 
 @dataclass(frozen=True)
@@ -143,8 +158,8 @@ class DatasetSpec:
     impute: tuple[ImputeRule, ...] = ()
     left_missing: tuple[str, ...] = ()
     code_widths: tuple[CodeWidthRule, ...] = ()
-    # columns whose missing values the problem inventory lists
-    missing_findings: tuple[str, ...] = ()
+    # gaps that the problem inventory lists
+    missing_findings: tuple[MissingRule, ...] = ()
     pseudo_keys: tuple[str, ...] = ()
     frequencies: tuple[FrequencySpec, ...] = ()
     bins: tuple[tuple[str, Sequence[tuple[str, float, float]]], ...] = ()
