@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -58,6 +59,7 @@ def main() -> None:
         int(cpus) if cpus.isdigit() else 8,
         {
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -89,9 +90,9 @@ def main() -> int:
     wanted = sys.argv[2:]
     spark = build_session(
         "compare",
-        "local[4]",
+        "local[8]",
         8,
-        {"spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+        {"spark.driver.memory": "16g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-"), "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)

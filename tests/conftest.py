@@ -11,13 +11,14 @@ from tidemark.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
         4,
         {
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

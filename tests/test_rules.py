@@ -2,11 +2,14 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.operators import dedup, lookup, rules
+from tidemark.functions.columns import number_text, strip, whole_number_text
+from tidemark.operators import dedup, document, lookup, rules
 from tidemark.spec import (
     ClassifyRule,
     ConsistencyRule,
+    DatasetSpec,
     DerivedTotal,
+    MissingRule,
     OutlierRule,
     RangeRule,
     SentinelRule,
@@ -203,3 +206,41 @@ def test_version_diff_aligns_on_the_key(spark):
     assert rows(lookup.version_diff(before, after, ["k"], ["v"], both_present=False)) == [("v", 3)]
     with pytest.raises(ValueError):
         lookup.version_diff(before.union(before), after, ["k"], ["v"])
+
+
+def test_number_text_keeps_every_digit(spark):
+    values = [1e-7, 1.25e-9, -3.5e-12, 1e33, 1.5e16, -2.25e20, 123.456, 0.0, 1e7, 12345678.9, 5e-324, 1.7976931348623157e308]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = df.select("i", number_text(F.col("v")).alias("t"), whole_number_text(F.col("v")).alias("w")).orderBy("i").collect()
+    assert [float(r["t"]) for r in got] == values
+    assert not any("E" in r["t"] or "E" in r["w"] for r in got)
+    assert [r["t"] for r in got[:4]] == ["0.0000001", "0.00000000125", "-0.0000000000035", "1" + "0" * 33 + ".0"]
+    assert [int(r["w"]) for r in got[3:7]] == [10**33, 15 * 10**15, -225 * 10**18, 123]
+    missing = spark.createDataFrame([(None,)], "v double")
+    assert rows(missing.select(number_text(F.col("v")), whole_number_text(F.col("v")))) == [(None, None)]
+
+
+def test_strip_takes_all_white_space(spark):
+    texts = [" a ", "\ta\n", "　a\xa0", "\x1ca\x85", "a b", "", " \t"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert [r[0] for r in df.orderBy("i").select(strip("t")).collect()] == [t.strip() for t in texts]
+
+
+def test_repeated_lookup_entries_multiply_no_row(spark):
+    df = spark.createDataFrame([(1, "x"), (2, " x\t"), (3, "y"), (4, None)], "id int, c string")
+    entries = [("c", "x", "b"), ("c", "x", "a"), ("c", "y", "z"), ("d", "x", "q")]
+    mapping = lookup.mapping_table(df, entries)
+    assert rows(lookup.apply_value_map(df, mapping, ["c"], trim=True)) == [(1, "a"), (2, "a"), (3, "z"), (4, None)]
+    assert rows(lookup.mapping_effect(df, mapping, ["c"], trim=True)) == [("c", 3)]
+    structure = spark.createDataFrame([(1, "1", "Managers"), (1, "1", "Managers "), (1, "2", "Others")], "Level int, Code string, Title string")
+    assert rows(lookup.major_group_labels(structure)) == [("1", "Managers"), ("2", "Others")]
+
+
+def test_severity_follows_the_rule(spark):
+    df = spark.createDataFrame([(1, None, "no"), (2, None, None), (99, 5, "yes")], "x int, y int, asked string")
+    spec = DatasetSpec(
+        "t", ("x",), sentinels=(SentinelRule(("x",), 99, "Medium"), SentinelRule(("x",), 98, "High")),
+        missing_findings=(MissingRule("y", "asked = 'yes'"), MissingRule("y", "asked = 'no'", "High"), MissingRule("x")),
+    )
+    got = [(r["variable"], r["count"], r["severity"]) for r in document.problem_inventory(df, spec).collect()]
+    assert got == [("y", 2, "None (structural)"), ("y", 2, "High"), ("x", 0, "None"), ("x", 1, "Medium"), ("x", 0, "None")]

@@ -73,14 +73,14 @@ def test_degenerate_pairs():
     assert scores.tolist()[:4] == [1.0, 0.0, 1.0, 0.0]
 
 
-def _keys(values, threshold, budget):
+def _keys(values, threshold, budget, plain=frozenset()):
     """Keys of every value on the shorter and on the longer side."""
     n = len(values)
     batch = pa.RecordBatch.from_arrays(
         [pa.array(np.ones(n, dtype=np.int32)), pa.array(np.arange(n)), pa.array(values)], names=["column", "id", "value"]
     )
     shorter, longer = {v: set() for v in values}, {v: set() for v in values}
-    for part in signatures.blocking_keys(threshold, budget, "e tabcd")(iter([batch])):
+    for part in signatures.blocking_keys(threshold, budget, "e tabcd", plain)(iter([batch])):
         for at, key, side in zip(*(part.column(c).to_pylist() for c in ("id", "key", "side"))):
             if side != signatures.LONGER:
                 shorter[values[at]].add(key)
@@ -99,8 +99,10 @@ def test_no_qualifying_pair_without_a_common_key(threshold, budget):
     close = [p for p, s in zip(pairs, scores) if s >= threshold and p[0] != p[1]]
     assert len(close) > 50
     values = sorted({v for p in close for v in p})
-    shorter, longer = _keys(values, threshold, budget)
-    assert all(shorter[a] & longer[b] or shorter[b] & longer[a] for a, b in close)
+    classes = signatures.class_keys(threshold, budget, sorted({signatures.length_bucket(len(v)) for v in values}))
+    for plain in (frozenset(), frozenset(classes), frozenset(c for c in classes if c[0] in (0, 3, 4))):
+        shorter, longer = _keys(values, threshold, budget, plain)
+        assert all(shorter[a] & longer[b] or shorter[b] & longer[a] for a, b in close)
 
 
 @settings(max_examples=150, deadline=None)

@@ -12,7 +12,7 @@ Hash collisions can only add candidates, which are scored afterwards.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import combinations
 from math import ceil, comb
@@ -165,13 +165,25 @@ def _deal_order(chars: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.where(listed, by_code[at].astype(np.uint64), hashed)
 
 
-def blocking_keys(threshold: float, key_budget: int, frequent_chars: str):
+def class_keys(threshold: float, key_budget: int, buckets: Sequence[int]) -> dict[tuple[int, int, int], int]:
+    """``(prefix, bucket, bucket) -> keys of a text`` for all classes between these buckets."""
+    found = {}
+    for bucket in buckets:
+        for prefix, partner, differences, groups in bucket_plan(threshold, bucket, key_budget):
+            if partner in buckets:
+                found[(prefix, min(bucket, partner), max(bucket, partner))] = comb(groups, differences)
+    return found
+
+
+def blocking_keys(
+    threshold: float, key_budget: int, frequent_chars: str, plain: frozenset[tuple[int, int, int]] = frozenset()
+):
     """A ``mapInArrow`` function: (column, id, value) -> one row per blocking key.
 
     In a class of two length buckets the texts of the lower bucket belong to the shorter
     side and those of the upper one to the longer side; in a class of one bucket they belong
     to both.  Joining one side with the other never compares texts that only share a class
-    with a third length.  Blocks of texts are cut by what their arrays hold, so that long
+    with a third length.  In a ``plain`` class the prefix itself is the one key.  Blocks of texts are cut by what their arrays hold, so that long
     texts and many choices take no more memory than short ones.
     """
     frequent = np.array([ord(c) for c in frequent_chars], dtype=np.uint32)
@@ -191,14 +203,15 @@ def blocking_keys(threshold: float, key_budget: int, frequent_chars: str):
             long_enough = np.flatnonzero(lengths >= prefix)
             if prefix >= len(prefix_hash) or not len(long_enough):
                 continue
-            if groups not in group_hash:
+            one_key = (prefix, min(bucket, partner), max(bucket, partner)) in plain
+            if groups not in group_hash and not one_key:
                 # sums wrap around, which keeps them independent of the order of characters
                 sums = np.zeros((len(texts), groups), dtype=np.uint64)
                 dealt = (deal % np.uint64(groups)).astype(np.int64)
                 np.add.at(sums, (np.arange(len(texts))[:, None], dealt), char_hash)
                 seeds = np.array([_seed(groups, j) for j in range(groups)], dtype=np.uint64)
                 group_hash[groups] = _mix(sums + seeds[None, :])
-            chosen = np.array(list(combinations(range(groups), groups - differences)))
+            chosen = np.array([[0]] if one_key else list(combinations(range(groups), groups - differences)))
             class_seed = _seed(prefix, min(bucket, partner), max(bucket, partner))
             choice_seed = _mix(np.arange(len(chosen), dtype=np.uint64) + class_seed)
             side = BOTH if partner == bucket else SHORTER if bucket < partner else LONGER
@@ -206,7 +219,9 @@ def blocking_keys(threshold: float, key_budget: int, frequent_chars: str):
             step = max(1, _NUMBERS_PER_BLOCK // chosen.size)
             for at in range(0, len(long_enough), step):
                 some = long_enough[at : at + step]
-                per_choice = group_hash[groups][some][:, chosen].sum(axis=2, dtype=np.uint64)
+                per_choice = np.zeros((len(some), 1), dtype=np.uint64)
+                if not one_key:
+                    per_choice = group_hash[groups][some][:, chosen].sum(axis=2, dtype=np.uint64)
                 keys = _mix(per_choice + choice_seed[None, :] + prefix_hash[prefix][some][:, None])
                 source = np.repeat(some, len(chosen))
                 yield pa.RecordBatch.from_arrays(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import quoted, strip
+from tidemark.functions.columns import literal_table, quoted, strip
 from tidemark.functions.signatures import (
     BOTH,
     KEY_SCHEMA,
@@ -19,6 +19,7 @@ from tidemark.functions.signatures import (
     SHORTER,
     SIGNATURE_WORDS,
     blocking_keys,
+    class_keys,
 )
 from tidemark.functions.similarity import jaro_winkler
 from tidemark.operators.distribution import value_counts
@@ -30,7 +31,9 @@ LEAST_THRESHOLD = 0.85
 _ROUNDING = 1e-9
 # a blocking key with more values than this is split into blocks of this size
 BLOCK_ROWS = 4096
-_VALUES_PER_TASK = 2_000
+_VALUES_PER_TASK = 16_000
+# comparisons on numbers that cost as much as making, moving and sorting one key
+_COMPARISONS_PER_KEY = 10
 _FREQUENT_CHARACTERS = 128
 
 PAIR_COLUMNS = ["column", "value_a", "count_a", "value_b", "count_b", "similarity"]
@@ -111,6 +114,52 @@ def _place(keys: DataFrame, hot: DataFrame, heavy: DataFrame, own: str, other: s
     )
 
 
+def _bucket(length: Column) -> Column:
+    """``length_bucket`` of a column."""
+    step = F.length(F.bin(length)) - F.lit(4)
+    wide = F.lit(16) + (step - 1) * 8 + (F.expr("length >> (length(bin(length)) - 4)") - 8)
+    return F.when(length < 16, length).otherwise(wide).cast("int")
+
+
+def _plain_classes(values: DataFrame, threshold: float, key_budget: int) -> frozenset[tuple[int, int, int]]:
+    """Classes (common prefix and two length buckets) in which comparing all texts that share
+    the prefix costs less than making and moving their keys.
+
+    Prefixes are counted by bucket; the counts of two buckets give the comparisons.  What comes
+    back is one row for each class, of which the plan has a fixed number.
+    """
+    sized = values.select("column", "value", F.length("value").alias("length"))
+    prefixes = F.explode(F.sequence(F.lit(0), F.least(F.col("length"), F.lit(PREFIX_CAP))))
+    counts = materialize(
+        sized.select("column", "value", "length", prefixes.alias("prefix"))
+        .groupBy("column", "prefix", F.substring("value", F.lit(1), F.col("prefix")).alias("head"), _bucket(F.col("length")).alias("bucket"))
+        .agg(F.count(F.lit(1)).cast("double").alias("n")),
+        "prefix-counts",
+    )
+    sizes = {(r["prefix"], r["bucket"]): r["n"] for r in counts.groupBy("prefix", "bucket").agg(F.sum("n").alias("n")).collect()}
+    keys = class_keys(threshold, key_budget, sorted({b for _, b in sizes}))
+    # the pairs of buckets that the plan compares, one row each
+    wanted = F.broadcast(
+        literal_table(values.sparkSession, sorted(keys), "prefix int, one int, other int")
+    )
+    on = ["column", "prefix", "head"]
+    compared = (
+        counts.withColumnsRenamed({"bucket": "one", "n": "n_one"})
+        .join(wanted, ["prefix", "one"])
+        .join(counts.withColumnsRenamed({"bucket": "other", "n": "n_other"}), [*on, "other"])
+        .groupBy("prefix", "one", "other")
+        .agg(F.sum(F.col("n_one") * F.col("n_other")).alias("pairs"))
+        .collect()
+    )
+    plain = set(keys)
+    for r in compared:
+        one = (r["prefix"], r["one"], r["other"])
+        texts = sizes.get(one[:2], 0) + sizes.get((one[0], one[2]), 0)
+        if r["pairs"] > (keys[one] - 1) * texts * _COMPARISONS_PER_KEY:
+            plain.discard(one)
+    return frozenset(plain)
+
+
 def candidate_pairs(
     values: DataFrame, threshold: float, key_budget: int = 16, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -118,10 +167,11 @@ def candidate_pairs(
     is among them.  The keys are made once and written out, and hold numbers alone."""
     n_values = values.count()
     frequent = frequent_characters(values)
+    plain = _plain_classes(values, threshold, key_budget)
     keys = materialize(
         values.select("column", "id", "value")
         .repartition(max(2, -(-n_values // _VALUES_PER_TASK)), "id")
-        .mapInArrow(blocking_keys(threshold, key_budget, frequent), KEY_SCHEMA),
+        .mapInArrow(blocking_keys(threshold, key_budget, frequent, plain), KEY_SCHEMA),
         "blocking-keys",
     )
     shorter, longer = keys.filter(F.col("side") != LONGER), keys.filter(F.col("side") != SHORTER)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -20,7 +21,8 @@ RECOMMENDED = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-_local_scratch: dict[str, str] = {}
+# applications whose folder below a local warehouse is removed at the end
+_emptied: set[str] = set()
 _shipped: set[str] = set()
 
 
@@ -43,23 +45,22 @@ def build_session(
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the one the cluster names in
-    ``spark.checkpoint.dir``.  Only a local session may fall back to a fresh temporary
-    folder, because no other machine has to read it."""
+    """Folder for this application's intermediate tables: below the one that the cluster names in
+    ``spark.checkpoint.dir``, else below the warehouse.  Every executor reaches both; a
+    machine's own temporary folder is never used."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    app = spark.sparkContext.applicationId
     if configured:
-        return configured
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = context.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="tidemark-")
-    return _local_scratch[app]
+        return f"{configured.rstrip('/')}/{app}"
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch/{app}"
+    if app not in _emptied and spark.sparkContext.master.startswith("local"):
+        _emptied.add(app)
+        atexit.register(shutil.rmtree, folder.removeprefix("file:"), ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
