@@ -194,8 +194,8 @@ def test_documents(spark, result):
     assert dictionary["q1_04"]["imputation_treatment"] == "Filled with the median, 1 row(s)"
     assert dictionary["isco_code"]["imputation_treatment"].startswith("Left empty")
     assert dictionary["isic_section"]["pct_missing_raw"] == "N/A (derived column)"
-    assert dictionary["q3_04"]["notes"] == "Structurally gated by q3_01 == 'Yes'."
-    assert "median imputation" in dictionary["q1_04_imputed"]["label"]
+    assert dictionary["q3_04"]["notes"] == "Asked only if q3_01 is Yes."
+    assert dictionary["q1_04_imputed"]["label"].endswith(": filled (yes or no)")
     inventory = {(r["variable"], r["issue"]): r["count"] for r in report(spark, result, "problem_inventory").collect()}
     assert inventory[("isic_code", "leading zero lost")] == "1"
     assert inventory[("isco_code", "not 4 characters")] == "2"

@@ -138,10 +138,11 @@ def test_scratch_folder_comes_from_the_session(spark, monkeypatch):
             master = "yarn"
             applicationId = "app"
 
-    assert session.scratch_dir(Cluster) == "/shared/folder"
-    monkeypatch.setattr(Conf, "get", staticmethod(lambda key, default=None: None))
-    with pytest.raises(RuntimeError):
-        session.scratch_dir(Cluster)
+    assert session.scratch_dir(Cluster) == "/shared/folder/app"
+    # without one the warehouse, which executors share as well
+    shared = {"spark.sql.warehouse.dir": "hdfs://store/warehouse"}
+    monkeypatch.setattr(Conf, "get", staticmethod(lambda key, default=None: shared.get(key, default)))
+    assert session.scratch_dir(Cluster) == "hdfs://store/warehouse/scratch/app"
 
 
 def test_materialized_tables_keep_metadata(spark):
