@@ -7,7 +7,8 @@ cell ``floor((a . x + b) / w)`` of ``K`` Gaussian projections.  A query visits i
 those cells one step away, in the order of their estimated success: the squared distances from
 the query's projections to the borders that have to be crossed, smallest sum first.  How
 many cells are visited is fitted on a bounded sample of the vectors, whose neighbours are farther
-apart than those among all vectors.  The candidates of all tables are merged and ranked by their
+apart than those among all vectors.  The sample's best vectors for a query are its first
+candidates: what scores below all of them cannot be among the nearest and goes no further.  The candidates of all tables are merged and ranked by their
 exact inner products.
 """
 
@@ -105,7 +106,18 @@ def fit_probes(x: np.ndarray, hashes: Hashes, k: int, recall: float) -> int:
     return min(len(hashes.steps), int(ranked[int(np.ceil(recall * len(ranked))) - 1]) + 1)
 
 
-def _placing(norms: dict[int, float], visited: dict[int, int], settings: tuple):
+def _first_candidates(ids: np.ndarray, x: np.ndarray, asked: np.ndarray, q: np.ndarray, k: int) -> list[list]:
+    """For each query the ``k`` best vectors of the sample, as ids and exact scores."""
+    out: list[list] = [[] for _ in asked]
+    if not len(ids):
+        return out
+    place = {int(a): i for i, a in enumerate(asked.tolist())}
+    for a, v, s in zip(*_best(*_block(ids, x, asked, q, np.full(len(q), -np.inf), k), k)):
+        out[place[int(a)]].append({"vec_id": int(v), "score": float(s)})
+    return out
+
+
+def _placing(norms: dict[int, float], visited: dict[int, int], samples, k: int, settings: tuple):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, Hashes] = {}
         for batch in batches:
@@ -117,12 +129,19 @@ def _placing(norms: dict[int, float], visited: dict[int, int], settings: tuple):
                 x, asks = _matrix(part.column("vector")), part.column("asks").to_numpy(zero_copy_only=False)
                 cells = known[size].cells(x)
                 probes: list = [None] * len(x)
+                best: list = [None] * len(x)
                 rows = np.nonzero(asks)[0]
+                ids = part.column("vec_id").to_numpy()
                 for s in range(0, len(rows), 256):
                     some = rows[s : s + 256]
                     for r, p in zip(some.tolist(), known[size].probed(x[some])):
                         # a folded cell may come up twice: it is visited once
                         probes[r] = [list(dict.fromkeys(t.tolist())) for t in p]
+                    # a repeated id has one set of first candidates
+                    single = some[np.unique(ids[some], return_index=True)[1]]
+                    found = dict(zip(ids[single].tolist(), _first_candidates(*samples.value[size], ids[single], x[single], k)))
+                    for r in some.tolist():
+                        best[r] = found[int(ids[r])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("vec_id"),
@@ -130,8 +149,9 @@ def _placing(norms: dict[int, float], visited: dict[int, int], settings: tuple):
                         part.column("vector"),
                         pa.array(cells.tolist(), pa.list_(pa.int64())),
                         pa.array(probes, pa.list_(pa.list_(pa.int64()))),
+                        pa.array(best, pa.list_(pa.struct([("vec_id", pa.int64()), ("score", pa.float64())]))),
                     ],
-                    names=["vec_id", "size", "vector", "cells", "probes"],
+                    names=["vec_id", "size", "vector", "cells", "probes", "best"],
                 )
 
     return work
@@ -152,16 +172,19 @@ def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tupl
     return query[keep], vec[keep], score[keep]
 
 
-def _block(ids: np.ndarray, x: np.ndarray, asked: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """Candidates that may be among the ``k`` best of the queries, with exact scores."""
+def _block(
+    ids: np.ndarray, x: np.ndarray, asked: np.ndarray, q: np.ndarray, least: np.ndarray, k: int
+) -> tuple[np.ndarray, ...]:
+    """Candidates that may be among the ``k`` best of the queries, with exact scores.  ``least``
+    is the score that ``k`` vectors are known to reach."""
     rough = q @ x.T
+    border = least
     if len(ids) > k + 1:
-        # the query itself may be one of them; the margin covers the order of summation
-        border = np.partition(rough, len(ids) - k - 1, axis=1)[:, len(ids) - k - 1]
-        margin = 1e-9 * np.maximum(1.0, np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max())
-        row, at = np.nonzero(rough >= (border - margin)[:, None])
-    else:
-        row, at = (a.ravel() for a in np.indices(rough.shape))
+        # the query itself may be one of them
+        border = np.maximum(border, np.partition(rough, len(ids) - k - 1, axis=1)[:, len(ids) - k - 1])
+    # the margin covers the order of summation
+    margin = 1e-9 * np.maximum(1.0, np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max())
+    row, at = np.nonzero(rough >= (border - margin)[:, None])
     other = asked[row] != ids[at]
     row, at = row[other], at[other]
     score = np.empty(len(row))
@@ -176,20 +199,20 @@ def _ranking(k: int):
     """Rows of blocks, candidates before queries -> the best candidates found in the task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids, rows, asked, q = None, [], [], [], []
+        key, ids, rows, asked, q, least = None, [], [], [], [], []
         held: list[tuple[np.ndarray, ...]] = []
         n_held = n_asked = 0
 
         def ask() -> None:
-            nonlocal asked, q, n_asked, n_held, held
+            nonlocal asked, q, least, n_asked, n_held, held
             if n_asked and ids:
-                found = _block(np.concatenate(ids), np.concatenate(rows), np.concatenate(asked), np.concatenate(q), k)
+                found = _block(*(np.concatenate(part) for part in (ids, rows, asked, q, least)), k)
                 held.append(found)
                 n_held += len(found[0])
                 if n_held >= HELD:
                     held = [_best(*(np.concatenate(c) for c in zip(*held)), k)]
                     n_held = len(held[0][0])
-            asked, q, n_asked = [], [], 0
+            asked, q, least, n_asked = [], [], [], 0
 
         def packed() -> pa.RecordBatch:
             a, v, s = _best(*(np.concatenate(c) for c in zip(*held)), k)
@@ -214,6 +237,7 @@ def _ranking(k: int):
                 if kind[a]:
                     asked.append(vec[a:z])
                     q.append(x)
+                    least.append(batch.column("least").to_numpy(zero_copy_only=False)[a:z])
                     n_asked += z - a
                     if n_asked >= 512:
                         ask()
@@ -264,28 +288,35 @@ def nearest(
     rows = materialize(rows, "vectors")
     # one row for each length of vectors
     sizes = rows.groupBy("size").agg(F.max("square").alias("most"), F.count(F.lit(1)).alias("n")).collect()
-    norms, visited = {}, {}
+    norms, visited, samples = {}, {}, {}
     place = F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     for r in sizes:
         norms[r["size"]] = float(np.sqrt(r["most"]))
         visited[r["size"]] = probes
+        sample = rows.filter((F.col("size") == r["size"]) & (place < F.lit(SAMPLE / r["n"]))).select("vec_id", "vector")
+        # one vector for each id, so that ``k`` of them are ``k`` candidates
+        held = sorted({x["vec_id"]: x["vector"] for x in sample.collect()}.items())
+        ids = np.array([i for i, _ in held], dtype=np.int64)
+        x = np.array([v for _, v in held], dtype=np.float64).reshape(len(held), r["size"])
+        samples[r["size"]] = (ids, x)
         if probes is None:
-            sample = rows.filter((F.col("size") == r["size"]) & (place < F.lit(SAMPLE / r["n"]))).select("vec_id", "vector")
-            held = sorted((x["vec_id"], x["vector"]) for x in sample.collect())
             hashes = Hashes(r["size"], norms[r["size"]], tables, projections, width)
-            x = np.array([v for _, v in held], dtype=np.float64).reshape(len(held), r["size"])
             visited[r["size"]] = fit_probes(np.random.default_rng(SEED).permutation(x), hashes, k, recall)
     kind = vectors.schema[vector_col].dataType.simpleString()
     placed = materialize(
         rows.select("vec_id", "size", "vector", F.coalesce("asks", F.lit(False)).alias("asks")).mapInArrow(
-            _placing(norms, visited, (tables, projections, width)),
-            f"vec_id long, size int, vector {kind}, cells array<long>, probes array<array<long>>",
+            _placing(norms, visited, spark.sparkContext.broadcast(samples), k, (tables, projections, width)),
+            f"""vec_id long, size int, vector {kind}, cells array<long>, probes array<array<long>>,
+            best array<struct<vec_id:long,score:double>>""",
         ),
         "cells",
     )
     index = placed.select("vec_id", "size", "vector", F.posexplode("cells").alias("t", "cell"))
-    by_table = placed.filter("probes IS NOT NULL").select("vec_id", "size", "vector", F.posexplode("probes").alias("t", "visits"))
-    visits = by_table.select("vec_id", "size", "vector", "t", F.explode("visits").alias("cell"))
+    asking = placed.filter("probes IS NOT NULL")
+    # with fewer first candidates than ``k`` nothing can be left out
+    known = F.when(F.size("best") >= k, F.element_at("best", k)["score"]).otherwise(F.lit(float("-inf")))
+    by_table = asking.select("vec_id", "size", "vector", known.alias("least"), F.posexplode("probes").alias("t", "visits"))
+    visits = by_table.select("vec_id", "size", "vector", "least", "t", F.explode("visits").alias("cell"))
     held = index.groupBy("size", "t", "cell").agg(F.ceil(F.count(F.lit(1)) / VECTORS).cast("int").alias("n_vs"))
     wanted = visits.groupBy("size", "t", "cell").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("n_qs"))
     # at most tables * CELLS rows of five numbers for each length; cells nobody visits are left out
@@ -293,10 +324,10 @@ def nearest(
     piece = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.col(n)).cast("int")
     other = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     order = ["size", "t", "cell", "vs", "qs"]
-    columns = [*order, "asks", "vec_id", "vector"]
+    columns = [*order, "asks", "vec_id", "vector", "least"]
     candidates = (
         index.join(cuts, ["size", "t", "cell"])
-        .withColumns({"vs": piece("n_vs", "v"), "asks": F.lit(False)})
+        .withColumns({"vs": piece("n_vs", "v"), "asks": F.lit(False), "least": F.lit(None).cast("double")})
         .withColumn("qs", other("n_qs"))
         .select(*columns)
     )
@@ -307,7 +338,9 @@ def nearest(
         .select(*columns)
     )
     blocks = candidates.unionByName(queries).repartition(*[F.col(c) for c in order]).sortWithinPartitions(*order, "asks", "vec_id")
-    found = blocks.mapInArrow(_ranking(k), "query_id long, vec_id long, score double")
+    found = blocks.mapInArrow(_ranking(k), "query_id long, vec_id long, score double").unionByName(
+        asking.select(F.col("vec_id").alias("query_id"), F.explode("best").alias("first")).select("query_id", "first.*")
+    )
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
