@@ -141,4 +141,52 @@ SELECT t.doc_id, coalesce(n, 0) AS n_words, coalesce(n_pairs, 0) AS n_pairs_seen
 FROM t LEFT JOIN total USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_decontamination": OP8_SQL, "op10_ngram_lm": OP10_SQL}
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _op7_sql() -> str:
+    kinds = secret_scan.KINDS
+    found = " UNION ALL ".join(
+        f"""SELECT r, {i} AS k, regexp_extract_all(t, {_literal(kind.pattern)}) AS ms,
+        regexp_extract_all(t, {_literal(kind.pattern)}, {kind.group}) AS vs,
+        string_split_regex(t, {_literal(kind.pattern)}) AS gs FROM d WHERE regexp_matches(t, {_literal(kind.pattern)})"""
+        for i, kind in enumerate(kinds)
+    )
+    mixed = "length(v) = 40 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]')"
+    passes = " ".join(
+        f"WHEN {i} THEN {mixed if kind.exactly else f'length(v) >= {kind.least}'}" for i, kind in enumerate(kinds)
+    )
+    near = f"p.r = w.r AND p.s < w.e + {secret_scan.SCOPE} AND p.e > w.s - {secret_scan.SCOPE}"
+
+    def needs(role: str) -> str:
+        wanted = ", ".join(str(i) for i, kind in enumerate(kinds) if role in kind.needs)
+        parts = ", ".join(str(i) for i, kind in enumerate(kinds) if kind.role == role)
+        return f"(w.k NOT IN ({wanted}) OR EXISTS (SELECT 1 FROM spans p WHERE {near} AND p.k IN ({parts})))"
+
+    first_weak = len(secret_scan.BASE)
+    names = " ".join(f"WHEN {i} THEN '{kind.name}'" for i, kind in enumerate(kinds))
+    joined = f"string_agg(CASE k {names} END || ':' || s || ':' || e, ',' ORDER BY s, k, e)"
+    counts = ", ".join(f"count(*) FILTER (k = {i}) AS n_{kind.name}" for i, kind in enumerate(secret_scan.BASE))
+    filled = ", ".join(f"coalesce(n_{kind.name}, 0) AS n_{kind.name}" for kind in secret_scan.BASE)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({found}),
+u AS (SELECT r, k, unnest(ms) AS m, unnest(vs) AS v, unnest(gs[1:len(ms)]) AS g, generate_subscripts(ms, 1) AS i FROM m),
+q AS (SELECT r, k, v, length(m) AS n, sum(length(g) + length(m)) OVER (PARTITION BY r, k ORDER BY i) AS e FROM u),
+spans AS (SELECT r, k, CAST(e - n AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM q WHERE CASE k {passes} END),
+kept AS (SELECT * FROM spans WHERE k < {first_weak}
+         UNION ALL SELECT * FROM spans w WHERE k >= {first_weak} AND {needs("identifier")} AND {needs("secret")}),
+total AS (SELECT r, {counts}, {joined} AS spans, {joined} FILTER (k < {first_weak}) AS base FROM kept GROUP BY r)
+SELECT d.doc_id, {filled}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN total USING (r)
+"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_secret_scan": _op7_sql(),
+    "op8_decontamination": OP8_SQL,
+    "op10_ngram_lm": OP10_SQL,
+}
