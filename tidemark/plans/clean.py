@@ -22,10 +22,13 @@ from tidemark.spec import DatasetSpec
 
 @dataclass
 class Cleaned:
+    """``kept`` are the rows that survive the deduplication, as they came in."""
+
     table: DataFrame
     metrics: DataFrame
     flags: DataFrame
     mapping: DataFrame | None
+    kept: DataFrame
 
 
 @dataclass(frozen=True)
@@ -164,4 +167,4 @@ def clean(
             metrics = metrics.unionByName(
                 _metric(coverage, column, F.col("code_column"), F.col(column))
             )
-    return Cleaned(table, metrics, flags, mapping)
+    return Cleaned(table, metrics, flags, mapping, kept)

@@ -131,17 +131,17 @@ def recommendations(df: DataFrame, spec: DatasetSpec, found: Diagnosis) -> DataF
 
 
 def diagnose(df: DataFrame, spec: DatasetSpec) -> Diagnosis:
-    """Profiles of a typed table.  Nothing is changed.  The profiles are lazy, except for the
-    near-duplicate pairs, which the cleaning reads again and which are therefore written."""
+    """Profiles of a typed table.  Nothing is changed.  Profiles that the recommendations read
+    again, and the near-duplicate pairs, which the cleaning reads, are written once."""
     found = Diagnosis(
-        missingness=missing.missingness(df),
-        duplicates=dedup.duplicate_rows(df, spec.keys, ordered=True).select(*spec.keys),
+        missingness=materialize(missing.missingness(df), "missingness"),
+        duplicates=materialize(dedup.duplicate_rows(df, spec.keys, ordered=True).select(*spec.keys), "duplicates"),
     )
     if spec.ranges:
-        found.range_summary = rules.range_summary(df, spec.ranges)
+        found.range_summary = materialize(rules.range_summary(df, spec.ranges), "range-summary")
         found.range_values = rules.range_value_counts(df, spec.ranges)
     if spec.gates:
-        found.gate_split = missing.gate_split(df, spec.gates)
+        found.gate_split = materialize(missing.gate_split(df, spec.gates), "gate-split")
     if spec.free_text:
         found.near_duplicates = materialize(
             near_duplicates.near_duplicates(df, spec.free_text, spec.near_duplicate_threshold),
@@ -149,7 +149,7 @@ def diagnose(df: DataFrame, spec: DatasetSpec) -> Diagnosis:
         )
     categories = distribution.columns_of_kind(df, "category")
     if categories:
-        found.casing = distribution.casing_consistency(df, categories)
+        found.casing = materialize(distribution.casing_consistency(df, categories), "casing")
     counted = [wanted.column for wanted in spec.frequencies]
     if counted:
         found.filled = distribution.valid_and_missing(df, counted)

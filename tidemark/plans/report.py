@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import dedup, impute, lookup, missing, numeric, rules
 from tidemark.operators.document import facts
 from tidemark.plans.clean import flag_rules
+from tidemark.session import materialize
 from tidemark.spec import DatasetSpec
 
 
@@ -17,7 +18,11 @@ def report_facts(
     cleaned: DataFrame,
     final: DataFrame,
     fills: list[impute.Fill],
+    kept: DataFrame | None = None,
+    flags: DataFrame | None = None,
 ) -> DataFrame:
+    """``kept`` and ``flags`` are what the cleaning has written already; without them the rows
+    that survive are found again, and the cleaned table is flagged anew."""
     name = F.lit(spec.name)
     parts = [
         facts(
@@ -52,12 +57,14 @@ def report_facts(
         parts.append(facts("cleaning", coverage, "code_column", ["n_coded", "n_unclassified"]))
     if spec.free_text:
         # rows that the cleaning dropped have no later version: compare the surviving ones
-        kept = dedup.keep_first(typed, spec.keys, spec.order_by)
+        if kept is None:
+            kept = dedup.keep_first(typed, spec.keys, spec.order_by)
         diff = lookup.version_diff(kept, cleaned, spec.keys, spec.free_text)
         parts.append(facts("cleaning", diff, "column", ["n_changed"]))
-    flag_list = flag_rules(cleaned, spec)
-    if flag_list:
-        flags = rules.flag_rows(cleaned, spec.keys, flag_list)
+    if flags is None:
+        flag_list = flag_rules(cleaned, spec)
+        flags = materialize(rules.flag_rows(cleaned, spec.keys, flag_list), "flags") if flag_list else None
+    if flags is not None:
         parts.append(
             facts("flags", rules.flag_counts(flags), "rule_name", ["n_flags"])
         )

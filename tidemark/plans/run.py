@@ -93,7 +93,7 @@ def run_dataset(
         "data_dictionary",
         document.data_dictionary(spec, typed, cleaned, imputed, descriptions),
     )
-    report("report_facts", report_facts(spec, typed, cleaned, imputed, fills))
+    report("report_facts", report_facts(spec, typed, cleaned, imputed, fills, result.kept, result.flags))
 
     # export
     labels = document.column_labels(spark, imputed.columns, descriptions, spec.derived_labels)
