@@ -308,7 +308,9 @@ def representatives(
         "representatives",
     )
     same = F.col(id_col) == F.col(named)
-    kept = docs.join(first.filter(F.col(times) == 1), same, "left_semi").unionByName(docs.filter(F.col(id_col).isNull()))
+    # the list of ids grows with the documents: it is dealt with them, never broadcast
+    once = first.filter(F.col(times) == 1).hint("merge")
+    kept = docs.join(once, same, "left_semi").unionByName(docs.filter(F.col(id_col).isNull()))
     repeated = first.filter(F.col(times) > 1)
     if repeated.isEmpty():
         return kept
