@@ -19,7 +19,8 @@ import json
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from tidemark.session import materialize, ship_package
 MAGIC, VERSION = b"TIDB", 1
 HEADER = struct.Struct("<4sBBHI")
 BLOCK_IDS = 1 << 16
-MEMO = 300_000  # chunks of text that a worker remembers in each of two generations
+MEMO = 120_000  # words that a worker remembers, in each of two generations
 
 
 # ------------------------------------------------------------------------- the block format
@@ -106,6 +107,25 @@ def _byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(moved)}
 
 
+class _Memo(dict):
+    """Computes what it is asked for once, and forgets what was not asked for in two rounds of
+    ``MEMO`` entries."""
+
+    def __init__(self, compute: Callable[[str], bytes]):
+        super().__init__()
+        self.compute, self.old = compute, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= MEMO:
+            self.old = self.copy()
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """Encodes texts with a tokenizer file of the tokenizers library.
 
@@ -132,50 +152,37 @@ class Encoder:
         )
         self.model = self.tokenizer.model
         self.alphabet = _byte_alphabet()
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.chunks, self.pieces = _Memo(self._chunk), _Memo(self._piece)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= MEMO:
-                self.pieces.clear()
-            spelled = piece.encode().decode("latin-1").translate(self.alphabet)
-            ids = self.pieces[piece] = [t.id for t in self.model.tokenize(spelled)]
-        return ids
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece.encode().decode("latin-1").translate(self.alphabet)
+        return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        ids = self.old.get(chunk)
-        if ids is None:
-            if _SIMPLE(chunk) and "<|" not in chunk:
-                found: list[int] = []
-                for piece in _PIECES(chunk.lower()):
-                    found += self._piece(piece)
-                ids = np.array(found, dtype=self.dtype).tobytes()
-            else:
-                ids = self._whole(chunk)
-        if len(self.young) >= MEMO:
-            self.old, self.young = self.young, {}
-        self.young[chunk] = ids
-        return ids
+        if _SIMPLE(chunk) and "<|" not in chunk:
+            return b"".join(map(self.pieces.__getitem__, _PIECES(chunk.lower())))
+        return self._whole(chunk)
 
     def encode(self, text: str) -> np.ndarray:
         if not self.by_chunk:
-            return np.frombuffer(self._whole(text), dtype=self.dtype)
-        known, chunk = self.young, self._chunk
-        out = []
-        for c in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "):
-            ids = known.get(c)
-            if ids is None:
-                ids = chunk(c)
-                known = self.young
-            out.append(ids)
-        return np.frombuffer(b"".join(out), dtype=self.dtype)
+            return np.frombuffer(self._whole(text), dtype=self.code)
+        if "<|" not in text and _is_latin(text):
+            # composed forms and lower case do not depend on each other here
+            text = text.lower()
+        chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return np.frombuffer(b"".join(map(self.chunks.__getitem__, chunks)), dtype=self.code)
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 _encoders: dict[str, Encoder] = {}
