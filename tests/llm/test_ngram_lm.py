@@ -57,3 +57,14 @@ def test_odd_rows(spark, block_bytes, bucket_grams):
     assert ngram_lm.backoff_scores(documents(spark, [])).collect() == []
     alone = ngram_lm.backoff_scores(documents(spark, [(1, "only one text", "en", "a")])).collect()
     check(alone, [1], ["only one text"])
+
+
+@pytest.mark.parametrize("at_once", [1, 3, 1000])
+def test_own_counts_of_each_document(monkeypatch, at_once):
+    monkeypatch.setattr(ngram_lm, "OWN_WORDS", at_once)
+    texts = ["a b a b a", None, "", "b", "a a a a", "c d c d a b " * 3]
+    grams = ngram_lm.Grams(texts)
+    want = [own[w] for d in map(split, texts) for own in [Counter(d)] for w in d]
+    want += [own[p] for d in map(split, texts) for own in [Counter(zip(d, d[1:]))] for p in zip(d, d[1:])]
+    assert grams.own().tolist() == want
+    assert grams.counts().sum() == len(want)

@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ship_package
 
-BLOCK_BYTES = 16 << 20  # UTF-8 bytes of a block of documents
+BLOCK_BYTES = 14 << 20  # UTF-8 bytes of a block of documents
 BUCKET_GRAMS = 2_000_000  # n-grams of a bucket, expected
 BACKOFF = 0.4
+OWN_WORDS = 200_000  # words of the documents whose own counts are taken together
 
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -57,9 +58,18 @@ class Grams:
         words = np.concatenate(hashes) if hashes else np.empty(0, dtype=np.uint64)
         # the second word of each pair, where both are of one document
         self.second = np.nonzero(self.doc[1:] == self.doc[:-1])[0] + 1
-        pairs = _mixed(words[self.second - 1] * _ONE + _mixed(words[self.second] ^ _TWO))
         self.n_words = len(words)
-        self.keys, self.at = np.unique(np.concatenate((words, pairs)), return_inverse=True)
+        keys = np.concatenate((words, _mixed(words[self.second - 1] * _ONE + _mixed(words[self.second] ^ _TWO))))
+        del words, hashes
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = keys[1:] != keys[:-1]
+        self.keys = keys[new]
+        del keys
+        # the place of every n-gram among the distinct ones
+        self.at = np.empty(len(order), dtype=np.int32)
+        self.at[order] = np.cumsum(new, dtype=np.int32) - 1
 
     def counts(self) -> np.ndarray:
         return np.bincount(self.at, minlength=len(self.keys))
@@ -72,9 +82,23 @@ class Grams:
 
     def own(self) -> np.ndarray:
         """For every word and pair how often its own document has it."""
-        doc = np.concatenate((self.doc, self.doc[self.second]))
-        _, at, n = np.unique(doc * max(1, len(self.keys)) + self.at, return_inverse=True, return_counts=True)
-        return n[at]
+        out = np.empty(len(self.at), dtype=np.int64)
+        words = np.concatenate(([0], np.cumsum(self.sizes)))
+        pairs = self.n_words + np.concatenate(([0], np.cumsum(np.maximum(self.sizes - 1, 0))))
+        width = max(1, len(self.keys))
+        first = 0
+        while first < len(self.sizes):
+            # some documents at a time: their n-grams lie together, first the words, then the pairs
+            last = max(first + 1, int(np.searchsorted(words, words[first] + OWN_WORDS, side="right")) - 1)
+            parts = [slice(bounds[first], bounds[last]) for bounds in (words, pairs)]
+            doc = np.concatenate((self.doc[parts[0]], self.doc[self.second[parts[1].start - self.n_words : parts[1].stop - self.n_words]]))
+            code = doc * width + np.concatenate([self.at[p] for p in parts])
+            _, at, n = np.unique(code, return_inverse=True, return_counts=True)
+            n = n[at]
+            cut = parts[0].stop - parts[0].start
+            out[parts[0]], out[parts[1]] = n[:cut], n[cut:]
+            first = last
+        return out
 
 
 def _pack(counts: np.ndarray) -> bytes:
