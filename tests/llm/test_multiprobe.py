@@ -84,3 +84,21 @@ def test_odd_rows(spark):
     assert found[40] == [(8, 2.0), (9, 2.0), (0, 1.0), (1, 0.5)]
     assert found[20] == [(21, 1.0)] and found[60] == []
     assert multiprobe.nearest(df.limit(0), F.lit(True)).collect() == []
+
+
+@pytest.mark.parametrize("equal", [True, False])
+def test_an_id_stored_many_times_is_one_candidate(spark, monkeypatch, equal):
+    """A high-scoring id is stored 60 times; the sample is smaller than the table."""
+    monkeypatch.setattr(multiprobe, "SAMPLE", 10)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    hot = [20.0 * sum(x[q] for q in (20, 40, 60)) / 3 * (1 if equal else 1 - j / 1000) for j in range(60)]
+    rows += [(1000, v.tolist()) for v in hot] + [(20, x[20].tolist())] * 3
+    df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA)
+    got = multiprobe.nearest(df, F.pmod("vec_id", F.lit(20)) == 0, tables=2, projections=2, width=50.0, probes=9).collect()
+    for q in range(0, 300, 20):
+        scores = {i: float(x[i] @ x[q]) for i in range(300) if i != q}
+        scores[1000] = max(float(v @ x[q]) for v in hot)
+        want = sorted(scores, key=lambda i: (-scores[i], i))[:20]
+        assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == want

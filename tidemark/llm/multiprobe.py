@@ -179,9 +179,17 @@ def _block(
     is the score that ``k`` vectors are known to reach."""
     rough = q @ x.T
     border = least
-    if len(ids) > k + 1:
-        # the query itself may be one of them
-        border = np.maximum(border, np.partition(rough, len(ids) - k - 1, axis=1)[:, len(ids) - k - 1])
+    distinct, first, times = np.unique(ids, return_index=True, return_counts=True)
+    if len(distinct) > k + 1:
+        # different ids alone count: the best row of each, the query itself may be one of them
+        top = rough[:, first]
+        if len(distinct) < len(ids):
+            # only ids that repeat have more than the one score
+            order = np.argsort(ids, kind="stable")
+            starts = np.cumsum(times) - times
+            for at in np.nonzero(times > 1)[0].tolist():
+                top[:, at] = rough[:, order[starts[at] : starts[at] + times[at]]].max(axis=1)
+        border = np.maximum(border, np.partition(top, len(distinct) - k - 1, axis=1)[:, len(distinct) - k - 1])
     # the margin covers the order of summation
     margin = 1e-9 * np.maximum(1.0, np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max())
     row, at = np.nonzero(rough >= (border - margin)[:, None])
@@ -285,6 +293,8 @@ def nearest(
     ).filter(F.col("vec_id").isNotNull() & (F.size("vector") > 0) & ~F.exists("vector", odd))
     square = F.aggregate("vector", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
     rows = rows.withColumns({"size": F.size("vector"), "square": square}).filter("square > 0")
+    # equal rows are one candidate and one query; the aggregate combines them on the map side
+    rows = rows.groupBy("vec_id", "vector", "size", "square").agg(F.max(F.coalesce("asks", F.lit(False))).alias("asks"))
     rows = materialize(rows, "vectors")
     # one row for each length of vectors
     sizes = rows.groupBy("size").agg(F.max("square").alias("most"), F.count(F.lit(1)).alias("n")).collect()
@@ -321,7 +331,8 @@ def nearest(
     wanted = visits.groupBy("size", "t", "cell").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("n_qs"))
     # at most tables * CELLS rows of five numbers for each length; cells nobody visits are left out
     cuts = F.broadcast(materialize(held.join(wanted, ["size", "t", "cell"]), "cell-cuts"))
-    piece = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.col(n)).cast("int")
+    # the vector spreads the rows of an id that still repeats
+    piece = lambda n, salt: F.pmod(F.xxhash64("vec_id", "vector", F.lit(salt)), F.col(n)).cast("int")
     other = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     order = ["size", "t", "cell", "vs", "qs"]
     columns = [*order, "asks", "vec_id", "vector", "least"]
