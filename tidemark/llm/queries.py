@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontamination,
+    invertible_sketch,
     language,
+    merkle,
     mixing,
     multiprobe,
     ngram_lm,
+    prefix_trie,
     quality,
     secret_scan,
     sharding,
@@ -75,6 +78,18 @@ def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumns({"log_score": F.round("log_score", 6), "mean_score": F.round("mean_score", 9)})
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return invertible_sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -88,6 +103,9 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_multiprobe,
         op10_ngram_lm,
+        op11_prefix_trie,
+        op12_fingerprints,
+        op13_merkle,
     )
 }
 
@@ -141,6 +159,66 @@ SELECT t.doc_id, coalesce(n, 0) AS n_words, coalesce(n_pairs, 0) AS n_pairs_seen
 FROM t LEFT JOIN total USING (doc_id)
 """
 
+# crc32 of ASCII text, bit by bit with the reversed polynomial; DuckDB has no function for it
+CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split({}, ''), lambda c: ascii(c))),
+    lambda s, b: list_reduce(list_concat([xor(s, b)], range(8)), lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)))"""
+
+OP11_SQL = f"""
+WITH t AS (SELECT conv_id, md5(length(r) || ':' || r || x) AS m, strlen(x) AS b,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(r) || ':' || r || x)) AS p
+           FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+s AS (SELECT conv_id, conv_id - conv_id % 5 AS base, count(*) AS n, {CRC32.format("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM t GROUP BY conv_id),
+c AS (SELECT s.*, least(s.h, coalesce(o.n, 0)) AS taken FROM s LEFT JOIN s o ON o.conv_id = s.base),
+seq AS (SELECT c.conv_id, t.p AS d, m, b FROM c JOIN t ON t.conv_id = c.base AND t.p <= c.taken
+        UNION ALL SELECT c.conv_id, taken + t.p - h, m, b FROM c JOIN t ON t.conv_id = c.conv_id AND t.p > h),
+run AS (SELECT conv_id, d, b, string_agg(m, '') OVER (PARTITION BY conv_id ORDER BY d) AS path,
+               d = count(*) OVER (PARTITION BY conv_id) AS ends FROM seq
+        UNION ALL SELECT conv_id, 0, 0, '', conv_id NOT IN (SELECT conv_id FROM seq) FROM c),
+node AS (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * min(b) AS own,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS e
+         FROM run GROUP BY path, d),
+kids AS (SELECT left(path, length(path) - 32) AS path, count(*) AS k FROM node WHERE d > 0 GROUP BY 1),
+above AS (SELECT left(path, 32 * unnest(range(0, d + 1))) AS path, own, node.path NOT IN (SELECT path FROM kids) AS leaf FROM node),
+total AS (SELECT path, sum(own) AS saved, count(*) FILTER (leaf) AS leaves FROM above GROUP BY path)
+SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, node.n AS n_convs, coalesce(k, 0) AS n_children,
+       leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, node.e AS ends_sha256
+FROM node JOIN total ON total.path = node.path LEFT JOIN kids ON kids.path = node.path
+LEFT JOIN node p ON node.d > 0 AND p.path = left(node.path, length(node.path) - 32)
+"""
+
+
+def _told(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _op13_leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(_told(v) for v in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+OP13_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, {_op13_leaf("n_chars")} AS leaf,
+    CASE WHEN {CRC32.format("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_op13_leaf("(CAST(n_chars AS HUGEINT) + 1)")}
+         ELSE {_op13_leaf("n_chars")} END AS start FROM documents),
+x AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+             count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS g FROM d),
+level AS (SELECT g, 0 AS k, p, n, leaf AS h FROM x
+    UNION ALL SELECT g, k + 1, p // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY p)) FROM level WHERE n > 1 GROUP BY g, k, p // 2, n),
+sub AS (SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS p, count(*) OVER () AS n FROM level WHERE n = 1),
+top AS (SELECT 0 AS k, p, n, h FROM sub
+    UNION ALL SELECT k + 1, p // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY p)) FROM top WHERE n > 1 GROUP BY k, p // 2, n),
+step AS (SELECT g, k, p, n, h FROM level WHERE n > 1 UNION ALL SELECT -1, k, p, n, h FROM top WHERE n > 1),
+climb AS (SELECT doc_id, g AS own, leaf, g, 0 AS k, p, n, start AS f, '' AS proof FROM x
+    UNION ALL
+    SELECT c.doc_id, c.own, c.leaf, CASE WHEN c.n = 1 THEN -1 ELSE c.g END, CASE WHEN c.n = 1 THEN 0 ELSE c.k + 1 END,
+           CASE WHEN c.n = 1 THEN sub.p ELSE c.p // 2 END, CASE WHEN c.n = 1 THEN sub.n ELSE (c.n + 1) // 2 END,
+           CASE WHEN c.n = 1 THEN f WHEN s.h IS NULL THEN sha256(f) WHEN c.p % 2 = 1 THEN sha256(s.h || f) ELSE sha256(f || s.h) END,
+           proof || coalesce(s.h, '')
+    FROM climb c LEFT JOIN step s ON c.n > 1 AND s.g = c.g AND s.k = c.k AND s.p = xor(c.p, 1) LEFT JOIN sub ON sub.g = c.own
+    WHERE c.n > 1 OR c.g <> -1)
+SELECT doc_id, leaf, sub.h AS subroot, top.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = top.h AS verified
+FROM climb JOIN sub ON sub.g = own JOIN top ON top.n = 1 WHERE climb.g = -1 AND climb.n = 1
+"""
 
 
 def _literal(text: str) -> str:
@@ -189,4 +267,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_secret_scan": _op7_sql(),
     "op8_decontamination": OP8_SQL,
     "op10_ngram_lm": OP10_SQL,
+    "op11_prefix_trie": OP11_SQL,
+    "op13_merkle": OP13_SQL,
 }
