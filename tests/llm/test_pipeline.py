@@ -7,8 +7,8 @@ import pytest
 from compare import connect, difference, spark_rows, sql_rows
 from helpers import ODD, documents, read
 from test_decontamination import brute_force
+from test_near_copies import plain_representatives
 from test_sharding_and_mixing import check_shards, targets, words
-from test_simhash import plain_components, plain_fingerprint
 
 import __spark_entry__
 from tidemark.llm import quality
@@ -26,8 +26,7 @@ def test_stages(spark, monkeypatch):
     model = quality.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
     good = [i for i, r in table.items() if model.score(quality.features(r.text)[None])[0] >= quality.CUT]
     ids = sorted(good)
-    group = plain_components(ids, [plain_fingerprint(table[i].text) for i in ids])
-    alone = [i for i in ids if group[i] == i]
+    alone = plain_representatives([(i, table[i].text) for i in ids])
     items = duckdb.connect().sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
     clean = [i for i in alone if not brute_force(table[i].text, items)[4]]
     steps = {"quality": ids, "near_duplicates": alone, "decontamination": clean}
@@ -72,7 +71,7 @@ def test_odd_rows_pass_all_stages(spark):
 def test_all_queries_are_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and set(registered.QUERIES) <= set(names)
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert set(__spark_entry__.oracle_sql()) <= set(names)
 
 

@@ -26,7 +26,7 @@ CELL = "named_struct('n', 0, 'k', 0L, 'c', 0L)"
 
 
 def digests(text: str) -> str:
-    """SQL: the distinct 64-bit digests of the paragraphs, the trimmed lines that hold something."""
+    """SQL: the distinct 64-bit digests of the paragraphs, lines without the blanks around them, empty ones left out."""
     lines = f"filter(transform(split({text}, '\\n'), p -> trim(p)), p -> p != '')"
     return f"array_distinct(transform({lines}, p -> xxhash64(p)))"
 
