@@ -4,7 +4,7 @@ Each group (a language) is a binary tree over its rows, and the groups' roots ar
 tree on top.  Levels are built ``HOP`` at a time: the nodes of up to ``2**HOP`` neighbours become
 one stored node, and each of them is stored with its link to that node and the siblings that it
 meets on the way.  A recursive query then takes every leaf up link by link, appending the siblings
-to its proof and folding its hash into them.
+to its proof, a row for each step, and folding its hash into them.
 
 A node near the top is met by most leaves, so it is stored in as many copies as it has ``PIECE``s
 of leaves below it, and the leaves are spread over the copies.
@@ -66,10 +66,10 @@ def _climb_one_hop(level: DataFrame, hop: int, carried: list[str]) -> tuple[Data
     link and siblings, and the nodes above.  ``below`` counts leaves; ``carried`` columns stay."""
     wide = 1 << hop
     groups = level.groupBy("tree", "members", "level", F.floor(F.col("pos") / wide).alias("p_pos")).agg(
-        F.array_sort(F.collect_list(F.struct("pos", F.lower(F.hex("hash")).alias("hash"), "below", *carried))).alias("nodes"),
+        F.array_sort(F.collect_list(F.struct("pos", "hash", "below", *carried))).alias("nodes"),
         F.sum("below").cast("long").alias("p_below"),
     )
-    groups = groups.withColumn("l0", F.expr("nodes.hash"))
+    groups = groups.withColumn("l0", F.expr("transform(nodes.hash, h -> lower(hex(h)))"))
     for i in range(hop):
         # a tree ends where one node is left; until then a last node without a neighbour is hashed alone
         goes_on = f"(members > {wide} OR size(l{i}) > 1)"
@@ -85,7 +85,7 @@ def _climb_one_hop(level: DataFrame, hop: int, carried: list[str]) -> tuple[Data
         "tree",
         "level",
         "node.pos",
-        F.expr("unhex(node.hash)").alias("hash"),
+        "node.hash",
         "node.below",
         *[f"node.{c}" for c in carried],
         F.col("tree").alias("p_tree"),
@@ -123,10 +123,10 @@ def _build(level: DataFrame, hop: int, label: str) -> tuple[DataFrame, DataFrame
     return (linked[0] if linked else None), materialize(roots[0], f"{label}-roots")
 
 
-# Appends a stored node's siblings to the proof and folds the hash into them.
+# A stored node's siblings one after the other, and the hash folded into them.
 FOLD = """unhex(aggregate({s}, lower(hex({h})), (h, s) -> sha2(CASE WHEN s.hash IS NULL THEN h
           WHEN s.left THEN concat(lower(hex(s.hash)), h) ELSE concat(h, lower(hex(s.hash))) END, 256)))"""
-PROOF = "aggregate({s}, {p}, (p, s) -> concat(p, coalesce(s.hash, X'')))"
+PROOF = "aggregate({s}, X'', (p, s) -> concat(p, coalesce(s.hash, X'')))"
 
 
 def manifest(docs: DataFrame, hop: int = HOP, every: int = EVERY, piece: int = PIECE) -> DataFrame:
@@ -209,8 +209,7 @@ def manifest(docs: DataFrame, hop: int = HOP, every: int = EVERY, piece: int = P
         F.col("p_pos").alias("pos"),
         F.pmod("pos", copies("p_below")).alias("copy"),
         F.expr(FOLD.format(s="siblings", h="start")).alias("folded"),
-        F.expr(PROOF.format(s="siblings", p="X''")).alias("proof"),
-        F.lit(None).cast("binary").alias("subroot"),
+        F.expr(PROOF.format(s="siblings")).alias("proof"),
     )
     alone = lone.select(
         "doc_id",
@@ -222,22 +221,28 @@ def manifest(docs: DataFrame, hop: int = HOP, every: int = EVERY, piece: int = P
         F.lit(0).cast("long").alias("copy"),
         F.col("start").alias("folded"),
         F.expr("X''").alias("proof"),
-        F.lit(None).cast("binary").alias("subroot"),
     )
-    climbed = _climb(materialize(anchor.unionByName(alone), "anchor"), nodes, top_level)
+    anchor = anchor.unionByName(alone).withColumn("row", F.monotonically_increasing_id())
+    climbed = _climb(materialize(anchor, "anchor"), nodes, top_level)
+    text = lambda c: F.lower(F.hex(c))
     return climbed.select(
         "doc_id",
-        F.lower(F.hex("leaf")).alias("leaf"),
-        F.lower(F.hex("subroot")).alias("subroot"),
+        text("leaf").alias("leaf"),
+        text("subroot").alias("subroot"),
         F.lit(root).alias("root"),
-        F.sha2(F.lower(F.hex("proof")).cast("binary"), 256).alias("proof_sha256"),
-        F.lower(F.hex("folded")).alias("folded_root"),
-        (F.lower(F.hex("folded")) == F.lit(root)).alias("verified"),
+        "proof_sha256",
+        text("folded").alias("folded_root"),
+        (text("folded") == F.lit(root)).alias("verified"),
     )
 
 
 def _climb(anchor: DataFrame, nodes: DataFrame, top_level: int) -> DataFrame:
-    """Every row of ``anchor`` at the root: the recursive query over the stored nodes."""
+    """``doc_id, leaf, folded, subroot, proof_sha256`` at the root, by a recursive query over the stored nodes.
+
+    A step keeps what the next one needs and leaves its siblings behind as a row of its own: carried
+    along, a proof would be moved once for each step.  The rows of a leaf, one for each step, are
+    put together at the end.
+    """
     spark = anchor.sparkSession
     tag = uuid.uuid4().hex
     limit = "spark.sql.cteRecursionRowLimit"
@@ -250,16 +255,23 @@ def _climb(anchor: DataFrame, nodes: DataFrame, top_level: int) -> DataFrame:
         return materialize(
             spark.sql(f"""
                 WITH RECURSIVE climb AS (
-                    SELECT doc_id, leaf, number, tree, level, pos, copy, folded, proof, subroot FROM anchor_{tag}
+                    SELECT row, 0 AS step, number, tree, level, pos, copy, folded, proof, CAST(NULL AS BINARY) AS subroot,
+                           doc_id, leaf FROM anchor_{tag}
                     UNION ALL
-                    SELECT c.doc_id, c.leaf, c.number, n.p_tree, n.p_level, n.p_pos, pmod(c.number, n.p_copies),
-                           {FOLD.format(s="n.siblings", h="c.folded")}, {PROOF.format(s="n.siblings", p="c.proof")},
-                           coalesce(n.subroot, c.subroot)
+                    SELECT c.row, c.step + 1, c.number, n.p_tree, n.p_level, n.p_pos, pmod(c.number, n.p_copies),
+                           {FOLD.format(s="n.siblings", h="c.folded")}, {PROOF.format(s="n.siblings")}, n.subroot, NULL, NULL
                     FROM climb c
                     JOIN nodes_{tag} n ON n.tree = c.tree AND n.level = c.level AND n.pos = c.pos AND n.copy = c.copy
+                ),
+                leaves AS (
+                    SELECT max(doc_id) AS doc_id, max(leaf) AS leaf, max(subroot) AS subroot,
+                           max(CASE WHEN tree = '{TOP}' AND level = {top_level} THEN folded END) AS folded,
+                           array_sort(collect_list(CASE WHEN proof != X'' THEN struct(step, proof) END)) AS steps
+                    FROM climb GROUP BY row
                 )
-                SELECT doc_id, leaf, folded, proof, subroot FROM climb
-                WHERE tree = '{TOP}' AND level = {top_level}"""),
+                SELECT doc_id, leaf, subroot, folded,
+                       sha2(CAST(lower(hex(aggregate(steps, X'', (p, s) -> concat(p, s.proof)))) AS BINARY), 256) AS proof_sha256
+                FROM leaves"""),
             "climbed",
         )
     finally:
