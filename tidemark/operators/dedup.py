@@ -30,6 +30,27 @@ def _repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return materialize(found, "repeated-keys")
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``__key, n``: the repeated keys and how often each occurs, written out, from one scan of the keys."""
+    return _repeated(df, keys)
+
+
+def keys_of_copies(repeated: DataFrame) -> DataFrame:
+    """The key of every row whose key repeats, in the order of the keys: each key once per copy.  The rows
+    themselves are not needed for that."""
+    each = repeated.select("__key", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))
+    return each.orderBy("__key").select("__key.*")
+
+
+def counts_of_copies(repeated: DataFrame, n_rows: int) -> DataFrame:
+    """``n_rows, n_keys, n_surplus`` as ``duplicate_count`` gives them, from the repeated keys."""
+    surplus = F.coalesce(F.sum(F.col("n") - 1), F.lit(0).cast("bigint"))
+    rows = F.lit(n_rows).cast("bigint")
+    return repeated.agg(surplus.alias("n_surplus")).select(
+        rows.alias("n_rows"), (rows - F.col("n_surplus")).alias("n_keys"), "n_surplus"
+    )
+
+
 def duplicate_rows(df: DataFrame, keys: Sequence[str], ordered: bool = False, **limits: int) -> DataFrame:
     """Every row whose key occurs more than once.
 

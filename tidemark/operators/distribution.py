@@ -19,25 +19,38 @@ from tidemark.functions.columns import (
     without_exponent,
 )
 
+from tidemark.operators.combine import Profile, answer
 from tidemark.session import materialize
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def value_counts(df: DataFrame, columns: Sequence[str], derived: Mapping[str, Column] | None = None) -> DataFrame:
     """``column, value, count`` for several columns in one scan.  Values are counted on
-    the map side before the shuffle, so a value holding most rows costs one row per task."""
+    the map side before the shuffle, so a value holding most rows costs one row per task.
+    ``derived`` counts the values of expressions under names of their own."""
+    names = [*columns, *(derived or {})]
     return (
-        df.selectExpr(*[f"CAST({sql_name(c)} AS STRING) AS {sql_name(c)}" for c in columns])
-        .unpivot([], [sql_name(c) for c in columns], "column", "value")
+        df.select(
+            *[F.expr(f"CAST({sql_name(c)} AS STRING)").alias(c) for c in columns],
+            *[value.cast("string").alias(name) for name, value in (derived or {}).items()],
+        )
+        .unpivot([], [sql_name(c) for c in names], "column", "value")
         .filter(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("count"))
     )
 
 
-def frequency_table(df: DataFrame, column: str, labels: Mapping[str, str] | None = None) -> DataFrame:
+def _counts_of(df: DataFrame, column: str, counts: DataFrame | None) -> DataFrame:
+    """The value counts of one column: out of ``counts`` of many, if these are known."""
+    return value_counts(df, [column]) if counts is None else counts.filter(F.col("column") == column)
+
+
+def frequency_table(
+    df: DataFrame, column: str, labels: Mapping[str, str] | None = None, counts: DataFrame | None = None
+) -> DataFrame:
     """``code, label, count, pct_of_valid``, most frequent first.  A code without a label
     shows itself.  A column without values gives an empty table."""
-    counts = value_counts(df, [column])
+    counts = _counts_of(df, column, counts)
     # one-row total as a scalar subquery: no window over the whole table
     total = counts.agg(F.sum("count").alias("n_valid")).scalar()
     named = literal_table(df.sparkSession, list((labels or {}).items()), "value string, label string")
@@ -53,25 +66,29 @@ def frequency_table(df: DataFrame, column: str, labels: Mapping[str, str] | None
     )
 
 
-def valid_and_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column, n_valid, n_missing``, the line printed over each frequency table."""
-    counted = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count(quoted(c)).alias(f"c{i}") for i, c in enumerate(columns)]
-    )
-    return counted.select(
-        stack_rows(
-            [
+def filled_profile(columns: Sequence[str]) -> Profile:
+    return Profile(
+        {"n": F.count(F.lit(1)), **{f"c{i}": F.count(quoted(c)) for i, c in enumerate(columns)}},
+        lambda counted: counted.select(
+            stack_rows(
                 [
-                    ("column", F.lit(c)),
-                    ("n_valid", F.col(f"c{i}")),
-                    ("n_missing", F.col("n") - F.col(f"c{i}")),
+                    [
+                        ("column", F.lit(c)),
+                        ("n_valid", F.col(f"c{i}")),
+                        ("n_missing", F.col("n") - F.col(f"c{i}")),
+                    ]
+                    for i, c in enumerate(columns)
                 ]
-                for i, c in enumerate(columns)
-            ]
-        )
+            )
+        ),
     )
 
 
+def valid_and_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, n_valid, n_missing``, the line printed over each frequency table."""
+    return answer(df, filled_profile(columns))
+
+
 def category_ranking(df: DataFrame, column: str) -> DataFrame:
     """Categories from rare to frequent, as a horizontal bar chart draws them."""
     return (
@@ -81,34 +98,40 @@ def category_ranking(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def category_share(df: DataFrame, column: str, categories: Sequence[str]) -> DataFrame:
-    """Share of each listed category among the rows that hold one of them."""
+def share_profile(column: str, categories: Sequence[str]) -> Profile:
     value = quoted(column).cast("string")
-    counted = df.agg(
-        F.count_if(value.isNull()).alias("n_missing"),
-        *[F.count_if(value == c).alias(f"n{i}") for i, c in enumerate(categories)],
-    )
     valid = sum((F.col(f"n{i}") for i in range(1, len(categories))), F.col("n0"))
-    return counted.select(
-        stack_rows(
-            [
+    return Profile(
+        {"n_missing": F.count_if(value.isNull()), **{f"n{i}": F.count_if(value == c) for i, c in enumerate(categories)}},
+        lambda counted: counted.select(
+            stack_rows(
                 [
-                    ("category", F.lit(c)),
-                    ("count", F.col(f"n{i}")),
-                    ("n_valid", valid),
-                    ("pct", percent(F.col(f"n{i}"), valid)),
-                    ("n_missing", F.col("n_missing")),
+                    [
+                        ("category", F.lit(c)),
+                        ("count", F.col(f"n{i}")),
+                        ("n_valid", valid),
+                        ("pct", percent(F.col(f"n{i}"), valid)),
+                        ("n_missing", F.col("n_missing")),
+                    ]
+                    for i, c in enumerate(categories)
                 ]
-                for i, c in enumerate(categories)
-            ]
-        )
+            )
+        ),
     )
 
 
-def dominant_category(df: DataFrame, column: str) -> DataFrame:
-    """The most frequent category with its share; among equals the first by name."""
-    counts = value_counts(df, [column])
-    n_rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+def category_share(df: DataFrame, column: str, categories: Sequence[str]) -> DataFrame:
+    """Share of each listed category among the rows that hold one of them."""
+    return answer(df, share_profile(column, categories))
+
+
+def dominant_category(
+    df: DataFrame, column: str, counts: DataFrame | None = None, n_rows: Column | None = None
+) -> DataFrame:
+    """The most frequent category with its share; among equals the first by name.  ``counts`` and
+    ``n_rows`` are used where they are known."""
+    counts = _counts_of(df, column, counts)
+    n_rows = df.agg(F.count(F.lit(1)).alias("n")).scalar() if n_rows is None else n_rows
     best = F.min_by("value", F.struct(-F.col("count"), F.col("value")))
     return counts.agg(
         best.alias("label"), F.max("count").alias("count"), F.sum("count").alias("n_valid")
@@ -120,40 +143,43 @@ def dominant_category(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def binned_distribution(
-    df: DataFrame, column: str, bins: Sequence[tuple[str, float, float]]
-) -> DataFrame:
-    """Counts per right-open bin ``[low, high)``, empty bins included; values outside every
-    bin count as missing.  ``bins`` is a short declared list, so it becomes one CASE."""
+def binned_profile(column: str, bins: Sequence[tuple[str, float, float]]) -> Profile:
     value = quoted(column).cast("double")
     position = F.coalesce(
         *[F.when((value >= low) & (value < high), F.lit(i)) for i, (_, low, high) in enumerate(bins)]
     )
-    counts = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(position == i).alias(f"b{i}") for i in range(len(bins))],
-    )
     valid = sum((F.col(f"b{i}") for i in range(1, len(bins))), F.col("b0"))
-    return counts.select(
-        stack_rows(
-            [
+    return Profile(
+        {"n": F.count(F.lit(1)), **{f"b{i}": F.count_if(position == i) for i in range(len(bins))}},
+        lambda counts: counts.select(
+            stack_rows(
                 [
-                    ("bin", F.lit(i)),
-                    ("label", F.lit(label)),
-                    ("count", F.col(f"b{i}")),
-                    ("pct_of_valid", percent(F.col(f"b{i}"), valid)),
-                    ("n_missing", F.col("n") - valid),
+                    [
+                        ("bin", F.lit(i)),
+                        ("label", F.lit(label)),
+                        ("count", F.col(f"b{i}")),
+                        ("pct_of_valid", percent(F.col(f"b{i}"), valid)),
+                        ("n_missing", F.col("n") - valid),
+                    ]
+                    for i, (label, _, _) in enumerate(bins)
                 ]
-                for i, (label, _, _) in enumerate(bins)
-            ]
-        )
+            )
+        ),
     )
 
 
-def casing_consistency(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def binned_distribution(
+    df: DataFrame, column: str, bins: Sequence[tuple[str, float, float]]
+) -> DataFrame:
+    """Counts per right-open bin ``[low, high)``, empty bins included; values outside every
+    bin count as missing.  ``bins`` is a short declared list, so it becomes one CASE."""
+    return answer(df, binned_profile(column, bins))
+
+
+def casing_consistency(df: DataFrame, columns: Sequence[str], counts: DataFrame | None = None) -> DataFrame:
     """False where values differ only by case or surrounding white space.  Two grouping steps,
     the wide one first, so nothing but the distinct values is shuffled."""
-    distinct = value_counts(df, columns)
+    distinct = value_counts(df, columns) if counts is None else counts.filter(F.col("column").isin(list(columns)))
     folded = distinct.groupBy("column", F.lower(strip("value")).alias("folded")).agg(
         F.count(F.lit(1)).alias("spellings")
     )
@@ -195,9 +221,14 @@ def value_sets(df: DataFrame, columns: Sequence[str] | None = None, max_values:
     texts = [c for c in listed if c not in plain_bool]
     ranged_columns = [*numeric, *plain_bool]
     if ranged_columns:
+        # NaN is a missing value and no end of a range
+        fractional = (T.FloatType, T.DoubleType)
+        known = [
+            f"nanvl({sql_name(c)}, NULL)" if isinstance(fields[c].dataType, fractional) else sql_name(c) for c in ranged_columns
+        ]
         ranged = df.selectExpr(
-            *[f"min({sql_name(c)}) AS lo{i}" for i, c in enumerate(ranged_columns)],
-            *[f"max({sql_name(c)}) AS hi{i}" for i, c in enumerate(ranged_columns)],
+            *[f"min({value}) AS lo{i}" for i, value in enumerate(known)],
+            *[f"max({value}) AS hi{i}" for i, value in enumerate(known)],
         )
         bounds = lay_out(
             ranged,

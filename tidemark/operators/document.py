@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import is_true, literal_table, percent, quoted, stack_rows
+from tidemark.operators.combine import Profile, answer
 from tidemark.operators.distribution import pseudo_key_check, value_sets, width_condition
 from tidemark.operators.impute import FLAG_SUFFIX
 from tidemark.operators.missing import raw_vs_cleaned
@@ -74,13 +75,15 @@ def data_dictionary(
     cleaned: DataFrame,
     final: DataFrame,
     descriptions: Mapping[str, str | None],
+    known_raw: DataFrame | None = None,
 ) -> DataFrame:
     """One row per column of the final table: ``variable, type, label, value_set_or_range,
-    pct_missing_raw, pct_missing_cleaned, imputation_treatment, notes``."""
+    pct_missing_raw, pct_missing_cleaned, imputation_treatment, notes``.  ``known_raw`` are the null
+    counts of the raw table, if it has been profiled."""
     columns = final.columns
     types = dict(final.dtypes)
     kinds = {f.name: f.metadata.get("kind") for f in final.schema.fields}
-    missing = raw_vs_cleaned(raw, cleaned, columns)
+    missing = raw_vs_cleaned(raw, cleaned, columns, known_raw)
     sets = value_sets(final)
     flagged = [c for c in columns if c + FLAG_SUFFIX in columns]
     names = literal_table(
@@ -147,17 +150,14 @@ def dictionary_summary(dictionary: DataFrame) -> DataFrame:
     )
 
 
-def problem_inventory(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Findings on the uncleaned table: ``variable, issue, count, pct, severity,
-    addressed_by``; percentages are of all rows.  A rule brings its severity; nothing found is
-    "None", and gaps where nothing was asked are structural.  Everything but the distinct counts of
-    supposed IDs comes from one aggregate."""
-    measures: list[Column] = [F.count(F.lit(1)).alias("n")]
+def inventory_profile(spec: DatasetSpec) -> Profile:
+    """The findings of ``problem_inventory`` that are counts of rows."""
+    measures: dict[str, Column] = {"n": F.count(F.lit(1))}
     rows: list[list[tuple[str, Column]]] = []
 
     def finding(variable: str, issue: str, count: Column, severity: Column, addressed_by: str) -> None:
         at = len(measures)
-        measures.append(count.alias(f"f{at}"))
+        measures[f"f{at}"] = count
         found = F.col(f"f{at}")
         rows.append(
             [
@@ -175,7 +175,7 @@ def problem_inventory(df: DataFrame, spec: DatasetSpec) -> DataFrame:
         severity = F.lit(gap.severity)
         if gap.asked:
             at = len(measures)
-            measures.append(F.count_if(missing & is_true(F.expr(gap.asked))).alias(f"f{at}"))
+            measures[f"f{at}"] = F.count_if(missing & is_true(F.expr(gap.asked)))
             severity = F.when(F.col(f"f{at}") == 0, F.lit(STRUCTURAL_SEVERITY)).otherwise(severity)
         finding(gap.column, "Missing", F.count_if(missing), severity, gap.addressed_by)
     for rule in spec.sentinels:
@@ -211,7 +211,18 @@ def problem_inventory(df: DataFrame, spec: DatasetSpec) -> DataFrame:
             F.lit(rule.severity),
             rule.addressed_by,
         )
-    found = df.agg(*measures).select(stack_rows(rows))
+    if not rows:
+        empty = "variable string, issue string, count bigint, pct double, severity string, addressed_by string"
+        return Profile(measures, lambda counted: literal_table(counted.sparkSession, [], empty))
+    return Profile(measures, lambda counted: counted.select(stack_rows(rows)))
+
+
+def problem_inventory(df: DataFrame, spec: DatasetSpec, known: DataFrame | None = None) -> DataFrame:
+    """Findings on the uncleaned table: ``variable, issue, count, pct, severity,
+    addressed_by``; percentages are of all rows.  A rule brings its severity; nothing found is
+    "None", and gaps where nothing was asked are structural.  Everything but the distinct counts of
+    supposed IDs comes from one aggregate, ``known`` if a scan for other profiles has made it."""
+    found = answer(df, inventory_profile(spec)) if known is None else known
     if spec.pseudo_keys:
         pseudo = pseudo_key_check(df, list(spec.pseudo_keys)).select(
             F.col("column").alias("variable"),

@@ -39,8 +39,13 @@ _FREQUENT_CHARACTERS = 128
 PAIR_COLUMNS = ["column", "value_a", "count_a", "value_b", "count_b", "similarity"]
 
 
-def text_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column, value, count`` of the trimmed, non-blank texts."""
+def text_values(df: DataFrame, columns: Sequence[str], counts: DataFrame | None = None) -> DataFrame:
+    """``column, value, count`` of the trimmed, non-blank texts; from value counts of the columns, if
+    they are known."""
+    if counts is not None:
+        known = counts.filter(F.col("column").isin(list(columns)))
+        stripped = known.select("column", strip(F.col("value")).alias("value"), "count").filter(F.col("value") != "")
+        return stripped.groupBy("column", "value").agg(F.sum("count").alias("count"))
     trimmed = df.select(*[strip(quoted(c).cast("string")).alias(c) for c in columns])
     return value_counts(trimmed, columns).filter(F.col("value") != "")
 
@@ -233,6 +238,7 @@ def near_duplicates(
     threshold: float = 0.95,
     key_budget: int = 16,
     block_rows: int = BLOCK_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Unordered pairs of distinct values with Jaro-Winkler similarity at or above the
     threshold: ``column, value_a, count_a, value_b, count_b, similarity`` (3 decimals).
@@ -247,7 +253,7 @@ def near_duplicates(
     at = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column")).cast("int")
     # the id is fixed once the table is written
     values = materialize(
-        text_values(df, columns).select(at.alias("column"), F.monotonically_increasing_id().alias("id"), "value", "count"),
+        text_values(df, columns, counts).select(at.alias("column"), F.monotonically_increasing_id().alias("id"), "value", "count"),
         "text-values",
     )
     pairs = _with_texts(candidate_pairs(values, threshold, key_budget, block_rows), values)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -234,6 +235,17 @@ def order_statistics(
     return found
 
 
+def _between(low: float | int, high: float | int, share: float) -> float | int:
+    """The point at ``share`` of the way, without overflow and with every digit of whole numbers."""
+    if low == high or not share:
+        # infinite values among them: there is nothing to interpolate
+        return low
+    if isinstance(low, int) and max(abs(low), abs(high)) > 1 << 53:
+        return float(low + (high - low) * Fraction(share))
+    point = low + (high - low) * share
+    return point if math.isfinite(point) else low * (1 - share) + high * share
+
+
 def exact_quantiles(
     df: DataFrame, probabilities: Mapping[str, Sequence[float]], **limits: int
 ) -> dict[str, tuple[int, list[float] | None]]:
@@ -258,8 +270,7 @@ def exact_quantiles(
             at = (n - 1) * p
             low = values[(column, math.floor(at))]
             high = values[(column, math.ceil(at))]
-            # between equal values, infinite ones among them, there is nothing to interpolate
-            quantiles.append(low if low == high or at == math.floor(at) else low + (high - low) * (at - math.floor(at)))
+            quantiles.append(_between(low, high, at - math.floor(at)))
         result[column] = (n, quantiles)
     return result
 
@@ -301,12 +312,27 @@ def _edges(extent: tuple[int, float | None, float | None], bins: int) -> tuple[f
     elif low == high:
         low, high = low - 0.5, high + 0.5
     low, high = float(low), float(high)
-    return low, high, (high - low) / bins
+    step = (high - low) / bins
+    return low, high, step if math.isfinite(step) else high / bins - low / bins
+
+
+def _finite(df: DataFrame, column: str) -> Column:
+    value = _usable(df, column).cast("double")
+    return F.when(F.abs(value) < F.lit(math.inf), value)
+
+
+def _finite_extent(df: DataFrame, column: str) -> tuple[int, float | None, float | None]:
+    """Count, least and greatest of the finite values: what the edges of bins are laid between."""
+    value = _finite(df, column)
+    return tuple(df.agg(F.count(value), F.min(value), F.max(value)).first())
 
 
 def _bin_of(value: Column, low: float, high: float, step: float, bins: int) -> Column:
     """0-based bin of a value: right-open bins, the last one closed, NULL outside.  The
     division only guesses; comparing with the edges themselves settles it."""
+    if not math.isfinite(high - low):
+        # a quarter of everything has the same bins and does not overflow
+        value, low, high, step = value / 4, low / 4, high / 4, step / 4
     guess = F.least(F.floor((value - low) / step), F.lit(bins - 1))
     at_edge = (
         F.when(value < F.lit(low) + guess * step, guess - 1)
@@ -318,18 +344,27 @@ def _bin_of(value: Column, low: float, high: float, step: float, bins: int) -> C
 
 def _all_bins(df: DataFrame, low: float, high: float, step: float, bins: int) -> DataFrame:
     at = F.col("id")
+
+    def edge(k: Column) -> Column:
+        if math.isfinite(high - low):
+            return F.lit(low) + k * step
+        return (F.lit(low / 4) + k * (step / 4)) * 4
+
     return df.sparkSession.range(bins).select(
         at.alias("bin"),
-        (F.lit(low) + at * step).alias("lower"),
-        F.when(at == bins - 1, F.lit(high)).otherwise(F.lit(low) + (at + 1) * step).alias("upper"),
+        edge(at).alias("lower"),
+        F.when(at == bins - 1, F.lit(high)).otherwise(edge(at + 1)).alias("upper"),
     )
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
-    """``bin, lower, upper, count`` over equal-width bins, empty ones included."""
-    low, high, step = _edges(column_extent(df, [column])[column], bins)
+    """``bin, lower, upper, count`` over equal-width bins, empty ones included.  The edges follow the
+    finite values; infinite ones count in the first and the last bin."""
+    low, high, step = _edges(_finite_extent(df, column), bins)
+    value = F.greatest(F.lit(low), F.least(F.lit(high), _usable(df, column).cast("double")))
     counts = (
-        df.select(_bin_of(_usable(df, column).cast("double"), low, high, step, bins).alias("bin"))
+        df.filter(_usable(df, column).isNotNull())
+        .select(_bin_of(value, low, high, step, bins).alias("bin"))
         .filter(F.col("bin").isNotNull())
         .groupBy("bin")
         .count()
@@ -343,11 +378,14 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
 def observed_vs_imputed(df: DataFrame, column: str, flag: str, bins: int = 25) -> DataFrame:
     """Histogram of observed and of imputed values on the edges of the observed ones;
-    imputed values outside these edges are not counted."""
+    imputed values outside these edges are not counted.  Observed infinite values count in the
+    first and the last bin."""
     filled = F.coalesce(quoted(flag).cast("boolean"), F.lit(False))
-    low, high, step = _edges(column_extent(df.filter(~filled), [column])[column], bins)
+    low, high, step = _edges(_finite_extent(df.filter(~filled), column), bins)
+    value = _usable(df, column).cast("double")
+    value = F.when(filled | value.isNull(), value).otherwise(F.greatest(F.lit(low), F.least(F.lit(high), value)))
     counts = (
-        df.select(_bin_of(_usable(df, column).cast("double"), low, high, step, bins).alias("bin"), filled.alias("filled"))
+        df.select(_bin_of(value, low, high, step, bins).alias("bin"), filled.alias("filled"))
         .filter(F.col("bin").isNotNull())
         .groupBy("bin")
         .agg(F.count_if(~F.col("filled")).alias("n_observed"), F.count_if("filled").alias("n_imputed"))

@@ -21,6 +21,7 @@ from tidemark.functions.columns import (
     stack_rows,
     whole_number_text,
 )
+from tidemark.operators.combine import Profile, answer
 from tidemark.operators.numeric import exact_quantiles
 from tidemark.spec import (
     ConsistencyRule,
@@ -32,13 +33,22 @@ from tidemark.spec import (
 )
 
 
+# No number is above NaN but NaN itself, which compares as greater than any number.
+_NAN = float("nan")
+
+
+def above(value: Column, bound: float | Column) -> Column:
+    """Above a bound; NaN counts as missing and is not.  Both comparisons can reach the scan."""
+    return (value > bound) & (value < F.lit(_NAN))
+
+
 def out_of_range(rule: RangeRule) -> Column:
     value = quoted(rule.column)
     tests = []
     if rule.low is not None:
         tests.append(value < F.lit(rule.low))
     if rule.high is not None:
-        tests.append(value > F.lit(rule.high))
+        tests.append(above(value, F.lit(rule.high)))
     if not tests:
         return F.lit(False)
     # left as it is for NULL: a filter drops it, and a plain comparison reaches the scan
@@ -68,37 +78,62 @@ def range_violations(df: DataFrame, keys: Sequence[str], rules: Sequence[RangeRu
     )
 
 
-def range_summary(df: DataFrame, rules: Sequence[RangeRule]) -> DataFrame:
-    """Per rule: flagged rows, and whether all of them hold one single value, which points
-    to a sentinel rather than to scattered errors."""
-    measures = []
+def _flagged_value(rule: RangeRule) -> Column:
+    return F.when(out_of_range(rule), quoted(rule.column).cast("double"))
+
+
+def range_profile(rules: Sequence[RangeRule]) -> Profile:
+    measures = {}
     for i, rule in enumerate(rules):
-        flagged = F.when(out_of_range(rule), quoted(rule.column).cast("double"))
-        measures += [
-            F.count(flagged).alias(f"n{i}"),
-            F.min(flagged).alias(f"lo{i}"),
-            F.max(flagged).alias(f"hi{i}"),
-        ]
-    return df.agg(*measures).select(
-        stack_rows(
-            [
+        flagged = _flagged_value(rule)
+        measures |= {f"n{i}": F.count(flagged), f"lo{i}": F.min(flagged), f"hi{i}": F.max(flagged)}
+    return Profile(
+        measures,
+        lambda counted: counted.select(
+            stack_rows(
                 [
-                    ("column", F.lit(rule.column)),
-                    ("n_flagged", F.col(f"n{i}")),
-                    ("is_sentinel", is_true(F.col(f"lo{i}") == F.col(f"hi{i}"))),
-                    (
-                        "sentinel_value",
-                        F.when(F.col(f"lo{i}") == F.col(f"hi{i}"), F.col(f"lo{i}")),
-                    ),
+                    [
+                        ("column", F.lit(rule.column)),
+                        ("n_flagged", F.col(f"n{i}")),
+                        ("is_sentinel", is_true(F.col(f"lo{i}") == F.col(f"hi{i}"))),
+                        (
+                            "sentinel_value",
+                            F.when(F.col(f"lo{i}") == F.col(f"hi{i}"), F.col(f"lo{i}")),
+                        ),
+                    ]
+                    for i, rule in enumerate(rules)
                 ]
-                for i, rule in enumerate(rules)
-            ]
-        )
+            )
+        ),
     )
 
 
-def range_value_counts(df: DataFrame, rules: Sequence[RangeRule]) -> DataFrame:
-    """``column, value, count`` of the out-of-range values."""
+def range_summary(df: DataFrame, rules: Sequence[RangeRule]) -> DataFrame:
+    """Per rule: flagged rows, and whether all of them hold one single value, which points
+    to a sentinel rather than to scattered errors."""
+    return answer(df, range_profile(rules))
+
+
+def flagged_values(rules: Sequence[RangeRule]) -> dict[str, Column]:
+    """What ``range_value_counts`` counts, for a scan that counts other values as well."""
+    return {f"range {i}": _flagged_value(rule) for i, rule in enumerate(rules)}
+
+
+def range_value_counts(df: DataFrame, rules: Sequence[RangeRule], counts: DataFrame | None = None) -> DataFrame:
+    """``column, value, count`` of the out-of-range values; from value counts that hold
+    ``flagged_values``, if they are known."""
+    if counts is not None:
+        names = {f"range {i}": rule.column for i, rule in enumerate(rules)}
+        column = F.lit(None).cast("string")
+        for name, c in names.items():
+            column = F.when(F.col("column") == name, F.lit(c)).otherwise(column)
+        found = counts.filter(F.col("column").isin(list(names)))
+        # two rules on one column count their values together
+        return (
+            found.select(column.alias("column"), F.col("value").cast("double").alias("value"), "count")
+            .groupBy("column", "value")
+            .agg(F.sum("count").alias("count"))
+        )
     return (
         range_violations(df, [], rules).groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
     )
@@ -122,28 +157,31 @@ def correct_sentinels(df: DataFrame, rules: Sequence[SentinelRule]) -> DataFrame
     return _replace(df, corrected)
 
 
-def sentinel_counts(df: DataFrame, rules: Sequence[SentinelRule]) -> DataFrame:
-    """``column, sentinel, count, pct`` with the percentage over all rows."""
+def sentinel_profile(rules: Sequence[SentinelRule]) -> Profile:
     pairs = [(column, rule.value) for rule in rules for column in rule.columns]
-    counted = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(quoted(c) == F.lit(v)).alias(f"s{i}") for i, (c, v) in enumerate(pairs)],
-    )
-    return counted.select(
-        stack_rows(
-            [
+    return Profile(
+        {"n": F.count(F.lit(1)), **{f"s{i}": F.count_if(quoted(c) == F.lit(v)) for i, (c, v) in enumerate(pairs)}},
+        lambda counted: counted.select(
+            stack_rows(
                 [
-                    ("column", F.lit(c)),
-                    ("sentinel", F.lit(str(v))),
-                    ("count", F.col(f"s{i}")),
-                    ("pct", percent(F.col(f"s{i}"), F.col("n"))),
+                    [
+                        ("column", F.lit(c)),
+                        ("sentinel", F.lit(str(v))),
+                        ("count", F.col(f"s{i}")),
+                        ("pct", percent(F.col(f"s{i}"), F.col("n"))),
+                    ]
+                    for i, (c, v) in enumerate(pairs)
                 ]
-                for i, (c, v) in enumerate(pairs)
-            ]
-        )
+            )
+        ),
     )
 
 
+def sentinel_counts(df: DataFrame, rules: Sequence[SentinelRule]) -> DataFrame:
+    """``column, sentinel, count, pct`` with the percentage over all rows."""
+    return answer(df, sentinel_profile(rules))
+
+
 def derived_totals(df: DataFrame, rules: Sequence[DerivedTotal]) -> dict[str, Column]:
     """New value of each derived column.  A missing part makes the total missing; a later
     rule sees the totals of the earlier ones.  Parts are widened first, so small integer
@@ -263,7 +301,7 @@ def outlier_flags(df: DataFrame, rule: OutlierRule) -> list[FlagRule]:
         flags.append(
             FlagRule(
                 f"{rule.prefix}{column}",
-                (value < F.lit(low)) | (value > F.lit(high)),
+                (value < F.lit(low)) | above(value, F.lit(high)),
                 value,
                 F.lit(low),
                 F.lit(high),

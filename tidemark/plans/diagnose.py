@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import percent
-from tidemark.operators import dedup, distribution, missing, near_duplicates, rules
+from tidemark.operators import dedup, distribution, document, missing, near_duplicates, rules
+from tidemark.operators.combine import Profile, answer_all
 from tidemark.session import materialize
 from tidemark.spec import DatasetSpec
 
@@ -17,6 +18,14 @@ from tidemark.spec import DatasetSpec
 class Diagnosis:
     missingness: DataFrame
     duplicates: DataFrame
+    # what later stages ask about the same table: its size, null counts, sentinels and surplus rows
+    n_rows: int = 0
+    null_counts: DataFrame | None = None
+    sentinels: DataFrame | None = None
+    surplus: DataFrame | None = None
+    inventory: DataFrame | None = None
+    share: DataFrame | None = None
+    dominant: DataFrame | None = None
     range_summary: DataFrame | None = None
     range_values: DataFrame | None = None
     filled: DataFrame | None = None
@@ -53,10 +62,10 @@ def _check(
     )
 
 
-def recommendations(df: DataFrame, spec: DatasetSpec, found: Diagnosis) -> DataFrame:
+def recommendations(spec: DatasetSpec, found: Diagnosis) -> DataFrame:
     """``check, item, passed, n, detail``: the rules a reviewer reads the profiles by."""
     nothing = F.lit(None)
-    n_rows = df.agg(F.count(F.lit(1)).alias("n_rows")).scalar()
+    n_rows = F.lit(found.n_rows)
     duplicated = found.duplicates.agg(F.count(F.lit(1)).alias("n")).withColumn("pct", percent(F.col("n"), n_rows))
     parts = [
         _check(
@@ -104,15 +113,12 @@ def recommendations(df: DataFrame, spec: DatasetSpec, found: Diagnosis) -> DataF
             )
         )
     if spec.share:
-        column, categories = spec.share
-        share = distribution.category_share(df, column, categories)
         parts.append(
-            _check(share, "share", F.col("category"), F.lit(True), F.col("count"), F.col("pct"))
+            _check(found.share, "share", F.col("category"), F.lit(True), F.col("count"), F.col("pct"))
         )
     if spec.dominant:
-        top = distribution.dominant_category(df, spec.dominant)
         parts.append(
-            _check(top, "dominant", F.col("label"), F.lit(True), F.col("count"), F.col("pct_of_valid"))
+            _check(found.dominant, "dominant", F.col("label"), F.lit(True), F.col("count"), F.col("pct_of_valid"))
         )
     if found.near_duplicates is not None:
         pairs = found.near_duplicates.agg(F.count(F.lit(1)).alias("n"))
@@ -131,31 +137,66 @@ def recommendations(df: DataFrame, spec: DatasetSpec, found: Diagnosis) -> DataF
 
 
 def diagnose(df: DataFrame, spec: DatasetSpec) -> Diagnosis:
-    """Profiles of a typed table.  Nothing is changed.  Profiles that the recommendations read
-    again, and the near-duplicate pairs, which the cleaning reads, are written once."""
+    """Profiles of a typed table, from three scans.  Nothing is changed.
+
+    All counts of rows share one scan, all counts of values (categories, free texts, values out of
+    range) the second, and the third counts the keys.  What these give is written once; every
+    profile is laid out from that.
+    """
+    categories = distribution.columns_of_kind(df, "category")
+    counted = [wanted.column for wanted in spec.frequencies]
+    asked: dict[str, Profile] = {
+        "rows": Profile({"n": F.count(F.lit(1))}, lambda row: row),
+        "nulls": missing.null_profile(df.columns),
+        "inventory": document.inventory_profile(spec),
+    }
+    if spec.ranges:
+        asked["ranges"] = rules.range_profile(spec.ranges)
+    if spec.gates:
+        asked["gates"] = missing.gate_profile(spec.gates)
+    if counted:
+        asked["filled"] = distribution.filled_profile(counted)
+    if spec.share:
+        asked["share"] = distribution.share_profile(*spec.share)
+    if spec.sentinels:
+        asked["sentinels"] = rules.sentinel_profile(spec.sentinels)
+    for i, (column, bins) in enumerate(spec.bins):
+        asked[f"bins {i}"] = distribution.binned_profile(column, bins)
+    answers = answer_all(df, asked, "diagnosis-counts")
+
+    names = [*dict.fromkeys([*categories, *counted, *([spec.dominant] if spec.dominant else []), *spec.free_text])]
+    flagged = rules.flagged_values(spec.ranges)
+    values = materialize(distribution.value_counts(df, names, flagged), "diagnosis-values") if names or flagged else None
+    repeated = dedup.repeated_keys(df, spec.keys)
+
+    n_rows = answers["rows"].first()["n"]
     found = Diagnosis(
-        missingness=materialize(missing.missingness(df), "missingness"),
-        duplicates=materialize(dedup.duplicate_rows(df, spec.keys, ordered=True).select(*spec.keys), "duplicates"),
+        missingness=missing.missingness_of(answers["nulls"]),
+        duplicates=dedup.keys_of_copies(repeated),
+        n_rows=n_rows,
+        null_counts=answers["nulls"],
+        sentinels=answers.get("sentinels"),
+        inventory=answers["inventory"],
+        surplus=dedup.counts_of_copies(repeated, n_rows),
+        range_summary=answers.get("ranges"),
+        gate_split=answers.get("gates"),
+        filled=answers.get("filled"),
+        share=answers.get("share"),
     )
     if spec.ranges:
-        found.range_summary = materialize(rules.range_summary(df, spec.ranges), "range-summary")
-        found.range_values = rules.range_value_counts(df, spec.ranges)
-    if spec.gates:
-        found.gate_split = materialize(missing.gate_split(df, spec.gates), "gate-split")
+        found.range_values = rules.range_value_counts(df, spec.ranges, values)
+    if spec.dominant:
+        found.dominant = distribution.dominant_category(df, spec.dominant, values, F.lit(n_rows))
     if spec.free_text:
         found.near_duplicates = materialize(
-            near_duplicates.near_duplicates(df, spec.free_text, spec.near_duplicate_threshold),
+            near_duplicates.near_duplicates(df, spec.free_text, spec.near_duplicate_threshold, counts=values),
             "near-duplicates",
         )
-    categories = distribution.columns_of_kind(df, "category")
     if categories:
-        found.casing = materialize(distribution.casing_consistency(df, categories), "casing")
-    counted = [wanted.column for wanted in spec.frequencies]
-    if counted:
-        found.filled = distribution.valid_and_missing(df, counted)
+        found.casing = distribution.casing_consistency(df, categories, values)
     for wanted in spec.frequencies:
-        found.distributions[wanted.title] = distribution.frequency_table(df, wanted.column)
-    for column, bins in spec.bins:
-        found.distributions[f"{column} (binned)"] = distribution.binned_distribution(df, column, bins)
-    found.recommendations = recommendations(df, spec, found)
+        found.distributions[wanted.title] = distribution.frequency_table(df, wanted.column, counts=values)
+    for i, (column, _) in enumerate(spec.bins):
+        found.distributions[f"{column} (binned)"] = answers[f"bins {i}"]
+    found.recommendations = recommendations(spec, found)
     return found

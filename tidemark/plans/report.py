@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import dedup, impute, lookup, missing, numeric, rules
 from tidemark.operators.document import facts
 from tidemark.plans.clean import flag_rules
+from tidemark.plans.diagnose import Diagnosis
 from tidemark.session import materialize
 from tidemark.spec import DatasetSpec
 
@@ -20,20 +21,24 @@ def report_facts(
     fills: list[impute.Fill],
     kept: DataFrame | None = None,
     flags: DataFrame | None = None,
+    found: Diagnosis | None = None,
 ) -> DataFrame:
     """``kept`` and ``flags`` are what the cleaning has written already; without them the rows
-    that survive are found again, and the cleaned table is flagged anew."""
+    that survive are found again, and the cleaned table is flagged anew.  ``found`` is the diagnosis
+    of the typed table: with it the table is not scanned again."""
     name = F.lit(spec.name)
+    nulls = missing.null_counts(typed) if found is None else found.null_counts
+    surplus = dedup.duplicate_count(typed, spec.keys) if found is None else found.surplus
     parts = [
         facts(
             "before",
-            missing.mean_missingness(typed).withColumn("item", name),
+            missing.mean_missingness_of(nulls).withColumn("item", name),
             "item",
             ["n_columns", "mean_pct_missing"],
         ),
         facts(
             "before",
-            dedup.duplicate_count(typed, spec.keys).withColumn("item", name),
+            surplus.withColumn("item", name),
             "item",
             ["n_rows", "n_keys", "n_surplus"],
         ),
@@ -45,12 +50,11 @@ def report_facts(
         ),
     ]
     if spec.scope_columns:
-        change = missing.missingness_change(typed, cleaned, spec.scope_columns)
+        change = missing.missingness_change(typed, cleaned, spec.scope_columns, nulls)
         parts.append(facts("missingness", change, "column", ["pct_before", "pct_after"]))
     if spec.sentinels:
-        parts.append(
-            facts("cleaning", rules.sentinel_counts(typed, spec.sentinels), "column", ["count", "pct"])
-        )
+        sentinels = rules.sentinel_counts(typed, spec.sentinels) if found is None else found.sentinels
+        parts.append(facts("cleaning", sentinels, "column", ["count", "pct"]))
     classified = [(r.column, r.group_column) for r in spec.classify]
     if classified:
         coverage = lookup.classification_coverage(cleaned, classified)

@@ -76,7 +76,7 @@ def run_dataset(
     cleaned = layer("cleaned", result.table)
     report("cleaning_metrics", result.metrics)
     report("flags", result.flags)
-    report("problem_inventory", document.problem_inventory(typed, spec))
+    report("problem_inventory", document.problem_inventory(typed, spec, found.inventory))
 
     # impute
     filled, fills = impute_stage(cleaned, spec)
@@ -91,9 +91,9 @@ def run_dataset(
     descriptions = {p.column: p.description for p in plan}
     report(
         "data_dictionary",
-        document.data_dictionary(spec, typed, cleaned, imputed, descriptions),
+        document.data_dictionary(spec, typed, cleaned, imputed, descriptions, found.null_counts),
     )
-    report("report_facts", report_facts(spec, typed, cleaned, imputed, fills, result.kept, result.flags))
+    report("report_facts", report_facts(spec, typed, cleaned, imputed, fills, result.kept, result.flags, found))
 
     # export
     labels = document.column_labels(spark, imputed.columns, descriptions, spec.derived_labels)

@@ -105,8 +105,10 @@ def labels_of(df: DataFrame) -> dict[str, str]:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Rows, columns and an order-independent checksum of the content."""
-    digest = F.xxhash64(*[quoted(c) for c in df.columns]).cast("decimal(38,0)")
+    """Rows, columns and an order-independent checksum of the content.  The hash passes over NULLs,
+    so which values are NULL is hashed as well: a value that changes its column shows."""
+    values = [quoted(c) for c in df.columns]
+    digest = F.xxhash64(*values, *[value.isNull() for value in values]).cast("decimal(38,0)")
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
