@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import document, impute, rules, typing
@@ -15,6 +17,10 @@ from tidemark.sources import tables
 from tidemark.spec import DatasetSpec
 
 
+# Reports that are written at the same time: each is a small job that leaves most of a cluster idle.
+REPORTS_AT_ONCE = 4
+
+
 @dataclass(frozen=True)
 class Input:
     spec: DatasetSpec
@@ -39,7 +45,32 @@ def rederived_totals(cleaned: DataFrame, spec: DatasetSpec, fills: list[impute.F
 def run_dataset(
     spark: SparkSession, source: Input, root: str, hierarchies: Mapping[str, Hierarchy] | None = None
 ) -> dict[str, str]:
-    """Ingest to export.  Stops at the first failed check.  Returns the path of each result."""
+    """Ingest to export.  Stops at the first failed check.  Returns the path of each result.
+
+    Layers follow each other.  Reports only read layers that are written, so they are written beside
+    the main line, a few at a time; the run ends when all are there, and an error in one is raised.
+    """
+    written: list[Future] = []
+    with ThreadPoolExecutor(REPORTS_AT_ONCE) as pool:
+        try:
+            paths = _stages(spark, source, root, hierarchies, pool, written)
+        except BaseException:
+            for report in written:
+                report.cancel()
+            raise
+        for report in written:
+            report.result()
+    return paths
+
+
+def _stages(
+    spark: SparkSession,
+    source: Input,
+    root: str,
+    hierarchies: Mapping[str, Hierarchy] | None,
+    pool: ThreadPoolExecutor,
+    written: list[Future],
+) -> dict[str, str]:
     spec = source.spec
     base = f"{root.rstrip('/')}/{spec.name}"
     paths: dict[str, str] = {}
@@ -50,7 +81,7 @@ def run_dataset(
 
     def report(name: str, df: DataFrame) -> None:
         paths[name] = f"{base}/{name}"
-        tables.write_report_csv(df, paths[name])
+        written.append(pool.submit(inheritable_thread_target(spark)(tables.write_report_csv), df, paths[name]))
 
     # ingest
     dictionary = tables.read_dictionary(spark, source.dictionary)
