@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import pytest
 from helpers import ODD, SF, documents
+from pyspark.sql import functions as F
 
 from tidemark.llm import invertible_sketch, merkle, prefix_trie, tree_contraction
 from tidemark.llm.ordering import numbered
@@ -249,7 +250,7 @@ def test_numbers_within_groups(spark):
     rng = random.Random(1)
     rows = [(rng.choice(["a", "a", "a", "b", None]), rng.choice([None, *range(20)])) for _ in range(400)]
     df = spark.createDataFrame(rows, "g string, v int")
-    got = numbered(df, "g", [df["v"].asc_nulls_first()], "test", 50).collect()
+    got = numbered(df, "g", [F.col("v").asc_nulls_first()], "test", 50).collect()
     for g in ("a", "b", None):
         mine = sorted((r for r in got if r.g == g), key=lambda r: r.pos)
         assert [r.pos for r in mine] == list(range(len(mine))) and {r.members for r in mine} == {len(mine)}
