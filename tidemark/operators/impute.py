@@ -21,10 +21,16 @@ class Fill:
     value: int | None
 
 
-def fit_medians(df: DataFrame, rules: Sequence[ImputeRule], within_population: bool = False) -> list[Fill]:
+def fit_medians(
+    df: DataFrame,
+    rules: Sequence[ImputeRule],
+    within_population: bool = False,
+    sketches: DataFrame | None = None,
+) -> list[Fill]:
     """The fill value of each rule: the median of all non-null values of the column, rounded
     half-even to a whole number.  ``within_population`` takes the median over the rule's
-    population instead.  All columns are fitted together."""
+    population instead.  All columns are fitted together; ``sketches`` kept beside the table save
+    a scan (not within a population, of which they say nothing)."""
     source = df
     if within_population:
         source = df.select(
@@ -33,7 +39,7 @@ def fit_medians(df: DataFrame, rules: Sequence[ImputeRule], within_population: b
                 for rule in rules
             ]
         )
-    medians = exact_quantiles(source, {rule.column: [0.5] for rule in rules})
+    medians = exact_quantiles(source, {rule.column: [0.5] for rule in rules}, None if within_population else sketches)
     fills = []
     for rule in rules:
         middle = medians[rule.column][1]

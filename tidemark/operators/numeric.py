@@ -9,12 +9,12 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.functions.columns import quoted, sql_name
+from tidemark.functions.columns import quoted
+from tidemark.operators.sketches import ACCURACY, Sketches, is_whole, usable_sql
 from tidemark.session import materialize
 
-# Relative rank error of the sketches that bracket a rank.
+# Accuracy of the approximate cuts of a bracket that is too large to fetch.
 _ACCURACY = 10_000
 # A bracket with at most this many distinct values is finished by fetching them.
 _FINISH_VALUES = 20_000
@@ -34,19 +34,8 @@ class _Bracket:
     below: int = 0
 
 
-def _is_whole(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-
-
-def _usable_sql(df: DataFrame, column: str) -> str:
-    """A column of whole numbers as bigint, which keeps every digit; any other as double, NaN
-    read as missing.  Infinity is a value like any other."""
-    name = sql_name(column)
-    return f"CAST({name} AS BIGINT)" if _is_whole(df, column) else f"nanvl(CAST({name} AS DOUBLE), NULL)"
-
-
 def _usable(df: DataFrame, column: str) -> Column:
-    return F.expr(_usable_sql(df, column))
+    return F.expr(usable_sql(df, column))
 
 
 def column_extent(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float | None, float | None]]:
@@ -54,81 +43,50 @@ def column_extent(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int,
     row = df.selectExpr(
         *[
             f"named_struct('n', count({v}), 'lo', min({v}), 'hi', max({v})) AS x{i}"
-            for i, v in enumerate(_usable_sql(df, c) for c in columns)
+            for i, v in enumerate(usable_sql(df, c) for c in columns)
         ]
     ).first()
     return {c: (row[i]["n"], row[i]["lo"], row[i]["hi"]) for i, c in enumerate(columns)}
 
 
-def _sketched(
-    df: DataFrame, ranks: Mapping[str, Sequence[int]], extent: Mapping[str, tuple], accuracy: int
-) -> list[_Bracket]:
-    """Brackets around the ranks, from one scan.  A sketch is off by a share of the ranks; the
-    percentiles asked for lie several such shares to either side."""
-    columns = list(ranks)
-    asked = {}
-    for c in columns:
-        n, margin = extent[c][0], 4 * extent[c][0] / accuracy + 1
-        asked[c] = [min(1.0, max(0.0, (r + 1 + side * margin) / n)) for r in ranks[c] for side in (-1, 1)]
-    row = df.agg(
-        *[F.percentile_approx(_usable(df, c), asked[c], accuracy).alias(f"q{i}") for i, c in enumerate(columns)]
-    ).first()
-    brackets = []
-    for i, c in enumerate(columns):
-        n, least, most = extent[c]
-        bounds = []
-        for k, rank in enumerate(ranks[c]):
-            low, high = row[i][2 * k], row[i][2 * k + 1]
-            # sketches hold doubles: a large whole number may have lost its last digits there
-            if isinstance(low, int):
-                low, high = low - (abs(low) >> 51), high + (abs(high) >> 51)
-            if asked[c][2 * k] == 0.0:
-                low = least
-            if asked[c][2 * k + 1] == 1.0:
-                high = most
-            bounds.append((max(low, least), min(high, most), rank))
-        for low, high, rank in sorted(bounds, key=lambda x: x[2]):
-            last = brackets[-1] if brackets and brackets[-1].column == c else None
-            if last and low <= last.high:
-                last.low, last.high = min(last.low, low), max(last.high, high)
-                last.ranks.append(rank)
+def _bracketed(sketches: Sketches, ranks: Mapping[str, Sequence[int]]) -> list[_Bracket]:
+    """Brackets around the ranks; those of a column that meet are one."""
+    brackets: list[_Bracket] = []
+    for c, bounds in sketches.brackets(ranks).items():
+        mine: list[_Bracket] = []
+        for rank, (low, high) in sorted(zip(ranks[c], bounds)):
+            if mine and low <= mine[-1].high:
+                mine[-1].low, mine[-1].high = min(mine[-1].low, low), max(mine[-1].high, high)
+                mine[-1].ranks.append(rank)
             else:
-                brackets.append(_Bracket(c, low, high, [rank]))
+                mine.append(_Bracket(c, low, high, [rank]))
+        brackets += mine
     return brackets
 
 
-def _count_below(df: DataFrame, brackets: Sequence[_Bracket]) -> list[tuple[int, int]]:
-    """Rows below and inside each bracket, from one scan."""
-    measures = []
-    for i, box in enumerate(brackets):
-        value = _usable(df, box.column)
-        measures += [
-            F.count_if(value < F.lit(box.low)).alias(f"b{i}"),
-            F.count_if(value.between(F.lit(box.low), F.lit(box.high))).alias(f"i{i}"),
-        ]
-    row = df.agg(*measures).first()
-    return [(row[2 * i], row[2 * i + 1]) for i in range(len(brackets))]
+def _values_inside(df: DataFrame, brackets: Sequence[_Bracket], above: bool) -> DataFrame:
+    """``bracket, side, whole, real, count``, written out, from one scan: the distinct values of
+    every bracket (side 0), and how many rows lie below it (-1) and, if asked for, ``above`` (1).
+    Counting begins on the map side, so rows outside cost one entry for each task and bracket."""
 
+    def entry(i: int, side: int, whole: Column, real: Column) -> Column:
+        return F.struct(
+            F.lit(i).alias("bracket"),
+            F.lit(side).alias("side"),
+            whole.cast("bigint").alias("whole"),
+            real.cast("double").alias("real"),
+        )
 
-def _values_inside(df: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
-    """``bracket, whole, real, count``, written out: the distinct values of every bracket, from
-    one scan.  A row makes entries for the brackets that it falls into alone."""
-    entries = []
+    entries, none = [], F.lit(None)
     for i, box in enumerate(brackets):
-        value = _usable(df, box.column)
-        whole = _is_whole(df, box.column)
-        entries.append(
-            F.when(
-                value.between(F.lit(box.low), F.lit(box.high)),
-                F.struct(
-                    F.lit(i).alias("bracket"),
-                    (value if whole else F.lit(None)).cast("bigint").alias("whole"),
-                    (F.lit(None) if whole else value).cast("double").alias("real"),
-                ),
-            )
+        value, whole = _usable(df, box.column), is_whole(df, box.column)
+        found = F.when(value < F.lit(box.low), entry(i, -1, none, none)).when(
+            value <= F.lit(box.high), entry(i, 0, value if whole else none, none if whole else value)
         )
+        entries.append(found.when(value.isNotNull(), entry(i, 1, none, none)) if above else found)
     inside = df.select(F.inline(F.array_compact(F.array(*entries))))
-    return materialize(inside.groupBy("bracket", "whole", "real").agg(F.count(F.lit(1)).alias("count")), "bracket-values")
+    counted = inside.groupBy("bracket", "side", "whole", "real").agg(F.count(F.lit(1)).alias("count"))
+    return materialize(counted, "bracket-values")
 
 
 def _pick(box: _Bracket, counted: Sequence[tuple], found: dict) -> None:
@@ -197,41 +155,49 @@ def _narrowed(values: DataFrame, boxes: dict[int, _Bracket], kinds: dict[int, st
 def order_statistics(
     df: DataFrame,
     ranks: Mapping[str, Sequence[int]],
-    extent: Mapping[str, tuple[int, float | None, float | None]],
-    accuracy: int = _ACCURACY,
+    sketches: Sketches,
     finish_values: int = _FINISH_VALUES,
 ) -> dict[tuple[str, int], float | int]:
     """The value at each 0-based rank of each column, exactly and in the column's own type.
 
-    Three scans, whatever the values: a sketch brackets every rank, the rows below and inside
-    the brackets are counted, and the distinct values inside, a small share of the table, are
-    written out with their counts.  The rest works on that.  A sketch that missed its rank
-    would show in the counts; its bracket is then opened to the column's end and counted again.
+    One scan, whatever the values: the sketches bracket every rank, and the distinct values
+    inside, a small share of the table, are written out with their counts and the number of rows
+    below.  The rest works on that.  A sketch that missed its rank shows in the counts; its
+    bracket is then opened to the column's end and read again.  Stored sketches of other rows
+    than ``df`` show in the counts as well, and raise.
     """
     found: dict[tuple[str, int], float | int] = {}
     wanted: dict[str, list[int]] = {}
     for c, asked in ranks.items():
-        n, low, high = extent[c]
-        if n and low == high:
-            found.update({(c, r): low for r in asked})
-        elif n and asked:
+        extent = sketches.extent[c]
+        if extent.n and asked and extent.low == extent.high and not sketches.stored:
+            found.update({(c, r): extent.low for r in asked})
+        elif extent.n and asked:
             wanted[c] = sorted(set(asked))
-    if not wanted:
-        return found
-    brackets = _sketched(df, wanted, extent, accuracy)
-    while True:
-        missed = False
-        for box, (below, inside) in zip(brackets, _count_below(df, brackets)):
-            box.below = below
-            if box.ranks[0] < below:
-                box.low, missed = extent[box.column][1], True
-            if box.ranks[-1] >= below + inside:
-                box.high, missed = extent[box.column][2], True
-        if not missed:
-            break
-    values = _values_inside(df, brackets)
-    kinds = {i: "whole" if _is_whole(df, box.column) else "real" for i, box in enumerate(brackets)}
-    _narrowed(values, dict(enumerate(brackets)), kinds, found, max(_LEAST_FINISH, finish_values))
+    pending = _bracketed(sketches, wanted) if wanted else []
+    while pending:
+        values = _values_inside(df, pending, sketches.stored)
+        counts: dict[tuple[int, int], int] = {}
+        for r in values.groupBy("bracket", "side").agg(F.sum("count").alias("n")).collect():
+            counts[(r["bracket"], r["side"])] = r["n"]
+        missed, boxes = [], {}
+        for i, box in enumerate(pending):
+            extent, inside = sketches.extent[box.column], counts.get((i, 0), 0)
+            box.below = counts.get((i, -1), 0)
+            if sketches.stored and box.below + inside + counts.get((i, 1), 0) != extent.n:
+                raise ValueError(f"the stored sketch of '{box.column}' is not of these rows")
+            ends = box.low, box.high
+            if box.ranks[0] < box.below:
+                box.low = extent.low
+            if box.ranks[-1] >= box.below + inside:
+                box.high = extent.high
+            if (box.low, box.high) == ends:
+                boxes[i] = box
+            else:
+                missed.append(box)
+        kinds = {i: "whole" if is_whole(df, box.column) else "real" for i, box in boxes.items()}
+        _narrowed(values.filter("side = 0"), boxes, kinds, found, max(_LEAST_FINISH, finish_values))
+        pending = missed
     return found
 
 
@@ -247,21 +213,28 @@ def _between(low: float | int, high: float | int, share: float) -> float | int:
 
 
 def exact_quantiles(
-    df: DataFrame, probabilities: Mapping[str, Sequence[float]], **limits: int
+    df: DataFrame,
+    probabilities: Mapping[str, Sequence[float]],
+    sketches: DataFrame | Sketches | None = None,
+    accuracy: int = ACCURACY,
+    **limits: int,
 ) -> dict[str, tuple[int, list[float] | None]]:
     """Linearly interpolated quantiles: ``{column: (n_valid, values)}``; values is ``None``
-    for a column without values."""
-    extent = column_extent(df, list(probabilities))
+    for a column without values.  Two scans; one where the ``sketches`` of the table were kept
+    (:mod:`tidemark.operators.sketches`)."""
+    if not isinstance(sketches, Sketches):
+        sketches = Sketches(df, list(probabilities), sketches, accuracy)
+    sizes = {c: sketches.extent[c].n for c in probabilities}
     ranks: dict[str, list[int]] = {}
     for column, asked in probabilities.items():
-        n = extent[column][0]
+        n = sizes[column]
         ranks[column] = sorted(
             {r for p in asked for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))} if n else set()
         )
-    values = order_statistics(df, ranks, extent, **limits)
+    values = order_statistics(df, ranks, sketches, **limits)
     result: dict[str, tuple[int, list[float] | None]] = {}
     for column, asked in probabilities.items():
-        n = extent[column][0]
+        n = sizes[column]
         if not n:
             result[column] = (0, None)
             continue
@@ -275,34 +248,25 @@ def exact_quantiles(
     return result
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column, n, mean, median, min, max`` over the non-null values."""
-    medians = exact_quantiles(df, {c: [0.5] for c in columns})
-    measured = df.agg(
-        *[
-            F.struct(
-                F.count(_usable(df, c)).alias("n"),
-                F.avg(_usable(df, c)).alias("mean"),
-                F.min(_usable(df, c)).cast("double").alias("min"),
-                F.max(_usable(df, c)).cast("double").alias("max"),
-            ).alias(f"x{i}")
-            for i, c in enumerate(columns)
-        ]
-    )
+def numeric_summary(df: DataFrame, columns: Sequence[str], sketches: DataFrame | None = None) -> DataFrame:
+    """``column, n, mean, median, min, max`` over the non-null values.  Two scans, or one where
+    the ``sketches`` of the table were kept."""
+    known = Sketches(df, columns, sketches)
+    medians = exact_quantiles(df, {c: [0.5] for c in columns}, known)
     rows = []
-    for i, c in enumerate(columns):
-        middle = medians[c][1]
+    for c in columns:
+        extent, middle = known.extent[c], medians[c][1]
         rows.append(
             F.struct(
                 F.lit(c).alias("column"),
-                F.col(f"x{i}.n").alias("n"),
-                F.round(F.col(f"x{i}.mean"), 4).alias("mean"),
+                F.lit(extent.n).cast("bigint").alias("n"),
+                F.round(F.lit(extent.total / extent.n if extent.n else None).cast("double"), 4).alias("mean"),
                 F.lit(middle[0] if middle else None).cast("double").alias("median"),
-                F.col(f"x{i}.min").alias("min"),
-                F.col(f"x{i}.max").alias("max"),
+                F.lit(extent.low).cast("double").alias("min"),
+                F.lit(extent.high).cast("double").alias("max"),
             )
         )
-    return measured.select(F.inline(F.array(*rows)))
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def _edges(extent: tuple[int, float | None, float | None], bins: int) -> tuple[float, float, float]:

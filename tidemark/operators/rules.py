@@ -271,11 +271,14 @@ def skip_flag(rule: SkipRule) -> FlagRule:
     )
 
 
-def outlier_fences(df: DataFrame, rule: OutlierRule) -> dict[str, tuple[float, float]]:
-    """Tukey fences per column; columns with too few values or no spread have none."""
+def outlier_fences(
+    df: DataFrame, rule: OutlierRule, sketches: DataFrame | None = None
+) -> dict[str, tuple[float, float]]:
+    """Tukey fences per column; columns with too few values or no spread have none.  ``sketches``
+    kept beside the table save a scan."""
     present = [c for c in rule.columns if c in df.columns]
     fences = {}
-    for column, (n, quartiles) in exact_quantiles(df, {c: [0.25, 0.75] for c in present}).items():
+    for column, (n, quartiles) in exact_quantiles(df, {c: [0.25, 0.75] for c in present}, sketches).items():
         if n < rule.min_valid or quartiles is None:
             continue
         low, high = quartiles

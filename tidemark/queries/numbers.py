@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import impute as imputation
-from tidemark.operators import numeric, rules
+from tidemark.operators import numeric, rules, sketches
 from tidemark.queries.registry import query, table, union_all
+from tidemark.session import scratch_path
 from tidemark.spec import DerivedTotal, ImputeRule, SentinelRule
 
 _LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -42,6 +43,27 @@ def quantiles(spark, sf_dir):
     )
 
 
+_ORDER_NUMBERS = ["o_totalprice", "o_orderkey"]
+
+
+@query(
+    "numeric_summary_kept",
+    union_all(
+        _ORDER_NUMBERS,
+        "SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({c}), 4) AS mean, CAST(median({c}) AS DOUBLE) AS median,"
+        " CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM orders",
+    ),
+)
+def numeric_summary_kept(spark, sf_dir):
+    """Closed orders come first, the others later; the sketches of both batches are kept."""
+    orders = table(spark, sf_dir, "orders")
+    closed = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    path = scratch_path(spark, "order-sketches")
+    sketches.write_sketches(orders.filter(closed), _ORDER_NUMBERS, path)
+    kept = sketches.write_sketches(orders.filter(~closed), _ORDER_NUMBERS, path)
+    return numeric.numeric_summary(orders, _ORDER_NUMBERS, kept)
+
+
 def _histogram_sql(relation: str, column: str, bins: int) -> str:
     """Bins by comparing with the edges ``lo + i * step``; the last bin is closed."""
     return f"""WITH e AS (SELECT min({column}) AS lo, max({column}) AS hi,
