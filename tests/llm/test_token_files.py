@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import ODD, SF, documents, read
 from hypothesis import given, settings
@@ -53,6 +54,31 @@ def test_words_are_encoded_as_whole_texts_are(text):
     assert ENCODER.encode(text).tolist() == expected(text)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="abzA09'sé .,<|>\n\t\x0b\xa0İΣ日", max_size=40)), max_size=8))
+def test_many_texts_are_encoded_like_each(texts):
+    for kind in (pa.string(), pa.large_string()):
+        ids, counts = ENCODER.encode_all(pa.array([None, *texts], kind).slice(1))
+        wanted = [expected(t) for t in texts]
+        assert counts.tolist() == [len(w) for w in wanted]
+        assert ids.tolist() == [i for w in wanted for i in w]
+
+
+def test_slices_cover_all_texts(monkeypatch):
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 10)
+    for texts in ([], ["a"], [None] * 5, ["x" * 35, "", "b", None, "yy" * 9, "c"]):
+        array = pa.array(texts, pa.string())
+        found = list(token_files._slices(array))
+        assert [t for _, some in found for t in some.to_pylist()] == texts
+        assert [at for at, _ in found] == np.cumsum([0] + [len(s) for _, s in found]).tolist()[:-1]
+
+
+def test_long_words_are_not_remembered():
+    word = "abcdefg0" * 50_000
+    assert ENCODER.encode(word + " " + word).tolist() == expected(word + " " + word)
+    assert word not in ENCODER.chunks
+
+
 def test_corpus_words_are_encoded_alike():
     for text in read("documents").text[:150]:
         assert ENCODER.encode(text).tolist() == expected(text)

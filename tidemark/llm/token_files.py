@@ -24,6 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,6 +36,9 @@ MAGIC, VERSION = b"TIDB", 1
 HEADER = struct.Struct("<4sBBHI")
 BLOCK_IDS = 1 << 16
 MEMO = 120_000  # words that a worker remembers, in each of two generations
+MEMO_CHARS = 64  # longer ones are not remembered
+SLICE_BYTES = 1 << 22  # text that is cut into words at a time; a longer text is one slice
+PART_BYTES = 1 << 28  # text of a part, about
 
 
 # ------------------------------------------------------------------------- the block format
@@ -168,21 +172,47 @@ class Encoder:
         return self._whole(chunk)
 
     def encode(self, text: str) -> np.ndarray:
-        if not self.by_chunk:
-            return np.frombuffer(self._whole(text), dtype=self.code)
-        if "<|" not in text and _is_latin(text):
-            # composed forms and lower case do not depend on each other here
-            text = text.lower()
-        chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return np.frombuffer(b"".join(map(self.chunks.__getitem__, chunks)), dtype=self.code)
+        return self.encode_all(pa.array([text], pa.large_string()))[0]
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each text has.  Nulls have none.
 
-def _is_latin(text: str) -> bool:
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
+        Arrow cuts the texts into chunks and numbers the distinct ones; only these are encoded,
+        and numpy lays out their ids in the order of the text.
+        """
+        texts = pc.fill_null(texts, "")
+        if not self.by_chunk:
+            coded = [self._whole(t) for t in texts.to_pylist()]
+            counts = np.array([len(c) for c in coded], dtype=np.int64) // np.dtype(self.code).itemsize
+            return np.frombuffer(b"".join(coded), dtype=self.code), counts
+        for blank in "\n\t\r":
+            texts = pc.replace_substring(texts, blank, " ")
+        lists = pc.split_pattern(texts, " ")
+        numbered = lists.flatten().dictionary_encode()
+        at = numbered.indices.to_numpy()
+        coded = [
+            self.chunks[c] if len(c) <= MEMO_CHARS else self._chunk(c) for c in numbered.dictionary.to_pylist()
+        ]
+        sizes = np.array([len(c) for c in coded], dtype=np.int64) // np.dtype(self.code).itemsize
+        known = np.frombuffer(b"".join(coded), dtype=self.code)
+        begins = np.cumsum(sizes) - sizes
+        lengths = sizes[at]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = known[np.repeat(begins[at] - (ends - lengths), lengths) + np.arange(total)]
+        words = np.cumsum(pc.list_value_length(lists).to_numpy())
+        upto = np.concatenate(([0], ends))[words]
+        return ids, np.diff(upto, prepend=0)
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Runs of texts of about ``SLICE_BYTES``, each with its place."""
+    if not len(texts):
+        return
+    run = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)) // SLICE_BYTES
+    begins = np.concatenate(([0], np.flatnonzero(np.diff(run)) + 1, [len(texts)])).tolist()
+    for a, b in zip(begins, begins[1:]):
+        yield a, texts.slice(a, b - a)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -228,13 +258,18 @@ def write_token_files(
     """Encodes every whole text, appends ``end_id``, and writes the ids to ``path`` in ascending
     order of ``id_col`` (nulls first): part by part, and within a part document by document.
 
-    The documents are sorted across ``parts`` tasks (as many as shuffles use, if not given),
-    which stream them: a task holds one Arrow batch and one block.  A null text is an empty one;
-    rows that repeat an id lie side by side in any order; a document may span many blocks.
+    The documents are sorted across ``parts`` tasks (one for each ``PART_BYTES`` of text, and at
+    least as many as shuffles use, if not given), which stream them: a task holds one Arrow batch,
+    one slice of it cut into words, and one block.  A null text is an empty one; rows that repeat
+    an id lie side by side in the order of a hash of their texts, so that different texts of one
+    id can be dealt to several tasks; a document may span many blocks.  An empty table gives no
+    blocks.  Other columns, whatever their names, are not read.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not parts:
+        size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
     id_type = docs.schema[id_col].dataType
     schema = _schema(id_type)
 
@@ -242,7 +277,6 @@ def write_token_files(
         from pyspark import TaskContext
 
         part, work = TaskContext.get().partitionId(), encoder(tokenizer_path)
-        end = np.array([end_id], dtype="<u4")
         held, n_held, ids, lengths = [], 0, [], []
         chunk = n_docs = 0
         inside = False  # the block begins inside a document
@@ -266,10 +300,18 @@ def write_token_files(
                 names=[f.name for f in schema],
             )
 
+        def ended(names: pa.Array, texts: pa.Array) -> Iterator[tuple[object, np.ndarray]]:
+            """Each document's id and token ids, the end id behind them."""
+            for first, some in _slices(texts):
+                found, counts = work.encode_all(some)
+                ids = np.insert(found.astype("<u4"), np.cumsum(counts), end_id)
+                stops = np.cumsum(counts + 1).tolist()
+                for name, a, b in zip(names.slice(first, len(some)).to_pylist(), [0, *stops], stops):
+                    yield name, ids[a:b]
+
         for batch in batches:
             arrow_id = batch.column(0).type
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rest = np.concatenate((work.encode(text.as_py() or ""), end))
+            for doc_id, rest in ended(batch.column(0), batch.column(1)):
                 n_docs += 1
                 while len(rest):
                     piece, rest = rest[: block_ids - n_held], rest[block_ids - n_held :]
@@ -287,8 +329,10 @@ def write_token_files(
 
     ordered = (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .repartitionByRange(parts, "id")
-        .sortWithinPartitions("id")
+        .withColumn("tie", F.xxhash64("text"))
+        .repartitionByRange(parts, "id", "tie")
+        .sortWithinPartitions("id", "tie")
+        .select("id", "text")
     )
     ordered.mapInArrow(encode, schema).write.parquet(path)
 
