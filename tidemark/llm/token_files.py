@@ -37,7 +37,7 @@ HEADER = struct.Struct("<4sBBHI")
 BLOCK_IDS = 1 << 16
 MEMO = 120_000  # words that a worker remembers, in each of two generations
 MEMO_CHARS = 64  # longer ones are not remembered
-SLICE_BYTES = 1 << 22  # text that is cut into words at a time; a longer text is one slice
+SLICE_BYTES = 1 << 23  # text that is cut into words at a time; a longer text is one slice
 PART_BYTES = 1 << 28  # text of a part, about
 
 
@@ -100,6 +100,7 @@ _BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
 
 # characters for which the rules below hold exactly: ASCII and the letters of Latin-1
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_MARKS = ".,;:!?"
 _SIMPLE = re.compile(rf"[!-~{_LETTERS}]*").fullmatch
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^0-9a-zß-öø-ÿ]+").findall
 
@@ -174,6 +175,31 @@ class Encoder:
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all(pa.array([text], pa.large_string()))[0]
 
+    def _distinct(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks in a row, and how many each has.  Most chunks are a word and
+        perhaps a mark behind it: these share the ids of their word in lower case."""
+        plain = pc.match_substring_regex(chunks, f"^[{_LETTERS}]+[{_MARKS}]?$")
+        words = pc.utf8_lower(chunks.filter(plain))
+        bare = pc.utf8_rtrim(words, characters=_MARKS)
+        marked = pc.greater(pc.binary_length(words), pc.binary_length(bare)).to_numpy(zero_copy_only=False)
+        numbered = bare.dictionary_encode()
+        marks = pc.index_in(pc.utf8_slice_codeunits(words, -1), pa.array(list(_MARKS), words.type))
+        found = [self.pieces[w] if len(w) <= MEMO_CHARS else self._piece(w) for w in numbered.dictionary.to_pylist()]
+        first_mark = len(found)
+        found += [self.pieces[m] for m in _MARKS] + [b""]
+        first_other = len(found)
+        found += [
+            self.chunks[c] if len(c) <= MEMO_CHARS else self._chunk(c) for c in chunks.filter(pc.invert(plain)).to_pylist()
+        ]
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        parts = np.full((len(chunks), 2), first_other - 1, dtype=np.int64)  # nothing
+        parts[is_plain, 0] = numbered.indices.to_numpy()
+        parts[is_plain, 1] = np.where(marked, first_mark + pc.fill_null(marks, 0).to_numpy(), first_other - 1)
+        parts[~is_plain, 0] = first_other + np.arange(len(found) - first_other)
+        sizes = np.array([len(f) for f in found], dtype=np.int64) // np.dtype(self.code).itemsize
+        ids, lengths = _laid_out(np.frombuffer(b"".join(found), dtype=self.code), sizes, parts.ravel())
+        return ids, lengths.reshape(-1, 2).sum(axis=1)
+
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has.  Nulls have none.
 
@@ -189,22 +215,22 @@ class Encoder:
             texts = pc.replace_substring(texts, blank, " ")
         lists = pc.split_pattern(texts, " ")
         numbered = lists.flatten().dictionary_encode()
-        at = numbered.indices.to_numpy()
-        coded = [
-            self.chunks[c] if len(c) <= MEMO_CHARS else self._chunk(c) for c in numbered.dictionary.to_pylist()
-        ]
-        sizes = np.array([len(c) for c in coded], dtype=np.int64) // np.dtype(self.code).itemsize
-        known = np.frombuffer(b"".join(coded), dtype=self.code)
-        begins = np.cumsum(sizes) - sizes
-        lengths = sizes[at]
+        ids, lengths = _laid_out(*self._distinct(numbered.dictionary), numbered.indices.to_numpy())
         ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = known[np.repeat(begins[at] - (ends - lengths), lengths) + np.arange(total)]
         words = np.cumsum(pc.list_value_length(lists).to_numpy())
         upto = np.concatenate(([0], ends))[words]
         return ids, np.diff(upto, prepend=0)
 
 
+def _laid_out(known: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries numbered ``at`` in a row, and their lengths; ``known`` holds all entries in
+    a row, of the given sizes."""
+    begins = np.cumsum(sizes) - sizes
+    lengths = sizes[at]
+    before = np.cumsum(lengths) - lengths
+    return known[np.repeat(begins[at] - before, lengths) + np.arange(int(lengths.sum()))], lengths
+
+
 def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
     """Runs of texts of about ``SLICE_BYTES``, each with its place."""
     if not len(texts):
