@@ -57,7 +57,7 @@ class Extent:
 def column_sketches(df: DataFrame, columns: Sequence[str], accuracy: int = ACCURACY) -> DataFrame:
     """``column, whole, accuracy, n, total, low_whole, high_whole, low_real, high_real, sketch``:
     one row for each column, from one scan.  A column without values has n = 0, NULL measures
-    and an empty sketch; so has every column of an empty table."""
+    and an empty sketch; an empty table gives no rows."""
     if not _LEAST <= accuracy <= _MOST:
         raise ValueError(f"accuracy has to lie between {_LEAST} and {_MOST}")
     columns = list(dict.fromkeys(columns))
@@ -89,7 +89,6 @@ def column_sketches(df: DataFrame, columns: Sequence[str], accuracy: int = ACCUR
                 sketch.alias("sketch"),
             ).alias(f"x{i}")
         )
-    # an empty table has no piece; the rows that stand for its columns come from one without rows
     pieces = values.groupBy("piece").agg(*measured)
     rows = pieces.select(F.inline(F.array(*[F.col(f"x{i}") for i in range(len(columns))])))
     return merge_sketches(rows)
