@@ -251,6 +251,20 @@ def version_diff(
         repeated = side.groupBy(*[quoted(k) for k in keys]).count().filter(F.col("count") > 1)
         if not repeated.isEmpty():
             raise ValueError(f"key {list(keys)} is not unique")
+    return change_counts_of_pairs(before, after, keys, columns, both_present)
+
+
+def change_counts_of_pairs(
+    before: DataFrame,
+    after: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    both_present: bool = True,
+    null_keys: bool = True,
+) -> DataFrame:
+    """``column, n_changed`` of versions whose key is known to be unique.  Without NULLs in the
+    keys of one side (``null_keys=False``) the keys are compared bare, so that tables bucketed by
+    them join as they lie."""
     old = before.select(
         *[quoted(k).alias(f"k{i}") for i, k in enumerate(keys)],
         *[quoted(c).alias(f"b{i}") for i, c in enumerate(columns)],
@@ -259,9 +273,10 @@ def version_diff(
         *[quoted(k).alias(f"j{i}") for i, k in enumerate(keys)],
         *[quoted(c).alias(f"a{i}") for i, c in enumerate(columns)],
     )
-    condition = F.col("k0").eqNullSafe(F.col("j0"))
-    for i in range(1, len(keys)):
-        condition = condition & F.col(f"k{i}").eqNullSafe(F.col(f"j{i}"))
+    condition = F.lit(True)
+    for i in range(len(keys)):
+        k, j = F.col(f"k{i}"), F.col(f"j{i}")
+        condition = condition & (k.eqNullSafe(j) if null_keys else k == j)
     joined = old.join(new, condition)
     measures = []
     for i in range(len(columns)):

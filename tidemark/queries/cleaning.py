@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import strip
-from tidemark.operators import lookup, rules
+from tidemark.operators import keyed_layers, lookup, rules
 from tidemark.plans.clean import Cleaned, Hierarchy, clean
 from tidemark.queries.duplicates import KEY
 from tidemark.queries.registry import (
@@ -21,6 +21,7 @@ from tidemark.queries.registry import (
     union_all,
 )
 from tidemark.queries.text import consolidation_sql, near_duplicates_sql
+from tidemark.session import scratch_path
 from tidemark.spec import (
     ClassifyRule,
     ConsistencyRule,
@@ -281,6 +282,22 @@ def version_diff(spark, sf_dir):
     return lookup.version_diff(events, after, ["event_id"], ["event_type", "user_id"])
 
 
+@query(
+    "keyed_version_diff",
+    f"""WITH {_EVENT_MAP_SQL} SELECT 'event_type' AS "column", count(*) FILTER (WHERE t <> event_type) AS n_changed
+    FROM events LEFT JOIN m ON event_type = f UNION ALL SELECT 'user_id', 0""",
+)
+def keyed_version_diff(spark, sf_dir):
+    """The same from two bucketed layers: buckets whose digests agree are left out."""
+    events, mapping = _mapped_events(spark, sf_dir)
+    after = lookup.apply_value_map(events, mapping, ["event_type"])
+    layers = [
+        keyed_layers.write_keyed_layer(side, scratch_path(spark, "keyed-events"), ["event_id"])
+        for side in (events, after)
+    ]
+    return keyed_layers.layer_diff(*layers, ["event_type", "user_id"])
+
+
 # -------------------------------------------------------------------- classification
 
 

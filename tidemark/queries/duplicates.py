@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.operators import dedup
+from tidemark.operators import dedup, keyed_layers
 from tidemark.queries.registry import LINE_ITEMS, line_items, query, table
+from tidemark.session import scratch_path
 
 KEY = ["l_orderkey", "l_linenumber"]
 # a total order over the remaining columns, NULLs first as Spark sorts them
@@ -55,6 +56,31 @@ def dedup_first(spark, sf_dir):
     return dedup.keep_first(line_items(spark, sf_dir), KEY, REST)
 
 
+@query(
+    "keyed_dedup_first",
+    f"""WITH {LINE_ITEMS} SELECT * FROM items QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY {", ".join(f"{c} NULLS FIRST" for c in REST)}) = 1""",
+)
+def keyed_dedup_first(spark, sf_dir):
+    """The same from a layer bucketed by the key, without a shuffle after it is written."""
+    layer = keyed_layers.write_keyed_layer(line_items(spark, sf_dir), scratch_path(spark, "keyed-items"), KEY)
+    return dedup.keep_first(layer.rows, KEY, REST)
+
+
+@query(
+    "keyed_counts",
+    """WITH k AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS n_rows,
+    CAST(coalesce(sum(n) FILTER (l_orderkey IS NULL), 0) AS BIGINT) AS n_null_keys,
+    count(*) FILTER (n > 1) AS n_repeated FROM k""",
+)
+def keyed_counts(spark, sf_dir):
+    """Rows and repeated keys of a layer, from its digests alone."""
+    layer = keyed_layers.write_keyed_layer(
+        table(spark, sf_dir, "lineitem"), scratch_path(spark, "keyed-orders"), ["l_orderkey"]
+    )
+    return keyed_layers.layer_counts(layer)
+
+
 @query(
     "dup_count",
     """WITH k AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)
