@@ -11,33 +11,45 @@ def split(text):
     return (text or "").encode().lower().split()
 
 
-def brute_force(texts, backoff=0.4):
+def grams_of(words, size):
+    return [tuple(words[i : i + size]) for i in range(len(words) - size + 1)]
+
+
+def brute_force(texts, order=3, backoff=0.4):
     docs = [split(t) for t in texts]
-    one = Counter(w for d in docs for w in d)
-    two = Counter(p for d in docs for p in zip(d, d[1:]))
+    counts = [Counter(g for d in docs for g in grams_of(d, k)) for k in range(1, order + 1)]
     out = []
     for d in docs:
-        own, own2, rest = Counter(d), Counter(zip(d, d[1:])), sum(one.values()) - len(d)
-        score, pairs, singles = 0.0, 0, 0
-        for i, w in enumerate(d):
-            c = one[w] - own[w]
-            singles += c > 0
-            p = two[d[i - 1], w] - own2[d[i - 1], w] if i else 0
-            if p > 0:
-                pairs += 1
-                score += math.log(p / (one[d[i - 1]] - own[d[i - 1]]))
+        own = [Counter(grams_of(d, k)) for k in range(1, order + 1)]
+        elsewhere = lambda g: counts[len(g) - 1][g] - own[len(g) - 1][g]
+        rest = sum(counts[0].values()) - len(d)
+        seen, score = [0] * order, 0.0
+        for i in range(len(d)):
+            ending = [tuple(d[i - k + 1 : i + 1]) for k in range(1, min(order, i + 1) + 1)]
+            for k, g in enumerate(ending):
+                seen[k] += elsewhere(g) > 0
+            steps = 0
+            for g in reversed(ending):
+                if elsewhere(g):
+                    score += math.log(elsewhere(g) / (elsewhere(g[:-1]) if len(g) > 1 else rest))
+                    break
+                steps += 1
             else:
-                score += math.log(backoff) * (i > 0) + (math.log(c / rest) if c else math.log(backoff / (rest + 1)))
-        out.append((len(d), pairs, singles, score))
+                score -= math.log(rest + 1)
+            score += steps * math.log(backoff)
+        out.append((len(d), *seen, score))
     return out
 
 
-def check(got, ids, texts):
-    want = sorted(zip([(i is None, i or 0) for i in ids], brute_force(texts)))
-    found = sorted(((r.doc_id is None, r.doc_id or 0), (r.n_words, r.n_pairs_seen, r.n_words_seen, r.log_score)) for r in got)
+def check(got, ids, texts, order=3):
+    names = ngram_lm._seen_columns(order)
+    want = sorted(zip([(i is None, i or 0) for i in ids], brute_force(texts, order)))
+    found = sorted(
+        ((r.doc_id is None, r.doc_id or 0), (r.n_words, *[r[c] for c in names], r.log_score)) for r in got
+    )
     assert len(found) == len(want)
     for f, w in zip(found, want):
-        assert f[0] == w[0] and f[1][:3] == w[1][:3] and f[1][3] == pytest.approx(w[1][3], rel=1e-9, abs=1e-9)
+        assert f[0] == w[0] and f[1][:-1] == w[1][:-1] and f[1][-1] == pytest.approx(w[1][-1], rel=1e-9, abs=1e-9)
     assert all((r.mean_score is None) == (r.n_words == 0) for r in got)
 
 
@@ -59,12 +71,22 @@ def test_odd_rows(spark, block_bytes, bucket_grams):
     check(alone, [1], ["only one text"])
 
 
+@pytest.mark.parametrize("order", [1, 2, 5])
+def test_other_orders(spark, order):
+    texts = ["a b c d e a b c", "x a b c d e", "", None, "b c", "a", "a b c d e f"]
+    df = documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    got = ngram_lm.backoff_scores(df, order=order, block_bytes=20, bucket_grams=7).collect()
+    check(got, range(len(texts)), texts, order)
+    with pytest.raises(ValueError):
+        ngram_lm.backoff_scores(df, order=0)
+
+
 @pytest.mark.parametrize("at_once", [1, 3, 1000])
 def test_own_counts_of_each_document(monkeypatch, at_once):
     monkeypatch.setattr(ngram_lm, "OWN_WORDS", at_once)
     texts = ["a b a b a", None, "", "b", "a a a a", "c d c d a b " * 3]
     grams = ngram_lm.Grams(texts)
-    want = [own[w] for d in map(split, texts) for own in [Counter(d)] for w in d]
-    want += [own[p] for d in map(split, texts) for own in [Counter(zip(d, d[1:]))] for p in zip(d, d[1:])]
+    docs = [split(t) for t in texts]
+    want = [own[g] for k in (1, 2, 3) for d in docs for own in [Counter(grams_of(d, k))] for g in grams_of(d, k)]
     assert grams.own().tolist() == want
     assert grams.counts().sum() == len(want)

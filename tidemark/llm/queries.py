@@ -135,27 +135,35 @@ FROM dw d LEFT JOIN covered c USING (doc_id) LEFT JOIN held h USING (doc_id)
 
 OP10_SQL = rf"""
 WITH t AS (SELECT doc_id, regexp_extract_all({LOWER.format("text")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
-u AS (SELECT doc_id, unnest(w) AS b, generate_subscripts(w, 1) AS p FROM t),
-pos AS (SELECT doc_id, p, b, lag(b) OVER (PARTITION BY doc_id ORDER BY p) AS a FROM u),
+u AS (SELECT doc_id, unnest(w) AS c, generate_subscripts(w, 1) AS p FROM t),
+pos AS (SELECT doc_id, p, c, lag(c) OVER (PARTITION BY doc_id ORDER BY p) AS b,
+               lag(c, 2) OVER (PARTITION BY doc_id ORDER BY p) AS a FROM u),
 size AS (SELECT doc_id, count(*) AS n FROM pos GROUP BY doc_id),
-one AS (SELECT b, count(*) AS n FROM pos GROUP BY b),
-one_d AS (SELECT doc_id, b, count(*) AS n FROM pos GROUP BY doc_id, b),
-two AS (SELECT a, b, count(*) AS n FROM pos WHERE a IS NOT NULL GROUP BY a, b),
-two_d AS (SELECT doc_id, a, b, count(*) AS n FROM pos WHERE a IS NOT NULL GROUP BY doc_id, a, b),
-c AS (SELECT pos.doc_id, pos.a, one.n - one_d.n AS cb, coalesce(two.n - two_d.n, 0) AS cab, oa.n - oad.n AS ca,
-             (SELECT count(*) FROM pos) - size.n AS rest
+one AS (SELECT c, count(*) AS n FROM pos GROUP BY c),
+one_d AS (SELECT doc_id, c, count(*) AS n FROM pos GROUP BY doc_id, c),
+two AS (SELECT b, c, count(*) AS n FROM pos WHERE b IS NOT NULL GROUP BY b, c),
+two_d AS (SELECT doc_id, b, c, count(*) AS n FROM pos WHERE b IS NOT NULL GROUP BY doc_id, b, c),
+three AS (SELECT a, b, c, count(*) AS n FROM pos WHERE a IS NOT NULL GROUP BY a, b, c),
+three_d AS (SELECT doc_id, a, b, c, count(*) AS n FROM pos WHERE a IS NOT NULL GROUP BY doc_id, a, b, c),
+k AS (SELECT pos.*, (SELECT count(*) FROM pos) - size.n AS rest, o1.n - d1.n AS c1,
+             coalesce(o2.n - d2.n, 0) AS c2, coalesce(o3.n - d3.n, 0) AS c3
       FROM pos JOIN size ON size.doc_id = pos.doc_id
-      JOIN one ON one.b = pos.b JOIN one_d ON one_d.doc_id = pos.doc_id AND one_d.b = pos.b
-      LEFT JOIN two ON two.a = pos.a AND two.b = pos.b
-      LEFT JOIN two_d ON two_d.doc_id = pos.doc_id AND two_d.a = pos.a AND two_d.b = pos.b
-      LEFT JOIN one oa ON oa.b = pos.a LEFT JOIN one_d oad ON oad.doc_id = pos.doc_id AND oad.b = pos.a),
-s AS (SELECT doc_id, cab, cb, CASE WHEN cab > 0 THEN ln(CAST(cab AS DOUBLE) / ca) ELSE
-             (CASE WHEN a IS NULL THEN 0 ELSE ln(0.4) END)
-             + (CASE WHEN cb > 0 THEN ln(CAST(cb AS DOUBLE) / rest) ELSE ln(0.4 / (rest + 1.0)) END) END AS cost FROM c),
-total AS (SELECT doc_id, count(*) AS n, count(*) FILTER (cab > 0) AS n_pairs, count(*) FILTER (cb > 0) AS n_single,
-                 sum(cost) AS log_score FROM s GROUP BY doc_id)
-SELECT t.doc_id, coalesce(n, 0) AS n_words, coalesce(n_pairs, 0) AS n_pairs_seen, coalesce(n_single, 0) AS n_words_seen,
-       round(coalesce(log_score, 0.0), 6) AS log_score, round(log_score / n, 9) AS mean_score
+      JOIN one o1 ON o1.c = pos.c JOIN one_d d1 ON d1.doc_id = pos.doc_id AND d1.c = pos.c
+      LEFT JOIN two o2 ON o2.b = pos.b AND o2.c = pos.c
+      LEFT JOIN two_d d2 ON d2.doc_id = pos.doc_id AND d2.b = pos.b AND d2.c = pos.c
+      LEFT JOIN three o3 ON o3.a = pos.a AND o3.b = pos.b AND o3.c = pos.c
+      LEFT JOIN three_d d3 ON d3.doc_id = pos.doc_id AND d3.a = pos.a AND d3.b = pos.b AND d3.c = pos.c),
+x AS (SELECT *, lag(c1) OVER (PARTITION BY doc_id ORDER BY p) AS before1,
+             lag(c2) OVER (PARTITION BY doc_id ORDER BY p) AS before2 FROM k),
+s AS (SELECT doc_id, c1, c2, c3, CASE WHEN c3 > 0 THEN ln(CAST(c3 AS DOUBLE) / before2) ELSE
+             (CASE WHEN a IS NULL THEN 0 ELSE ln(0.4) END) + CASE WHEN c2 > 0 THEN ln(CAST(c2 AS DOUBLE) / before1) ELSE
+             (CASE WHEN b IS NULL THEN 0 ELSE ln(0.4) END)
+             + CASE WHEN c1 > 0 THEN ln(CAST(c1 AS DOUBLE) / rest) ELSE ln(0.4 / (rest + 1.0)) END END END AS cost FROM x),
+total AS (SELECT doc_id, count(*) AS n, count(*) FILTER (c3 > 0) AS n3, count(*) FILTER (c2 > 0) AS n2,
+                 count(*) FILTER (c1 > 0) AS n1, sum(cost) AS log_score FROM s GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n, 0) AS n_words, coalesce(n1, 0) AS n_words_seen, coalesce(n2, 0) AS n_pairs_seen,
+       coalesce(n3, 0) AS n_3grams_seen, round(coalesce(log_score, 0.0), 6) AS log_score,
+       round(log_score / n, 9) AS mean_score
 FROM t LEFT JOIN total USING (doc_id)
 """
 
