@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import ODD, SF, documents, read
 
@@ -90,3 +91,11 @@ def test_own_counts_of_each_document(monkeypatch, at_once):
     want = [own[g] for k in (1, 2, 3) for d in docs for own in [Counter(grams_of(d, k))] for g in grams_of(d, k)]
     assert grams.own().tolist() == want
     assert grams.counts().sum() == len(want)
+
+
+@pytest.mark.parametrize("values", [[], [0], [2**64 - 1], [0, 1, 2**63, 2**64 - 1], list(range(0, 10**7, 999))])
+def test_packed_numbers(values):
+    keys = np.array(values, dtype=np.uint64)
+    assert ngram_lm._unpack_sorted(ngram_lm._pack_sorted(keys), len(keys)).tolist() == values
+    counts = np.array([v >> 1 for v in values], dtype=np.int64)
+    assert ngram_lm._unpack(ngram_lm._pack(counts), len(counts)).tolist() == counts.tolist()

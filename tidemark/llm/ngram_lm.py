@@ -8,8 +8,8 @@ counts are taken off all counts, so that no document vouches for itself.
 
 The work is three exchanges.  Documents are dealt into blocks, and each block is exploded into
 its distinct n-grams with their counts, as arrays for each hash bucket.  The count tables are
-partitioned by that hash: a bucket adds up its n-grams over all blocks and joins the sums back to
-the arrays they came from.  The sums return to their block, where they are joined to the words
+partitioned by that hash: a bucket adds up its n-grams over all blocks and joins what other blocks
+have back to the arrays they came from.  These sums return to their block, where they are joined to the words
 of its documents and added up for each document.  Every count is exact and covers all documents;
 n-grams are named by 64-bit hashes.
 """
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,8 @@ BUCKET_GRAMS = 2_000_000  # n-grams of a bucket, expected
 ORDER = 3
 BACKOFF = 0.4
 TASK_BLOCKS = 4  # blocks that a task takes at most on average, whatever the size of the input
+RAW_PLANES = 5  # low bytes of a step between sorted hashes that no compression shortens
+LEVEL = 1
 OWN_WORDS = 200_000  # words of the documents whose own counts are taken together
 
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -120,12 +123,37 @@ class Grams:
         return out
 
 
+def _planes(numbers: np.ndarray) -> np.ndarray:
+    """The bytes of whole numbers: first the lowest of all, last the highest of all."""
+    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+
+
+def _numbers(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
 def _pack(counts: np.ndarray) -> bytes:
-    return counts.astype("<u4" if counts.max(initial=0) < 1 << 32 else "<u8").tobytes()
+    """Counts are mostly small: their planes shrink to little."""
+    return zstandard.compress(_planes(counts).tobytes(), LEVEL)
 
 
 def _unpack(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, dtype="<u4" if len(raw) == 4 * n else "<u8").astype(np.int64)
+    planes = np.frombuffer(zstandard.decompress(raw), dtype=np.uint8).reshape(8, n)
+    return _numbers(planes).astype(np.int64)
+
+
+def _pack_sorted(keys: np.ndarray) -> bytes:
+    """Rising hashes as their steps.  The low planes of the steps are as good as random and stay as
+    they are, the high ones are nearly empty and are compressed."""
+    planes = _planes(np.diff(keys, prepend=np.uint64(0)))
+    return planes[:RAW_PLANES].tobytes() + zstandard.compress(planes[RAW_PLANES:].tobytes(), LEVEL)
+
+
+def _unpack_sorted(raw: bytes, n: int) -> np.ndarray:
+    cut = RAW_PLANES * n
+    low = np.frombuffer(raw, dtype=np.uint8, count=cut)
+    high = np.frombuffer(zstandard.decompress(raw[cut:]), dtype=np.uint8)
+    return np.cumsum(_numbers(np.concatenate((low, high)).reshape(8, n)), dtype=np.uint64)
 
 
 def _explode(buckets: int, order: int):
@@ -137,7 +165,8 @@ def _explode(buckets: int, order: int):
             {
                 "bucket": pa.array(filled, pa.int64()),
                 "block": pa.array([table.column("block")[0].as_py()] * len(filled), pa.int64()),
-                "grams": pa.array([grams.keys[cuts[b] : cuts[b + 1]].tobytes() for b in filled], pa.binary()),
+                "n_grams": pa.array(np.diff(cuts)[filled], pa.int64()),
+                "grams": pa.array([_pack_sorted(grams.keys[cuts[b] : cuts[b + 1]]) for b in filled], pa.binary()),
                 "counts": pa.array([_pack(counts[cuts[b] : cuts[b + 1]]) for b in filled], pa.binary()),
             }
         )
@@ -146,18 +175,20 @@ def _explode(buckets: int, order: int):
 
 
 def _add_up(table: pa.Table) -> pa.Table:
-    """The count table of a bucket, joined back to the n-grams of each block."""
-    grams = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in table.column("grams")]
-    counts = [_unpack(x.as_py(), len(g)) for x, g in zip(table.column("counts"), grams)]
+    """The count table of a bucket, joined back to the n-grams of each block: how often each occurs in
+    other blocks, which is never for most of the longer ones."""
+    sizes = table.column("n_grams").to_pylist()
+    grams = [_unpack_sorted(x.as_py(), n) for x, n in zip(table.column("grams"), sizes)]
+    counts = np.concatenate([_unpack(x.as_py(), n) for x, n in zip(table.column("counts"), sizes)])
     _, at = np.unique(np.concatenate(grams), return_inverse=True)
+    del grams
     total = np.zeros(at.max() + 1, dtype=np.int64)
-    np.add.at(total, at, np.concatenate(counts))
-    cuts = np.cumsum([len(g) for g in grams])[:-1]
+    np.add.at(total, at, counts)
     return pa.table(
         {
             "block": table.column("block"),
             "bucket": table.column("bucket"),
-            "counts": pa.array([_pack(x) for x in np.split(total[at], cuts)], pa.binary()),
+            "others": pa.array([_pack(x) for x in np.split(total[at] - counts, np.cumsum(sizes)[:-1])], pa.binary()),
         }
     )
 
@@ -166,14 +197,14 @@ def _score(backoff: float, n_corpus: int, order: int):
     def work(docs: pa.Table, sums: pa.Table) -> pa.Table:
         grams = Grams(docs.column("text").to_pylist(), order)
         by_bucket = np.argsort(sums.column("bucket").to_numpy()) if sums.num_rows else []
-        packed = sums.column("counts")
-        total = np.empty(len(grams.keys), dtype=np.int64)
+        packed = sums.column("others")
+        total = grams.counts()
         filled = 0
         cuts = np.nonzero(np.diff(grams.cuts(_buckets_of(sums))))[0] if sums.num_rows else []
         bounds = grams.cuts(_buckets_of(sums)) if sums.num_rows else [0]
         for row, b in zip(by_bucket, cuts):
             a, z = bounds[b], bounds[b + 1]
-            total[a:z] = _unpack(packed[int(row)].as_py(), z - a)
+            total[a:z] += _unpack(packed[int(row)].as_py(), z - a)
             filled += z - a
         if filled != len(total):
             raise RuntimeError("the counts of a block are not complete")
@@ -254,12 +285,12 @@ def backoff_scores(
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.lit(blocks)))
     dealt = dealt.repartition(block_tasks, "block")
     exploded = dealt.groupBy("block").applyInArrow(
-        _explode(buckets, order), "bucket long, block long, grams binary, counts binary"
+        _explode(buckets, order), "bucket long, block long, n_grams long, grams binary, counts binary"
     )
     sums = (
         exploded.repartition(bucket_tasks, "bucket")
         .groupBy("bucket")
-        .applyInArrow(_add_up, "block long, bucket long, counts binary")
+        .applyInArrow(_add_up, "block long, bucket long, others binary")
         .withColumn("buckets", F.lit(buckets))
         .repartition(block_tasks, "block")
     )
