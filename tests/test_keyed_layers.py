@@ -53,6 +53,14 @@ def test_no_shuffle_on_the_key(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_digests_do_not_sort_the_rows(spark):
+    found = keyed_layers._digests(layer(people(spark)).rows, ["k"], 8)
+    assert "FileScan" in plan_of(found) and "d0" in plan_of(found)
+    below = [line for line in plan_of(found).splitlines() if "SortAggregate" in line and "xxhash64" in line]
+    assert not below
+    assert sum(r.n_rows for r in found.collect()) == 2000 and {r.n_files for r in found.collect()} == {1}
+
+
 def test_only_buckets_that_differ_are_read(spark):
     one = F.when(F.col("k") == 77, "other").otherwise(F.col("v"))
     before, after = layer(people(spark)), layer(people(spark).withColumn("v", one))

@@ -123,7 +123,7 @@ def open_keyed_layer(spark: SparkSession, path: str) -> KeyedLayer:
 def _digests(rows: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     """``bucket, file, n_rows, n_null_keys, n_repeated, digests``: for each column the sum of a hash
     of key and value over the rows of the bucket, in any order.  ``n_repeated`` counts the keys
-    that occur more than once.  Only one row for each task and bucket is shuffled."""
+    that occur more than once.  Only one row for each task, bucket and file is shuffled."""
     key = [quoted(k) for k in keys]
     nulls = [k.isNull() for k in key]
     any_null = nulls[0]
@@ -133,20 +133,24 @@ def _digests(rows: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     def digest(column: str) -> Column:
         value = quoted(column)
         hashed = F.xxhash64(*key, *nulls, value, value.isNull())
-        return F.sum(hashed.cast("decimal(38,0)")).cast("string").alias(column)
+        return F.sum(hashed.cast("decimal(38,0)"))
 
-    named = [digest(c).alias(f"d{i}") for i, c in enumerate(rows.columns)]
-    measured = (
+    # a text's minimum cannot be updated in place: files are grouping keys, so that rows are not sorted for it
+    per_file = (
         rows.withColumn("__file", F.col("_metadata.file_name"))
-        .groupBy(_bucket(keys, buckets).alias("bucket"))
+        .groupBy(_bucket(keys, buckets).alias("bucket"), "__file")
         .agg(
-            F.min("__file").alias("file"),
-            F.count_distinct("__file").alias("n_files"),
             F.count(F.lit(1)).alias("n_rows"),
             F.count_if(any_null).alias("n_null_keys"),
-            *named,
+            *[digest(c).alias(f"d{i}") for i, c in enumerate(rows.columns)],
         )
     )
+    measured = per_file.groupBy("bucket").agg(
+        F.min("__file").alias("file"),
+        F.count(F.lit(1)).alias("n_files"),
+        *[F.sum(c).alias(c) for c in ("n_rows", "n_null_keys")],
+        *[F.sum(f"d{i}").cast("string").alias(f"d{i}") for i in range(len(rows.columns))],
+    )
     repeated = (
         rows.groupBy(*key)
         .agg(F.count(F.lit(1)).alias("__n"))
