@@ -2,6 +2,7 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from test_similarity import GOLDEN, variants
 
 from tidemark.functions import graph
@@ -9,6 +10,7 @@ from tidemark.functions.similarity import jaro_winkler
 from tidemark.operators import clusters, lookup
 from tidemark.operators.near_duplicates import near_duplicates
 from tidemark.queries import text
+from tidemark.session import materialize
 
 
 def brute_force(values, threshold):
@@ -107,6 +109,17 @@ def test_chains_stars_and_separate_groups(spark):
     assert got["x"] == got["y"] == "x"
 
 
+def test_links_that_lie_together_need_no_rounds(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(graph, "materialize", lambda df, label: (written.append(label), materialize(df, label))[1])
+    edges = spark.range(2000).coalesce(1).filter("(id + 1) % 100 > 0").select(
+        F.lit("c").alias("column"), (F.col("id") + 1).alias("a"), F.col("id").alias("b")
+    )
+    got = {r.node: r.component for r in graph.star_components(edges, ["column"]).collect()}
+    assert got == {i: i - i % 100 for i in range(2000)}
+    assert written == ["edges"]
+
+
 def test_edge_order_and_direction_do_not_matter(spark):
     draw = random.Random(9)
     edges = [(f"v{draw.randrange(40)}", f"v{draw.randrange(40)}") for _ in range(30)]
