@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import number_text, strip, whole_number_text
 from tidemark.operators import dedup, document, lookup, rules
+from tidemark.plans import clean as plan
 from tidemark.spec import (
     ClassifyRule,
     ConsistencyRule,
@@ -244,3 +245,21 @@ def test_severity_follows_the_rule(spark):
     )
     got = [(r["variable"], r["count"], r["severity"]) for r in document.problem_inventory(df, spec).collect()]
     assert got == [("y", 2, "None (structural)"), ("y", 2, "High"), ("x", 0, "None"), ("x", 1, "Medium"), ("x", 0, "None")]
+
+
+def test_flags_of_the_plan_do_not_look_for_near_duplicates(spark, monkeypatch):
+    """And the table does not need the flags: what is not read is not worked out."""
+    df = spark.createDataFrame([(1, 1, 0, "x"), (1, 1, 0, "x"), (2, 1, 1, "y")], "id int, asked int, why int, name string")
+    rule = SkipRule("no_reason", "asked", ("why = 1",), "none")
+    spec = DatasetSpec("t", keys=("id",), skips=(rule,), free_text=("name",))
+    whole = plan.clean(df, spec)
+    assert rows(whole.table) == [(1, 1, 0, "x"), (2, 1, 1, "y")] and whole.mapping.isEmpty()
+
+    def unasked(*args, **options):
+        raise AssertionError("was not asked for")
+
+    monkeypatch.setattr(plan.near_duplicates, "near_duplicates", unasked)
+    assert rows(plan.clean(df, spec).flags, "id", "rule_name") == [(1, "no_reason")]
+    monkeypatch.undo()
+    monkeypatch.setattr(plan.rules, "flag_rows", unasked)
+    assert plan.clean(df, spec).table.count() == 2

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,17 +21,6 @@ from tidemark.session import materialize
 from tidemark.spec import DatasetSpec
 
 
-@dataclass
-class Cleaned:
-    """``kept`` are the rows that survive the deduplication, as they came in."""
-
-    table: DataFrame
-    metrics: DataFrame
-    flags: DataFrame
-    mapping: DataFrame | None
-    kept: DataFrame
-
-
 @dataclass(frozen=True)
 class Hierarchy:
     """Lookup tables of one classification: ``groups (group_key, group_code)`` and
@@ -97,6 +87,95 @@ def _metric(df: DataFrame, step: str, item: Column, value: Column) -> DataFrame:
     )
 
 
+class Cleaned:
+    """The results of the plan, each worked out when it is first asked for.
+
+    ``kept`` are the rows that survive the deduplication, as they came in.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        spec: DatasetSpec,
+        hierarchies: Mapping[str, Hierarchy],
+        pairs: DataFrame | None,
+    ) -> None:
+        self._df, self._spec, self._hierarchies, self._pairs = df, spec, hierarchies, pairs
+        kept = dedup.keep_first(df, spec.keys, spec.order_by)
+        # without repeated keys there is nothing to write
+        self.kept = kept if kept is df else materialize(kept, "deduplicated")
+
+    @cached_property
+    def _corrected(self) -> DataFrame:
+        return row_rules(self.kept, self._spec)
+
+    @cached_property
+    def flags(self) -> DataFrame:
+        found = flag_rules(self._corrected, self._spec)
+        return materialize(rules.flag_rows(self._corrected, self._spec.keys, found), "flags")
+
+    @cached_property
+    def _reviewed(self) -> DataFrame:
+        return lookup.mapping_table(self._df, self._spec.value_map)
+
+    @property
+    def _mapped_columns(self) -> list[str]:
+        return sorted({column for column, _, _ in self._spec.value_map})
+
+    @cached_property
+    def _mapped(self) -> DataFrame:
+        if not self._spec.value_map:
+            return self._corrected
+        return lookup.apply_value_map(self._corrected, self._reviewed, self._mapped_columns)
+
+    @cached_property
+    def mapping(self) -> DataFrame | None:
+        spec, pairs = self._spec, self._pairs
+        if not spec.free_text:
+            return None
+        if pairs is None:
+            pairs = near_duplicates.near_duplicates(self._mapped, spec.free_text, spec.near_duplicate_threshold)
+        return clusters.consolidation_map(pairs, spec.merge_threshold)
+
+    @cached_property
+    def table(self) -> DataFrame:
+        table = self._mapped
+        if self.mapping is not None:
+            table = lookup.apply_value_map(table, self.mapping, self._spec.free_text)
+        for rule in self._spec.classify:
+            hierarchy = self._hierarchies[rule.lookup]
+            table = lookup.classify(table, rule, hierarchy.groups, hierarchy.labels)
+        return table
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        spec = self._spec
+        n_kept = self.kept.agg(F.count(F.lit(1)).alias("n")).scalar()
+        metrics = _metric(
+            self._df.agg(F.count(F.lit(1)).alias("n")), "dedup", F.lit("rows dropped"), F.col("n") - n_kept
+        )
+        metrics = metrics.unionByName(correction_metrics(self.kept, spec))
+        summary = rules.flag_summary(self.flags, spec.keys)
+        for column, label in (("n_flags", "flags"), ("n_rows", "flagged rows"), ("n_rules", "rules")):
+            metrics = metrics.unionByName(_metric(summary, "flags", F.lit(label), F.col(column)))
+        if spec.value_map:
+            effect = lookup.mapping_effect(self._corrected, self._reviewed, self._mapped_columns)
+            metrics = metrics.unionByName(_metric(effect, "value_map", F.col("column"), F.col("n_rows_affected")))
+        if self.mapping is not None:
+            merged = clusters.consolidation_summary(self.mapping)
+            metrics = metrics.unionByName(_metric(merged, "variants_merged", F.col("column"), F.col("n_variants")))
+            effect = lookup.mapping_effect(self._mapped, self.mapping, spec.free_text)
+            metrics = metrics.unionByName(
+                _metric(effect, "rows_consolidated", F.col("column"), F.col("n_rows_affected"))
+            )
+        if spec.classify:
+            classified = [(rule.column, rule.group_column) for rule in spec.classify]
+            coverage = lookup.classification_coverage(self.table, classified)
+            for column in ("n_coded", "n_classified"):
+                metrics = metrics.unionByName(_metric(coverage, column, F.col("code_column"), F.col(column)))
+        return metrics
+
+
 def clean(
     df: DataFrame,
     spec: DatasetSpec,
@@ -104,67 +183,10 @@ def clean(
     pairs: DataFrame | None = None,
 ) -> Cleaned:
     """Run the plan.  ``pairs`` are near-duplicate pairs found earlier (by the diagnosis);
-    without them they are computed here, from the corrected text columns."""
+    without them they are computed here, from the corrected text columns.  Rows are
+    deduplicated at once; flags, mapping, table and metrics cost nothing unless they are read."""
     hierarchies = hierarchies or {}
-    kept = dedup.keep_first(df, spec.keys, spec.order_by)
-    if kept is not df:  # without repeated keys there is nothing to write
-        kept = materialize(kept, "deduplicated")
-    n_kept = kept.agg(F.count(F.lit(1)).alias("n")).scalar()
-    metrics = _metric(
-        df.agg(F.count(F.lit(1)).alias("n")), "dedup", F.lit("rows dropped"), F.col("n") - n_kept
-    )
-    metrics = metrics.unionByName(correction_metrics(kept, spec))
-
-    corrected = row_rules(kept, spec)
-    flags = materialize(
-        rules.flag_rows(corrected, spec.keys, flag_rules(corrected, spec)), "flags"
-    )
-    summary = rules.flag_summary(flags, spec.keys)
-    for column, label in (("n_flags", "flags"), ("n_rows", "flagged rows"), ("n_rules", "rules")):
-        metrics = metrics.unionByName(_metric(summary, "flags", F.lit(label), F.col(column)))
-
-    table = corrected
-    if spec.value_map:
-        reviewed = lookup.mapping_table(df, spec.value_map)
-        mapped = sorted({column for column, _, _ in spec.value_map})
-        effect = lookup.mapping_effect(table, reviewed, mapped)
-        metrics = metrics.unionByName(
-            _metric(effect, "value_map", F.col("column"), F.col("n_rows_affected"))
-        )
-        table = lookup.apply_value_map(table, reviewed, mapped)
-
-    mapping = None
-    if spec.free_text:
-        if pairs is None:
-            pairs = near_duplicates.near_duplicates(
-                table, spec.free_text, spec.near_duplicate_threshold
-            )
-        mapping = clusters.consolidation_map(pairs, spec.merge_threshold)
-        metrics = metrics.unionByName(
-            _metric(
-                clusters.consolidation_summary(mapping),
-                "variants_merged",
-                F.col("column"),
-                F.col("n_variants"),
-            )
-        )
-        effect = lookup.mapping_effect(table, mapping, spec.free_text)
-        metrics = metrics.unionByName(
-            _metric(effect, "rows_consolidated", F.col("column"), F.col("n_rows_affected"))
-        )
-        table = lookup.apply_value_map(table, mapping, spec.free_text)
-
-    classified = []
     for rule in spec.classify:
-        hierarchy = hierarchies.get(rule.lookup)
-        if hierarchy is None:
+        if hierarchies.get(rule.lookup) is None:
             raise ValueError(f"no hierarchy named '{rule.lookup}' was given for {rule.column}")
-        table = lookup.classify(table, rule, hierarchy.groups, hierarchy.labels)
-        classified.append((rule.column, rule.group_column))
-    if classified:
-        coverage = lookup.classification_coverage(table, classified)
-        for column in ("n_coded", "n_classified"):
-            metrics = metrics.unionByName(
-                _metric(coverage, column, F.col("code_column"), F.col(column))
-            )
-    return Cleaned(table, metrics, flags, mapping, kept)
+    return Cleaned(df, spec, hierarchies, pairs)

@@ -324,9 +324,10 @@ def _facts_sql(typed: str) -> str:
 @query("report_facts", f"WITH RECURSIVE {CLEANED_SALES_SQL}, {_IMPUTED_SALES} {_facts_sql('kept')}")
 def report_facts(spark, sf_dir):
     typed = materialize(dedup.keep_first(sales(spark, sf_dir), SALES.keys), "typed")
-    cleaned = materialize(clean(typed, SALES, hierarchies(spark, sf_dir)).table, "cleaned")
+    result = clean(typed, SALES, hierarchies(spark, sf_dir))
+    cleaned = materialize(result.table, "cleaned")
     final, fills = impute_stage(cleaned, SALES)
-    found = build_facts(SALES, typed, cleaned, materialize(final, "final"), fills)
+    found = build_facts(SALES, typed, cleaned, materialize(final, "final"), fills, result.kept, result.flags)
     return found.withColumn("value", F.round("value", 4))
 
 
