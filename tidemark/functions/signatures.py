@@ -85,6 +85,19 @@ def _bucket_pair(threshold: float, prefix: int, one: int, other: int) -> int | N
     return int(max(n + m - 2 * share * n * m / (n + m) for n, m in corners) + _ROUNDING)
 
 
+def bits_allowed(threshold: float, prefix: int, low: int, high: int, other_low: int, other_high: int) -> int:
+    """Largest multiset difference of a qualifying pair with lengths in these two ranges, or -1 if none
+    qualifies.  The bound is convex in each length, so a corner holds its maximum."""
+    share = 3 * least_jaro(threshold, prefix) - 1
+    nearest = (max(low, other_low),) * 2 if max(low, other_low) <= min(high, other_high) else (
+        (high, other_low) if high < other_low else (low, other_high)
+    )
+    if most_differences(threshold, prefix, min(nearest), max(nearest)) is None:
+        return -1
+    corners = [(n, m) for n in (low, high) for m in (other_low, other_high)]
+    return int(max(n + m - 2 * share * n * m / (n + m) for n, m in corners) + _ROUNDING)
+
+
 @lru_cache(maxsize=None)
 def _groups(differences: int, key_budget: int) -> int:
     """Number of groups: as many as give long, selective keys within the key budget."""
@@ -144,9 +157,12 @@ def bit_signatures(chars: np.ndarray, inside: np.ndarray) -> np.ndarray:
 
 # What travels for each key: never the text, only what the exact tests need.
 KEY_SCHEMA = (
-    "key bigint, id bigint, side tinyint, prefix tinyint, length int, next int, "
+    "key bigint, id bigint, side tinyint, prefix tinyint, length int, next bigint, "
     "s0 bigint, s1 bigint, s2 bigint, s3 bigint"
 )
+# texts up to this length bring one word of parity bits, which tells as few characters apart well enough
+_ONE_WORD = 24
+_PACKED = 3  # characters of 21 bits in one number
 SHORTER, LONGER, BOTH = 0, 1, 2
 _NUMBERS_PER_BLOCK = 1 << 21  # numbers in the largest array that a block of texts needs
 
@@ -175,15 +191,68 @@ def class_keys(threshold: float, key_budget: int, buckets: Sequence[int]) -> dic
     return found
 
 
+def chance_of_a_common_key(texts: list[str], differences: int, groups: int, frequent_chars: str) -> float:
+    """How many keys two of these texts share on average, prefixes aside."""
+    lengths = np.array([len(t) for t in texts])
+    chars = code_points(texts, int(lengths.max()))
+    inside = np.arange(chars.shape[1])[None, :] < lengths[:, None]
+    dealt = (_deal_order(chars, np.array([ord(c) for c in frequent_chars], dtype=np.uint32)) % np.uint64(groups)).astype(np.int64)
+    sums = np.zeros((len(texts), groups), dtype=np.uint64)
+    np.add.at(sums, (np.arange(len(texts))[:, None], dealt), np.where(inside, _mix(chars.astype(np.uint64) + np.uint64(1)), np.uint64(0)))
+    sums = _mix(sums + np.arange(groups, dtype=np.uint64)[None, :])
+    pairs = 0
+    for choice in combinations(range(groups), groups - differences):
+        alike = np.unique(sums[:, list(choice)].sum(axis=1, dtype=np.uint64), return_counts=True)[1]
+        pairs += int((alike * (alike - 1)).sum())
+    return pairs / max(len(texts) * (len(texts) - 1), 1)
+
+
+def class_runs(
+    threshold: float, bucket: int, key_budget: int, plain: frozenset[tuple[int, int, int]]
+) -> list[tuple[int, int, int, int, int, bool]]:
+    """``(lowest prefix, highest prefix, partner, differences, groups, plain)``: the classes of a bucket, those
+    of consecutive prefixes as one where one set of keys serves them all, made with the lowest prefix."""
+    runs: list[list] = []
+    for prefix, partner, differences, groups in sorted(bucket_plan(threshold, bucket, key_budget), key=lambda c: (c[1], c[0])):
+        one_key = (prefix, min(bucket, partner), max(bucket, partner)) in plain
+        last = runs[-1] if runs else None
+        if (
+            last
+            and (last[1], last[2], last[5]) == (prefix - 1, partner, one_key)
+            and (one_key or last[3:5] == [differences, groups])
+        ):
+            last[1], last[3] = prefix, differences
+        else:
+            runs.append([prefix, prefix, partner, differences, groups, one_key])
+    return [tuple(run) for run in runs]
+
+
+def _packed(chars: np.ndarray, inside: np.ndarray, low: int, high: int) -> np.ndarray | None:
+    """The characters at ``low`` to ``high`` as one number, the end of a text as 0; ``None`` where no test of
+    them is needed or they do not fit.  The pair is then found by a longer prefix as well, if it shares one."""
+    if high == PREFIX_CAP or high - low >= _PACKED:
+        return None
+    packed = np.zeros(len(chars), dtype=np.int64)
+    for at in range(low, high + 1):
+        code = np.where(inside[:, at], chars[:, at].astype(np.int64) + 1, 0) if at < chars.shape[1] else 0
+        packed = (packed << 21) | code
+    return packed
+
+
 def blocking_keys(
-    threshold: float, key_budget: int, frequent_chars: str, plain: frozenset[tuple[int, int, int]] = frozenset()
+    threshold: float,
+    key_budget: int,
+    frequent_chars: str,
+    plain: frozenset[tuple[int, int, int]] = frozenset(),
+    among: frozenset[tuple[int, int, int]] | None = None,
 ):
     """A ``mapInArrow`` function: (column, id, value) -> one row per blocking key.
 
     In a class of two length buckets the texts of the lower bucket belong to the shorter
     side and those of the upper one to the longer side; in a class of one bucket they belong
     to both.  Joining one side with the other never compares texts that only share a class
-    with a third length.  In a ``plain`` class the prefix itself is the one key.  Blocks of texts are cut by what their arrays hold, so that long
+    with a third length.  In a ``plain`` class the prefix itself is the one key.  Only the classes ``among``
+    those given get keys, if they are given.  Blocks of texts are cut by what their arrays hold, so that long
     texts and many choices take no more memory than short ones.
     """
     frequent = np.array([ord(c) for c in frequent_chars], dtype=np.uint32)
@@ -199,11 +268,14 @@ def blocking_keys(
         for i in range(min(PREFIX_CAP, chars.shape[1])):
             prefix_hash.append(_mix(prefix_hash[-1] * np.uint64(31) + chars[:, i].astype(np.uint64)))
         group_hash: dict[int, np.ndarray] = {}
-        for prefix, partner, differences, groups in bucket_plan(threshold, bucket, key_budget):
+        folded = np.zeros_like(signature)
+        folded[:, 0] = np.bitwise_xor.reduce(signature, axis=1)
+        for prefix, highest, partner, differences, groups, one_key in class_runs(threshold, bucket, key_budget, plain):
             long_enough = np.flatnonzero(lengths >= prefix)
             if prefix >= len(prefix_hash) or not len(long_enough):
                 continue
-            one_key = (prefix, min(bucket, partner), max(bucket, partner)) in plain
+            if among is not None and (prefix, min(bucket, partner), max(bucket, partner)) not in among:
+                continue
             if groups not in group_hash and not one_key:
                 # sums wrap around, which keeps them independent of the order of characters
                 sums = np.zeros((len(texts), groups), dtype=np.uint64)
@@ -215,7 +287,8 @@ def blocking_keys(
             class_seed = _seed(prefix, min(bucket, partner), max(bucket, partner))
             choice_seed = _mix(np.arange(len(chosen), dtype=np.uint64) + class_seed)
             side = BOTH if partner == bucket else SHORTER if bucket < partner else LONGER
-            following = chars[:, prefix] if prefix < chars.shape[1] else np.zeros(len(texts), dtype=np.uint32)
+            following = _packed(chars, inside, prefix, highest)
+            bits = folded if bucket_range(max(bucket, partner))[1] <= _ONE_WORD else signature
             step = max(1, _NUMBERS_PER_BLOCK // chosen.size)
             for at in range(0, len(long_enough), step):
                 some = long_enough[at : at + step]
@@ -229,10 +302,10 @@ def blocking_keys(
                         pa.array(keys.reshape(-1).view(np.int64)),
                         pa.array(ids[source]),
                         pa.array(np.full(len(source), side, dtype=np.int8)),
-                        pa.array(np.full(len(source), prefix, dtype=np.int8)),
+                        pa.array(np.full(len(source), highest, dtype=np.int8)),
                         pa.array(lengths[source].astype(np.int32)),
-                        pa.array(following[source].astype(np.int32)),
-                        *[pa.array(signature[source, w]) for w in range(SIGNATURE_WORDS)],
+                        pa.nulls(len(source), pa.int64()) if following is None else pa.array(following[source]),
+                        *[pa.array(bits[source, w]) for w in range(SIGNATURE_WORDS)],
                     ],
                     names=["key", "id", "side", "prefix", "length", "next", "s0", "s1", "s2", "s3"],
                 )
