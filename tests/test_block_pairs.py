@@ -89,3 +89,11 @@ def test_short_texts_share_their_keys_among_prefixes():
     )
     made = sum(part.num_rows for part in signatures.blocking_keys(0.97, 16, "abc")(iter([batch])))
     assert made <= 8 * 50
+
+
+def test_short_texts_without_a_common_prefix_are_not_compared_in_blocks(spark):
+    draw = random.Random(8)
+    values = {"".join(draw.choice("abcdefghijklmnopqrst") for _ in range(draw.choice((8, 9)))) for _ in range(4000)}
+    df = spark.createDataFrame([(0, i, v, 1) for i, v in enumerate(sorted(values))], "column int, id long, value string, count long")
+    among, _, blocks = operator._plan(df, 0.97, 16, "abcdefgh")
+    assert (0, 8, 9) not in among and not blocks

@@ -211,7 +211,9 @@ def _plan(
             cost += min(by_prefix, by_keys)
         rows = [max(1, min(_BLOCK_TEXTS, _BLOCK_CHARACTERS // max(bucket_range(b)[1], 1))) for b in (one, other)]
         n = tuple(-(-most.get(b, 0) // size) for b, size in zip((one, other), rows))
-        if pairs.get((0, one, other), 0) * _BLOCK_COST + n[0] * n[1] * _BLOCK_START < cost:
+        # short texts without a common prefix may have no class, but a block compares them all
+        met = sizes.get((0, one), 0) * sizes.get((0, other), 0) / (2 if one == other else 1)
+        if met * _BLOCK_COST + n[0] * n[1] * _BLOCK_START < cost:
             blocks[(one, other)] = n
     return frozenset(a for a in among if a[1:] not in blocks), frozenset(plain), blocks
 
