@@ -84,7 +84,8 @@ def _values_inside(df: DataFrame, brackets: Sequence[_Bracket], above: bool) ->
             value <= F.lit(box.high), entry(i, 0, value if whole else none, none if whole else value)
         )
         entries.append(found.when(value.isNotNull(), entry(i, 1, none, none)) if above else found)
-    inside = df.select(F.inline(F.array_compact(F.array(*entries))))
+    # empty entries leave after the array is opened: a filter of the array would run row by row
+    inside = df.select(F.inline(F.array(*entries))).filter("bracket IS NOT NULL")
     counted = inside.groupBy("bracket", "side", "whole", "real").agg(F.count(F.lit(1)).alias("count"))
     return materialize(counted, "bracket-values")
 

@@ -341,7 +341,8 @@ def flag_rows(df: DataFrame, keys: Sequence[str], rules: Sequence[FlagRule]) ->
     ]
     return (
         df.filter(flagged)
-        .select(*key_columns, F.explode(F.array_compact(F.array(*entries))).alias("flag"))
+        .select(*key_columns, F.explode(F.array(*entries)).alias("flag"))
+        .filter(F.col("flag").isNotNull())
         .select(*key_columns, "flag.*")
     )
 

@@ -128,13 +128,18 @@ class Cleaned:
             return self._corrected
         return lookup.apply_value_map(self._corrected, self._reviewed, self._mapped_columns)
 
+    @property
+    def _with_free_text(self) -> DataFrame:
+        """Rows with the texts that are consolidated; reviewed values of other columns need not be looked up."""
+        return self._mapped if set(self._mapped_columns) & set(self._spec.free_text) else self._corrected
+
     @cached_property
     def mapping(self) -> DataFrame | None:
         spec, pairs = self._spec, self._pairs
         if not spec.free_text:
             return None
         if pairs is None:
-            pairs = near_duplicates.near_duplicates(self._mapped, spec.free_text, spec.near_duplicate_threshold)
+            pairs = near_duplicates.near_duplicates(self._with_free_text, spec.free_text, spec.near_duplicate_threshold)
         return clusters.consolidation_map(pairs, spec.merge_threshold)
 
     @cached_property
@@ -164,7 +169,7 @@ class Cleaned:
         if self.mapping is not None:
             merged = clusters.consolidation_summary(self.mapping)
             metrics = metrics.unionByName(_metric(merged, "variants_merged", F.col("column"), F.col("n_variants")))
-            effect = lookup.mapping_effect(self._mapped, self.mapping, spec.free_text)
+            effect = lookup.mapping_effect(self._with_free_text, self.mapping, spec.free_text)
             metrics = metrics.unionByName(
                 _metric(effect, "rows_consolidated", F.col("column"), F.col("n_rows_affected"))
             )
