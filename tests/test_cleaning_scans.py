@@ -1,7 +1,8 @@
 """What the cleaning plan reads row by row: no filters of arrays, no lookups that the answer does not need."""
 
-from tidemark.operators import numeric
+from tidemark.operators import dedup, numeric
 from tidemark.plans.clean import clean
+from tidemark.plans.diagnose import diagnose
 from tidemark.session import materialize
 from tidemark.spec import DatasetSpec
 
@@ -28,3 +29,16 @@ def test_texts_are_read_without_the_reviewed_values_of_other_columns(spark):
     assert "Join" not in optimized(result._with_free_text) and "Join" in optimized(result._mapped)
     own = clean(df, DatasetSpec("people", keys=("id",), free_text=("job",), value_map=(("job", "COOK", "Cook"),)))
     assert "Cook" in {r.job for r in own._with_free_text.collect()}
+
+
+def test_repeated_keys_of_the_diagnosis_are_not_counted_again(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(dedup, "materialize", lambda df, label: (written.append(label), materialize(df, label))[1])
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (None, "d"), (None, "c"), (2, "e")], "id int, v string")
+    spec = DatasetSpec("people", keys=("id",))
+    found = diagnose(df, spec)
+    for limit in (0, 10):
+        kept = dedup.keep_first(df, ["id"], broadcast_rows=limit, repeated=found.repeated)
+        assert sorted((str(r.id), r.v) for r in kept.collect()) == [("1", "a"), ("2", "e"), ("None", "c")]
+    assert clean(df, spec, repeated=found.repeated).table.count() == 3
+    assert written == ["repeated-keys"]

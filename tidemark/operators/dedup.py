@@ -79,20 +79,25 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], ordered: bool = False, **
 
 
 def keep_first(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (),
+    broadcast_rows: int = BROADCAST_ROWS,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """One row per key: the first in ``order_by``, then in the order of the other columns,
     NULLs first.  Rows have no position in a distributed table, so "first" always means
     first under a total order.
 
     The keys are counted alone.  If none repeats, the table is returned as it is; if few
-    do, only their rows are compared and all others pass without a shuffle.
+    do, only their rows are compared and all others pass without a shuffle.  ``repeated`` are the
+    ``repeated_keys`` of the same table, if they are known; the keys are then not counted again.
     """
     lead = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in lead]
     if not lead and not rest:
         return df.distinct()
-    repeated = _repeated(df, keys)
+    repeated = _repeated(df, keys) if repeated is None else repeated
     if repeated.isEmpty():
         return df
     if not is_small(repeated, broadcast_rows):

@@ -99,9 +99,10 @@ class Cleaned:
         spec: DatasetSpec,
         hierarchies: Mapping[str, Hierarchy],
         pairs: DataFrame | None,
+        repeated: DataFrame | None = None,
     ) -> None:
         self._df, self._spec, self._hierarchies, self._pairs = df, spec, hierarchies, pairs
-        kept = dedup.keep_first(df, spec.keys, spec.order_by)
+        kept = dedup.keep_first(df, spec.keys, spec.order_by, repeated=repeated)
         # without repeated keys there is nothing to write
         self.kept = kept if kept is df else materialize(kept, "deduplicated")
 
@@ -186,12 +187,13 @@ def clean(
     spec: DatasetSpec,
     hierarchies: Mapping[str, Hierarchy] | None = None,
     pairs: DataFrame | None = None,
+    repeated: DataFrame | None = None,
 ) -> Cleaned:
-    """Run the plan.  ``pairs`` are near-duplicate pairs found earlier (by the diagnosis);
-    without them they are computed here, from the corrected text columns.  Rows are
+    """Run the plan.  ``pairs`` are near-duplicate pairs and ``repeated`` the repeated keys of ``df``, found earlier
+    (by the diagnosis); without them they are computed here, the pairs from the corrected text columns.  Rows are
     deduplicated at once; flags, mapping, table and metrics cost nothing unless they are read."""
     hierarchies = hierarchies or {}
     for rule in spec.classify:
         if hierarchies.get(rule.lookup) is None:
             raise ValueError(f"no hierarchy named '{rule.lookup}' was given for {rule.column}")
-    return Cleaned(df, spec, hierarchies, pairs)
+    return Cleaned(df, spec, hierarchies, pairs, repeated)

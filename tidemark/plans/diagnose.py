@@ -18,11 +18,12 @@ from tidemark.spec import DatasetSpec
 class Diagnosis:
     missingness: DataFrame
     duplicates: DataFrame
-    # what later stages ask about the same table: its size, null counts, sentinels and surplus rows
+    # what later stages ask about the same table: its size, null counts, sentinels, surplus rows and repeated keys
     n_rows: int = 0
     null_counts: DataFrame | None = None
     sentinels: DataFrame | None = None
     surplus: DataFrame | None = None
+    repeated: DataFrame | None = None
     inventory: DataFrame | None = None
     share: DataFrame | None = None
     dominant: DataFrame | None = None
@@ -178,6 +179,7 @@ def diagnose(df: DataFrame, spec: DatasetSpec) -> Diagnosis:
         sentinels=answers.get("sentinels"),
         inventory=answers["inventory"],
         surplus=dedup.counts_of_copies(repeated, n_rows),
+        repeated=repeated,
         range_summary=answers.get("ranges"),
         gate_split=answers.get("gates"),
         filled=answers.get("filled"),

@@ -103,7 +103,7 @@ def _stages(
         report(f"diagnosis_{name.replace(' ', '_').replace('(', '').replace(')', '')}", table)
 
     # clean
-    result = clean(typed, spec, hierarchies, found.near_duplicates)
+    result = clean(typed, spec, hierarchies, found.near_duplicates, found.repeated)
     cleaned = layer("cleaned", result.table)
     report("cleaning_metrics", result.metrics)
     report("flags", result.flags)
