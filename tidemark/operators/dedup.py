@@ -93,20 +93,37 @@ def keep_first(
     do, only their rows are compared and all others pass without a shuffle.  ``repeated`` are the
     ``repeated_keys`` of the same table, if they are known; the keys are then not counted again.
     """
+    return keep_first_parts(df, keys, order_by, broadcast_rows, repeated)[0]
+
+
+def keep_first_parts(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (),
+    broadcast_rows: int = BROADCAST_ROWS,
+    repeated: DataFrame | None = None,
+    slices: int = 1,
+) -> list[DataFrame]:
+    """The rows of ``keep_first`` in parts that together hold each of them once.  Where all rows have to move, the
+    keys are dealt into ``slices`` by a hash; written one after the other, the parts each shuffle only their slice,
+    for a scan of the table each."""
     lead = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in lead]
     if not lead and not rest:
-        return df.distinct()
+        return [df.distinct()]
     repeated = _repeated(df, keys) if repeated is None else repeated
     if repeated.isEmpty():
-        return df
+        return [df]
     if not is_small(repeated, broadcast_rows):
-        return _first_rows(df, keys, [*lead, *rest])
+        if slices < 2:
+            return [_first_rows(df, keys, [*lead, *rest])]
+        dealt = F.pmod(F.xxhash64(*[quoted(k) for k in keys]), F.lit(slices))
+        return [_first_rows(df.filter(dealt == i), keys, [*lead, *rest]) for i in range(slices)]
     keyed = df.withColumn("__key", F.struct(*[quoted(k) for k in keys]))
     probe = F.broadcast(repeated.select("__key"))
     once = keyed.join(probe, "__key", "left_anti").drop("__key")
     copies = keyed.join(probe, "__key", "left_semi").drop("__key")
-    return once.unionByName(_first_rows(copies, keys, [*lead, *rest]))
+    return [once.unionByName(_first_rows(copies, keys, [*lead, *rest]))]
 
 
 def _first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

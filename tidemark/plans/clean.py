@@ -17,9 +17,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import changed, quoted, stack_rows
 from tidemark.operators import clusters, dedup, lookup, near_duplicates, rules
-from tidemark.session import materialize
+from tidemark.session import materialize, materialize_parts
+from tidemark.sources.tables import LAYER_CODEC
 from tidemark.spec import DatasetSpec
 
+# Rows whose shuffle files lie on disk at once when a written layer is deduplicated.
+SLICE_ROWS = 40_000_000
+
 
 @dataclass(frozen=True)
 class Hierarchy:
@@ -100,11 +104,13 @@ class Cleaned:
         hierarchies: Mapping[str, Hierarchy],
         pairs: DataFrame | None,
         repeated: DataFrame | None = None,
+        n_rows: int = 0,
     ) -> None:
         self._df, self._spec, self._hierarchies, self._pairs = df, spec, hierarchies, pairs
-        kept = dedup.keep_first(df, spec.keys, spec.order_by, repeated=repeated)
+        slices = max(1, -(-n_rows // SLICE_ROWS))
+        kept = dedup.keep_first_parts(df, spec.keys, spec.order_by, repeated=repeated, slices=slices)
         # without repeated keys there is nothing to write
-        self.kept = kept if kept is df else materialize(kept, "deduplicated")
+        self.kept = df if kept[0] is df else materialize_parts(kept, "deduplicated", LAYER_CODEC)
 
     @cached_property
     def _corrected(self) -> DataFrame:
@@ -188,12 +194,14 @@ def clean(
     hierarchies: Mapping[str, Hierarchy] | None = None,
     pairs: DataFrame | None = None,
     repeated: DataFrame | None = None,
+    n_rows: int = 0,
 ) -> Cleaned:
     """Run the plan.  ``pairs`` are near-duplicate pairs and ``repeated`` the repeated keys of ``df``, found earlier
     (by the diagnosis); without them they are computed here, the pairs from the corrected text columns.  Rows are
-    deduplicated at once; flags, mapping, table and metrics cost nothing unless they are read."""
+    deduplicated at once; flags, mapping, table and metrics cost nothing unless they are read.  With ``n_rows``, for a
+    layer that is cheap to scan, more than ``SLICE_ROWS`` of them are deduplicated a slice of the keys at a time."""
     hierarchies = hierarchies or {}
     for rule in spec.classify:
         if hierarchies.get(rule.lookup) is None:
             raise ValueError(f"no hierarchy named '{rule.lookup}' was given for {rule.column}")
-    return Cleaned(df, spec, hierarchies, pairs, repeated)
+    return Cleaned(df, spec, hierarchies, pairs, repeated, n_rows)

@@ -13,6 +13,7 @@ from tidemark.operators import document, impute, rules, typing
 from tidemark.plans.clean import Hierarchy, clean
 from tidemark.plans.diagnose import diagnose
 from tidemark.plans.report import report_facts
+from tidemark.session import release
 from tidemark.sources import tables
 from tidemark.spec import DatasetSpec
 
@@ -27,6 +28,8 @@ class Input:
     csv: str
     dictionary: str
     multi_line: bool = False
+    # a CSV made for this run alone: it is deleted as soon as the raw layer holds its rows
+    staged: bool = False
 
 
 def impute_stage(cleaned: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, list[impute.Fill]]:
@@ -48,7 +51,8 @@ def run_dataset(
     """Ingest to export.  Stops at the first failed check.  Returns the path of each result.
 
     Layers follow each other.  Reports only read layers that are written, so they are written beside
-    the main line, a few at a time; the run ends when all are there, and an error in one is raised.
+    the main line, a few at a time; the export waits until they are there, the run ends when all are,
+    and an error in one is raised.
     """
     written: list[Future] = []
     with ThreadPoolExecutor(REPORTS_AT_ONCE) as pool:
@@ -77,7 +81,9 @@ def _stages(
 
     def layer(name: str, df: DataFrame) -> DataFrame:
         paths[name] = f"{base}/{name}"
-        return tables.write_layer(df, paths[name])
+        found = tables.write_layer(df, paths[name])
+        release(spark)
+        return found
 
     def report(name: str, df: DataFrame) -> None:
         paths[name] = f"{base}/{name}"
@@ -91,6 +97,8 @@ def _stages(
     raw = layer("raw", tables.read_text_csv(spark, source.csv, header, multi_line=source.multi_line))
     counts = typing.count_check(raw, spec.entity, spec.expected_rows, spec.expected_entities)
     typing.require_counts(spec.name, counts)
+    if source.staged:
+        tables.delete(spark, source.csv)
     report("count_check", counts)
 
     # type
@@ -103,7 +111,8 @@ def _stages(
         report(f"diagnosis_{name.replace(' ', '_').replace('(', '').replace(')', '')}", table)
 
     # clean
-    result = clean(typed, spec, hierarchies, found.near_duplicates, found.repeated)
+    result = clean(typed, spec, hierarchies, found.near_duplicates, found.repeated, found.n_rows)
+    release(spark)
     cleaned = layer("cleaned", result.table)
     report("cleaning_metrics", result.metrics)
     report("flags", result.flags)
@@ -126,6 +135,11 @@ def _stages(
     )
     report("report_facts", report_facts(spec, typed, cleaned, imputed, fills, result.kept, result.flags, found))
 
+    # the reports were the last to read the rows before cleaning; the export then has their room
+    for waiting in written:
+        waiting.result()
+    release(spark, *([] if result.kept is typed else [result.kept]))
+
     # export
     labels = document.column_labels(spark, imputed.columns, descriptions, spec.derived_labels)
     paths["final"] = f"{base}/final"

@@ -342,11 +342,11 @@ _RUN_SQL = CLEANED_SALES_SQL.replace(
 def _run(spark, sf_dir):
     raw = sales(spark, sf_dir)
     data, dictionary = scratch_path(spark, "sales-csv"), scratch_path(spark, "sales-dictionary")
-    tables.write_report_csv(tables.as_text(raw), data)
+    tables.write_text_csv(raw, data)
     tables.write_report_csv(types.describe_table(raw, choices=["returned", "l_linestatus"]), dictionary)
     return run_all(
         spark,
-        [Input(SALES, data, dictionary)],
+        [Input(SALES, data, dictionary, staged=True)],
         scratch_path(spark, "run"),
         hierarchies(spark, sf_dir),
     )["sales"]

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,15 +65,42 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
     Cuts the lineage for results that several later steps read, survives the loss of
-    executors, and gives the planner real sizes for its join choices.
+    executors, and gives the planner real sizes for its join choices.  ``codec`` packs a table
+    that stays for long more tightly than the session's would.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return materialize_parts([df], label, codec)
+
+
+def materialize_parts(parts: Sequence[DataFrame], label: str, codec: str | None = None) -> DataFrame:
+    """One table from parts of equal columns, written one after the other: the shuffle files of a part are gone
+    before the next one makes its own."""
+    spark, schema = parts[0].sparkSession, parts[0].schema
+    path = scratch_path(spark, label)
+    for i, part in enumerate(parts):
+        writer = part.write.mode("append" if i else "errorifexists")
+        (writer.option("compression", codec) if codec else writer).parquet(path)
+        if len(parts) > 1:
+            release(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+def release(spark: SparkSession, *written: DataFrame) -> None:
+    """Give disk back in the midst of a long run: tables that ``materialize`` has written and that nothing reads any
+    more, and the shuffle files of finished work.  Spark removes those once the driver's memory is cleaned, which by
+    itself may come much later than the disk is full.  Tables outside the scratch folder stay."""
+    context = spark.sparkContext
+    for folder in {file.rsplit("/", 1)[0] for table in written for file in table.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        scratch = files.makeQualified(context._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark)))
+        if files.makeQualified(path).getParent().equals(scratch):
+            files.delete(path, True)
+    gc.collect()
+    context._jvm.System.gc()
 
 
 def ship_package(spark: SparkSession) -> None:

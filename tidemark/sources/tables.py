@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,10 @@ from tidemark.functions.columns import NA_TOKENS, quoted, sql_name, sql_text
 
 # The labels of imputation flags.
 FLAG_LABELS = {"0": "Not imputed", "1": "Imputed"}
+# Layers stay side by side until a run ends, so they are packed more tightly than Spark's default does.
+LAYER_CODEC = "zstd"
+# Rows of a file of compressed CSV, which one task reads whole.
+TEXT_ROWS = 500_000
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -59,22 +63,38 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"CAST({n} AS STRING) AS {n}" for n in map(sql_name, df.columns)])
 
 
+def write_text_csv(df: DataFrame, path: str) -> None:
+    """A table as the text CSV that ``read_text_csv`` reads, compressed.  Files that are compressed cannot be
+    split, so each holds ``TEXT_ROWS`` rows at most."""
+    writer = as_text(df).write.mode("overwrite").option("maxRecordsPerFile", TEXT_ROWS)
+    # the quickest level: text of numbers packs nearly as well with it
+    packed = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    _exact_text(packed).csv(path)
+
+
 def write_layer(df: DataFrame, path: str) -> DataFrame:
     """Write a parquet layer and return it as read back.  Writing over one's own input is
     refused by Spark, so a layer always has its own folder."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", LAYER_CODEC).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_report_csv(df: DataFrame, path: str) -> None:
     """A report table as CSV with header; text is written exactly as it is."""
-    (
-        df.write.mode("overwrite")
-        .option("header", True)
+    _exact_text(df.write.mode("overwrite")).csv(path)
+
+
+def _exact_text(writer: DataFrameWriter) -> DataFrameWriter:
+    return (
+        writer.option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
 
 
