@@ -21,6 +21,8 @@ def spark(tmp_path_factory):
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            # tests that count scans read the list of executions, which must not drop any meanwhile
+            "spark.sql.ui.retainedExecutions": "1000000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
